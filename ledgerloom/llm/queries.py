@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
+from . import language, outliers, packing, secret_ledger, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": token_files.op1_token_files,
+        "op3_robust_outliers": outliers.op3_robust_outliers,
+        "op6_language_id": language.op6_language_id,
         "op8_best_fit_packing": packing.op8_best_fit_packing,
+        "op10_secret_ledger": secret_ledger.op10_secret_ledger,
     }
 
 
