@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, outliers, packing, secret_ledger, token_files
+from . import language, near_join, outliers, packing, secret_ledger, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": token_files.op1_token_files,
+        "op2_chosen_path_join": near_join.op2_chosen_path_join,
         "op3_robust_outliers": outliers.op3_robust_outliers,
         "op6_language_id": language.op6_language_id,
         "op8_best_fit_packing": packing.op8_best_fit_packing,

@@ -120,16 +120,18 @@ def connected(edges: DataFrame, name: str = "components") -> DataFrame:
         if mark == before:
             break
         before = mark
-        # Large star: each larger neighbour of a node is tied to the smallest of its neighbours and itself.
+        # Large star: each larger neighbour of a node is tied to the smallest of its neighbours and
+        # itself. The minima are landed, so that both sides of the join are dealt out by exchanges
+        # of their own and Spark can split the rows of a hub.
         both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = landed(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), name)
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = landed(large.where("a <> b").distinct(), name)
         # Small star: each smaller neighbour and the node itself are tied to the smallest of them.
-        smallest = large.groupBy("a").agg(F.min("b").alias("m"))
-        tied = large.join(smallest, "a")
+        smallest = landed(large.groupBy("a").agg(F.min("b").alias("m")), name)
         small = (
-            tied.where("b <> m")
+            large.join(smallest, "a")
+            .where("b <> m")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(smallest.select("a", F.col("m").alias("b")))
             .distinct()
