@@ -94,11 +94,11 @@ def scan(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION) -> Data
     texts = rows.join(
         holders.withColumnRenamed("blob", "wanted"), F.col("doc_id").eqNullSafe(F.col("holder")) & (F.col("blob") == F.col("wanted"))
     ).select("blob", "text")
-    found = over_batches(texts, _scan, FINDINGS)
+    # Rows alike give a blob twice; the ledger has each once, so that it needs no grouping when it is
+    # joined and Spark can split a blob that very many rows hold.
+    found = over_batches(texts, _scan, FINDINGS).dropDuplicates(["blob"])
     found.withColumn("rule_version", F.lit(rule_version)).write.mode("append").parquet(ledger)
-    # A task that ran twice, or two rows alike, may have added a blob twice: findings are the same.
-    seen = read_ledger(spark, ledger, rule_version).dropDuplicates(["blob"])
-    return rows.select("doc_id", "blob").join(seen, "blob").drop("rule_version")
+    return rows.select("doc_id", "blob").join(read_ledger(spark, ledger, rule_version), "blob").drop("rule_version")
 
 
 def read_ledger(spark: SparkSession, ledger: str, rule_version: str) -> DataFrame | None:
