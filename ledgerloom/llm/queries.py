@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, near_join, outliers, packing, secret_ledger, token_files
+from . import language, leaks, line_chunks, near_join, outliers, packing, secret_ledger, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,8 +14,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": token_files.op1_token_files,
         "op2_chosen_path_join": near_join.op2_chosen_path_join,
         "op3_robust_outliers": outliers.op3_robust_outliers,
+        "op4_line_chunks": line_chunks.op4_line_chunks,
         "op6_language_id": language.op6_language_id,
         "op8_best_fit_packing": packing.op8_best_fit_packing,
+        "op9_edit_leaks": leaks.op9_edit_leaks,
         "op10_secret_ledger": secret_ledger.op10_secret_ledger,
     }
 
