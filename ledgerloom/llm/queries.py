@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, leaks, line_chunks, near_join, outliers, packing, secret_ledger, token_files
+from . import extraction, language, leaks, line_chunks, near_join, outliers, packing, secret_ledger, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_robust_outliers": outliers.op3_robust_outliers,
         "op4_line_chunks": line_chunks.op4_line_chunks,
         "op6_language_id": language.op6_language_id,
+        "op7_block_labeller": extraction.op7_block_labeller,
         "op8_best_fit_packing": packing.op8_best_fit_packing,
         "op9_edit_leaks": leaks.op9_edit_leaks,
         "op10_secret_ledger": secret_ledger.op10_secret_ledger,
