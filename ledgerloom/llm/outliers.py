@@ -178,7 +178,8 @@ def grouped(stats: DataFrame) -> DataFrame:
 
 def fits(rows: DataFrame) -> DataFrame:
     """(cell, fit) over all rows of ``rows`` (cell and features), landed in the shared folder."""
-    counts = rows.groupBy("cell").agg(F.count("*").alias("n"))
+    # Landed: a table of known size is sent to the rows, which then needn't be dealt out by cell.
+    counts = landed(rows.groupBy("cell").agg(F.count("*").alias("n")), "cells")
     sample = rows.join(counts, "cell").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) * F.col("n") < SAMPLE_ROWS * (1 << 20))
 
     def started(pdf: pd.DataFrame) -> pd.DataFrame:
