@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import extraction, language, leaks, line_chunks, near_join, outliers, packing, secret_ledger, token_files
+from . import extraction, language, leaks, license_scan, line_chunks, near_join, outliers, packing, secret_ledger, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_chosen_path_join": near_join.op2_chosen_path_join,
         "op3_robust_outliers": outliers.op3_robust_outliers,
         "op4_line_chunks": line_chunks.op4_line_chunks,
+        "op5_license_digests": license_scan.op5_license_digests,
         "op6_language_id": language.op6_language_id,
         "op7_block_labeller": extraction.op7_block_labeller,
         "op8_best_fit_packing": packing.op8_best_fit_packing,
@@ -24,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_license_digests": license_scan.oracle()}
