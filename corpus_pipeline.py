@@ -1,27 +1,28 @@
-"""The corpus pipeline: language, lines, near copies, benchmark leaks, then packed sequences."""
+"""The corpus pipeline: language ID, line dedup, near copies, benchmark decontamination, packing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import packing, tokens
-
-
-def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed_documents(docs, tokens.vocabulary("word_bpe_49k.json"))
-
+from ledgerloom.llm import pipeline_stages
+from ledgerloom.llm.shared import landed, table
 
+#: (name, function of (spark, docs, sf_dir)); each stage reads what the one before has written.
 STAGES = [
-    ("best-fit packing", pack_sequences),
+    ("language ID", pipeline_stages.known_language),
+    ("line dedup", pipeline_stages.without_repeated_lines),
+    ("n-gram Jaccard join", pipeline_stages.one_of_each),
+    ("benchmark decontamination", pipeline_stages.without_leaks),
+    ("best-fit packing", pipeline_stages.packed),
 ]
 
+#: Trained models, connected components and tokenizers are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ledgerloom.llm.shared import landed
-
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    """The rows of the last stage over the table ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
         docs = landed(stage(spark, docs, sf_dir), "stage")
     return STAGES[-1][1](spark, docs, sf_dir)

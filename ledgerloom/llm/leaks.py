@@ -12,6 +12,7 @@ takes more passes over the documents.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -119,7 +120,7 @@ class Matcher:
         return sorted(set(out), key=lambda x: (x[2], x[0]))
 
 
-_matchers: dict[tuple, Matcher] = {}
+_matchers: dict[str, Matcher] = {}
 
 MATCHES = T.ArrayType(
     T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
@@ -145,11 +146,11 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE
         block = sorted({(r.item_id, text) for r in rows if (text := normal(r.text))}, key=lambda x: (x[0] is not None, x))
         shared = spark.sparkContext.broadcast(block)
 
-        def found(records: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            if (key := (shared.id, rate, len(shared.value))) not in _matchers:
+        def found(records: Iterator[pa.RecordBatch], shared=shared, name=uuid.uuid4().hex) -> Iterator[pa.RecordBatch]:
+            if name not in _matchers:  # one automaton for each Python worker and block
                 _matchers.clear()
-                _matchers[key] = Matcher(shared.value, rate)
-            matcher = _matchers[key]
+                _matchers[name] = Matcher(shared.value, rate)
+            matcher = _matchers[name]
             for record in records:
                 before = record.column("matches").to_pylist()
                 now = [[*(old or ()), *({"item_id": a, "distance": b, "start": c, "end": d} for a, b, c, d in matcher.matches(normal(text)))]
