@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import batch, binary_rows, longs, over_batches, splitmix, table, texts_of
+from .shared import batch, binary_rows, landed, longs, over_batches, splitmix, table, texts_of
 
 #: Labelled rows of each language that a model is fitted on, at most about.
 ROWS_PER_LANGUAGE = 1500
@@ -142,7 +142,8 @@ def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Lang
     bound of what reaches the driver, as vectors of ``FEATURES`` small integers.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # Landed: a table of known size is sent to the rows, whose texts then needn't be dealt out by language.
+    counts = landed(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
     place = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 30))
     sample = rows.join(counts, "lang").where(place * F.col("n") < F.lit(rows_per_language * (1 << 30)))
 
