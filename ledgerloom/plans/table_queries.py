@@ -212,3 +212,41 @@ def counters_merged(v: Views) -> DataFrame:
     e = v.table("events")
     base = tables.counters(e, F.to_date("ts"), F.col("event_type") != "error")
     return tables.add_counters(base, tables.counters(e.where("event_type = 'click'"), F.to_date("ts"), F.lit(True)))
+
+
+@query("SELECT ticker, date, close, CAST(volume AS BIGINT) AS volume FROM prices")
+def batch_round_trip(v: Views) -> DataFrame:
+    """Prices through the batch writer, deduped by key on the way, and back with the table's types."""
+    from ledgerloom.schemas import TABLES
+    from ledgerloom.session import shared_path
+    from ledgerloom.sources import batches
+
+    folder = shared_path(v.spark, "batches")
+    batches.fan_out({"stock_history": v.prices().unionAll(v.prices())}, folder, "20240131_000000")
+    stored = batches.read_table(v.spark, f"{folder}/stock_history", TABLES["stock_history"])
+    return stored.select("ticker", "date", "close", "volume")
+
+
+@query("SELECT cik, accession_number, filed_date, value_numeric FROM facts WHERE filed_date BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'")
+def sorted_write_range(v: Views) -> DataFrame:
+    """Facts written in order of their date; a range of dates then reads few row groups."""
+    from ledgerloom.session import shared_path
+    from ledgerloom.sources import batches
+
+    path = shared_path(v.spark, "sorted")
+    batches.write_by_date(v.facts(), path)
+    stored = v.spark.read.schema(v.facts().schema).parquet(path)
+    return stored.where("filed_date BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'").select("cik", "accession_number", "filed_date", "value_numeric")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def guarded_snapshot(v: Views) -> DataFrame:
+    """A smaller snapshot is held back, the larger one published; readers get the published version."""
+    from ledgerloom.session import shared_path
+    from ledgerloom.sources import batches
+
+    whole = v.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    folder = shared_path(v.spark, "snapshot")
+    first = batches.publish(whole, folder, "1")
+    held = batches.publish(whole.where("o_orderstatus = 'F'"), folder, "2", whole, ["o_custkey"])
+    return v.spark.read.schema(whole.schema).parquet(held or first)
