@@ -24,9 +24,10 @@ from .shared import Forest, batch, binary_rows, connected, landed, longs, over_b
 
 N_WORDS, SIMILARITY, RECALL = 5, 0.8, 0.99
 COORDINATES = 64
-#: Buckets of up to so many sets are compared by brute force; a tile of the exact comparison holds
-#: two blocks of up to so many sets.
-LEAF, TILE = 40, 256
+#: Buckets of up to so many sets are compared by brute force; those of up to so many are split on
+#: within a task, in about a megabyte of memory, larger ones by Spark; a tile of the exact comparison
+#: holds two blocks of up to so many sets.
+LEAF, GATHER, TILE = 40, 2000, 256
 #: Sketches this much alike tie two sets into a candidate group: three standard errors below the threshold.
 ALIKE = SIMILARITY - 3 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / COORDINATES)
 
@@ -129,12 +130,48 @@ def _roots(runs: int):
     return rows
 
 
+def _ties(path: int, ids: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Edges of a bucket that is too large to compare by brute force: the rest of its recursion."""
+    todo = [(np.uint64(path), np.arange(len(ids)))]
+    while todo:
+        path, rows = todo.pop()
+        if len(rows) <= LEAF:
+            alike = (values[rows][:, None] == values[rows][None]).mean(2) >= ALIKE
+            forest = Forest(len(rows))
+            for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(alike, 1))), strict=True):
+                forest.join(i, j)
+            for i in range(len(rows)):
+                if (first := forest.root(i)) != i:
+                    yield ids[rows[first]], ids[rows[i]]
+            continue
+        pivot = rows[splitmix(ids[rows].view(np.uint64) ^ path).argmin()]
+        alike = (values[rows] == values[pivot]).mean(1)
+        for i in rows[alike >= ALIKE].tolist():
+            yield ids[pivot], ids[i]
+        on = rows[alike < ALIKE]
+        if len(on) > 1:
+            row, child = _children(np.full(len(on), path), values[on])
+            order = np.argsort(child, kind="stable")
+            starts = np.nonzero(np.concatenate([[True], child[order][1:] != child[order][:-1]]))[0]
+            for part in np.split(order, starts[1:]):
+                if len(part) > 1:
+                    todo.append((child[part[0]], on[row[part]]))
+
+
 def _bucket_edges(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges that tie the alike sets of each bucket; rows come sorted by path, of LEAF rows at most each."""
+    """Edges that tie the alike sets of each bucket; rows come sorted by path, of GATHER rows at most each."""
     held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def edges(paths: np.ndarray, ids: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-        forest, a, b = Forest(len(ids)), [], []
+        starts = np.nonzero(np.concatenate([[True], paths[1:] != paths[:-1]]))[0]
+        sizes = np.diff(np.concatenate([starts, [len(paths)]]))
+        found: list[tuple[int, int]] = []
+        for start, size in zip(starts[sizes > LEAF].tolist(), sizes[sizes > LEAF].tolist(), strict=True):
+            part = slice(start, start + size)
+            found += _ties(paths[start : start + 1].view(np.uint64)[0], ids[part], values[part])
+        few = np.repeat(sizes <= LEAF, sizes)
+        paths, ids, values = paths[few], ids[few], values[few]
+        forest = Forest(len(ids))
         for step in range(1, len(ids)):
             near = np.nonzero(paths[step:] == paths[:-step])[0]
             if not len(near):
@@ -142,10 +179,14 @@ def _bucket_edges(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for at in range(0, len(near), 4096):
                 part = near[at : at + 4096]
                 for i in part[(values[part] == values[part + step]).mean(1) >= ALIKE].tolist():
-                    if forest.join(i, i + step) and ids[i] != ids[i + step]:
-                        a.append(ids[i])
-                        b.append(ids[i + step])
-        return batch(a=longs(a), b=longs(b))
+                    forest.join(i, i + step)
+        # Every set hangs on the first of its bucket that it is tied to: stars need no further rounds.
+        for i in range(len(ids)):
+            if (first := forest.root(i)) != i:
+                found.append((ids[first], ids[i]))
+        # A worker's buckets tell the same pairs again and again.
+        pairs = np.array([x for x in set(found) if x[0] != x[1]], np.int64).reshape(-1, 2)
+        return batch(a=longs(pairs[:, 0]), b=longs(pairs[:, 1]))
 
     for record in records:
         now = (record.column("path").to_numpy(), record.column("rep").to_numpy(), _coordinates(record.column("sketch"), record.num_rows))
@@ -153,15 +194,20 @@ def _bucket_edges(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if not len(now[0]):
             continue
         cut = int(np.searchsorted(now[0], now[0][-1]))  # the last bucket may go on in the next batch
-        yield edges(*(x[:cut] for x in now))
+        if cut:
+            yield edges(*(x[:cut] for x in now))
         held = tuple(x[cut:] for x in now)
     if held is not None and len(held[0]):
         yield edges(*held)
 
 
-def _split(level: int):
-    """Rows of large buckets: an edge to the pivot if alike (``kind`` 0), children unless near it (1)."""
-    near = max(ALIKE, 1 - 0.1 * level)
+def _split():
+    """Rows of large buckets: an edge to the pivot if alike (``kind`` 0), else children (1).
+
+    What is tied to a pivot needs no further splits of this bucket: the group that it is in is
+    compared as a whole. Pivots are drawn anew for each bucket, so a pair of which only one set is
+    alike to a pivot has other buckets to be found in.
+    """
 
     def rows(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in records:
@@ -170,7 +216,7 @@ def _split(level: int):
             alike = (values == _coordinates(record.column("pivot_sketch"), n)).mean(1)
             tied = np.nonzero(alike >= ALIKE)[0]
             yield batch(kind=longs(np.zeros(len(tied), np.int64)), a=longs(ids[tied]), b=longs(record.column("pivot").to_numpy()[tied]))
-            on = np.nonzero(alike < near)[0]
+            on = np.nonzero(alike < ALIKE)[0]
             if len(on):
                 row, path = _children(record.column("path").to_numpy()[on].view(np.uint64), values[on])
                 yield batch(kind=longs(np.ones(len(row), np.int64)), a=longs(path.view(np.int64)), b=longs(ids[on][row]))
@@ -184,26 +230,27 @@ def candidate_edges(reps: DataFrame, recall: float = RECALL) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
     rows = landed(reps.mapInArrow(_roots(runs_for(recall)), "path long, rep long"), "paths")
     edges: list[DataFrame] = []
-    level = 1
+    small: DataFrame | None = None
     while True:
         # Landed, so that the joins below can split a path that very many sets share.
         buckets = landed(
             rows.groupBy("path").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("rep", "path")).alias("pivot")).where("n > 1"), "buckets"
         )
-        small = rows.join(buckets.where(F.col("n") <= LEAF).select("path"), "path").join(reps, "rep").select("path", "rep", "sketch")
-        edges.append(landed(small.repartition("path").sortWithinPartitions("path", "rep").mapInArrow(_bucket_edges, "a long, b long"), "ties"))
-        large = buckets.where(F.col("n") > LEAF)
+        found = rows.join(buckets.where(F.col("n") <= GATHER).select("path"), "path")
+        small = found if small is None else small.unionByName(found)
+        large = buckets.where(F.col("n") > GATHER)
         if large.isEmpty():
             break
         pivots = landed(
             large.join(reps.select(F.col("rep").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot").dropDuplicates(["path"]), "pivots"
         )
-        parts = landed(rows.join(pivots, "path").join(reps, "rep").mapInArrow(_split(level), "kind long, a long, b long"), "split")
+        parts = landed(rows.join(pivots, "path").join(reps, "rep").mapInArrow(_split(), "kind long, a long, b long"), "split")
         edges.append(parts.where("kind = 0").select("a", "b"))
         rows = parts.where("kind = 1").select(F.col("a").alias("path"), F.col("b").alias("rep"))
-        level += 1
-    out = edges[0]
-    for more in edges[1:]:
+    # The buckets of all levels that a task can hold; paths of different levels don't meet.
+    members = small.join(reps, "rep").select("path", "rep", "sketch")
+    out = members.repartition("path").sortWithinPartitions("path", "rep").mapInArrow(_bucket_edges, "a long, b long")
+    for more in edges:
         out = out.unionByName(more)
     return out.distinct()
 

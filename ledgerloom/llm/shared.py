@@ -108,21 +108,16 @@ def connected(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of (a, b) longs: (node, root), root the smallest node of the component.
 
     Alternating large-star and small-star steps; each round is written to the shared folder, and
-    rounds end when a round changes nothing. Both steps send the neighbours of a node to its
-    smallest neighbour by joins and grouped minima, never as a list, so a hub stays distributed.
+    rounds end when every node hangs on one root. Both steps tell the neighbours of a node its
+    smallest neighbour by joins with grouped minima, never by a list, so a hub stays distributed;
+    the minima are landed, so that both sides of a join have exchanges of their own and Spark can
+    split the rows of a hub.
     """
     now = landed(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name
     )
-    before = None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before:
-            break
-        before = mark
-        # Large star: each larger neighbour of a node is tied to the smallest of its neighbours and
-        # itself. The minima are landed, so that both sides of the join are dealt out by exchanges
-        # of their own and Spark can split the rows of a hub.
+    while not _stars(now):
+        # Large star: each larger neighbour of a node is tied to the smallest of its neighbours and itself.
         both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = landed(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), name)
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -137,10 +132,16 @@ def connected(edges: DataFrame, name: str = "components") -> DataFrame:
             .distinct()
         )
         now = landed(small, name)
-    roots = now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
+    roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Does every node hang on one root that hangs on nothing? Edges are distinct, larger node first."""
+    ends = edges.groupBy("a").agg(F.count("*").alias("n")).unionByName(edges.select(F.col("b").alias("a")).distinct().withColumn("n", F.lit(1).cast("long")))
+    return ends.groupBy("a").agg(F.sum("n").alias("n")).where("n > 1").isEmpty()
+
+
 def splitmix(x: np.ndarray) -> np.ndarray:
     """A well-mixed 64-bit hash of 64-bit integers."""
     with np.errstate(over="ignore"):
