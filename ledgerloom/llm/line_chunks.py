@@ -1,55 +1,44 @@
-"""Operator 4: removal of repeated multi-line chunks, cut where the lines themselves say.
+"""Operator 4: removal of repeated multi-line chunks.
 
-A text's lines are hashed, and a rolling hash over the last ``WINDOW`` line hashes ends a chunk where
-it falls below a bound: an insertion moves no boundary beyond its own surroundings. A line of
-``LONG_WORDS`` words or more is a wrapped paragraph; it is a chunk by itself. A chunk counts if it
-has two or more lines, or is such a paragraph. Of a chunk that comes again anywhere in the table, the
-first occurrence stays and all others go, after their bytes have been compared.
+Chunks are all runs of two lines with words, blank lines between them included; they overlap, so a
+repeated passage of two lines or more is made of repeated chunks from its first line to its last,
+whatever stands around it. A line of ``LONG_WORDS`` words or more is a wrapped paragraph; it is a
+chunk by itself, too. Of a chunk that comes again anywhere in the table, the first occurrence stays
+and all others go, after their bytes have been compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import batch, landed, longs, over_batches, splitmix, table, texts_of
+from .shared import batch, landed, longs, over_batches, table, texts_of
 
-WINDOW = 2
-#: One place in so many ends a chunk of shorter lines.
-MEAN_LINES = 3
 LONG_WORDS = 45
 
 
-def chunks(text: str, mean_lines: int = MEAN_LINES, window: int = WINDOW, long_words: int = LONG_WORDS) -> list[tuple[int, int]]:
-    """(first line, line after the last) of each chunk that counts; lines are parted by line feeds."""
+def chunks(text: str, long_words: int = LONG_WORDS) -> list[tuple[int, int]]:
+    """(first line, line after the last) of each chunk, both ascending; lines are parted by line feeds."""
     lines = text.split("\n")
-    hashes = np.array([xxhash.xxh64_intdigest(x) for x in lines], np.uint64)
-    with np.errstate(over="ignore"):
-        rolled = hashes.copy()
-        for k in range(1, min(window, len(lines))):
-            rolled[k:] = rolled[k:] * np.uint64(0x9E3779B97F4A7C15) + hashes[:-k]
-    ends = splitmix(rolled) < np.uint64((1 << 64) // mean_lines)
-    out, start = [], 0
+    out: list[tuple[int, int]] = []
+    before, first_end = -1, {}
     for i, line in enumerate(lines):
+        if not line or line.isspace():
+            continue
+        if before >= 0:
+            # In a run of one line again and again, a chunk that overlaps the first like it is no repeat of it.
+            end = first_end.setdefault("\n".join(lines[before : i + 1]), i + 1) if line == lines[before] else i + 1
+            if end == i + 1 or before >= end:
+                out.append((before, i + 1))
         if len(line) >= 2 * long_words - 1 and len(line.split()) >= long_words:
-            if i - start > 1:
-                out.append((start, i))
             out.append((i, i + 1))
-            start = i + 1
-        elif ends[i]:
-            if i + 1 - start > 1:
-                out.append((start, i + 1))
-            start = i + 1
-    if len(lines) - start > 1:
-        out.append((start, len(lines)))
-    # A chunk of blank lines says nothing.
-    return [(a, b) for a, b in out if any(x and not x.isspace() for x in lines[a:b])]
+        before = i
+    return out
 
 
 def _digest(lines: list[str], a: int, b: int) -> int:
@@ -139,7 +128,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                         digest = _digest(lines, a, b)
                         if digest in first_of and (digest in seen or first_of[digest] != doc_id):
                             kept += lines[at:a]
-                            at, gone = b, gone + b - a
+                            at, gone = b, gone + b - max(a, at)
                         seen.add(digest)
                     if gone:
                         texts[i] = "\n".join(kept + lines[at:])

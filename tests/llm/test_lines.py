@@ -68,3 +68,31 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     got = sorted((str(r.doc_id), r.text) for r in line_chunks.without_repeats(docs).collect())
     assert got == [("1", long), ("1", long), ("2", ""), ("None", "")]
     assert line_chunks.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_passages_of_short_lines_go_whole(spark):
+    r = random.Random(11)
+    fresh = lambda: " ".join(f"u{r.randrange(10**9)}" for _ in range(r.randint(1, 12)))
+    passages = []
+    for k in range(30):
+        lines = []
+        while sum(len(x.split()) for x in lines) <= 50 or len(lines) < 2:
+            lines += [" ".join(f"p{k}x{r.randrange(10**6)}" for _ in range(r.randint(1, 44)))] + [""] * (r.random() < 0.2)
+        passages.append("\n".join(lines).strip())
+    rows = [(0, "\n".join(passages))]
+    for i in range(1, 120):
+        parts = [fresh() for _ in range(r.randint(2, 8))]
+        parts.insert(r.randint(0, len(parts)), passages[i % 30])
+        rows.append((i, "\n".join(parts)))
+    got = {x.doc_id: x for x in line_chunks.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].text == rows[0][1] and got[0].n_removed_lines == 0
+    for i in range(1, 120):
+        assert not any(word.startswith("p") for word in got[i].text.split()), got[i].text
+        assert sum(w.startswith("u") for w in got[i].text.split()) == sum(w.startswith("u") for w in rows[i][1].split())
+        assert got[i].n_removed_lines == len(passages[i % 30].split("\n"))
+
+
+def test_runs_of_one_line_keep_their_first_chunk(spark):
+    rows = [(1, "x y\nx y\nx y\nx y\nend one"), (2, "start\nx y\nx y\nend two")]
+    got = {r.doc_id: r.text for r in line_chunks.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "x y\nx y\nend one", 2: "start\nend two"}
