@@ -4,8 +4,8 @@ A set is sketched by minima of hash functions, its coordinates. From a root, a n
 coordinates by a hash of its path, and sets that agree on a sampled coordinate go on together: a
 pair of similarity s shares the fraction s of its coordinates, so at 1 / threshold samples a node a
 pair at the threshold is expected to stay together in one child of every node. Small buckets are
-compared by brute force; sets of a large one that are alike anyway are tied to a pivot, the others
-are split on. Runs repeat until the target recall. What holds together by sketches forms candidate
+compared by brute force; sets of a large one that are alike anyway are tied to a pivot and compared
+with the others, which are split on. Runs repeat until the target recall. What holds together by sketches forms candidate
 groups, and within a group all pairs are compared exactly, tile by tile.
 """
 
@@ -30,6 +30,8 @@ COORDINATES = 64
 LEAF, GATHER, TILE = 40, 2000, 256
 #: Sketches this much alike tie two sets into a candidate group: three standard errors below the threshold.
 ALIKE = SIMILARITY - 3 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / COORDINATES)
+#: So many coordinates that such sketches share.
+LEAST_EQUAL = math.ceil(ALIKE * COORDINATES)
 
 _FACTORS = splitmix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(77)) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -130,6 +132,31 @@ def _roots(runs: int):
     return rows
 
 
+def in_reach(equal: np.ndarray, tied: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of tied and of other sets that can be alike, from how many coordinates each shares with the pivot.
+
+    Unequal coordinates are a metric: alike sets differ in no more than ``COORDINATES - LEAST_EQUAL``
+    of what they share with the pivot.
+    """
+    apart = COORDINATES - LEAST_EQUAL
+    if tied.all() or not tied.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.nonzero(tied & (equal <= equal[~tied].max() + apart))[0], np.nonzero(~tied & (equal >= equal[tied].min() - apart))[0]
+
+
+def partners(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(i, j): for each row j of the sketches ``b`` that is alike to any row of ``a``, the first such row i."""
+    step = max(1, 2_000_000 // max(1, len(a)))
+    for at in range(0, len(b) if len(a) else 0, step):
+        part = b[at : at + step]
+        equal = np.zeros((len(part), len(a)), np.uint8)
+        for c in range(COORDINATES):
+            equal += part[:, c, None] == a[None, :, c]
+        alike = equal >= LEAST_EQUAL
+        for j in np.nonzero(alike.any(1))[0].tolist():
+            yield int(alike[j].argmax()), at + j
+
+
 def _ties(path: int, ids: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int]]:
     """Edges of a bucket that is too large to compare by brute force: the rest of its recursion."""
     todo = [(np.uint64(path), np.arange(len(ids)))]
@@ -145,10 +172,14 @@ def _ties(path: int, ids: np.ndarray, values: np.ndarray) -> Iterator[tuple[int,
                     yield ids[rows[first]], ids[rows[i]]
             continue
         pivot = rows[splitmix(ids[rows].view(np.uint64) ^ path).argmin()]
-        alike = (values[rows] == values[pivot]).mean(1)
-        for i in rows[alike >= ALIKE].tolist():
+        equal = (values[rows] == values[pivot]).sum(1)
+        tied = equal >= LEAST_EQUAL
+        for i in rows[tied].tolist():
             yield ids[pivot], ids[i]
-        on = rows[alike < ALIKE]
+        on = rows[~tied]
+        # What leaves is compared with what stays, or pairs of which one set only is tied would be parted.
+        near, far = in_reach(equal, tied)
+        yield from ((ids[rows[near[i]]], ids[rows[far[j]]]) for i, j in partners(values[rows[near]], values[rows[far]]))
         if len(on) > 1:
             row, child = _children(np.full(len(on), path), values[on])
             order = np.argsort(child, kind="stable")
@@ -205,25 +236,74 @@ def _split():
     """Rows of large buckets: an edge to the pivot if alike (``kind`` 0), else children (1).
 
     What is tied to a pivot needs no further splits of this bucket: the group that it is in is
-    compared as a whole. Pivots are drawn anew for each bucket, so a pair of which only one set is
-    alike to a pivot has other buckets to be found in.
+    compared as a whole. It is (2) still compared with those sets of the bucket that go on and (3)
+    may be alike to it, by what both share with the pivot (``c``).
     """
+    apart = COORDINATES - LEAST_EQUAL
 
     def rows(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in records:
             n = record.num_rows
-            ids, values = record.column("rep").to_numpy(), _coordinates(record.column("sketch"), n)
-            alike = (values == _coordinates(record.column("pivot_sketch"), n)).mean(1)
-            tied = np.nonzero(alike >= ALIKE)[0]
-            yield batch(kind=longs(np.zeros(len(tied), np.int64)), a=longs(ids[tied]), b=longs(record.column("pivot").to_numpy()[tied]))
-            on = np.nonzero(alike < ALIKE)[0]
+            ids, paths, values = record.column("rep").to_numpy(), record.column("path").to_numpy(), _coordinates(record.column("sketch"), n)
+            equal = (values == _coordinates(record.column("pivot_sketch"), n)).sum(1).astype(np.int64)
+            tied = np.nonzero(equal >= LEAST_EQUAL)[0]
+            on = np.nonzero(equal < LEAST_EQUAL)[0]
+            # Sets equal to the pivot in all coordinates have no partner that isn't tied.
+            near, far = tied[equal[tied] < COORDINATES], on[equal[on] >= LEAST_EQUAL - apart]
+            parts = [(0, ids[tied], record.column("pivot").to_numpy()[tied], equal[tied]), (2, paths[near], ids[near], equal[near]), (3, paths[far], ids[far], equal[far])]
             if len(on):
-                row, path = _children(record.column("path").to_numpy()[on].view(np.uint64), values[on])
-                yield batch(kind=longs(np.ones(len(row), np.int64)), a=longs(path.view(np.int64)), b=longs(ids[on][row]))
+                row, path = _children(paths[on].view(np.uint64), values[on])
+                parts.append((1, path.view(np.int64), ids[on][row], np.zeros(len(row), np.int64)))
+            yield batch(
+                kind=longs(np.concatenate([np.full(len(x[1]), x[0], np.int64) for x in parts])), **{name: longs(np.concatenate([x[k] for x in parts])) for k, name in ((1, "a"), (2, "b"), (3, "c"))}
+            )
 
     return rows
 
 
+def _side_edges(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges from tied sets (``kind`` 2) to others (3) of each tile; rows come sorted by tile."""
+
+    def edges(ids: np.ndarray, kinds: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        near, far = np.nonzero(kinds == 2)[0], np.nonzero(kinds == 3)[0]
+        found = np.array([(ids[near[i]], ids[far[j]]) for i, j in partners(values[near], values[far])], np.int64).reshape(-1, 2)
+        return batch(a=longs(found[:, 0]), b=longs(found[:, 1]))
+
+    held: list[np.ndarray] | None = None
+    for record in records:
+        tiles = np.stack([record.column(c).to_numpy() for c in ("path", "x", "y")], 1)
+        now = [tiles, record.column("rep").to_numpy(), record.column("kind").to_numpy(), _coordinates(record.column("sketch"), record.num_rows)]
+        now = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+        if not len(now[0]):
+            continue
+        cuts = np.nonzero((now[0][1:] != now[0][:-1]).any(1))[0] + 1
+        for start, end in zip([0, *cuts.tolist()], cuts.tolist(), strict=False):
+            yield edges(*(x[start:end] for x in now[1:]))
+        held = [x[cuts[-1] if len(cuts) else 0 :] for x in now]  # the last tile may go on in the next batch
+    if held is not None and len(held[0]):
+        yield edges(*held[1:])
+
+
+def side_edges(sides: DataFrame, reps: DataFrame) -> DataFrame:
+    """(a, b): ties of what left large buckets with what stayed, from rows (kind, path, rep, c), by tiles."""
+    apart = COORDINATES - LEAST_EQUAL
+    near, far = F.col("kind") == 2, F.col("kind") == 3
+    reach = sides.groupBy("path").agg(F.min(F.when(near, F.col("c"))).alias("low"), F.max(F.when(far, F.col("c"))).alias("high"))
+    reach = landed(reach.where("low IS NOT NULL AND high IS NOT NULL"), "reach")
+    within = landed(sides.join(reach, "path").where((near & (F.col("c") <= F.col("high") + apart)) | (far & (F.col("c") >= F.col("low") - apart))).select("kind", "path", "rep"), "within")
+    sizes = within.groupBy("path").agg(F.ceil(F.sum(F.when(near, 1).otherwise(0)) / GATHER).alias("xs"), F.ceil(F.sum(F.when(far, 1).otherwise(0)) / GATHER).alias("ys"))
+    sizes = landed(sizes.where("xs > 0 AND ys > 0"), "sides")
+    place = F.xxhash64("rep", "path")
+    x, y = F.pmod(place, F.col("xs")), F.pmod(place, F.col("ys"))
+    tiled = within.join(sizes, "path")
+    tiled = tiled.where(near).select("path", x.alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("ys") - 1)).alias("y"), "rep", "kind").unionByName(
+        tiled.where(far).select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("xs") - 1)).alias("x"), y.alias("y"), "rep", "kind")
+    )
+    keys = ["path", "x", "y"]
+    whole = tiled.join(reps, "rep").select(*keys, "rep", "kind", "sketch").repartition(*keys).sortWithinPartitions(*keys, "kind", "rep")
+    return whole.mapInArrow(_side_edges, "a long, b long")
+
+
 def candidate_edges(reps: DataFrame, recall: float = RECALL) -> DataFrame:
     """(a, b): ties between sets (rep, sketch) that sketches put in one candidate group."""
     spark = reps.sparkSession
@@ -244,8 +324,9 @@ def candidate_edges(reps: DataFrame, recall: float = RECALL) -> DataFrame:
         pivots = landed(
             large.join(reps.select(F.col("rep").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot").dropDuplicates(["path"]), "pivots"
         )
-        parts = landed(rows.join(pivots, "path").join(reps, "rep").mapInArrow(_split(), "kind long, a long, b long"), "split")
+        parts = landed(rows.join(pivots, "path").join(reps, "rep").mapInArrow(_split(), "kind long, a long, b long, c long"), "split")
         edges.append(parts.where("kind = 0").select("a", "b"))
+        edges.append(side_edges(parts.where("kind > 1").select("kind", F.col("a").alias("path"), F.col("b").alias("rep"), "c"), reps))
         rows = parts.where("kind = 1").select(F.col("a").alias("path"), F.col("b").alias("rep"))
     # The buckets of all levels that a task can hold; paths of different levels don't meet.
     members = small.join(reps, "rep").select("path", "rep", "sketch")

@@ -106,3 +106,38 @@ def test_components(spark):
     assert {got[k] for k in (1, 2, 3)} == {1} and {got[k] for k in (7, 8, 9)} == {7} and got[21] == 20
     assert {got[k] for k in range(100, 160)} == {100} and {got[k] for k in range(200, 231)} == {200}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def between_two_groups(seed: int, copies: int):
+    """Sets A and B, alike to each other, in one half each alike to the copies of one group."""
+    r = random.Random(seed)
+    sets = [r.sample(range(10**9), 800)]  # the first group's base
+    a = sets[0][:686] + r.sample(range(10**9), 114)  # 0.75 to the base
+    b = a[:0] + a[89:] + r.sample(range(10**9), 89)  # 0.80 to A
+    second = b[:0] + b[119:] + r.sample(range(10**9), 119)  # 0.74 to B
+    groups = []
+    for base in (sets[0], second):
+        for _ in range(copies):
+            groups.append(base[:-2] + r.sample(range(10**9), 2))
+    return [near_join.splitmix(np.array(x, np.uint64)) for x in [a, b, *groups]]
+
+
+def held_together(spark, seeds, copies):
+    rows = []
+    for k, seed in enumerate(seeds):
+        rows += [(k * 10**6 + i, bytearray(near_join.sketch(x).tobytes())) for i, x in enumerate(between_two_groups(seed, copies))]
+    edges = near_join.candidate_edges(spark.createDataFrame(rows, "rep long, sketch binary"))
+    root = {r.node: r.root for r in connected(edges).collect()}
+    pairs = [(k * 10**6, k * 10**6 + 1) for k in range(len(seeds))]
+    return sum(a in root and root[a] == root.get(b) for a, b in pairs), len(pairs)
+
+
+def test_pairs_between_two_groups(spark):
+    found, pairs = held_together(spark, range(30), 60)
+    assert found == pairs
+
+
+def test_pairs_between_two_groups_in_buckets_that_spark_splits(spark, monkeypatch):
+    monkeypatch.setattr(near_join, "GATHER", 50)
+    found, pairs = held_together(spark, range(12), 60)
+    assert found == pairs
