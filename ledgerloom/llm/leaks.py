@@ -100,9 +100,14 @@ class Matcher:
                 if high - low < size - slack:
                     continue
                 mine = windows.setdefault(k, [])
-                # Hits come in the order of their ends; windows that overlap by a good part are one.
-                if mine and low <= mine[-1][0] + 2 * slack:
-                    mine[-1][1] = max(mine[-1][1], high)
+                # Windows that start near each other are one; a piece's text may also stand elsewhere in its item, so hits of other windows may lie between.
+                for window in reversed(mine):
+                    if abs(low - window[0]) <= 2 * slack:
+                        window[0], window[1] = min(window[0], low), max(window[1], high)
+                        break
+                    if window[1] + size + 2 * slack < low:  # windows before it are farther still, or nearly so: a new one loses nothing
+                        mine.append([low, high])
+                        break
                 else:
                     mine.append([low, high])
         out = []

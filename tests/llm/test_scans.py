@@ -122,3 +122,21 @@ def test_leaks_same_as_brute_force(spark, block_chars):
         for m in row.matches:
             plain = leaks.normal(dict(items)[m["item_id"]])
             assert m["distance"] == distance(plain, text[m["start"] : m["end"]]) or m["distance"] <= leaks.budget(plain)
+
+
+def test_items_with_repeated_pieces():
+    r = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    lost = 0
+    for _ in range(200):
+        item = "".join(r.choice(letters) for _ in range(98))
+        cut = leaks.pieces(item)
+        at, piece = cut[5]
+        item = item[:at] + cut[0][1] + item[at + len(cut[0][1]) :]
+        edited = list(item)
+        for place, _ in cut[:5]:  # one edit in each piece before the repeated text
+            edited[place + 3] = "#"
+        text = "0" * 150 + "".join(edited) + "0" * 150
+        assert distance(item, text) <= leaks.budget(item)
+        lost += not any(m[0] == 1 for m in leaks.Matcher([(1, item)], leaks.ERROR_RATE).matches(text))
+    assert lost == 0
