@@ -306,8 +306,6 @@ def side_edges(sides: DataFrame, reps: DataFrame) -> DataFrame:
 
 def candidate_edges(reps: DataFrame, recall: float = RECALL) -> DataFrame:
     """(a, b): ties between sets (rep, sketch) that sketches put in one candidate group."""
-    spark = reps.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
     rows = landed(reps.mapInArrow(_roots(runs_for(recall)), "path long, rep long"), "paths")
     edges: list[DataFrame] = []
     small: DataFrame | None = None

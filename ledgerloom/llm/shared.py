@@ -10,9 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows in an Arrow batch of whole texts. A batch is held in memory by the JVM and by a Python worker.
-TEXT_BATCH_ROWS = "1000"
+#: Rows of whole texts that a Python worker has in hand at once.
+TEXT_BATCH_ROWS = 1000
 
 _own_folder: dict[str, str] = {}
 
@@ -47,16 +48,23 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_BATCH_ROWS)
-
-
 def over_batches(
-    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str
 ) -> DataFrame:
-    """``mapInArrow`` with batches that hold few enough whole texts."""
-    text_batches(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """``mapInArrow`` in which ``function`` sees few enough whole texts at once.
+
+    Spark bounds the bytes of a batch; here its rows are bounded, too, by what a worker makes of them.
+    """
+
+    def few(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for record in records:
+            if record.num_rows <= TEXT_BATCH_ROWS:
+                yield record
+            else:
+                for at in range(0, record.num_rows, TEXT_BATCH_ROWS):
+                    yield record.slice(at, TEXT_BATCH_ROWS)
+
+    return df.mapInArrow(lambda records: function(few(records)), schema)
 
 
 def batch(**columns: pa.Array | list) -> pa.RecordBatch:

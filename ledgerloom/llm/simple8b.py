@@ -27,16 +27,17 @@ def encode(values: np.ndarray) -> bytes:
     n = len(values)
     padded = np.concatenate([values, np.zeros(120, np.uint64)])
     selector = np.where(padded >= np.uint64(1 << 60), 0, 15).astype(np.uint8)
-    largest, width = padded, 1
+    # Half the width is half the time for what fits in it.
+    largest, width = (padded.astype(np.uint32) if padded.max() < 1 << 32 else padded), 1
     for count, bits, s in _BY_COUNT[1:]:
         step = count - width
         while step > width:  # a window can grow by its own width at once
             largest, width, step = np.maximum(largest[:-width], largest[width:]), 2 * width, step - width
         largest, width = np.maximum(largest[: len(largest) - step], largest[step:]), count
-        fits = largest < np.uint64(1 << bits)
+        fits = largest < largest.dtype.type(1 << bits)
         if not fits.any():
             break
-        selector[: len(fits)][fits] = s
+        np.putmask(selector[: len(fits)], fits, s)
     steps = _COUNTS[selector[:n]].tolist()
     starts, at = [], 0
     while at < n:

@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from . import simple8b
-from .shared import batch, binary_rows, longs, new_path, over_batches, texts_of
+from .shared import batch, binary_rows, landed, longs, new_path, over_batches, texts_of
 from .tokens import encoder
 
 BLOCK_IDS = 1 << 17
+#: Bytes of text that a shard takes, about: what a task sorts and encodes.
+SHARD_BYTES = 64 << 20
 BLOCKS = "shard int, block int, first_id long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
@@ -60,16 +62,17 @@ def write_tokens(
         if parts:
             yield row()
 
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("tie", F.xxhash64("text"))
-    ordered = rows.repartitionByRange(_partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    ordered = rows.repartitionByRange(_shards(rows), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     coded = over_batches(ordered.select("doc_id", "text"), blocks, BLOCKS)
     # The payload hardly compresses: no codec spends time on it.
     coded.write.option("compression", "none").parquet(path)
 
 
-def _partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _shards(rows: DataFrame) -> int:
+    """Shards of about ``SHARD_BYTES`` of text, and enough of them to keep the cluster busy."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, -(-size // SHARD_BYTES), min(-(-size // (1 << 20)), 4 * rows.sparkSession.sparkContext.defaultParallelism))
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -100,12 +103,15 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _placed(spark: SparkSession, path: str) -> DataFrame:
-    """The blocks with ``base``, the ids of all shards before. There is one row for each shard to add up."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    """The blocks with ``base``, the ids of all shards before.
+
+    The sums are one row for each shard, two numbers each, so they go to the blocks: a shard is
+    ``SHARD_BYTES`` of text, and 100 TB of it have some 1.6 million of them. The payloads stay where they are.
+    """
     blocks = spark.read.schema(BLOCKS).parquet(path)
     sums = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
-    before = sums.select("shard", (F.sum("n").over(W.orderBy("shard")) - F.col("n")).alias("base"))
-    return blocks.join(before, "shard").select("base", "first_id", "doc_ids", "lengths", "payload")
+    before = landed(sums.select("shard", (F.sum("n").over(W.orderBy("shard")) - F.col("n")).alias("base")), "shards")
+    return blocks.join(F.broadcast(before), "shard").select("base", "first_id", "doc_ids", "lengths", "payload")
 
 
 def _decoded(records: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray]]:

@@ -22,6 +22,12 @@ GROUP = 64
 #: Characters of new words that go through the tokenizer at once.
 CALL_CHARS = 200_000
 
+#: A word with the blank before it and punctuation behind it: two units of either pattern.
+LATIN_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+#: Byte-level vocabularies write the bytes that aren't printable in Latin-1 as the characters from 256 on, in order.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+BYTE_CHARACTERS = {b: chr(256 + k) for k, b in enumerate(_HIDDEN)}
+
 _loaded: dict[tuple[str, str], TextEncoder] = {}
 
 
@@ -41,6 +47,7 @@ class TextEncoder:
         self.between = "<|endoftext|>"
         self.between_id = self.tokenizer.token_to_id(self.between)
         self.known: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.line_feed = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
@@ -61,10 +68,22 @@ class TextEncoder:
         return text.replace("\n", " \n ").replace(" ", "\0 ").replace("\0 \n\0 ", "\0\n\0").split("\0")
 
     def learn(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of new words: plain ones straight from the model, the others through the whole tokenizer."""
         out: dict[str, bytes] = {}
         held: list[str] = []
         size = 0
+        known, pieces, model = self.known, self.pieces, self.model
         for word in words:
+            if parts := pieces(word):
+                head, tail = parts
+                ids = known.get(head) or out.get(head) or model(head)
+                if tail:
+                    out[head] = ids  # the bare word comes as well, or with other punctuation
+                    if (more := self.tails.get(tail)) is None:
+                        more = self.tails[tail] = model(tail)
+                    ids += more
+                out[word] = ids
+                continue
             held.append(word)
             size += len(word)
             if size >= CALL_CHARS:
@@ -74,6 +93,20 @@ class TextEncoder:
             out.update(self._learn(held))
         return out
 
+    def pieces(self, word: str) -> tuple[str, str] | None:
+        """The two units that the tokenizer's patterns make of a Latin word with punctuation behind it, or None."""
+        return found.groups() if (found := LATIN_WORD(word)) else None
+
+    def model(self, unit: str) -> bytes:
+        """The ids of one unit of the patterns, by the tokenizer's model, which reads characters that stand for bytes."""
+        if self.kind == "word":
+            unit = unit.lower()
+        if not unit.isascii():
+            unit = unit.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        elif unit[0] == " ":
+            unit = BYTE_CHARACTERS[32] + unit[1:]
+        return b"".join([x.id.to_bytes(4, "little") for x in self.tokenizer.model.tokenize(unit)])
+
     def _learn(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         ids = np.array(self.tokenizer.encode_batch_fast([self.between.join(words)], add_special_tokens=False)[0].ids, "<u4")
         cuts = np.nonzero(ids == self.between_id)[0]
