@@ -1,145 +1,252 @@
-"""Operator 4: removal of repeated multi-line chunks.
-
-Chunks are all runs of two lines with words, blank lines between them included; they overlap, so a
-repeated passage of two lines or more is made of repeated chunks from its first line to its last,
-whatever stands around it. A line of ``LONG_WORDS`` words or more is a wrapped paragraph; it is a
-chunk by itself, too. Of a chunk that comes again anywhere in the table, the first occurrence stays
-and all others go, after their bytes have been compared.
+"""Operator 4: removal of repeated multi-line chunks, at content-defined boundaries.
+
+Lines are wrapped at sentence ends, so that a paragraph on one line has lines, too. A rolling hash
+over the hashes of two wrapped lines chooses the boundaries: the lesser of every two hashes in a row
+is one, so that a boundary depends on a few lines around it only, and of any three lines in a row
+that come again, two are a chunk at every place. A chunk goes from its boundary to the next, two
+lines at least. Chunks that come again anywhere in the table are repeated; so are then the pairs of
+lines that overlap them and come again as well, by which a repeated passage grows up to its first
+and last line. Of what is repeated the first occurrence stays and all others go, after the bytes of
+their lines have been compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import batch, landed, longs, over_batches, table, texts_of
+from .shared import batch, binary_rows, landed, longs, over_batches, splitmix, table, texts_of
+
+#: A wrapped line ends at the first sentence end from so many words on, or at so many words.
+LEAST_WORDS, MOST_WORDS = 12, 24
+SENTENCE_END = frozenset(".!?")
+ROLL = np.uint64(0x9E3779B97F4A7C15)
+
+
+def wrapped(line: str) -> list[str]:
+    """``line`` cut at some of its blanks; joined by blanks, the parts are the line again."""
+    words = line.split(" ")
+    if len(words) <= LEAST_WORDS:
+        return [line]
+    ends = [i for i, word in enumerate(words, 1) if word[-1:] in SENTENCE_END]
+    out, at, k = [], 0, 0
+    while len(words) - at > LEAST_WORDS:
+        while k < len(ends) and ends[k] < at + LEAST_WORDS:
+            k += 1
+        to = ends[k] if k < len(ends) and ends[k] <= at + MOST_WORDS else at + MOST_WORDS
+        out.append(" ".join(words[at:to]))
+        at = to
+    if at < len(words):
+        out.append(" ".join(words[at:]))
+    return out
 
-LONG_WORDS = 45
 
+def parts_of(text: str) -> list[list[str]]:
+    """The wrapped parts of each line of a text."""
+    return [wrapped(line) for line in text.split("\n")]
 
-def chunks(text: str, long_words: int = LONG_WORDS) -> list[tuple[int, int]]:
-    """(first line, line after the last) of each chunk, both ascending; lines are parted by line feeds."""
-    lines = text.split("\n")
-    out: list[tuple[int, int]] = []
-    before, first_end = -1, {}
-    for i, line in enumerate(lines):
-        if not line or line.isspace():
-            continue
-        if before >= 0:
-            # In a run of one line again and again, a chunk that overlaps the first like it is no repeat of it.
-            end = first_end.setdefault("\n".join(lines[before : i + 1]), i + 1) if line == lines[before] else i + 1
-            if end == i + 1 or before >= end:
-                out.append((before, i + 1))
-        if len(line) >= 2 * long_words - 1 and len(line.split()) >= long_words:
-            out.append((i, i + 1))
-        before = i
-    return out
+
+def filled(parts: list[list[str]]) -> list[str]:
+    """The parts with words, in order: what chunks are made of."""
+    return [part for line in parts for part in line if part and not part.isspace()]
+
+
+def line_hashes(text: str) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(part) for part in filled(parts_of(text))], np.uint64)
+
+
+def boundaries(hashes: np.ndarray) -> np.ndarray:
+    """For each place but the last: does a chunk begin here? The lesser of two rolling hashes in a row, both if alike."""
+    with np.errstate(over="ignore"):
+        rolling = splitmix(hashes[:-1] * ROLL + hashes[1:])
+    if len(rolling) < 2:
+        return np.ones(len(rolling), bool)
+    less, greater = rolling[:-1] <= rolling[1:], rolling[:-1] >= rolling[1:]
+    return np.concatenate([less, [False]]) | np.concatenate([[False], greater])
+
+
+def _pairs(place: int, tie: int, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """place, tie, both hashes and the number of each different pair of lines that begins in ``at``."""
+    pairs, n = np.unique(np.stack([hashes[at], hashes[at + 1]], 1), axis=0, return_counts=True)
+    return np.full(len(n), place), np.full(len(n), tie), pairs[:, 0].view(np.int64), pairs[:, 1].view(np.int64), n
 
 
-def _digest(lines: list[str], a: int, b: int) -> int:
-    return xxhash.xxh64_intdigest("\n".join(lines[a:b])) - (1 << 63)
+PAIRS = "place long, tie long, h1 long, h2 long, n long"
 
 
-def _occurrences(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pair_batch(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [[]] * 5
+    return batch(**{name: longs(x) for name, x in zip(("place", "tie", "h1", "h2", "n"), columns, strict=True)})
+
+
+def _rows(record: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
+    for place, tie, lines in zip(*(record.column(c).to_pylist() for c in ("place", "tie", "lines")), strict=True):
+        yield place, tie, np.frombuffer(lines, "<u8")
+
+
+def _hits(record: pa.RecordBatch) -> Iterator[dict[tuple[int, int], int]]:
+    """For each row: the first place of each of its repeated pairs."""
+    for hits in record.column("hits"):
+        x = hits.values
+        yield dict(zip(zip(*(x.field(c).to_numpy().view(np.uint64).tolist() for c in ("h1", "h2")), strict=True), x.field("first").to_pylist(), strict=True))
+
+
+def _chunks(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for record in records:
-        ids, found, counts = [], [], []
-        for doc_id, text in zip(record.column("doc_id").to_pylist(), texts_of(record), strict=True):
-            lines, here = text.split("\n"), {}
-            for a, b in chunks(text):
-                digest = _digest(lines, a, b)
-                here[digest] = here.get(digest, 0) + 1
-            ids += [doc_id] * len(here)
-            found += here
-            counts += here.values()
-        yield batch(doc_id=longs(ids), digest=longs(found), n=longs(counts))
-
-
-def _texts_of_chunks(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of those chunks of each row whose digests are in ``repeated``."""
+        yield _pair_batch([_pairs(place, tie, h, np.nonzero(boundaries(h))[0]) for place, tie, h in _rows(record)])
+
+
+def _overlapping(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The repeated chunks again, and the pairs of lines that share a line with one."""
     for record in records:
-        ids, found, parts = [], [], []
-        for doc_id, text, repeated in zip(record.column("doc_id").to_pylist(), texts_of(record), record.column("_repeated").to_pylist(), strict=True):
-            wanted = {r["digest"] for r in repeated or ()}
-            if wanted:
-                lines, seen = text.split("\n"), set()
-                for a, b in chunks(text):
-                    part = "\n".join(lines[a:b])
-                    if (digest := _digest(lines, a, b)) in wanted and part not in seen:
-                        seen.add(part)
-                        ids.append(doc_id)
-                        found.append(digest)
-                        parts.append(part)
-        yield batch(doc_id=longs(ids), digest=longs(found), chunk=pa.array(parts, pa.string()))
+        found = []
+        for (place, tie, h), hits in zip(_rows(record), _hits(record), strict=True):
+            values = h.tolist()
+            known = np.fromiter((pair in hits for pair in zip(values[:-1], values[1:], strict=True)), bool, len(h) - 1)
+            within = np.concatenate([known, [False]]) | np.concatenate([[False], known])
+            found.append(_pairs(place, tie, h, np.nonzero(within[:-1] | within[1:])[0]))
+        yield _pair_batch(found)
+
+
+def repeated_lines(hashes: list[int], first_of: dict[tuple[int, int], int], place: int) -> tuple[list[int], list[int]]:
+    """Which lines go, and which take part in a repeated pair at all.
+
+    In the place that comes first a pair stays where it stands first; a pair that overlaps the one
+    like it, as in a run of one line again and again, is no repeat of it.
+    """
+    gone, told, seen = set(), set(), {}
+    for i, pair in enumerate(zip(hashes[:-1], hashes[1:], strict=True)):
+        if (first := first_of.get(pair)) is None:
+            continue
+        told |= {i, i + 1}
+        if first != place or i >= seen.setdefault(pair, i) + 2:
+            gone |= {i, i + 1}
+    return sorted(gone), sorted(told)
+
+
+def _decisions(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.int32())
+    for record in records:
+        found = [(place, tie, *repeated_lines(h.tolist(), hits, place)) for (place, tie, h), hits in zip(_rows(record), _hits(record), strict=True)]
+        places, ties, gone, told = zip(*found, strict=True) if found else ([], [], [], [])
+        yield batch(place=longs(places), tie=longs(ties), gone=pa.array(gone, kind), told=pa.array(told, kind))
+
+
+def _told(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash and bytes of the lines that take part."""
+    for record in records:
+        lines = {part for text, told in zip(texts_of(record), record.column("told").to_pylist(), strict=True) for parts in [filled(parts_of(text))] for part in (parts[i] for i in told)}
+        yield batch(hash=longs(np.array([xxhash.xxh64_intdigest(x) for x in lines], np.uint64).view(np.int64)), line=pa.array(list(lines), pa.string()))
+
+
+def without(text: str, gone: list[int]) -> tuple[str, int]:
+    """``text`` less those of its parts, and how many lines have lost something; blank lines between parts that go, go too."""
+    out: list[str] = []
+    dropped, lost, at, after, blank = set(gone), 0, 0, False, []
+    for line, parts in zip(text.split("\n"), parts_of(text), strict=True):
+        kept: list[str] = []
+        begins = ends = None  # do the first and the last part with words go?
+        for part in parts:
+            if part and not part.isspace():
+                ends = at in dropped
+                begins = ends if begins is None else begins
+                at += 1
+                if ends:
+                    continue
+            kept.append(part)
+        if begins is None:
+            blank.append(line)
+            continue
+        if after and begins:
+            lost += len(blank)
+        else:
+            out += blank
+        blank, after = [], ends
+        if len(kept) == len(parts):
+            out.append(line)
+        else:
+            lost += 1
+            if any(part and not part.isspace() for part in kept):
+                out.append(" ".join(kept))
+    return "\n".join(out + blank), lost
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) with text less its repeated chunks, and n_removed_lines.
 
     The first occurrence is the one with the least doc_id, and in it the first place; rows that
-    share a doc_id count as one document and are treated alike. Rows with a null doc_id come after
-    all others and among them all keep what is first in their own text. Null texts stay null, texts
-    without repeats stay as they are, and a text may end empty. n_chars, if there is such a column,
-    is set anew where text has changed.
+    share a doc_id count as one document. Rows with a null doc_id come after all others, each a
+    document of its own, in the order of a hash of the text. Rows alike in both are treated alike.
+    Null texts stay null, texts without repeats stay as they are, and a text may end empty. Very
+    long texts are read whole, line by line. n_chars, if there is such a column, is set anew where
+    text has changed. Other columns stay, whatever their names; an empty table gives an empty one.
     """
-    docs = docs.drop("n_removed_lines", "_repeated", "_k")
+    docs = docs.drop("n_removed_lines")
     columns = docs.columns
-    rows = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    key = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    found = landed(over_batches(rows.select(key.alias("doc_id"), "text"), _occurrences, "doc_id long, digest long, n long"), "chunks")
-    repeated = landed(
-        found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.sum("n").alias("n")).where("n > 1").select("digest", "first"), "repeated"
-    )
-    hits = landed(found.join(repeated, "digest").select("doc_id", "digest", "first"), "hits")
-
-    def joined(hits: DataFrame) -> DataFrame:
-        by_doc = hits.groupBy(F.col("doc_id").alias("_k")).agg(F.collect_set(F.struct("digest", "first")).alias("_repeated"))
-        return rows.join(by_doc, key == F.col("_k"), "left").drop("_k")
-
-    # The bytes of all occurrences meet by digest and text: one group for each digest, unless two
-    # different chunks share one. Those but the group of the first occurrence are no repeats of it.
-    bytes_of = over_batches(
-        joined(hits).where("_repeated IS NOT NULL").select(key.alias("doc_id"), "text", "_repeated"), _texts_of_chunks, "doc_id long, digest long, chunk string"
-    )
-    compared = landed(bytes_of.select("digest", "chunk").distinct().select("digest"), "compared")
-    clashing = compared.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    # 64-bit digests of different chunks hardly ever clash; if they do, the digest is left alone.
-    certain = landed(hits.join(clashing, "digest", "left_anti"), "certain")
-
-    schema = T.StructType([*rows.schema.fields, T.StructField("n_removed_lines", T.LongType())])
-    names = rows.columns
+    tie = F.xxhash64("text")
+    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.shiftrightunsigned(tie, 2))
+    rows = docs.select(*columns, place.alias("_place"), tie.alias("_tie"))
+    texts = rows.select(F.col("_place").alias("place"), F.col("_tie").alias("tie"), "text").where(F.length("text") > 0)
+
+    def hashed(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for record in records:
+            lines = [line_hashes(x) for x in texts_of(record)]
+            yield batch(place=record.column("place"), tie=record.column("tie"), lines=binary_rows([x.astype("<u8").tobytes() for x in lines]))
+
+    hashes = landed(over_batches(texts, hashed, "place long, tie long, lines binary").where(F.length("lines") >= 16), "lines")
+
+    def hits_of(found: DataFrame) -> DataFrame:
+        """(place, tie, h1, h2, first) of those pairs that are found more than once."""
+        repeated = landed(found.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.sum("n").alias("n")).where("n > 1").select("h1", "h2", "first"), "repeated")
+        return landed(found.join(repeated, ["h1", "h2"]).select("place", "tie", "h1", "h2", "first"), "hits")
+
+    def with_hits(hits: DataFrame) -> DataFrame:
+        by_row = hits.groupBy("place", "tie").agg(F.collect_set(F.struct("h1", "h2", "first")).alias("hits"))
+        return hashes.dropDuplicates(["place", "tie"]).join(by_row, ["place", "tie"])
+
+    hits = hits_of(hashes.mapInArrow(_chunks, PAIRS))
+    hits = hits_of(landed(with_hits(hits).mapInArrow(_overlapping, PAIRS), "overlapping"))
+
+    def decided(hits: DataFrame) -> DataFrame:
+        found = landed(with_hits(hits).mapInArrow(_decisions, "place long, tie long, gone array<int>, told array<int>"), "decided")
+        return found.select(F.col("place").alias("_p"), F.col("tie").alias("_t"), F.col("gone").alias("_gone"), "told")
+
+    def joined(decisions: DataFrame, how: str) -> DataFrame:
+        return rows.join(decisions, (F.col("_place") == F.col("_p")) & (F.col("_tie") == F.col("_t")), how)
+
+    decisions = decided(hits)
+    # The bytes of all lines that take part meet by hash: different lines under one hash are left alone.
+    compared = over_batches(joined(decisions, "inner").select("text", "told"), _told, "hash long, line string").distinct()
+    clashing = landed(compared.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "clashing")
+    if not clashing.isEmpty():
+        for side in ("h1", "h2"):
+            hits = hits.join(clashing, F.col(side) == F.col("hash"), "left_anti")
+        decisions = decided(hits)
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("n_removed_lines", T.LongType())])
 
     def cleaned(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in records:
-            texts, removed = record.column("text").to_pylist(), []
-            sizes = record.column("n_chars").to_pylist() if "n_chars" in names else None
-            ids = record.column("doc_id").to_pylist()
-            for i, repeated in enumerate(record.column("_repeated").to_pylist()):
-                gone = 0
-                if repeated and texts[i]:
-                    first_of = {r["digest"]: r["first"] for r in repeated}
-                    doc_id = (1 << 63) - 1 if ids[i] is None else ids[i]
-                    lines, seen, kept, at = texts[i].split("\n"), set(), [], 0
-                    for a, b in chunks(texts[i]):
-                        digest = _digest(lines, a, b)
-                        if digest in first_of and (digest in seen or first_of[digest] != doc_id):
-                            kept += lines[at:a]
-                            at, gone = b, gone + b - max(a, at)
-                        seen.add(digest)
-                    if gone:
-                        texts[i] = "\n".join(kept + lines[at:])
-                        if sizes is not None:
-                            sizes[i] = len(texts[i])
-                removed.append(gone)
-            new = {"text": texts} | ({"n_chars": sizes} if sizes is not None else {})
-            arrays = [pa.array(new[x], record.schema.field(x).type) if x in new else record.column(x) for x in names]
-            yield pa.RecordBatch.from_arrays([*arrays, longs(removed)], names=[*names, "n_removed_lines"])
-
-    return over_batches(joined(certain), cleaned, schema).select(*columns, "n_removed_lines")
+            texts, lost = record.column(text_at).to_pylist(), [0] * record.num_rows
+            sizes = record.column(chars_at).to_pylist() if chars_at is not None else []
+            for i, gone in enumerate(record.column("_gone").to_pylist()):
+                if gone:
+                    texts[i], lost[i] = without(texts[i], gone)
+                    if sizes:
+                        sizes[i] = len(texts[i])
+            new = {text_at: texts} | ({chars_at: sizes} if chars_at is not None else {})
+            arrays = [pa.array(new[k], record.schema.field(k).type) if k in new else record.column(k) for k in range(len(columns))]
+            yield pa.RecordBatch.from_arrays([*arrays, longs(lost)], names=[*columns, "n_removed_lines"])
+
+    text_at, chars_at = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
+    changed = decisions.where(F.size("_gone") > 0).drop("told").dropDuplicates(["_p", "_t"])
+    return over_batches(joined(changed, "left").select(*columns, "_gone"), cleaned, schema)
 
 
 def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,8 +22,8 @@ from .shared import batch, binary_rows, landed, longs, new_path, over_batches, t
 from .tokens import encoder
 
 BLOCK_IDS = 1 << 17
-#: Bytes of text that a shard takes, about: what a task sorts and encodes.
-SHARD_BYTES = 64 << 20
+#: Bytes of text that a shard takes, about: what a task sorts and encodes; and the least number of shards.
+SHARD_BYTES, LEAST_SHARDS = 32 << 20, 8
 BLOCKS = "shard int, block int, first_id long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
@@ -70,9 +70,8 @@ def write_tokens(
 
 
 def _shards(rows: DataFrame) -> int:
-    """Shards of about ``SHARD_BYTES`` of text, and enough of them to keep the cluster busy."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(1, -(-size // SHARD_BYTES), min(-(-size // (1 << 20)), 4 * rows.sparkSession.sparkContext.defaultParallelism))
+    return max(LEAST_SHARDS, -(-size // SHARD_BYTES))
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
