@@ -1,3 +1,5 @@
+import itertools
+import math
 import os
 import random
 import re
@@ -55,6 +57,87 @@ def test_outliers_go_and_clean_rows_stay(spark):
     assert all(got[i].base_failed and not got[i].kept for i in (3002, 3003, 3004))
 
 
+def brute_verdicts(rows):
+    """Every subset of each small group is tried: doc_id -> squared distance, None where the base rules fail."""
+    p, prior = 6, 150
+    lower = lambda x: sorted(x)[(len(x) - 1) // 2]
+    sound, out = {}, {}
+    for doc_id, lang, source, text in rows:
+        words = (text or "").split()
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        times = Counter(windows)
+        covered = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(3)}
+        if len(words) < 50 or 100 * len(covered) > 50 * len(words):
+            out[doc_id] = None
+            continue
+        counts = [
+            sum(map(len, words)), len(words) - len(set(words)), sum(not c.isalnum() and 32 < ord(c) < 127 for c in text),
+            sum("A" <= c <= "Z" for c in text), sum(bool(x.strip()) for x in text.split("\n")),
+        ]
+        sound.setdefault((lang, source), []).append((doc_id, len(words), counts))
+    features = {}
+    for group in sound.values():
+        size = lower([math.log(n) for _, n, _ in group])
+        rates = [max(1e-4, lower([c[k] / n for _, n, c in group])) for k in range(5)]
+        for doc_id, n, c in group:
+            features[doc_id] = [math.log(n) - size, *(math.log((c[k] + r * prior) / (r * (n + prior))) for k, r in enumerate(rates))]
+    unit = []
+    for k in range(p):
+        apart = [abs(f[k]) for f in features.values()]
+        unit.append(1.4826 * lower(apart) or np.mean(apart) or 1.0)
+    chi = lambda x, k: 1 - math.exp(-x / 2) * sum((x / 2) ** i / math.factorial(i) for i in range(k // 2))
+
+    def quantile(q):
+        low, high = 0.0, 1000.0
+        for _ in range(100):
+            low, high = ((low + high) / 2, high) if chi((low + high) / 2, p) < q else (low, (low + high) / 2)
+        return low
+
+    def scatter(x, share):
+        own = len(x) / (len(x) + p + 1)
+        return (1 - own) * np.eye(p) + own * share / chi(quantile(share), p + 2) * np.cov(x.T, bias=True)
+
+    def distances(x, near, share):
+        apart = x - near.mean(0)
+        return np.einsum("ij,jk,ik->i", apart, np.linalg.inv(scatter(near, share)), apart)
+
+    for group in sound.values():
+        x = np.array([features[d] for d, _, _ in group]) / unit
+        n = len(x)
+        h = max(math.ceil(0.75 * n), min(n, (n + p + 1) // 2))
+        best = min((x[list(c)] for c in itertools.combinations(range(n), h)), key=lambda s: np.linalg.slogdet(scatter(s, h / n))[1])
+        near = x[distances(x, best, h / n) <= quantile(0.975)]
+        for (doc_id, _, _), d in zip(group, distances(x, near, 0.975), strict=True):
+            out[doc_id] = d
+    return out
+
+
+def test_outliers_of_small_groups_same_as_brute_force(spark):
+    r = random.Random(7)
+    rows = []
+    for k, n in enumerate([1, 2, 3, 5, 8, 9, 10, 11, 12, 13]):
+        for _ in range(n):
+            words = prose(r, r.randint(60, 500)).split()
+            for i in range(len(words)):
+                words[i] = (words[i].capitalize() if r.random() < 0.1 + 0.02 * k else words[i]) + ("," if r.random() < 0.1 else "") + ("\n" if r.random() < 0.05 else "")
+            rows.append((len(rows), "en", f"s{k}", " ".join(words)))
+        if n >= 8:
+            rows.append((len(rows), "en", f"s{k}", " ".join(w.upper() + "!!" for w in prose(r, 200).split())))
+    rows.append((len(rows), None, "s1", "too short"))
+    got = {x.doc_id: x for x in outliers.judged(spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").repartition(3)).collect()}
+    want = brute_verdicts(rows)
+    cut = outliers.chi2_quantile(1 - outliers.TAIL, 6)
+    assert {d: x.kept for d, x in got.items()} == {d: v is not None and v <= cut for d, v in want.items()}
+    assert sum(not x.kept and not x.base_failed for x in got.values()) == 6
+    close = [math.isclose(x.distance, want[d], rel_tol=0.05) for d, x in got.items() if want[d]]
+    assert np.mean(close) > 0.9
+
+
+def test_one_row_again_and_again_and_statistics_that_never_change(spark):
+    docs = spark.createDataFrame([(1, "en", "s", " ".join(f"w{i}" for i in range(80)))] * 700 + [(None, "en", "s", " ".join(f"v{i}" for i in range(80)))] * 3, "doc_id long, lang string, source string, text string")
+    assert all(x.kept for x in outliers.judged(docs).collect())
+
+
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
 def test_language_held_out(spark):
     got = language.op6_language_id(spark, "/root/testdata/sf0.01")
