@@ -47,47 +47,80 @@ def wrapped(line: str) -> list[str]:
     return out
 
 
-def parts_of(text: str) -> list[list[str]]:
-    """The wrapped parts of each line of a text."""
-    return [wrapped(line) for line in text.split("\n")]
-
-
-def filled(parts: list[list[str]]) -> list[str]:
-    """The parts with words, in order: what chunks are made of."""
-    return [part for line in parts for part in line if part and not part.isspace()]
+def blank(part: str | bytes) -> bool:
+    return not (part.strip(" \t\r\v\f") if isinstance(part, str) else part.strip())
+
+
+def spans(raw: bytes) -> list[tuple[int, int]]:
+    """(start, end) of each wrapped line with words in the bytes of a text, as ``wrapped`` cuts them: what chunks are made of."""
+    codes = np.frombuffer(raw + b"\n", np.uint8)
+    stops = np.nonzero((codes == 32) | (codes == 10))[0]  # each ends a word, an empty one maybe
+    feeds = np.nonzero(codes[stops] == 10)[0].tolist()
+    before = codes[np.maximum(stops - 1, 0)]
+    ends = np.nonzero((stops > 0) & ((before == 46) | (before == 33) | (before == 63)))[0].tolist()
+    ends.append(len(stops) + MOST_WORDS)
+    stops = stops.tolist()
+    out, at, start, k = [], 0, 0, 0
+    for feed in feeds:  # numbers of words: ``at`` is the first of a part, ``feed`` the last of its line
+        while at <= feed:
+            to = feed
+            if feed - at >= LEAST_WORDS:
+                while ends[k] < at + LEAST_WORDS - 1:
+                    k += 1
+                to = min(feed, ends[k] if ends[k] < at + MOST_WORDS else at + MOST_WORDS - 1)
+            end = stops[to]
+            if start < end and not blank(raw[start:end]):
+                out.append((start, end))
+            at, start = to + 1, end + 1
+    return out
 
 
 def line_hashes(text: str) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(part) for part in filled(parts_of(text))], np.uint64)
+    raw, digest = text.encode(), xxhash.xxh64_intdigest
+    return np.array([digest(raw[a:b]) for a, b in spans(raw)], np.uint64)
 
 
-def boundaries(hashes: np.ndarray) -> np.ndarray:
-    """For each place but the last: does a chunk begin here? The lesser of two rolling hashes in a row, both if alike."""
+def rolled(hashes: np.ndarray) -> np.ndarray:
+    """The rolling hash of each two lines in a row."""
     with np.errstate(over="ignore"):
-        rolling = splitmix(hashes[:-1] * ROLL + hashes[1:])
-    if len(rolling) < 2:
-        return np.ones(len(rolling), bool)
-    less, greater = rolling[:-1] <= rolling[1:], rolling[:-1] >= rolling[1:]
-    return np.concatenate([less, [False]]) | np.concatenate([[False], greater])
+        return splitmix(hashes[:-1] * ROLL + hashes[1:])
 
 
-def _pairs(place: int, tie: int, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """place, tie, both hashes and the number of each different pair of lines that begins in ``at``."""
-    pairs, n = np.unique(np.stack([hashes[at], hashes[at + 1]], 1), axis=0, return_counts=True)
-    return np.full(len(n), place), np.full(len(n), tie), pairs[:, 0].view(np.int64), pairs[:, 1].view(np.int64), n
+def boundaries(hashes: np.ndarray, within: np.ndarray | None = None) -> np.ndarray:
+    """For each place but the last: does a chunk begin here? The lesser of two rolling hashes in a row, both if alike.
 
+    ``within``: are the line and the next of one text? Texts in a row don't know of each other.
+    """
+    rolling = rolled(hashes)
+    within = np.ones(len(rolling), bool) if within is None else within
+    both = within[:-1] & within[1:]
+    less = np.concatenate([both & (rolling[:-1] <= rolling[1:]), [False]])
+    greater = np.concatenate([[False], both & (rolling[:-1] >= rolling[1:])])
+    alone = ~(np.concatenate([both, [False]]) | np.concatenate([[False], both]))
+    return within & (less | greater | alone)[: len(rolling)]
 
-PAIRS = "place long, tie long, h1 long, h2 long, n long"
 
+PAIRS = "place long, tie long, h1 long, h2 long"
 
-def _pair_batch(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [[]] * 5
-    return batch(**{name: longs(x) for name, x in zip(("place", "tie", "h1", "h2", "n"), columns, strict=True)})
 
+def _lines(record: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all rows' lines, and the row of each."""
+    parts = record.column("lines").to_pylist()
+    return np.frombuffer(b"".join(parts), "<u8"), np.repeat(np.arange(len(parts)), [len(x) // 8 for x in parts])
 
-def _rows(record: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
-    for place, tie, lines in zip(*(record.column(c).to_pylist() for c in ("place", "tie", "lines")), strict=True):
-        yield place, tie, np.frombuffer(lines, "<u8")
+
+def _pairs(record: pa.RecordBatch, hashes: np.ndarray, row: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """The pairs of lines that begin in ``at``."""
+    return batch(
+        place=longs(record.column("place").to_numpy()[row[at]]), tie=longs(record.column("tie").to_numpy()[row[at]]),
+        h1=longs(hashes[at].view(np.int64)), h2=longs(hashes[at + 1].view(np.int64)),
+    )
+
+
+def _chunks(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for record in records:
+        hashes, row = _lines(record)
+        yield _pairs(record, hashes, row, np.nonzero(boundaries(hashes, row[:-1] == row[1:]))[0])
 
 
 def _hits(record: pa.RecordBatch) -> Iterator[dict[tuple[int, int], int]]:
@@ -97,21 +130,15 @@ def _hits(record: pa.RecordBatch) -> Iterator[dict[tuple[int, int], int]]:
         yield dict(zip(zip(*(x.field(c).to_numpy().view(np.uint64).tolist() for c in ("h1", "h2")), strict=True), x.field("first").to_pylist(), strict=True))
 
 
-def _chunks(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for record in records:
-        yield _pair_batch([_pairs(place, tie, h, np.nonzero(boundaries(h))[0]) for place, tie, h in _rows(record)])
-
-
 def _overlapping(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The repeated chunks again, and the pairs of lines that share a line with one."""
     for record in records:
-        found = []
-        for (place, tie, h), hits in zip(_rows(record), _hits(record), strict=True):
-            values = h.tolist()
-            known = np.fromiter((pair in hits for pair in zip(values[:-1], values[1:], strict=True)), bool, len(h) - 1)
-            within = np.concatenate([known, [False]]) | np.concatenate([[False], known])
-            found.append(_pairs(place, tie, h, np.nonzero(within[:-1] | within[1:])[0]))
-        yield _pair_batch(found)
+        hashes, row = _lines(record)
+        values, cuts, found = hashes.tolist(), np.searchsorted(row, np.arange(record.num_rows + 1)).tolist(), []
+        for a, b, hits in zip(cuts[:-1], cuts[1:], _hits(record), strict=True):
+            known = [i for i in range(a, b - 1) if (values[i], values[i + 1]) in hits]
+            found += sorted({j for i in known for j in (i - 1, i, i + 1) if a <= j < b - 1})
+        yield _pairs(record, hashes, row, np.array(found, np.int64))
 
 
 def repeated_lines(hashes: list[int], first_of: dict[tuple[int, int], int], place: int) -> tuple[list[int], list[int]]:
@@ -133,27 +160,32 @@ def repeated_lines(hashes: list[int], first_of: dict[tuple[int, int], int], plac
 def _decisions(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.int32())
     for record in records:
-        found = [(place, tie, *repeated_lines(h.tolist(), hits, place)) for (place, tie, h), hits in zip(_rows(record), _hits(record), strict=True)]
-        places, ties, gone, told = zip(*found, strict=True) if found else ([], [], [], [])
-        yield batch(place=longs(places), tie=longs(ties), gone=pa.array(gone, kind), told=pa.array(told, kind))
+        lines, places = (record.column(c).to_pylist() for c in ("lines", "place"))
+        found = [repeated_lines(np.frombuffer(h, "<u8").tolist(), hits, place) for h, place, hits in zip(lines, places, _hits(record), strict=True)]
+        yield batch(place=longs(places), tie=record.column("tie"), gone=pa.array([x for x, _ in found], kind), told=pa.array([x for _, x in found], kind))
 
 
 def _told(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hash and bytes of the lines that take part."""
     for record in records:
-        lines = {part for text, told in zip(texts_of(record), record.column("told").to_pylist(), strict=True) for parts in [filled(parts_of(text))] for part in (parts[i] for i in told)}
-        yield batch(hash=longs(np.array([xxhash.xxh64_intdigest(x) for x in lines], np.uint64).view(np.int64)), line=pa.array(list(lines), pa.string()))
+        lines: set[bytes] = set()
+        for text, told in zip(texts_of(record), record.column("told").to_pylist(), strict=True):
+            raw = text.encode()
+            parts = spans(raw)
+            lines.update(raw[a:b] for a, b in map(parts.__getitem__, told))
+        yield batch(hash=longs(np.array([xxhash.xxh64_intdigest(x) for x in lines], np.uint64).view(np.int64)), line=binary_rows(list(lines)))
 
 
 def without(text: str, gone: list[int]) -> tuple[str, int]:
     """``text`` less those of its parts, and how many lines have lost something; blank lines between parts that go, go too."""
     out: list[str] = []
-    dropped, lost, at, after, blank = set(gone), 0, 0, False, []
-    for line, parts in zip(text.split("\n"), parts_of(text), strict=True):
+    dropped, lost, at, after, empty = set(gone), 0, 0, False, []
+    for line in text.split("\n"):
+        parts = wrapped(line)
         kept: list[str] = []
         begins = ends = None  # do the first and the last part with words go?
         for part in parts:
-            if part and not part.isspace():
+            if not blank(part):
                 ends = at in dropped
                 begins = ends if begins is None else begins
                 at += 1
@@ -161,20 +193,20 @@ def without(text: str, gone: list[int]) -> tuple[str, int]:
                     continue
             kept.append(part)
         if begins is None:
-            blank.append(line)
+            empty.append(line)
             continue
         if after and begins:
-            lost += len(blank)
+            lost += len(empty)
         else:
-            out += blank
-        blank, after = [], ends
+            out += empty
+        empty, after = [], ends
         if len(kept) == len(parts):
             out.append(line)
         else:
             lost += 1
-            if any(part and not part.isspace() for part in kept):
+            if not all(map(blank, kept)):
                 out.append(" ".join(kept))
-    return "\n".join(out + blank), lost
+    return "\n".join(out + empty), lost
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -203,18 +235,18 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     def hits_of(found: DataFrame) -> DataFrame:
         """(place, tie, h1, h2, first) of those pairs that are found more than once."""
-        repeated = landed(found.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.sum("n").alias("n")).where("n > 1").select("h1", "h2", "first"), "repeated")
+        repeated = landed(found.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first"), "repeated")
         return landed(found.join(repeated, ["h1", "h2"]).select("place", "tie", "h1", "h2", "first"), "hits")
 
     def with_hits(hits: DataFrame) -> DataFrame:
         by_row = hits.groupBy("place", "tie").agg(F.collect_set(F.struct("h1", "h2", "first")).alias("hits"))
-        return hashes.dropDuplicates(["place", "tie"]).join(by_row, ["place", "tie"])
+        return hashes.join(by_row, ["place", "tie"])
 
     hits = hits_of(hashes.mapInArrow(_chunks, PAIRS))
     hits = hits_of(landed(with_hits(hits).mapInArrow(_overlapping, PAIRS), "overlapping"))
 
     def decided(hits: DataFrame) -> DataFrame:
-        found = landed(with_hits(hits).mapInArrow(_decisions, "place long, tie long, gone array<int>, told array<int>"), "decided")
+        found = landed(with_hits(hits).mapInArrow(_decisions, "place long, tie long, gone array<int>, told array<int>").dropDuplicates(["place", "tie"]), "decided")
         return found.select(F.col("place").alias("_p"), F.col("tie").alias("_t"), F.col("gone").alias("_gone"), "told")
 
     def joined(decisions: DataFrame, how: str) -> DataFrame:
@@ -222,7 +254,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     decisions = decided(hits)
     # The bytes of all lines that take part meet by hash: different lines under one hash are left alone.
-    compared = over_batches(joined(decisions, "inner").select("text", "told"), _told, "hash long, line string").distinct()
+    compared = over_batches(joined(decisions, "inner").select("text", "told"), _told, "hash long, line binary").distinct()
     clashing = landed(compared.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "clashing")
     if not clashing.isEmpty():
         for side in ("h1", "h2"):
@@ -245,7 +277,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*arrays, longs(lost)], names=[*columns, "n_removed_lines"])
 
     text_at, chars_at = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
-    changed = decisions.where(F.size("_gone") > 0).drop("told").dropDuplicates(["_p", "_t"])
+    changed = decisions.where(F.size("_gone") > 0).drop("told")
     return over_batches(joined(changed, "left").select(*columns, "_gone"), cleaned, schema)
 
 

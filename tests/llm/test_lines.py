@@ -159,6 +159,9 @@ def test_wrapping_is_a_cut_of_the_line():
         line = " ".join(r.choice(["a", "b.", "", "c?", "d"]) for _ in range(r.randint(0, 90)))
         assert " ".join(line_chunks.wrapped(line)) == line
         assert [x for x in line_chunks.wrapped(line) if x.strip()] == lines_of(line)
+        raw = (line + "\n\né " + line + " \n x").encode()
+        assert [raw[a:b].decode() for a, b in line_chunks.spans(raw)] == lines_of(raw.decode())
+    assert line_chunks.spans(b"") == [] == line_chunks.spans(b"\n \n\t\n")
 
 
 def test_single_short_lines_stay(spark):
@@ -183,7 +186,7 @@ def test_runs_of_one_line_keep_their_first_chunk(spark):
 
 def test_lines_under_one_hash_are_left_alone(spark, monkeypatch):
     real = line_chunks.xxhash.xxh64_intdigest
-    monkeypatch.setattr(line_chunks.xxhash, "xxh64_intdigest", lambda x: real("clash" if x.startswith("clash") else x))
+    monkeypatch.setattr(line_chunks.xxhash, "xxh64_intdigest", lambda x: real(b"clash" if x.startswith(b"clash") else x))
     rows = [(1, "clash a\nb c\nd e"), (2, "clash b\nb c\nd e")]
     assert line_chunks.line_hashes("clash a").tolist() == line_chunks.line_hashes("clash b").tolist()
     lines = [line_chunks.line_hashes(t).tolist() for _, t in rows]
