@@ -5,8 +5,8 @@ coordinates by a hash of its path, and sets that agree on a sampled coordinate g
 pair of similarity s shares the fraction s of its coordinates, so at 1 / threshold samples a node a
 pair at the threshold is expected to stay together in one child of every node. Small buckets are
 compared by brute force; sets of a large one that are alike anyway are tied to a pivot and compared
-with the others, which are split on. Runs repeat until the target recall. What holds together by sketches forms candidate
-groups, and within a group all pairs are compared exactly, tile by tile.
+with the others, which are split on. Runs repeat until the target recall. What holds together by
+sketches forms candidate groups, and within a group all pairs are compared exactly, tile by tile.
 """
 
 from __future__ import annotations
@@ -25,13 +25,16 @@ from .shared import Forest, batch, binary_rows, connected, landed, longs, over_b
 N_WORDS, SIMILARITY, RECALL = 5, 0.8, 0.99
 COORDINATES = 64
 #: Buckets of up to so many sets are compared by brute force; those of up to so many are split on
-#: within a task, in about a megabyte of memory, larger ones by Spark; a tile of the exact comparison
-#: holds two blocks of up to so many sets.
-LEAF, GATHER, TILE = 40, 2000, 256
-#: Sketches this much alike tie two sets into a candidate group: three standard errors below the threshold.
-ALIKE = SIMILARITY - 3 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / COORDINATES)
-#: So many coordinates that such sketches share.
-LEAST_EQUAL = math.ceil(ALIKE * COORDINATES)
+#: within a task, in a few hundred kilobytes of memory, larger ones by Spark.
+LEAF, GATHER = 40, 500
+#: A tile of the exact comparison holds two blocks of up to about so many sets and n-grams each.
+TILE_SETS, TILE_GRAMS = 1024, 1 << 20
+
+
+def least_equal(similarity: float) -> int:
+    """Coordinates that sketches share at least to tie two sets: three standard errors below ``similarity``."""
+    return math.ceil((similarity - 3 * math.sqrt(similarity * (1 - similarity) / COORDINATES)) * COORDINATES)
+
 
 _FACTORS = splitmix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(77)) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -84,18 +87,18 @@ def sketch(grams: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, key (a 128-bit digest of the set, null if it has no word) and sketch of each text."""
+    """doc_id, tie (a hash of the text), key (a 128-bit digest of the set, null if it has no word), n_grams and sketch of each text."""
 
     def rows(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in records:
-            keys, found = [], []
-            for text in texts_of(record):
-                grams = shingles(text)
-                keys.append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
-                found.append(sketch(grams).tobytes() if len(grams) else None)
-            yield batch(doc_id=record.column("doc_id"), key=binary_rows(keys), sketch=binary_rows(found))
+            sets = [shingles(text) for text in texts_of(record)]
+            yield batch(
+                doc_id=record.column("doc_id"), tie=record.column("tie"), key=binary_rows([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]),
+                n_grams=longs([len(x) for x in sets]), sketch=binary_rows([sketch(x).tobytes() if len(x) else None for x in sets]),
+            )
 
-    return over_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rows, "doc_id long, key binary, sketch binary")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
+    return over_batches(texts, rows, "doc_id long, tie long, key binary, n_grams long, sketch binary")
 
 
 def runs_for(recall: float, depth: int = 3) -> int:
@@ -110,41 +113,41 @@ def _coordinates(column: pa.Array, n: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(n, COORDINATES)
 
 
-def _children(paths: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, child path) for each coordinate that a row's node samples: 1 / SIMILARITY on average, one at least."""
+def _children(paths: np.ndarray, values: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, child path) for each coordinate that a row's node samples: 1 / ``similarity`` on average, one at least."""
     with np.errstate(over="ignore"):
         draw = splitmix(paths[:, None] ^ splitmix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(1 << 20)))
-        chosen = draw < np.uint64(int(2**64 / (SIMILARITY * COORDINATES)))
+        chosen = draw < np.uint64(int(2**64 / (similarity * COORDINATES)))
         chosen[np.arange(len(paths)), draw.argmin(1)] = True
         row, at = np.nonzero(chosen)
         return row, splitmix(paths[row] ^ splitmix(values[row, at].astype(np.uint64) | (at.astype(np.uint64) << np.uint64(32))))
 
 
-def _roots(runs: int):
+def _roots(runs: int, similarity: float):
     def rows(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in records:
             ids = record.column("rep").to_numpy()
             values = _coordinates(record.column("sketch"), len(ids))
             for run in range(runs):
-                row, path = _children(np.full(len(ids), splitmix(np.array([run + 1], np.uint64))[0]), values)
+                row, path = _children(np.full(len(ids), splitmix(np.array([run + 1], np.uint64))[0]), values, similarity)
                 yield batch(path=longs(path.view(np.int64)), rep=longs(ids[row]))
 
     return rows
 
 
-def in_reach(equal: np.ndarray, tied: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def in_reach(equal: np.ndarray, tied: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of tied and of other sets that can be alike, from how many coordinates each shares with the pivot.
 
-    Unequal coordinates are a metric: alike sets differ in no more than ``COORDINATES - LEAST_EQUAL``
+    Unequal coordinates are a metric: alike sets differ in no more than ``COORDINATES - least``
     of what they share with the pivot.
     """
-    apart = COORDINATES - LEAST_EQUAL
+    apart = COORDINATES - least
     if tied.all() or not tied.any():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.nonzero(tied & (equal <= equal[~tied].max() + apart))[0], np.nonzero(~tied & (equal >= equal[tied].min() - apart))[0]
 
 
-def partners(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int]]:
+def partners(a: np.ndarray, b: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
     """(i, j): for each row j of the sketches ``b`` that is alike to any row of ``a``, the first such row i."""
     step = max(1, 2_000_000 // max(1, len(a)))
     for at in range(0, len(b) if len(a) else 0, step):
@@ -152,18 +155,18 @@ def partners(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int]]:
         equal = np.zeros((len(part), len(a)), np.uint8)
         for c in range(COORDINATES):
             equal += part[:, c, None] == a[None, :, c]
-        alike = equal >= LEAST_EQUAL
+        alike = equal >= least
         for j in np.nonzero(alike.any(1))[0].tolist():
             yield int(alike[j].argmax()), at + j
 
 
-def _ties(path: int, ids: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int]]:
+def _ties(path: int, ids: np.ndarray, values: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
     """Edges of a bucket that is too large to compare by brute force: the rest of its recursion."""
-    todo = [(np.uint64(path), np.arange(len(ids)))]
+    least, todo = least_equal(similarity), [(np.uint64(path), np.arange(len(ids)))]
     while todo:
         path, rows = todo.pop()
         if len(rows) <= LEAF:
-            alike = (values[rows][:, None] == values[rows][None]).mean(2) >= ALIKE
+            alike = (values[rows][:, None] == values[rows][None]).sum(2) >= least
             forest = Forest(len(rows))
             for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(alike, 1))), strict=True):
                 forest.join(i, j)
@@ -173,15 +176,15 @@ def _ties(path: int, ids: np.ndarray, values: np.ndarray) -> Iterator[tuple[int,
             continue
         pivot = rows[splitmix(ids[rows].view(np.uint64) ^ path).argmin()]
         equal = (values[rows] == values[pivot]).sum(1)
-        tied = equal >= LEAST_EQUAL
+        tied = equal >= least
         for i in rows[tied].tolist():
             yield ids[pivot], ids[i]
         on = rows[~tied]
         # What leaves is compared with what stays, or pairs of which one set only is tied would be parted.
-        near, far = in_reach(equal, tied)
-        yield from ((ids[rows[near[i]]], ids[rows[far[j]]]) for i, j in partners(values[rows[near]], values[rows[far]]))
+        near, far = in_reach(equal, tied, least)
+        yield from ((ids[rows[near[i]]], ids[rows[far[j]]]) for i, j in partners(values[rows[near]], values[rows[far]], least))
         if len(on) > 1:
-            row, child = _children(np.full(len(on), path), values[on])
+            row, child = _children(np.full(len(on), path), values[on], similarity)
             order = np.argsort(child, kind="stable")
             starts = np.nonzero(np.concatenate([[True], child[order][1:] != child[order][:-1]]))[0]
             for part in np.split(order, starts[1:]):
@@ -189,9 +192,9 @@ def _ties(path: int, ids: np.ndarray, values: np.ndarray) -> Iterator[tuple[int,
                     todo.append((child[part[0]], on[row[part]]))
 
 
-def _bucket_edges(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket_edges(similarity: float):
     """Edges that tie the alike sets of each bucket; rows come sorted by path, of GATHER rows at most each."""
-    held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+    least = least_equal(similarity)
 
     def edges(paths: np.ndarray, ids: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
         starts = np.nonzero(np.concatenate([[True], paths[1:] != paths[:-1]]))[0]
@@ -199,7 +202,7 @@ def _bucket_edges(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         found: list[tuple[int, int]] = []
         for start, size in zip(starts[sizes > LEAF].tolist(), sizes[sizes > LEAF].tolist(), strict=True):
             part = slice(start, start + size)
-            found += _ties(paths[start : start + 1].view(np.uint64)[0], ids[part], values[part])
+            found += _ties(paths[start : start + 1].view(np.uint64)[0], ids[part], values[part], similarity)
         few = np.repeat(sizes <= LEAF, sizes)
         paths, ids, values = paths[few], ids[few], values[few]
         forest = Forest(len(ids))
@@ -209,7 +212,7 @@ def _bucket_edges(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 break
             for at in range(0, len(near), 4096):
                 part = near[at : at + 4096]
-                for i in part[(values[part] == values[part + step]).mean(1) >= ALIKE].tolist():
+                for i in part[(values[part] == values[part + step]).sum(1) >= least].tolist():
                     forest.join(i, i + step)
         # Every set hangs on the first of its bucket that it is tied to: stars need no further rounds.
         for i in range(len(ids)):
@@ -219,40 +222,45 @@ def _bucket_edges(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         pairs = np.array([x for x in set(found) if x[0] != x[1]], np.int64).reshape(-1, 2)
         return batch(a=longs(pairs[:, 0]), b=longs(pairs[:, 1]))
 
-    for record in records:
-        now = (record.column("path").to_numpy(), record.column("rep").to_numpy(), _coordinates(record.column("sketch"), record.num_rows))
-        now = now if held is None else tuple(np.concatenate(x) for x in zip(held, now, strict=True))
-        if not len(now[0]):
-            continue
-        cut = int(np.searchsorted(now[0], now[0][-1]))  # the last bucket may go on in the next batch
-        if cut:
-            yield edges(*(x[:cut] for x in now))
-        held = tuple(x[cut:] for x in now)
-    if held is not None and len(held[0]):
-        yield edges(*held)
+    def rows(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        for record in records:
+            now = (record.column("path").to_numpy(), record.column("rep").to_numpy(), _coordinates(record.column("sketch"), record.num_rows))
+            now = now if held is None else tuple(np.concatenate(x) for x in zip(held, now, strict=True))
+            if not len(now[0]):
+                continue
+            cut = int(np.searchsorted(now[0], now[0][-1]))  # the last bucket may go on in the next batch
+            if cut:
+                yield edges(*(x[:cut] for x in now))
+            held = tuple(x[cut:] for x in now)
+        if held is not None and len(held[0]):
+            yield edges(*held)
+
+    return rows
 
 
-def _split():
+def _split(similarity: float):
     """Rows of large buckets: an edge to the pivot if alike (``kind`` 0), else children (1).
 
     What is tied to a pivot needs no further splits of this bucket: the group that it is in is
     compared as a whole. It is (2) still compared with those sets of the bucket that go on and (3)
     may be alike to it, by what both share with the pivot (``c``).
     """
-    apart = COORDINATES - LEAST_EQUAL
+    least = least_equal(similarity)
+    apart = COORDINATES - least
 
     def rows(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in records:
             n = record.num_rows
             ids, paths, values = record.column("rep").to_numpy(), record.column("path").to_numpy(), _coordinates(record.column("sketch"), n)
             equal = (values == _coordinates(record.column("pivot_sketch"), n)).sum(1).astype(np.int64)
-            tied = np.nonzero(equal >= LEAST_EQUAL)[0]
-            on = np.nonzero(equal < LEAST_EQUAL)[0]
+            tied = np.nonzero(equal >= least)[0]
+            on = np.nonzero(equal < least)[0]
             # Sets equal to the pivot in all coordinates have no partner that isn't tied.
-            near, far = tied[equal[tied] < COORDINATES], on[equal[on] >= LEAST_EQUAL - apart]
+            near, far = tied[equal[tied] < COORDINATES], on[equal[on] >= least - apart]
             parts = [(0, ids[tied], record.column("pivot").to_numpy()[tied], equal[tied]), (2, paths[near], ids[near], equal[near]), (3, paths[far], ids[far], equal[far])]
             if len(on):
-                row, path = _children(paths[on].view(np.uint64), values[on])
+                row, path = _children(paths[on].view(np.uint64), values[on], similarity)
                 parts.append((1, path.view(np.int64), ids[on][row], np.zeros(len(row), np.int64)))
             yield batch(
                 kind=longs(np.concatenate([np.full(len(x[1]), x[0], np.int64) for x in parts])), **{name: longs(np.concatenate([x[k] for x in parts])) for k, name in ((1, "a"), (2, "b"), (3, "c"))}
@@ -261,32 +269,35 @@ def _split():
     return rows
 
 
-def _side_edges(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _side_edges(least: int):
     """Edges from tied sets (``kind`` 2) to others (3) of each tile; rows come sorted by tile."""
 
     def edges(ids: np.ndarray, kinds: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
         near, far = np.nonzero(kinds == 2)[0], np.nonzero(kinds == 3)[0]
-        found = np.array([(ids[near[i]], ids[far[j]]) for i, j in partners(values[near], values[far])], np.int64).reshape(-1, 2)
+        found = np.array([(ids[near[i]], ids[far[j]]) for i, j in partners(values[near], values[far], least)], np.int64).reshape(-1, 2)
         return batch(a=longs(found[:, 0]), b=longs(found[:, 1]))
 
-    held: list[np.ndarray] | None = None
-    for record in records:
-        tiles = np.stack([record.column(c).to_numpy() for c in ("path", "x", "y")], 1)
-        now = [tiles, record.column("rep").to_numpy(), record.column("kind").to_numpy(), _coordinates(record.column("sketch"), record.num_rows)]
-        now = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
-        if not len(now[0]):
-            continue
-        cuts = np.nonzero((now[0][1:] != now[0][:-1]).any(1))[0] + 1
-        for start, end in zip([0, *cuts.tolist()], cuts.tolist(), strict=False):
-            yield edges(*(x[start:end] for x in now[1:]))
-        held = [x[cuts[-1] if len(cuts) else 0 :] for x in now]  # the last tile may go on in the next batch
-    if held is not None and len(held[0]):
-        yield edges(*held[1:])
+    def rows(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for record in records:
+            tiles = np.stack([record.column(c).to_numpy() for c in ("path", "x", "y")], 1)
+            now = [tiles, record.column("rep").to_numpy(), record.column("kind").to_numpy(), _coordinates(record.column("sketch"), record.num_rows)]
+            now = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+            if not len(now[0]):
+                continue
+            cuts = np.nonzero((now[0][1:] != now[0][:-1]).any(1))[0] + 1
+            for start, end in zip([0, *cuts.tolist()], cuts.tolist(), strict=False):
+                yield edges(*(x[start:end] for x in now[1:]))
+            held = [x[cuts[-1] if len(cuts) else 0 :] for x in now]  # the last tile may go on in the next batch
+        if held is not None and len(held[0]):
+            yield edges(*held[1:])
+
+    return rows
 
 
-def side_edges(sides: DataFrame, reps: DataFrame) -> DataFrame:
+def side_edges(sides: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
     """(a, b): ties of what left large buckets with what stayed, from rows (kind, path, rep, c), by tiles."""
-    apart = COORDINATES - LEAST_EQUAL
+    apart = COORDINATES - least_equal(similarity)
     near, far = F.col("kind") == 2, F.col("kind") == 3
     reach = sides.groupBy("path").agg(F.min(F.when(near, F.col("c"))).alias("low"), F.max(F.when(far, F.col("c"))).alias("high"))
     reach = landed(reach.where("low IS NOT NULL AND high IS NOT NULL"), "reach")
@@ -301,12 +312,12 @@ def side_edges(sides: DataFrame, reps: DataFrame) -> DataFrame:
     )
     keys = ["path", "x", "y"]
     whole = tiled.join(reps, "rep").select(*keys, "rep", "kind", "sketch").repartition(*keys).sortWithinPartitions(*keys, "kind", "rep")
-    return whole.mapInArrow(_side_edges, "a long, b long")
+    return whole.mapInArrow(_side_edges(least_equal(similarity)), "a long, b long")
 
 
-def candidate_edges(reps: DataFrame, recall: float = RECALL) -> DataFrame:
+def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """(a, b): ties between sets (rep, sketch) that sketches put in one candidate group."""
-    rows = landed(reps.mapInArrow(_roots(runs_for(recall)), "path long, rep long"), "paths")
+    rows = landed(reps.mapInArrow(_roots(runs_for(recall), similarity), "path long, rep long"), "paths")
     edges: list[DataFrame] = []
     small: DataFrame | None = None
     while True:
@@ -322,13 +333,13 @@ def candidate_edges(reps: DataFrame, recall: float = RECALL) -> DataFrame:
         pivots = landed(
             large.join(reps.select(F.col("rep").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot").dropDuplicates(["path"]), "pivots"
         )
-        parts = landed(rows.join(pivots, "path").join(reps, "rep").mapInArrow(_split(), "kind long, a long, b long, c long"), "split")
+        parts = landed(rows.join(pivots, "path").join(reps, "rep").mapInArrow(_split(similarity), "kind long, a long, b long, c long"), "split")
         edges.append(parts.where("kind = 0").select("a", "b"))
-        edges.append(side_edges(parts.where("kind > 1").select("kind", F.col("a").alias("path"), F.col("b").alias("rep"), "c"), reps))
+        edges.append(side_edges(parts.where("kind > 1").select("kind", F.col("a").alias("path"), F.col("b").alias("rep"), "c"), reps, similarity))
         rows = parts.where("kind = 1").select(F.col("a").alias("path"), F.col("b").alias("rep"))
     # The buckets of all levels that a task can hold; paths of different levels don't meet.
     members = small.join(reps, "rep").select("path", "rep", "sketch")
-    out = members.repartition("path").sortWithinPartitions("path", "rep").mapInArrow(_bucket_edges, "a long, b long")
+    out = members.repartition("path").sortWithinPartitions("path", "rep").mapInArrow(_bucket_edges(similarity), "a long, b long")
     for more in edges:
         out = out.unionByName(more)
     return out.distinct()
@@ -412,53 +423,64 @@ def _compare(similarity: float):
 def _grams(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for record in records:
         grams = [shingles(x) for x in texts_of(record)]
-        yield batch(rep=record.column("rep"), root=record.column("root"), n=record.column("n"), grams=binary_rows([x.astype("<u8").tobytes() for x in grams]))
+        yield batch(rep=record.column("rep"), root=record.column("root"), blocks=record.column("blocks"), grams=binary_rows([x.astype("<u8").tobytes() for x in grams]))
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text): doc_id, class_id, n_links, n_copies.
-
-    ``class_id`` is the least doc_id among all that links and equal sets connect; ``n_links`` counts
-    the other sets (texts with different n-grams) at ``similarity`` or more; ``n_copies`` the rows
-    with the same set, this one included. Texts without words (null, empty) are alike to nothing:
-    a class of their own. Rows that share a doc_id share a class; a null doc_id has a null class.
-    """
-    all_rows = landed(sketches(docs), "sketches")
+def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """``near_duplicates`` with tie, a hash of the text, and class, a number of the class of its own."""
+    # Sets and rows are known by numbers that are landed with them: doc_ids may be null or come again.
+    all_rows = landed(sketches(docs).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    filled = all_rows.where("key IS NOT NULL")
     sets = landed(
-        all_rows.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies")), "sets"
+        filled.groupBy("key").agg(F.min("row").alias("rep"), F.count("*").alias("n_copies"), F.min("doc_id").alias("least"), F.min("n_grams").alias("n_grams")), "sets"
     )
-    holder = sets.select(F.col("key").alias("k"), "rep")
-    reps = landed(
-        all_rows.join(holder, (F.col("key") == F.col("k")) & (F.col("doc_id") == F.col("rep"))).select("rep", "sketch").dropDuplicates(["rep"]), "reps"
-    )
-    groups = landed(connected(candidate_edges(reps, recall), "groups"), "groups")
-    sizes = landed(groups.groupBy("root").agg(F.count("*").alias("n")), "sizes")
-    members = landed(groups.join(sizes, "root").select(F.col("node").alias("rep"), "root", "n"), "members")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members, "rep")
-    grams = over_batches(texts.select("rep", "root", "n", "text"), _grams, "rep long, root long, n long, grams binary")
-    # A group of more than a tile is dealt into blocks; each pair of blocks is a tile.
-    blocks = F.ceil(F.col("n") / TILE).cast("int")
+    reps = landed(all_rows.join(sets.select("rep"), F.col("row") == F.col("rep")).select("rep", "sketch"), "reps")
+    groups = landed(connected(candidate_edges(reps, similarity, recall), "groups"), "groups")
+    # A group of more than a tile is dealt into blocks by its sets and n-grams; each pair of blocks is a tile.
+    members = groups.select(F.col("node").alias("rep"), "root").join(sets.select("rep", "n_grams"), "rep")
+    sizes = landed(members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / TILE_SETS), F.ceil(F.sum("n_grams") / TILE_GRAMS)).cast("int").alias("blocks")), "sizes")
+    members = landed(members.join(sizes, "root").select("rep", "root", "blocks"), "members")
+    # One row with its text for each set that is in a group.
+    wanted = members.join(all_rows.select(F.col("row").alias("rep"), "doc_id", "tie"), "rep")
+    texts = docs.select(F.col("doc_id").cast("long").alias("_doc_id"), F.xxhash64("text").alias("_tie"), "text")
+    texts = texts.join(wanted, (F.col("_tie") == F.col("tie")) & F.col("_doc_id").eqNullSafe(F.col("doc_id")))
+    grams = over_batches(texts.select("rep", "root", "blocks", "text"), _grams, "rep long, root long, blocks int, grams binary")
     tiled = (
-        grams.withColumn("side", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        grams.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("root", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "rep", "side", "grams")
     )
     keys = ["root", "x", "y"]
     compared = tiled.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInArrow(_compare(similarity), "kind long, a long, b long")
     found = landed(compared, "links")
     links = found.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("n_links"))
-    classes = connected(found.where("kind = 1").select("a", "b"), "classes").select(F.col("node").alias("rep"), "root")
+    linked = connected(found.where("kind = 1").select("a", "b"), "classes").select(F.col("node").alias("rep"), "root")
     known = landed(
-        sets.join(links, "rep", "left").join(classes, "rep", "left").select(
-            F.col("key"), F.coalesce("root", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies"
-        ), "classes",
+        sets.join(links, "rep", "left").join(linked, "rep", "left").select(
+            "key", "least", F.coalesce("root", "rep").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies"
+        ), "known",
     )
-    usual = all_rows.where("key IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "key").join(known, "key").drop("key")
-    apart = all_rows.where("key IS NULL OR doc_id IS NULL").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies")
+    first = landed(known.groupBy("class").agg(F.min("least").alias("class_id")), "first")
+    known = landed(known.join(first, "class").drop("least"), "classes")
+    usual = filled.select("doc_id", "tie", "key").join(known, "key").select("doc_id", "tie", "class", "class_id", "n_links", "n_copies")
+    apart = all_rows.where("key IS NULL").select(
+        "doc_id", "tie", F.col("row").alias("class"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies")
     )
     return usual.unionByName(apart)
 
 
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """One row for each row of ``docs`` (doc_id, text): doc_id, class_id, n_links, n_copies.
+
+    ``class_id`` is the least doc_id among all that links and equal sets connect; ``n_links`` counts
+    the other sets (texts with different n-grams) at ``similarity`` or more; ``n_copies`` the rows
+    with the same set, this one included. Texts without words (null, empty) are alike to nothing:
+    a class of their own. Rows that share a doc_id are apart unless their texts are alike, and a
+    null doc_id takes part like any other: its class_id is null only where all of the class are.
+    Texts are read whole, however long; other columns are left out; an empty table gives an empty one.
+    """
+    return classes(docs, similarity, recall).select("doc_id", "class_id", "n_links", "n_copies")
+
+
 def op2_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

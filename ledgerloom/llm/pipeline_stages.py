@@ -28,14 +28,17 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least doc_id of each class of near copies, once."""
-    classes = near_join.near_duplicates(docs)
-    kept = landed(classes.where("doc_id = class_id OR doc_id IS NULL").groupBy("doc_id").agg(F.count("*").alias("times")), "kept")
-    named = kept.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept"))
-    once = docs.join(named, F.col("doc_id") == F.col("_kept")).drop("_kept")
-    if not kept.where("doc_id IS NOT NULL AND times > 1").isEmpty():  # rows of the table repeat
-        once = once.dropDuplicates(["doc_id"])
-    return once.unionByName(docs.where("doc_id IS NULL"))
+    """Keep one row of each class of near copies: that with the least doc_id, null last, and the least hash of its text."""
+    classes = landed(near_join.classes(docs), "classes")
+    # Rows are known by doc_id and a hash of the text; those alike in both are one row of their class.
+    best = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class", F.col("doc_id").alias("_kept")).agg(F.min("tie").alias("_tie"))
+    best = landed(best.select("_kept", "_tie"), "kept")
+    named = docs.withColumn("_own", F.xxhash64("text"))
+    once = named.join(best, (F.col("_own") == F.col("_tie")) & F.col("doc_id").eqNullSafe(F.col("_kept"))).drop("_kept", "_tie")
+    again = classes.groupBy("doc_id", "tie").agg(F.count("*").alias("n")).where("n > 1")
+    if not again.isEmpty():  # rows of the table repeat
+        once = once.dropDuplicates(["doc_id", "_own"])
+    return once.select(*docs.columns)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
