@@ -1,9 +1,11 @@
 """Operator 7: main text of web pages by a bidirectional LSTM over the page's blocks.
 
-A page is cut into its leaf blocks in page order. The network, plain numpy, reads for each block the
-hashed tag path, hashed words and a few measures, in both directions, and labels the block as article
-or not with the whole page in view. It is trained on pages composed of the corpus's own text: blocks
-of a bounded sample of pages are dealt into many layouts whose parts are known by construction.
+A page is cut into its leaf blocks in page order. The network, plain numpy, reads for each block its
+tag path (hashed tags and class names, and hashed steps from tag to tag), hashed words and a few
+measures, in both directions, and labels the block as article or not with the whole page in view. It
+is trained on pages composed of the corpus's own text: blocks of a bounded sample of pages are dealt
+into many layouts whose parts are known by construction. All steps are linear in a page's length,
+whatever its markup.
 """
 
 from __future__ import annotations
@@ -11,120 +13,184 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import longs, over_batches, table, texts_of
 
 #: Pages whose text the layouts are filled with, at most, and the longest page among them.
 SAMPLE_PAGES, SAMPLE_CHARS = 150, 30_000
-PATH_BITS, WORD_BITS, MEASURES, HIDDEN = 7, 5, 6, 16
-INPUTS = (1 << PATH_BITS) + (1 << WORD_BITS) + MEASURES
-
-MARKUP = re.compile(
-    r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<raw>script|style|template|noscript|svg|textarea|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<[!?][^>]*>|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
-    re.DOTALL | re.IGNORECASE,
-)
+PATH_BITS, STEP_BITS, WORD_BITS, MEASURES, HIDDEN = 7, 5, 5, 6, 16
+AT_STEPS = 1 << PATH_BITS
+AT_WORDS = AT_STEPS + (1 << STEP_BITS)
+AT_MEASURES = AT_WORDS + (1 << WORD_BITS)
+INPUTS = AT_MEASURES + MEASURES
+#: Blocks, padding included, that are read together, and places of a long page that are at once in memory as inputs.
+READ_BLOCKS, READ_PLACES = 1 << 15, 1 << 12
+
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+END = re.compile(r"""(?:[^'">]++|"[^"]*"|'[^']*')*+>""")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-# Elements within a line of text, elements without content, and paragraphs' rivals.
+# Elements within a line of text, elements without content, those whose content is no markup, and paragraphs' rivals.
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+RAW = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in ("script", "style", "template", "noscript", "svg", "textarea", "title")}
 SAME_LEVEL = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = set("ul ol dl table select".split())
 
 
+class Path(NamedTuple):
+    """The innermost tag, and bits of hashed tags and names, and of hashed steps from tag to tag, from the root on."""
+
+    tag: str
+    words: int
+    steps: int
+
+    def down(self, tag: str, names: list[str]) -> Path:
+        words = self.words
+        for word in (tag, *names):
+            words |= 1 << (zlib.crc32(word.encode()) >> (32 - PATH_BITS))
+        return Path(tag, words, self.steps | 1 << (zlib.crc32(f"{self.tag}>{tag}".encode()) >> (32 - STEP_BITS)))
+
+
 class Block:
     __slots__ = ("path", "parts", "linked")
 
-    def __init__(self, path: tuple):
+    def __init__(self, path: Path):
         self.path, self.parts, self.linked = path, [], 0
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
-def blocks(page: str) -> list[tuple[tuple, str, float]]:
+def markup(page: str) -> Iterator[tuple[str, str, bool, str]]:
+    """(text, tag, closing, attributes) in page order; either text or tag is empty, both are for comments and the like.
+
+    A tag ends at the first ``>`` outside quotes. Where there is none any more, quotes have no
+    meaning in the rest of the page, so that nothing is read twice; and a rest without ``>`` is text.
+    """
+    at = look = 0
+    quoted = True
+    while (i := page.find("<", look)) >= 0:
+        tag, closing, more = "", False, ""
+        if page.startswith("<!--", i):
+            end = page.find("-->", i + 4)
+            end = len(page) if end < 0 else end + 3
+        elif page[i + 1 : i + 2] in ("!", "?"):
+            end = page.find(">", i) + 1
+        elif found := TAG.match(page, i):
+            whole = END.match(page, found.end()) if quoted else None
+            quoted = whole is not None
+            end = whole.end() if whole else page.find(">", found.end()) + 1
+            tag, closing, more = found[2].lower(), bool(found[1]), page[found.end() : end - 1]
+        else:  # a mere character
+            look = i + 1
+            continue
+        if not end:
+            break
+        if i > at:
+            yield page[at:i], "", False, ""
+        if tag in RAW and not closing:
+            close = RAW[tag].search(page, end)
+            tag, end = "", close.end() if close else len(page)
+        yield "", tag, closing, more
+        at = look = end
+    if at < len(page):
+        yield page[at:], "", False, ""
+
+
+def blocks(page: str) -> list[tuple[Path, str, float]]:
     """(tag path, text, share of linked characters) of each leaf block that has text, in page order.
 
-    A path is a tuple of words: tags, and words of their class, id and role, root first. Character
-    references are decoded, white space within a block is one blank, and a ``br`` is white space.
+    Character references are decoded, white space within a block is one blank, and a ``br`` is white
+    space. Elements that stay open weigh no more than others: a path is a few hashed bits.
     """
-    stack: list[tuple[str, tuple]] = []
+    root = Path("", 0, 0)
+    stack: list[Path] = []
+    opened: Counter[str] = Counter()
+    scopes: list[Counter[str]] = [Counter()]  # what is open since the last list or table
     out: list[Block] = []
     now: Block | None = None
-    links, at = 0, 0
-
-    def words(raw: str) -> None:
-        nonlocal now
-        if now is None:
-            if not raw.strip():
-                return
-            now = Block(tuple(w for _, own in stack for w in own))
-            out.append(now)
-        now.parts.append(html.unescape(raw))
-        if links:
-            now.linked += len(raw.strip())
-
-    for m in MARKUP.finditer(page):
-        if m.start() > at:
-            words(page[at : m.start()])
-        at = m.end()
-        tag = (m["tag"] or "").lower()
+    links = 0
+
+    def pop(k: int) -> None:
+        for path in stack[k:]:
+            opened[path.tag] -= 1
+        while len(stack) > k:
+            if (tag := stack.pop().tag) in SCOPES:
+                scopes.pop()
+            else:
+                scopes[-1][tag] -= 1
+
+    for raw, tag, closing, more in markup(page):
+        if raw:
+            if now is None:
+                if not raw.strip():
+                    continue
+                now = Block(stack[-1] if stack else root)
+                out.append(now)
+            now.parts.append(html.unescape(raw))
+            if links:
+                now.linked += len(raw.strip())
+            continue
         if not tag:
             continue
         if tag in INLINE:
             if tag == "br" and now is not None:
                 now.parts.append(" ")
             if tag == "a":
-                links = max(0, links + (-1 if m["close"] else 1))
+                links = max(0, links + (-1 if closing else 1))
             continue
         now, links = None, 0
-        if m["close"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+        if closing:
+            if opened[tag]:
+                pop(next(k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == tag))
             continue
         if tag in VOID:
             continue
-        if stack and stack[-1][0] == "p":  # a paragraph ends where another block begins
-            stack.pop()
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in SCOPES:
-                break
-            if stack[k][0] in SAME_LEVEL.get(tag, ()):
-                del stack[k:]
-                break
-        own = [tag]
-        if "=" in m["more"]:
-            for name in NAMES.finditer(m["more"]):
-                own += re.findall(r"[a-z]+", (name[1] or name[2] or name[3] or "").lower())
-        if not m["more"].endswith("/"):
-            stack.append((tag, tuple(own)))
-    if at < len(page):
-        words(page[at:])
+        if stack and stack[-1].tag == "p":  # a paragraph ends where another block begins
+            pop(len(stack) - 1)
+        if any(scopes[-1][x] > 0 for x in SAME_LEVEL.get(tag, ())):
+            pop(next(k for k in range(len(stack) - 1, -1, -1) if stack[k].tag in SAME_LEVEL[tag]))
+        names: list[str] = []
+        if "=" in more:
+            for name in NAMES.finditer(more):
+                names += re.findall(r"[a-z]+", (name[1] or name[2] or name[3] or "").lower())
+        if not more.endswith("/"):
+            stack.append((stack[-1] if stack else root).down(tag, names))
+            opened[tag] += 1
+            if tag in SCOPES:
+                scopes.append(Counter())
+            else:
+                scopes[-1][tag] += 1
     found = ((b.path, b.text(), b.linked / max(1, sum(map(len, b.parts)))) for b in out)
     return [x for x in found if x[1]]
 
 
-def features(page: list[tuple[tuple, str, float]]) -> np.ndarray:
-    x = np.zeros((len(page), INPUTS), np.float32)
-    at_words, at_rest = 1 << PATH_BITS, (1 << PATH_BITS) + (1 << WORD_BITS)
-    for i, (path, text, linked) in enumerate(page):
-        for word in path:
-            x[i, zlib.crc32(word.encode()) >> (32 - PATH_BITS)] = 1
+def features(page: list[tuple[Path, str, float]], first: int = 0, last: int | None = None) -> np.ndarray:
+    """The inputs of a page's blocks, or of those from ``first`` to before ``last``."""
+    part = page[first:last]
+    x = np.zeros((len(part), INPUTS), np.float32)
+    for i, (path, text, linked) in enumerate(part):
+        for at, bits in ((0, path.words), (AT_STEPS, path.steps)):
+            while bits:
+                low = bits & -bits
+                x[i, at + low.bit_length() - 1] = 1
+                bits ^= low
         parts = text.split(" ")
         counts = np.bincount([zlib.crc32(w.encode()) >> (32 - WORD_BITS) for w in parts], minlength=1 << WORD_BITS)
-        x[i, at_words:at_rest] = np.sqrt(counts / len(parts))
+        x[i, AT_WORDS:AT_MEASURES] = np.sqrt(counts / len(parts))
         n = len(text)
-        x[i, at_rest:] = (
-            np.log1p(n) / 8, linked, sum(map(text.count, ".,;:!?")) / n * 10, i / len(page), 1.0 if path and path[-1] in ("p", "pre", "blockquote") else 0.0,
-            1.0 if path and path[-1] in ("h1", "h2", "h3") else 0.0,
+        x[i, AT_MEASURES:] = (
+            np.log1p(n) / 8, linked, sum(map(text.count, ".,;:!?")) / n * 10, (first + i) / len(page), 1.0 if path.tag in ("p", "pre", "blockquote") else 0.0,
+            1.0 if path.tag in ("h1", "h2", "h3") else 0.0,
         )
     return x
 
@@ -143,11 +209,11 @@ class Labeller:
         self.w["out"] = random.normal(0, 0.1, (2 * HIDDEN, 1)).astype(np.float32)
         self.w["bias"] = np.zeros(1, np.float32)
 
-    def _pass(self, way: str, x: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, list]:
-        """x: steps x pages x inputs, padded; a padded step leaves the state as it is."""
+    def _pass(self, way: str, x: np.ndarray, mask: np.ndarray, state: tuple | None = None, kept: list | None = None) -> tuple[np.ndarray, tuple]:
+        """x: steps x pages x inputs, padded; a padded step leaves the state as it is. ``kept``: takes what the gradient needs."""
         steps, pages, _ = x.shape
-        h, c = np.zeros((pages, HIDDEN), np.float32), np.zeros((pages, HIDDEN), np.float32)
-        seen, kept = np.zeros((steps, pages, HIDDEN), np.float32), []
+        h, c = state or (np.zeros((pages, HIDDEN), np.float32), np.zeros((pages, HIDDEN), np.float32))
+        seen = np.zeros((steps, pages, HIDDEN), np.float32)
         inward = (x.reshape(steps * pages, -1) @ self.w[f"x{way}"] + self.w[f"c{way}"]).reshape(steps, pages, -1)
         for t in range(steps) if way == "f" else range(steps - 1, -1, -1):
             gates = inward[t] + h @ self.w[f"h{way}"]
@@ -156,20 +222,36 @@ class Labeller:
             new_c = f * c + i * g
             squashed = np.tanh(new_c)
             on = mask[t][:, None]
-            kept.append((t, h, c, i, f, o, g, squashed))
+            if kept is not None:
+                kept.append((t, h, c, i, f, o, g, squashed))
             h, c = on * (o * squashed) + (1 - on) * h, on * new_c + (1 - on) * c
             seen[t] = h
-        return seen, kept
+        return seen, (h, c)
 
-    def chances(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        both = np.concatenate([self._pass(way, x, mask)[0] for way in "fb"], axis=2)
+    def _output(self, both: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip((both @ self.w["out"])[..., 0] + self.w["bias"], -30, 30)))
 
+    def chances(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        return self._output(np.concatenate([self._pass(way, x, mask)[0] for way in "fb"], axis=2))
+
+    def read(self, pages: list[list]) -> np.ndarray:
+        """``chances`` of pages' blocks, places x pages, with the inputs of a few places at a time in memory."""
+        steps = max(map(len, pages))
+        both = np.zeros((steps, len(pages), 2 * HIDDEN), np.float32)
+        starts = list(range(0, steps, READ_PLACES))
+        for k, (way, order) in enumerate((("f", starts), ("b", starts[::-1]))):
+            state = None
+            for at in order:
+                to = min(steps, at + READ_PLACES)
+                x, mask = padded([features(page, at, to) for page in pages], to - at)
+                both[at:to, :, k * HIDDEN : (k + 1) * HIDDEN], state = self._pass(way, x, mask, state)
+        return self._output(both)
+
     def gradient(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean cross-entropy over real blocks, by back-propagation through time."""
-        runs = {way: self._pass(way, x, mask) for way in "fb"}
-        both = np.concatenate([runs["f"][0], runs["b"][0]], axis=2)
-        p = 1 / (1 + np.exp(-np.clip((both @ self.w["out"])[..., 0] + self.w["bias"], -30, 30)))
+        kept: dict[str, list] = {"f": [], "b": []}
+        both = np.concatenate([self._pass(way, x, mask, None, kept[way])[0] for way in "fb"], axis=2)
+        p = self._output(both)
         error = ((p - y) * mask / max(1.0, mask.sum()))[..., None].astype(np.float32)
         grad = {"out": (both.reshape(-1, 2 * HIDDEN).T @ error.reshape(-1, 1)), "bias": error.sum((0, 1))}
         back = error @ self.w["out"].T
@@ -178,7 +260,7 @@ class Labeller:
             wh = self.w[f"h{way}"]
             gh, gx, gc = np.zeros_like(wh), np.zeros_like(self.w[f"x{way}"]), np.zeros(4 * HIDDEN, np.float32)
             dh, dc = np.zeros(part[0].shape, np.float32), np.zeros(part[0].shape, np.float32)
-            for t, h, c, i, f, o, g, squashed in reversed(runs[way][1]):
+            for t, h, c, i, f, o, g, squashed in reversed(kept[way]):
                 on = mask[t][:, None]
                 all_h = dh + part[t]
                 new_h, new_c = all_h * on, dc * on
@@ -209,20 +291,23 @@ class Labeller:
                     second[name] = 0.99 * second[name] + 0.01 * g * g
                     self.w[name] = self.w[name] - rate * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-6)
 
-    def label(self, pages: list[np.ndarray], size: int = 64) -> list[np.ndarray]:
-        """True for each article block of each page; pages of like length are read together."""
+    def label(self, pages: list[list]) -> list[np.ndarray]:
+        """True for each article block of each page, given their ``blocks``; pages of like length are read together."""
         out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
-        order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
-        for at in range(0, len(order), size):
-            chosen = order[at : at + size]
-            p = self.chances(*padded([pages[i] for i in chosen]))
-            for k, i in enumerate(chosen):
-                out[i] = p[: len(pages[i]), k] >= 0.5
+        chosen: list[int] = []
+        order = sorted((i for i in range(len(pages)) if pages[i]), key=lambda i: len(pages[i]))
+        for k, i in enumerate(order):
+            chosen.append(i)
+            if k + 1 == len(order) or len(pages[order[k + 1]]) * (len(chosen) + 1) > READ_BLOCKS:
+                p = self.read([pages[j] for j in chosen])
+                for c, j in enumerate(chosen):
+                    out[j] = p[: len(pages[j]), c] >= 0.5
+                chosen = []
         return out
 
 
-def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    steps = max(map(len, pages))
+def padded(pages: list[np.ndarray], steps: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    steps = steps or max(map(len, pages))
     x, mask = np.zeros((steps, len(pages), INPUTS), np.float32), np.zeros((steps, len(pages)), np.float32)
     for k, page in enumerate(pages):
         x[: len(page), k], mask[: len(page), k] = page, 1
@@ -322,10 +407,10 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_chars: int =
 def extracted(pages: DataFrame, labeller: Labeller) -> DataFrame:
     """``pages`` (html and any other columns) with text (blocks of the article, joined by line feeds) and n_chars.
 
-    A null page is empty, and a page without an article block has an empty text.
+    A null page is empty, and a page without an article block has an empty text. Pages may be of any
+    length: inputs are made for a few thousand blocks at a time. Rows alike give texts alike; an
+    empty table gives an empty one, and nothing to train on gives a network trained on one word.
     """
-    from pyspark.sql import types as T
-
     shared = pages.sparkSession.sparkContext.broadcast(labeller)  # some ten thousand numbers
     rest = pages.drop("text", "n_chars")
     names = [x for x in rest.columns if x != "html"]
@@ -334,7 +419,7 @@ def extracted(pages: DataFrame, labeller: Labeller) -> DataFrame:
     def rows(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in records:
             cut = [blocks(x) for x in texts_of(record, "html")]
-            chosen = shared.value.label([features(x) for x in cut])
+            chosen = shared.value.label(cut)
             texts = ["\n".join(b[1] for b, y in zip(page, on, strict=True) if y) for page, on in zip(cut, chosen, strict=True)]
             yield pa.RecordBatch.from_arrays([*(record.column(x) for x in names), pa.array(texts, pa.string()), longs([len(x) for x in texts])], names=[*names, "text", "n_chars"])
 

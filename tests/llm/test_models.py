@@ -1,8 +1,10 @@
+import html
 import itertools
 import math
 import os
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -165,13 +167,70 @@ def test_language_cases(spark):
     assert [r.lang_pred for r in language.predict(new.where("id = 4"), one).collect()] == ["en", "en"]
 
 
+@pytest.fixture(scope="module")
+def labeller():
+    r = random.Random(6)
+    return extraction.trained([prose(r, r.randint(3, 60)).capitalize() + "." for _ in range(300)])
+
+
 def test_blocks():
     page = "<html><head><title>T</title><script>var t='</p>';</script></head><body><nav><ul><li><a href='/'>Home</a></li></ul></nav><!-- x --><article class=post><h1>A&amp;B</h1><p><b>one<br>two<p>three &lt;\n four</p></article>tail<p>"
-    got = [(path[-1], text, linked) for path, text, linked in extraction.blocks(page)]
+    got = [(path.tag, text, linked) for path, text, linked in extraction.blocks(page)]
     assert got == [("li", "Home", 1.0), ("h1", "A&B", 0.0), ("p", "one two", 0.0), ("p", "three < four", 0.0), ("body", "tail", 0.0)]
     assert extraction.blocks("") == [] and extraction.blocks("<p>") == [] and extraction.blocks("a < b")[0][1] == "a < b"
 
 
+def test_odd_markup():
+    cut = lambda page: [(path.tag, text) for path, text, _ in extraction.blocks(page)]
+    assert cut('<p title="a>b">one</p>') == [("p", "one")]
+    assert cut('<p title="a>one</p><p>two') == [("p", "one"), ("p", "two")]  # an open quote is no quote
+    assert cut("<p>a < b <3 c</p>") == [("p", "a < b <3 c")]
+    assert cut("<p>one<!-- x <p> -->two<!-- open <p>three") == [("p", "onetwo")]
+    assert cut("<p>one</p><script>if (a < b) '</p>'") == [("p", "one")]
+    assert cut("<p>one</p><a href") == [("p", "one"), ("", "<a href")]
+    assert cut("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>") == [("li", x) for x in "abcde"]
+    assert cut("</x></p>one<div/>two") == [("", "one"), ("", "two")]
+
+
+def test_hostile_pages_take_linear_time(labeller):
+    """A megabyte of each takes seconds."""
+    n = 1 << 20
+    for part in ("<a ", '<a "', "<a '\"", '<a ">" ', "<", "<!", "<!--", "<div>", "<div>x", "</x>", "<li>", "<ul><li>x", "<td>", "<script>", "<script></script", "&lt", 'class="', "<p class=x id='", "<b>x"):
+        for page in (part * (n // len(part)), "<div>" * 20_000 + part * (n // 2 // len(part)) + ">", "<p>x" + part * 1000 + "'\">" * 1000):
+            begun = time.process_time()
+            extraction.blocks(page)
+            assert time.process_time() - begun < 6, part
+    deep = "<div>" * 4000 + "<p>word</p>" * 4000
+    begun = time.process_time()
+    assert len(labeller.label([extraction.blocks(deep)])[0]) == 4000
+    assert time.process_time() - begun < 10
+
+
+def test_long_and_short_pages_together(labeller, monkeypatch):
+    r, random_ = random.Random(8), np.random.default_rng(5)
+    texts = [prose(r, r.randint(3, 30)) for _ in range(50)]
+    pages = [extraction.blocks(extraction.compose(texts, random_)[0]) for _ in range(12)]
+    want = [labeller.label([x])[0].tolist() for x in pages]
+    assert [x.tolist() for x in labeller.label(pages)] == want
+    monkeypatch.setattr(extraction, "READ_PLACES", 3)
+    monkeypatch.setattr(extraction, "READ_BLOCKS", 20)
+    assert [x.tolist() for x in labeller.label(pages)] == want
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
+def test_given_pages_same_as_by_rule(spark):
+    """The given pages keep their article in one element: its leaf blocks, found by a rule of their own, are all that is extracted."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {}
+    for r in pages.collect():
+        inner = re.search(r"<article>(.*)</article>", r.html or "", re.DOTALL)
+        parts = re.split(r"</?(?:p|h\d|div|ul|ol|li|table|tr|td|blockquote|pre)\b[^>]*>", inner[1] if inner else "")
+        cut = (" ".join(html.unescape(re.sub(r"<br\b[^>]*>", " ", x).replace("<b>", "").replace("</b>", "")).split()) for x in parts)
+        want[r.page_id] = "\n".join(x for x in cut if x)
+    got = {r.page_id: r.text for r in extraction.op7_block_labeller(spark, "/root/testdata/sf0.01").collect()}
+    assert set(got) == set(want) and np.mean([got[k] == want[k] for k in want]) >= 0.98
+
+
 def test_gradient():
     net, r = extraction.Labeller(), np.random.default_rng(0)
     x, mask = r.normal(size=(4, 3, extraction.INPUTS)).astype(np.float32), np.ones((4, 3), np.float32)
@@ -193,12 +252,6 @@ def test_gradient():
         assert abs((ends[0] - ends[1]) / 2e-2 - grad[name][at]) < 2e-3
 
 
-@pytest.fixture(scope="module")
-def labeller():
-    r = random.Random(6)
-    return extraction.trained([prose(r, r.randint(3, 60)).capitalize() + "." for _ in range(300)])
-
-
 def test_unseen_layouts(labeller):
     r, random_ = random.Random(8), np.random.default_rng(77)
     texts = [prose(r, r.randint(3, 60)).capitalize() + "." for _ in range(200)]
@@ -207,7 +260,7 @@ def test_unseen_layouts(labeller):
         page, labels = extraction.compose(texts, random_)
         found = extraction.blocks(page)
         assert len(found) == len(labels)
-        right += int((labeller.label([extraction.features(found)])[0] == np.array(labels)).sum())
+        right += int((labeller.label([found])[0] == np.array(labels)).sum())
         total += len(labels)
     assert right / total > 0.98
 
