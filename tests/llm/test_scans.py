@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -39,6 +40,39 @@ def test_secrets(spark, tmp_path):
     assert any("github" in r.spans for r in got) and any("jwt" in r.spans for r in got)
 
 
+def test_marks_and_tokens_same_as_by_pattern():
+    pem = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----(?:[\s\S]*?-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----)?")
+    jwt = re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+    r = random.Random(3)
+    parts = ["-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "-----END PRIVATE KEY-----", "BEGIN ", "abc", "\n"]
+    bits = ["eyJ", "eyJabcdefgh", "eyJabcdefghi", "abcdefgh", ".", ".", ".", "-", " ", "é", "x", "eyJ01234567."]
+    found = 0
+    for _ in range(4000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 9)))
+        assert list(secret_ledger.pem_spans(text)) == [m.span() for m in pem.finditer(text)]
+        text = "".join(r.choice(bits) for _ in range(r.randint(0, 14)))
+        want = [m.span() for m in jwt.finditer(text)]
+        assert list(secret_ledger.jwt_spans(text)) == want, text
+        found += len(want)
+    assert found > 50
+
+
+def test_hostile_texts_take_linear_time():
+    for part in ("-----BEGIN PRIVATE KEY-----\n", "-----BEGIN A ", "eyJaaaaaaaa-", "eyJaaaaaaaa.", "eyJ-.", "secret" + " " * 50, "xoxb-", "AKIA", "ghp_", "AIza-", "token=", "-----END RSA PRIVATE KEY-----"):
+        begun = time.process_time()
+        secret_ledger.spans_of(part * ((1 << 20) // len(part)))
+        assert time.process_time() - begun < 5, part
+
+
+def test_two_scans_at_once(spark, tmp_path):
+    ledger = f"file://{tmp_path}/ledger"
+    docs = spark.createDataFrame([(i, f"text {i % 4}") for i in range(12)], "doc_id long, text string")
+    secret_ledger.scan(docs, ledger)
+    twice = spark.read.parquet(ledger).limit(2).collect()
+    spark.createDataFrame(twice, spark.read.parquet(ledger).schema).write.mode("append").parquet(ledger)  # as another scan would have
+    assert spark.read.parquet(ledger).count() == 6 and secret_ledger.scan(docs, ledger).count() == 12
+
+
 def test_ledger_scans_only_what_is_new(spark, tmp_path):
     ledger = f"file://{tmp_path}/ledger"
     docs = spark.createDataFrame([(i, f"text {i % 4}") for i in range(12)], "doc_id long, text string")
