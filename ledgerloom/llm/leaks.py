@@ -4,7 +4,8 @@ An item with an error budget of k edits is cut into k + 1 pieces, so that one of
 whole in any passage within the budget. All pieces are looked for at once by an Aho-Corasick
 automaton over the whole text; around each hit, Myers' bit-parallel algorithm finds the least
 distance of the item to any passage there. Texts and items are lower-cased, with one blank for each
-run of white space.
+run of white space. A passage is any part of a text, whatever stands around it, and one rule holds
+for items of any length: a very short one has a budget of no edits and is found within words, too.
 
 The items are the stated query set. They reach the executors in blocks of bounded size; a larger set
 takes more passes over the documents.
@@ -22,9 +23,8 @@ from pyspark.sql import types as T
 
 from .shared import over_batches, table, texts_of
 
-#: Edits that an item may have, as a share of its characters. Items below ``SHORT`` must stand
-#: whole, between word ends.
-ERROR_RATE, SHORT = 0.08, 32
+#: Edits that an item may have, as a share of its characters.
+ERROR_RATE = 0.08
 #: Characters of items in a block: what a broadcast and a worker's automaton hold.
 BLOCK_CHARS = 2_000_000
 
@@ -34,7 +34,7 @@ def normal(text: str) -> str:
 
 
 def budget(item: str, rate: float = ERROR_RATE) -> int:
-    return int(len(item) * rate) if len(item) >= SHORT else 0
+    return int(len(item) * rate)
 
 
 def pieces(item: str, rate: float = ERROR_RATE) -> list[tuple[int, str]]:
@@ -118,10 +118,7 @@ class Matcher:
                 if distance > self.budgets[k]:
                     continue
                 _, back = least_distance(item[::-1], text[low : low + end][::-1])
-                start, end = low + end - back, low + end
-                if len(item) < SHORT and not ((start == 0 or not text[start - 1].isalnum()) and (end == len(text) or not text[end].isalnum())):
-                    continue
-                out.append((item_id, distance, start, end))
+                out.append((item_id, distance, low + end - back, low + end))
         return sorted(set(out), key=lambda x: (x[2], x[0]))
 
 

@@ -188,9 +188,7 @@ def test_leaks_same_as_brute_force(spark, block_chars):
         want = set()
         for item_id, item in items:
             plain = leaks.normal(item or "")
-            if plain and len(plain) >= leaks.SHORT and distance(plain, text) <= leaks.budget(plain):
-                want.add(item_id)
-            elif plain and len(plain) < leaks.SHORT and re.search(rf"(?<!\w){re.escape(plain)}(?!\w)", text):
+            if plain and distance(plain, text) <= int(len(plain) * 0.08):
                 want.add(item_id)
         assert {m["item_id"] for m in row.matches} == want, (row.doc_id, text)
         for m in row.matches:
