@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from .shared import batch, binary_rows, landed, longs, over_batches, splitmix, table, texts_of
 
-#: Labelled rows of each language that a model is fitted on, at most about.
-ROWS_PER_LANGUAGE = 1000
+#: Labelled rows of each language that a model is fitted on, at most about, and of all languages together:
+#: what reaches the driver, however many languages there are.
+ROWS_PER_LANGUAGE, ALL_ROWS = 1000, 8000
 #: Hashed features; a vector travels to the driver only for the sample's rows.
 FEATURES = 1 << 12
 
@@ -136,17 +137,21 @@ class LanguageModel:
         return langs, np.clip(scores, 0, 1)
 
 
-def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel | None:
+def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, all_rows: int = ALL_ROWS) -> LanguageModel | None:
     """A model of ``labelled`` (doc_id, text, lang), or None if no row has a language and a letter.
 
-    About ``rows_per_language`` rows of each language, chosen by a hash of doc_id, are taken: the
-    bound of what reaches the driver, as vectors of ``FEATURES`` small integers.
+    About ``rows_per_language`` rows of each language, or an even share of ``all_rows`` where there
+    are many, chosen by a hash of doc_id and text, are taken: the bound of what reaches the driver,
+    as vectors of ``FEATURES`` small integers. Rows alike are one row of the sample, and a language
+    has one row at least, whatever repeats.
     """
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit(6)), F.lit(1 << 30))
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", place.alias("place"))
     # Landed: a table of known size is sent to the rows, whose texts then needn't be dealt out by language.
-    counts = landed(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
-    place = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 30))
-    sample = rows.join(counts, "lang").where(place * F.col("n") < F.lit(rows_per_language * (1 << 30)))
+    counts = landed(rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("least")), "languages")
+    wanted = min(rows_per_language, all_rows // max(1, counts.count()))
+    chosen = (F.col("place") * F.col("n") < F.lit(wanted * (1 << 30))) | (F.col("place") == F.col("least"))
+    sample = rows.join(counts, "lang").where(chosen).dropDuplicates(["lang", "place"])
 
     def vectors(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in records:
@@ -157,7 +162,7 @@ def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Lang
                 vector=binary_rows([(vector(texts[i]) * 65535).astype("<u2").tobytes() for i in have]),
             )
 
-    found = over_batches(sample.select(place.alias("place"), "lang", "text"), vectors, "place long, lang string, vector binary").collect()
+    found = over_batches(sample.select("place", "lang", "text"), vectors, "place long, lang string, vector binary").collect()
     found.sort(key=lambda r: (r.lang, r.place, bytes(r.vector)))
     if not found:
         return None
@@ -174,6 +179,8 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """``docs`` (any columns, a text among them) with lang_pred and score.
 
     Texts that are null or have no letter are ``und`` with score 0, and so are all without a model.
+    Texts are read whole, however long; a tie between languages goes to the one first in the
+    alphabet; rows alike come out alike; an empty table gives an empty one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few vectors of FEATURES numbers for each language
     out = docs.drop("lang_pred", "score")

@@ -180,6 +180,16 @@ def test_blocks():
     assert extraction.blocks("") == [] and extraction.blocks("<p>") == [] and extraction.blocks("a < b")[0][1] == "a < b"
 
 
+def test_language_sample_is_bounded_and_whole(spark):
+    one = ("the house and the water of it", "en")
+    rows = [(None, *one)] * 3000 + [(7, "das haus und das wasser", "de")] * 2000 + [(8, "la casa y el agua", "es")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["de", "en", "es"]
+    many = [(i, f"{'abcdefghijklmnopqrstuvwxyz'[i % 26] * 5} text", f"l{i % 26:02}") for i in range(2600)]
+    got = language.fit(spark.createDataFrame(many, "doc_id long, text string, lang string"), all_rows=260)
+    assert len(got.languages) == 26
+
+
 def test_odd_markup():
     cut = lambda page: [(path.tag, text) for path, text, _ in extraction.blocks(page)]
     assert cut('<p title="a>b">one</p>') == [("p", "one")]
