@@ -25,10 +25,10 @@ from .shared import Forest, batch, binary_rows, connected, landed, longs, over_b
 N_WORDS, SIMILARITY, RECALL = 5, 0.8, 0.99
 COORDINATES = 64
 #: Buckets of up to so many sets are compared by brute force; those of up to so many are split on
-#: within a task, in a few hundred kilobytes of memory, larger ones by Spark.
-LEAF, GATHER = 40, 500
+#: within a task, in about a megabyte of memory, larger ones by Spark.
+LEAF, GATHER = 40, 2000
 #: A tile of the exact comparison holds two blocks of up to about so many sets and n-grams each.
-TILE_SETS, TILE_GRAMS = 1024, 1 << 20
+TILE_SETS, TILE_GRAMS = 256, 1 << 20
 
 
 def least_equal(similarity: float) -> int:

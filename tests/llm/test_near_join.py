@@ -103,7 +103,7 @@ def test_large_group_of_near_copies(spark, monkeypatch):
             text[r.randrange(120)] = f"n{r.randrange(50)}"
         rows.append((i, " ".join(text)))
     same(spark, rows)
-    monkeypatch.setattr(near_join, "TILE_SETS", 200)  # and more than a tile, by sets
+    monkeypatch.setattr(near_join, "TILE_SETS", 100)  # and more than some tiles, by sets
     same(spark, rows[:450])
     monkeypatch.setattr(near_join, "TILE_SETS", 2000)
     monkeypatch.setattr(near_join, "TILE_GRAMS", 10_000)  # or by n-grams
