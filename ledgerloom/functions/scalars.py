@@ -54,7 +54,10 @@ def digits(x: Column | str, kind: str = "bigint") -> Column:
 
 
 def truthy(x: Column | str) -> Column:
-    """Null stays null; 0, false and the empty string are false, all else is true."""
+    """Null stays null; the literals 0 and false and the empty string are false, all else is true.
+
+    A JSON document's literal false and its string "false" are the same text by the time it is parsed here.
+    """
     s = F.lower(col(x).cast("string"))
     return F.when(s.isNull(), F.lit(None).cast("boolean")).otherwise(~s.isin("", "0", "0.0", "false"))
 
@@ -73,8 +76,9 @@ def url(template: str, **parts: Column | str) -> Column:
     return out
 
 
-def filing_url(cik: Column | str, accession: Column | str, document: Column | str) -> Column:
-    return F.concat_ws("/", F.lit("https://www.sec.gov/Archives/edgar/data"), col(cik), F.replace(col(accession), F.lit("-"), F.lit("")), col(document))
+def filing_url(base: str, cik: Column | str, accession: Column | str, document: Column | str) -> Column:
+    """Place of a filing's document below ``base``; the accession number loses its hyphens."""
+    return F.concat_ws("/", F.lit(base), col(cik), F.replace(col(accession), F.lit("-"), F.lit("")), col(document))
 
 
 def dotted_ticker(x: Column | str) -> Column:

@@ -75,15 +75,15 @@ def trend(facts: DataFrame, tags: list[str], keys: list[str]) -> DataFrame:
 
 def summary_corpus(
     filings: DataFrame, pages: DataFrame, summaries: DataFrame, forms: list[str], as_of: str, days: int, chars: int = 4000,
-    summarise: Callable[[Column], Column] | None = None, model: str = "none",
+    summarise: Callable[[Column], Column] | None = None, model: str = "none", base: str = "https://archive.example",
 ) -> DataFrame:
     """Text of recent filings without a summary: accession_number, url, text, summary columns.
 
     ``pages``: accession_number and html. ``summarise`` maps the text column to a summary column,
-    a vectorised function of the caller's; without one the summary is null.
+    a vectorised function of the caller's; without one the summary is null. ``base``: where documents lie.
     """
     due = needs_summary(filings, summaries, forms, as_of, days).join(pages, "accession_number")
     text = window_text(html_text("html"), chars)
-    out = due.select("accession_number", filing_url("cik", "accession_number", "primary_document").alias("url"), text.alias("text"))
+    out = due.select("accession_number", filing_url(base, "cik", "accession_number", "primary_document").alias("url"), text.alias("text"))
     summary = summarise(F.col("text")) if summarise else F.lit(None).cast("string")
     return out.withColumn("summary_text", summary).withColumn("summary_model", F.lit(model)).withColumn("summary_date", F.lit(as_of).cast("timestamp"))

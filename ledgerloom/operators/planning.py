@@ -17,11 +17,13 @@ def missing_intervals(rows: DataFrame, wanted: DataFrame, key: str = "ticker") -
     """Calendar ranges of ``wanted`` (key, start, end) in which ``rows`` (key, date) has no row.
 
     The day before the start and the day after the end stand as bounds, so that gaps at the head
-    and the tail, and a key without rows, need no case of their own.
+    and the tail, and a key without rows, need no case of their own. Ranges of one key that overlap
+    or touch are one; others are apart.
     """
-    held = rows.select(key, F.col("date").cast("date").alias("date")).join(wanted, key).where("date BETWEEN start AND end").select(key, "date").distinct()
-    bounds = wanted.select(key, F.explode(F.array(F.date_sub("start", 1), F.date_add("end", 1))).alias("date"))
-    following = F.lead("date").over(W.partitionBy(key).orderBy("date"))
+    wanted = ranges_merged(wanted.select(key, F.col("start").cast("date").alias("start"), F.col("end").cast("date").alias("end")), key)
+    held = rows.select(key, F.col("date").cast("date").alias("date")).join(wanted, key).where("date BETWEEN start AND end").select(key, "start", "date").distinct()
+    bounds = wanted.select(key, "start", F.explode(F.array(F.date_sub("start", 1), F.date_add("end", 1))).alias("date"))
+    following = F.lead("date").over(W.partitionBy(key, "start").orderBy("date"))
     gaps = held.unionByName(bounds).withColumn("_next", following)
     return gaps.select(key, F.date_add("date", 1).alias("gap_start"), F.date_sub("_next", 1).alias("gap_end")).where("gap_start <= gap_end")
 
@@ -62,15 +64,24 @@ def unexpired(untrackable: DataFrame, now: str, expiry_days: int = 365) -> DataF
 
 def within_budget(jobs: DataFrame, used: DataFrame, limit: int, order: list[Column]) -> DataFrame:
     """The first jobs by ``order`` that a budget of ``limit``, less what is ``used`` (one row: used), leaves."""
-    from .scoring import W as Window
+    from .scoring import placed
 
-    parts = jobs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    dealt = jobs.repartitionByRange(int(parts), *order).withColumn("_range", F.spark_partition_id()).persist()
-    before = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = before.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
-    placed = dealt.join(F.broadcast(before), "_range").withColumn("_place", F.row_number().over(Window.partitionBy("_range").orderBy(*order)) + F.col("_before"))
     left = used.agg(F.greatest(F.lit(0), F.lit(limit) - F.coalesce(F.sum("used"), F.lit(0))).alias("_left"))
-    return placed.crossJoin(F.broadcast(left)).where("_place <= _left").drop("_range", "_before", "_place", "_left")
+    return placed(jobs, order, "_place").crossJoin(F.broadcast(left)).where("_place <= _left").drop("_place", "_left")
+
+
+def ranges_merged(wanted: DataFrame, key: str = "ticker") -> DataFrame:
+    """Ranges of each key (key, start, end) that overlap or touch, as one."""
+    own = W.partitionBy(key).orderBy("start", "end")
+    last = F.max("end").over(own.rowsBetween(W.unboundedPreceding, -1))
+    parts = wanted.where("start <= end").withColumn("_new", F.when(F.col("start") <= F.date_add(last, 1), 0).otherwise(1))
+    return parts.withColumn("_part", F.sum("_new").over(own)).groupBy(key, "_part").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_part")
+
+
+def gap_jobs(rows: DataFrame, wanted: DataFrame, years: int, key: str = "ticker") -> DataFrame:
+    """The jobs that fill the missing ranges, none longer than ``years``."""
+    gaps = missing_intervals(rows, wanted, key).select(key, F.col("gap_start").alias("start_date"), F.col("gap_end").alias("end_date"))
+    return jobs_from_plan(gaps, years)
 
 
 def worklist(scores: DataFrame, fetched: DataFrame, untrackable: DataFrame, now: str, days: int, limit: int) -> DataFrame:

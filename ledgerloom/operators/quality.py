@@ -20,6 +20,39 @@ def _count(df: DataFrame, name: str, bad: Column, most: int = 0, severity: str =
     return df.agg(*verdict(name, n, n <= most, severity))
 
 
+Check = tuple[str, Column, Column, str]
+
+
+def fault(name: str, bad: Column, most: int = 0, severity: str | None = None) -> Check:
+    """A check of ``scalars``: rows with a fault; any is an error if none is expected, more than ``most`` a warning otherwise."""
+    return name, F.count_if(F.coalesce(bad, F.lit(False))), F.col("value") <= most, severity or ("error" if most == 0 else "warning")
+
+
+def scalars(df: DataFrame, *checks: Check) -> DataFrame:
+    """Checks of one table in one pass: (name, an aggregate, a test of ``value``, severity)."""
+    row = df.agg(*(value.cast("long").alias(f"_{i}") for i, (_, value, _, _) in enumerate(checks)))
+    parts = F.array(*(F.struct(F.lit(name).alias("check"), F.col(f"_{i}").alias("value")) for i, (name, _, _, _) in enumerate(checks)))
+    listed = row.select(F.posexplode(parts).alias("_at", "_x")).select("_at", "_x.check", "_x.value")
+    passed, state = F.lit(False), F.lit("")
+    for i, (_, _, fine, severity) in enumerate(checks):
+        passed = F.when(F.col("_at") == i, fine).otherwise(passed)
+        state = F.when(F.col("_at") == i, F.lit(severity)).otherwise(state)
+    return listed.select("check", passed.alias("passed"), F.when(passed, "ok").otherwise(state).alias("severity"), "value")
+
+
+def presence(spark: SparkSession, found: dict[str, DataFrame | None], optional: tuple[str, ...] = ()) -> DataFrame:
+    """Whether each table is there; a missing one is an error, or a warning if it is optional."""
+    rows = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(df is not None).alias("there"), F.lit(name in optional).alias("optional")) for name, df in found.items()))
+    one = spark.range(1).select(F.explode(rows).alias("x")).select("x.*")
+    state = F.when(F.col("there"), "ok").when(F.col("optional"), "warning").otherwise("error")
+    return one.select(F.concat("name", F.lit(" exists")).alias("check"), F.col("there").alias("passed"), state.alias("severity"), F.col("there").cast("long").alias("value"))
+
+
+def in_catalog(spark: SparkSession, names: list[str]) -> dict[str, DataFrame | None]:
+    """The tables of the catalogue by name, None for those that aren't there: what ``presence`` takes."""
+    return {name: spark.table(name) if spark.catalog.tableExists(name) else None for name in names}
+
+
 def table_exists(spark: SparkSession, name: str) -> DataFrame:
     there = spark.catalog.tableExists(name)
     return spark.range(1).select(*verdict(f"{name} exists", F.lit(int(there)), F.lit(there)))
@@ -51,6 +84,15 @@ def primary_key(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
     return groups.agg(*verdict(f"{name} key {','.join(keys)}", n, n == 0))
 
 
+def key_checks(df: DataFrame, name: str, keys: list[str], primary: bool = True) -> DataFrame:
+    """``unique_key`` and, if ``primary``, ``primary_key`` of one grouping."""
+    null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    groups = df.groupBy(*keys).agg(F.count("*").alias("_n")).where((F.col("_n") > 1) | null)
+    twice, label = F.count_if(F.col("_n") > 1), ",".join(keys)
+    checks = [(f"{name} duplicates on {label}", twice, F.col("value") == 0, "error")]
+    return scalars(groups, *checks, *([(f"{name} key {label}", F.count("*"), F.col("value") == 0, "error")] if primary else []))
+
+
 def no_nulls(df: DataFrame, name: str, column: str, most: int = 0, severity: str = "error") -> DataFrame:
     return _count(df, f"{name}.{column} null", F.col(column).isNull(), most, severity)
 
@@ -63,6 +105,21 @@ def foreign_key(df: DataFrame, name: str, columns: list[str], parents: DataFrame
     return lone.agg(*verdict(f"{name}.{','.join(columns)} without parent", n, n == 0))
 
 
+def foreign_keys(df: DataFrame, name: str, references: list[tuple[list[str], DataFrame, list[str]]]) -> DataFrame:
+    """``foreign_key`` for several references (columns, parents, their columns) of one table, which is read once."""
+    rows = df.select(*dict.fromkeys(c for columns, _, _ in references for c in columns))
+    for i, (columns, parents, parent_columns) in enumerate(references):
+        keys = parents.select(*(F.col(p).alias(c) for p, c in zip(parent_columns, columns, strict=True))).distinct().withColumn(f"_hit{i}", F.lit(1))
+        rows = rows.join(keys, columns, "left")
+    return scalars(rows, *(fault(f"{name}.{','.join(columns)} without parent", F.col(f"_hit{i}").isNull()) for i, (columns, _, _) in enumerate(references)))
+
+
+def orphan_samples(df: DataFrame, columns: list[str], parents: DataFrame, parent_columns: list[str], n: int = 5, allow_null: bool = False) -> DataFrame:
+    """Up to ``n`` different keys without a parent, in order."""
+    keys = parents.select(*(F.col(p).alias(c) for p, c in zip(parent_columns, columns, strict=True))).distinct()
+    return orphans(df, columns, keys, allow_null).select(*columns).distinct().orderBy(*columns).limit(n)
+
+
 def orphans(df: DataFrame, columns: list[str], keys: DataFrame, allow_null: bool = False) -> DataFrame:
     if allow_null:
         df = df.dropna(subset=columns)
@@ -117,75 +174,120 @@ MONETARY = ["USD", "EUR", "JPY", "GBP", "CAD", "CHF", "AUD", "CNY", "INR"]
 OUTLIER_TAGS, OUTLIER = ["Assets", "Revenues", "NetIncomeLoss"], 1e14
 
 
-def core_suite(companies: DataFrame, tickers: DataFrame, former_names: DataFrame, filings: DataFrame, facts: DataFrame) -> DataFrame:
-    """The checks that a build of the core tables must pass."""
+def core_suite(
+    companies: DataFrame, tickers: DataFrame, former_names: DataFrame, filings: DataFrame, facts: DataFrame, tags: DataFrame | None = None
+) -> DataFrame:
+    """The 24 checks that a build of the core tables must pass: each table is read once for its columns, once for its keys and once for its references."""
     cik, acc = ["cik"], ["accession_number"]
+    tables = {"companies": companies, "tickers": tickers, "former_names": former_names, "filings": filings, "xbrl_tags": tags, "xbrl_facts": facts}
+    rows = lambda name: (f"{name} rows", F.count("*"), F.col("value") >= 1, "error")
+    null = lambda name, c: fault(f"{name}.{c} null", F.col(c).isNull())
     return suite(
+        presence(companies.sparkSession, tables),
         has_columns(companies, "companies", ["cik", "primary_name", "entity_type", "sic", "sic_description"]),
         has_columns(filings, "filings", ["accession_number", "cik", "filing_date", "form"]),
-        primary_key(companies, "companies", cik), primary_key(filings, "filings", acc),
-        unique_key(companies, "companies", cik), unique_key(filings, "filings", acc), unique_key(tickers, "tickers", ["ticker", "exchange"]),
-        no_nulls(companies, "companies", "cik"), *(no_nulls(filings, "filings", c) for c in ("accession_number", "cik", "form")),
-        foreign_key(filings, "filings", cik, companies, cik), foreign_key(tickers, "tickers", cik, companies, cik),
-        foreign_key(former_names, "former_names", cik, companies, cik), foreign_key(facts, "xbrl_facts", cik, companies, cik),
-        foreign_key(facts, "xbrl_facts", acc, filings, acc),
-        row_count(companies, "companies", 1), row_count(filings, "filings", 1),
+        key_checks(companies, "companies", cik), key_checks(filings, "filings", acc), key_checks(tickers, "tickers", ["ticker", "exchange"], primary=False),
+        scalars(companies, null("companies", "cik"), rows("companies")),
+        scalars(filings, *(null("filings", c) for c in ("accession_number", "cik", "form")), rows("filings")),
+        foreign_keys(filings, "filings", [(cik, companies, cik)]), foreign_keys(tickers, "tickers", [(cik, companies, cik)]),
+        foreign_keys(former_names, "former_names", [(cik, companies, cik)]), foreign_keys(facts, "xbrl_facts", [(cik, companies, cik), (acc, filings, acc)]),
     )
 
 
 def facts_suite(facts: DataFrame) -> DataFrame:
     null_key = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in ("cik", "accession_number", "taxonomy", "tag_name", "form")))
-    return suite(
-        at_most(facts, "xbrl_facts null keys", null_key),
-        at_most(facts, "xbrl_facts monetary without number", F.col("unit").isin(MONETARY) & F.col("value_numeric").isNull()),
-        no_nulls(facts, "xbrl_facts", "filed_date"),
-        at_most(facts, "xbrl_facts without unit", F.col("unit").isNull() | (F.col("unit") == ""), 1000),
-        *(at_most(facts, f"xbrl_facts outliers of {t}", (F.col("tag_name") == t) & (F.abs("value_numeric") > OUTLIER), severity="warning") for t in OUTLIER_TAGS),
+    return scalars(
+        facts,
+        fault("xbrl_facts null keys", null_key),
+        fault("xbrl_facts monetary without number", F.col("unit").isin(MONETARY) & F.col("value_numeric").isNull()),
+        fault("xbrl_facts.filed_date null", F.col("filed_date").isNull()),
+        fault("xbrl_facts without unit", F.col("unit").isNull() | (F.col("unit") == ""), 1000),
+        *(fault(f"xbrl_facts outliers of {t}", (F.col("tag_name") == t) & (F.abs("value_numeric") > OUTLIER), severity="warning") for t in OUTLIER_TAGS),
     )
 
 
 def orphan_suite(orphaned: DataFrame, filings: DataFrame) -> DataFrame:
-    """Orphans, and orphans that do have a filing by now."""
-    n = F.count("*")
-    found = orphaned.join(filings.select("accession_number"), "accession_number", "left_semi")
-    return suite(
-        orphaned.agg(*verdict("xbrl_facts_orphaned rows", n, n <= 1000, "warning")),
-        found.agg(*verdict("xbrl_facts_orphaned with a filing", n, n == 0)),
+    """Orphans, and orphans that do have a filing by now; ``orphan_samples`` shows some."""
+    found = orphaned.select("accession_number").join(filings.select("accession_number").distinct().withColumn("_hit", F.lit(1)), "accession_number", "left")
+    return scalars(
+        found, ("xbrl_facts_orphaned rows", F.count("*"), F.col("value") <= 1000, "warning"), fault("xbrl_facts_orphaned with a filing", F.col("_hit").isNotNull())
     )
 
 
 def price_suite(prices: DataFrame, as_of: str) -> DataFrame:
     last = prices.groupBy("ticker").agg(F.max("date").alias("last"))
     return suite(
-        at_most(prices, "stock_history null key", F.col("ticker").isNull() | F.col("date").isNull()),
-        at_most(prices, "stock_history negative volume", F.col("volume") < 0),
-        at_most(prices, "stock_history volume without price", (F.col("volume") > 0) & F.col("close").isNull(), 1),
-        at_most(last, "stock_history tickers without recent rows", F.col("last") < F.date_sub(F.lit(as_of).cast("date"), 7), 100),
+        scalars(
+            prices,
+            fault("stock_history null key", F.col("ticker").isNull() | F.col("date").isNull()),
+            fault("stock_history negative volume", F.col("volume") < 0),
+            fault("stock_history volume without price", (F.col("volume") > 0) & F.col("close").isNull(), 1),
+        ),
+        scalars(last, fault("stock_history tickers without recent rows", F.col("last") < F.date_sub(F.lit(as_of).cast("date"), 7), 100)),
     )
 
 
 def supplementary_suite(profile: DataFrame, holders: DataFrame, actions: DataFrame, recommendations: DataFrame) -> DataFrame:
-    """Keys of the feed's tables, CIK lengths, and shares between nothing and all."""
-    def share(c: str) -> Column:
-        return ~F.col(c).between(0, 1)
-
+    """Keys of the feed's tables, CIK lengths, and shares between nothing and all; ``kinds`` lists the actions."""
+    null = lambda *columns: reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns))
     return suite(
-        no_nulls(profile, "yf_profile_metrics", "ticker"),
-        at_most(profile, "yf_profile_metrics cik length", F.length("cik") != 10),
-        no_nulls(holders, "yf_major_holders", "ticker"),
-        *(at_most(holders, f"yf_major_holders {c} share", share(c)) for c in ("pct_insiders", "pct_institutions")),
-        at_most(actions, "yf_stock_actions null key", F.col("ticker").isNull() | F.col("action_date").isNull() | F.col("action_type").isNull()),
-        at_most(recommendations, "yf_recommendations null key", F.col("ticker").isNull() | F.col("recommendation_timestamp").isNull() | F.col("firm").isNull()),
-    )
+        scalars(profile, fault("yf_profile_metrics.ticker null", null("ticker")), fault("yf_profile_metrics cik length", F.length("cik") != 10)),
+        scalars(
+            holders, fault("yf_major_holders.ticker null", null("ticker")),
+            *(fault(f"yf_major_holders {c} share", ~F.col(c).between(0, 1)) for c in ("pct_insiders", "pct_institutions")),
+        ),
+        scalars(actions, fault("yf_stock_actions null key", null("ticker", "action_date", "action_type"))),
+        scalars(recommendations, fault("yf_recommendations null key", null("ticker", "recommendation_timestamp", "firm"))),
+    )
+
+
+def kinds(df: DataFrame, column: str) -> DataFrame:
+    """The different values of a column that is to have few: action types, factor models, series; and their rows."""
+    return df.groupBy(F.col(column).alias("kind")).agg(F.count("*").alias("n_rows"))
 
 
 def macro_suite(macro: DataFrame, risk: DataFrame) -> DataFrame:
     return suite(
-        at_most(macro, "macro_economic_data null key", F.col("series_id").isNull() | F.col("date").isNull()),
-        no_nulls(macro, "macro_economic_data", "value", severity="warning"),
-        at_most(risk, "market_risk_factors null key", F.col("date").isNull() | F.col("factor_model").isNull()),
-        no_nulls(risk, "market_risk_factors", "mkt_minus_rf", severity="warning"),
-    )
+        scalars(
+            macro, fault("macro_economic_data null key", F.col("series_id").isNull() | F.col("date").isNull()),
+            fault("macro_economic_data.value null", F.col("value").isNull(), severity="warning"),
+            ("macro_economic_data series", F.count_distinct("series_id"), F.col("value") >= 1, "error"),
+            ("macro_economic_data days", F.datediff(F.max("date"), F.min("date")), F.col("value") >= 0, "error"),
+        ),
+        scalars(
+            risk, fault("market_risk_factors null key", F.col("date").isNull() | F.col("factor_model").isNull()),
+            fault("market_risk_factors.mkt_minus_rf null", F.col("mkt_minus_rf").isNull(), severity="warning"),
+            ("market_risk_factors models", F.count_distinct("factor_model"), F.col("value") >= 1, "error"),
+        ),
+    )
+
+
+def error_tables(found: dict[str, DataFrame]) -> DataFrame:
+    """Tables of errors that aren't empty are warned of."""
+    return suite(*(scalars(df, (f"{name} rows", F.count("*"), F.col("value") == 0, "warning")) for name, df in found.items()))
+
+
+def counts_of(spark: SparkSession, found: dict[str, DataFrame | None], optional: tuple[str, ...] = ()) -> DataFrame:
+    """Whether each table is there, and the rows of those that are."""
+    return suite(presence(spark, found, optional), *(scalars(df, (f"{name} rows", F.count("*"), F.col("value") >= 1, "warning" if name in optional else "error")) for name, df in found.items() if df is not None))
+
+
+def orphan_profile(orphaned: DataFrame, n: int = 10) -> DataFrame:
+    """The most frequent companies, accessions, tags and years of filing among orphans: by, value, n_rows."""
+    sides = {"cik": F.col("cik"), "accession_number": F.col("accession_number"), "tag_name": F.col("tag_name"), "filed_year": F.year("filed_date").cast("string")}
+    return suite(*(top_groups(orphaned.select(F.lit(name).alias("by"), x.alias("value")), ["by", "value"], n) for name, x in sides.items()))
+
+
+def first_orphan(orphaned: DataFrame) -> DataFrame:
+    """One example: the orphan first by filing date, then by all its columns."""
+    order = ["filed_date", *(c for c in orphaned.columns if c != "filed_date")]
+    return orphaned.orderBy(*(F.asc_nulls_last(c) for c in order)).limit(1)
+
+
+def without_facts(companies: DataFrame, filings: DataFrame, facts: DataFrame, forms: list[str]) -> DataFrame:
+    """What a join report recommends to fetch: companies with filings of the given forms and no facts, with their filings."""
+    n = filings.where(F.col("form").isin(forms)).groupBy("cik").agg(F.count("*").alias("filings"))
+    return companies.select("cik").join(n, "cik").join(facts.select("cik").distinct(), "cik", "left_anti")
 
 
 def unknown_tickers(df: DataFrame, *sources: DataFrame) -> DataFrame:

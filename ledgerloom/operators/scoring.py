@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from ledgerloom.session import shared_path
+
 # Parts of tag names whose presence counts, and the presets of weights.
 KEY_METRICS = ["Assets", "Liabilities", "StockholdersEquity", "Revenue", "NetIncome", "OperatingIncome", "CashAndCashEquivalents", "EarningsPerShare"]
 BACKLOG = {"xbrl_richness": 0.25, "key_metrics": 0.15, "stock_data_need": 0.45, "filing_activity": 0.15}
@@ -31,6 +34,11 @@ def weights(given: dict[str, float] | str | None, preset: dict[str, float] = BAC
     return {k: given[k] / total if k in given else preset[k] / share for k in preset}
 
 
+def weights_json(w: dict[str, float]) -> Column:
+    """The weights as JSON, the same in every row."""
+    return F.to_json(F.struct(*(F.lit(x).alias(name) for name, x in w.items())))
+
+
 def fact_metrics(facts: DataFrame, metrics: list[str] | None = None) -> DataFrame:
     """Distinct tags, and how many key metrics have a tag, of each company."""
     flags = [F.max(F.when(F.col("tag_name").contains(m), 1).otherwise(0)) for m in metrics or KEY_METRICS]
@@ -83,12 +91,13 @@ def scored(base: DataFrame, as_of: str, w: dict[str, float]) -> DataFrame:
 
 def backlog(
     info: DataFrame, facts: DataFrame, history: DataFrame, filings: DataFrame, as_of: str,
-    untrackable: DataFrame | None = None, given: dict[str, float] | str | None = None, metrics: list[str] | None = None,
+    untrackable: DataFrame | None = None, given: dict[str, float] | str | None = None, metrics: list[str] | None = None, digits: int | None = None,
 ) -> DataFrame:
     """Tickers of companies with facts, by need of prices, richness of facts and filing activity.
 
     ``rank`` orders by score, then ticker. Values are measured against the greatest before tickers
     without need are dropped. Suggested dates: five years back, or from the day after the last.
+    ``digits``: scores are rounded before they are ranked. ``weights_json`` says what was weighed.
     """
     from .integrity import without
 
@@ -102,27 +111,35 @@ def backlog(
     if untrackable is not None:
         base = without(base, untrackable)
     day = F.lit(as_of).cast("date")
-    out = scored(base, as_of, weights(given)).where("stock_need_score > 0")
+    w = weights(given)
+    out = scored(base, as_of, w).where("stock_need_score > 0").withColumn("weights_json", weights_json(w))
+    if digits is not None:
+        out = out.withColumn("score", F.round("score", digits))
     start = F.when(F.col("last_date").isNotNull() & (F.col("staleness_days") > 7), F.date_add("last_date", 1)).otherwise(F.add_months(day, -60))
     return ranked(out, ["score"]).withColumn("start_date", start).withColumn("end_date", F.date_sub(day, 1))
 
 
-def ranked(df: DataFrame, order: list[str], tie: str = "ticker") -> DataFrame:
-    """``rank``: place by ``order`` descending, then ``tie``.
+def placed(df: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """``name``: place of each row in the order ``by`` over all rows, from 1.
 
-    One number for each row over all rows: ranges of the sorted rows are counted, and a row's place
-    is its place in its range plus the rows of the ranges before. No task holds more than a range.
+    Ranges of the sorted rows are counted, and a row's place is its place in its range plus the rows
+    of the ranges before. No task holds more than a range. The dealt rows are landed with the number
+    of their range, so that both uses see the same ranges, whichever executors are lost.
     """
-    by = [F.desc_nulls_last(c) for c in order] + [F.asc_nulls_last(tie)]
     spark = df.sparkSession
+    path = shared_path(spark, "ranges")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(parts, *by).withColumn("_range", F.spark_partition_id())
-    # Both uses of the dealt rows must see the same ranges.
-    dealt = dealt.persist()
-    counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = counts.select("_range", (F.sum("_n").over(W.orderBy("_range")) - F.col("_n")).alias("_before"))
-    placed = dealt.join(F.broadcast(before), "_range").withColumn("rank", F.row_number().over(W.partitionBy("_range").orderBy(*by)) + F.col("_before"))
-    return placed.drop("_range", "_before")
+    df.repartitionByRange(parts, *by).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_range", T.IntegerType())])).parquet(path)
+    before = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = before.select("_range", (F.sum("_n").over(W.orderBy("_range")) - F.col("_n")).alias("_before"))
+    found = dealt.join(F.broadcast(before), "_range").withColumn(name, F.row_number().over(W.partitionBy("_range").orderBy(*by)) + F.col("_before"))
+    return found.drop("_range", "_before")
+
+
+def ranked(df: DataFrame, order: list[str], tie: str = "ticker") -> DataFrame:
+    """``rank``: place by ``order`` descending, then ``tie``."""
+    return placed(df, [F.desc_nulls_last(c) for c in order] + [F.asc_nulls_last(tie)], "rank")
 
 
 def stock_priority(tickers: DataFrame, links: DataFrame, facts: DataFrame, history: DataFrame, filings: DataFrame, as_of: str, given: dict[str, float] | None = None, metrics: list[str] | None = None) -> DataFrame:
@@ -165,3 +182,8 @@ def fetch_plan(backlog_rows: DataFrame, history: DataFrame, as_of: str, end: str
     start = F.coalesce(F.date_add("last_date", 1), F.lit(EARLIEST).cast("date"))
     plan = rows.withColumn("status", status).withColumn("start_date", start).withColumn("end_date", F.lit(end).cast("date"))
     return plan.where("status <> 'fresh'").orderBy("rank").limit(limit)
+
+
+def plan_status(plan: DataFrame) -> DataFrame:
+    """How many rows of a plan have each status."""
+    return plan.groupBy("status").agg(F.count("*").alias("n_rows"))

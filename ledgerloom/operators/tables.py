@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ledgerloom.functions.scalars import iso_date
 from ledgerloom.schemas import TableSpec
 
 
@@ -73,16 +74,50 @@ def swap_guard(existing: DataFrame, staging: DataFrame, keys: list[str] | None =
     return both.withColumn("may_swap", fine)
 
 
-def counters(results: DataFrame, day: Column, success: Column) -> DataFrame:
-    """Attempts and successes of each day."""
-    return results.groupBy(day.alias("fetch_date")).agg(F.count("*").alias("attempted"), F.count_if(success).alias("fetched"))
-
-
 def add_counters(base: DataFrame, new: DataFrame) -> DataFrame:
     """Daily counters with new counts added to those of the same day."""
     return base.unionByName(new).groupBy("fetch_date").agg(F.sum("attempted").alias("attempted"), F.sum("fetched").alias("fetched"))
 
 
+def repaired(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """A table that lost its key: no row without one, and one row for each."""
+    return keep_latest(with_keys(df, spec.keys), spec)
+
+
+def upsert_by_spec(base: DataFrame, batch: DataFrame, spec: TableSpec) -> DataFrame:
+    """``upsert`` of a stored table by column name: the newest row of each key of the batch replaces; absent columns are null."""
+    named = batch.select(*((F.col(f.name).try_cast(f.dataType) if f.name in batch.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in spec.schema))
+    return upsert(base, with_keys(named, spec.keys), list(spec.keys), newest_first(spec.order))
+
+
+def mark_untrackable(base: DataFrame, failures: DataFrame, now: str) -> DataFrame:
+    """``base`` (ticker, reason, last_failed_timestamp) with a row for each failed ticker (ticker, reason), whatever its case, as of now.
+
+    Of several reasons the greatest counts.
+    """
+    new = failures.where("ticker IS NOT NULL").groupBy(F.upper("ticker").alias("ticker")).agg(F.max("reason").alias("reason"))
+    new = new.withColumn("last_failed_timestamp", F.lit(now).cast("timestamp"))
+    kept = base.join(new.select(F.col("ticker").alias("_new")), F.upper("ticker") == F.col("_new"), "left_anti")
+    return kept.unionByName(new.select(*base.columns))
+
+
+def counters(results: DataFrame, day: Column, success: Column, empty: Column | None = None) -> DataFrame:
+    """Attempts, successes and, if ``empty`` tells them, empty results of each day."""
+    more = [F.count_if(empty).alias("empty")] if empty is not None else []
+    return results.groupBy(day.alias("fetch_date")).agg(F.count("*").alias("attempted"), F.count_if(success).alias("fetched"), *more)
+
+
 def unpivot_statement(df: DataFrame, ids: list[str], items: list[str], value: str = "item_value") -> DataFrame:
     """Item columns to rows (ids, item_name, value); null values go."""
     return df.unpivot(ids, items, "item_name", value).where(F.col(value).isNotNull())
+
+
+def statement_rows(df: DataFrame, ids: list[str], item: str = "item_name") -> DataFrame:
+    """A financial statement, items down and report dates across, as (ids, report_date, item_name, item_value).
+
+    Columns whose name is no date give no rows, and neither do null values.
+    """
+    dates = [c for c in df.columns if c not in (*ids, item)]
+    cells = df.select(*ids, F.col(item).alias("item_name"), *(F.col(f"`{c}`").try_cast("double").alias(c) for c in dates))
+    rows = cells.unpivot([*ids, "item_name"], dates, "_date", "_value").withColumn("report_date", iso_date("_date"))
+    return rows.where("report_date IS NOT NULL AND _value IS NOT NULL").select(*ids, "report_date", "item_name", F.col("_value").cast("bigint").alias("item_value"))

@@ -91,7 +91,7 @@ def fact_value_split(v: Views) -> DataFrame:
 
 
 @query(f"""SELECT o_orderkey, {PAD.replace('cik', 'CAST(o_custkey AS VARCHAR)')} AS cik, 'https://data/CIK' || {PAD.replace('cik', 'CAST(o_custkey AS VARCHAR)')} || '.json' AS url,
-'https://www.sec.gov/Archives/edgar/data/' || o_custkey || '/' || replace(o_orderpriority, '-', '') || '/a.htm' AS filing_url, replace(o_orderpriority, '-', '.') AS dotted,
+'https://archive.example/' || o_custkey || '/' || replace(o_orderpriority, '-', '') || '/a.htm' AS filing_url, replace(o_orderpriority, '-', '.') AS dotted,
 CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '{ORDERS_DAY}') AS INTEGER) AS age, CAST(o_orderdate + INTERVAL 60 MONTH AS DATE) AS later, greatest(CAST(o_orderdate AS DATE), DATE '{ORDERS_DAY}' - 1000) AS clamped,
 substr(o_orderpriority, 1, 3) AS head FROM orders""")
 def scalar_functions(v: Views) -> DataFrame:
@@ -100,7 +100,7 @@ def scalar_functions(v: Views) -> DataFrame:
     end = F.lit(ORDERS_DAY).cast("date")
     return o.select(
         "o_orderkey", cik.alias("cik"), scalars.url("https://data/CIK{cik}.json", cik=cik).alias("url"),
-        scalars.filing_url(F.col("o_custkey").cast("string"), "o_orderpriority", F.lit("a.htm")).alias("filing_url"), scalars.dotted_ticker("o_orderpriority").alias("dotted"),
+        scalars.filing_url("https://archive.example", F.col("o_custkey").cast("string"), "o_orderpriority", F.lit("a.htm")).alias("filing_url"), scalars.dotted_ticker("o_orderpriority").alias("dotted"),
         F.datediff(end, day).alias("age"), F.add_months(day, 60).alias("later"), scalars.clamp_start(day, end, 1000).alias("clamped"), scalars.window_text("o_orderpriority", 3).alias("head"),
     )
 
@@ -161,15 +161,22 @@ def html_text(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", F.md5(text.cast("binary")).alias("text_md5"), F.length(text).cast("long").alias("n_chars"))
 
 
-@query(f"""SELECT accession_number, left({CLEAN}, 200) AS text FROM filings f JOIN pages p ON CAST(p.page_id AS VARCHAR) = f.accession_number WHERE form = '1-URGENT' AND filing_date >= DATE '{ORDERS_DAY}' - 2000""")
+@query(f"""SELECT accession_number, left({CLEAN}, 4000) AS text, 'https://archive.example/' || cik || '/' || accession_number || '/a.htm' AS url, CAST(NULL AS VARCHAR) AS summary_text, 'none' AS summary_model FROM filings f JOIN pages p ON CAST(p.page_id AS VARCHAR) = f.accession_number WHERE form = '1-URGENT' AND filing_date >= DATE '{ORDERS_DAY}' - 2000""")
 def summary_corpus(v: Views) -> DataFrame:
     pages = v.table("pages").select(F.col("page_id").cast("string").alias("accession_number"), "html")
     filings = v.filings().withColumn("primary_document", F.lit("a.htm"))
     none = v.filings().where("1 = 0")
-    return analysis.summary_corpus(filings, pages, none, ["1-URGENT"], ORDERS_DAY, 2000, 200).select("accession_number", "text")
+    return analysis.summary_corpus(filings, pages, none, ["1-URGENT"], ORDERS_DAY, 2000).select("accession_number", "text", "url", "summary_text", "summary_model")
 
 
-@query()
+@query("""SELECT 'companies' AS "table", 1 AS files, 1 AS valid, 0 AS invalid, count(*) AS n_rows FROM companies
+UNION ALL SELECT 'filings', 3, 3, 0, count(*) FROM filings""")
 def batch_inventory(v: Views) -> DataFrame:
-    """Parquet files of the input folder by table; SQL sees no files."""
-    return batches.table_sizes(batches.inventory(v.spark, v.folder).withColumn("table", F.element_at(F.split("path", "/"), -1)))
+    """Files and rows of two tables written as one and as three files, by what lies in their folder."""
+    from ledgerloom.session import shared_path
+
+    folder = shared_path(v.spark, "inventory")
+    v.companies().coalesce(1).write.parquet(f"{folder}/companies")
+    v.filings().repartition(3).write.parquet(f"{folder}/filings")
+    reports = [batches.directory_report(v.spark, f"{folder}/{name}").withColumn("table", F.lit(name)) for name in ("companies", "filings")]
+    return reports[0].unionByName(reports[1]).select("table", F.col("files").cast("int").alias("files"), F.col("valid").cast("int").alias("valid"), F.col("invalid").cast("int").alias("invalid"), "n_rows")

@@ -182,10 +182,9 @@ def union_of_sources(v: Views) -> DataFrame:
 SELECT ticker, date, close FROM latest WHERE n = 1""")
 def stream_upsert(v: Views) -> DataFrame:
     """Event files as a stream, merged by user and day; the last event wins."""
-    from ledgerloom.operators.tables import keep_one
     from ledgerloom.schemas import TableSpec
     from ledgerloom.session import shared_path
-    from ledgerloom.streaming.ingest import arrivals, merged_stream
+    from ledgerloom.streaming.ingest import arrivals, merged, merged_stream
 
     events = TableSpec("events", "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string", ("event_id",))
     prices = TableSpec("prices", "ticker string, date date, ts timestamp, event_id bigint, close double", ("ticker", "date"), ("ts", "event_id"), upsert=True)
@@ -196,9 +195,7 @@ def stream_upsert(v: Views) -> DataFrame:
     folder = shared_path(v.spark, "stream")
     run = merged_stream(rows, folder, prices, f"{folder}/checkpoint")
     run.awaitTermination()
-    done = v.spark.read.option("basePath", folder).schema(prices.ddl + ", version int").parquet(f"{folder}/version=*")
-    newest = done.agg(F.max("version").alias("version"))
-    return keep_one(done.join(F.broadcast(newest), "version").drop("version"), ["ticker", "date"]).select("ticker", "date", "close")
+    return merged(v.spark, folder, prices).select("ticker", "date", "close")
 
 
 @query("""SELECT CAST(ts AS DATE) AS fetch_date, count(*) AS attempted, count(*) FILTER (WHERE event_type <> 'error') AS fetched FROM events GROUP BY 1""")

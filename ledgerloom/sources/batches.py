@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import batch_id_of_file
-from ledgerloom.operators.tables import keep_one, swap_guard, with_keys
+from ledgerloom.operators.tables import keep_one, newest_first, swap_guard, with_keys
 from ledgerloom.schemas import TABLES, TableSpec
 
 
@@ -20,26 +22,76 @@ def prepared(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*((F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in spec.schema))
 
 
+class BatchMismatch(ValueError):
+    """What was read back of a batch isn't what was to be written."""
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path for it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder, in place of what may be there."""
+    system, here = _files(spark, source)
+    _, there = _files(spark, target)
+    system.mkdirs(there.getParent())
+    system.delete(there, True)
+    if not system.rename(here, there):
+        raise OSError(f"can't rename {source} to {target}")
+
+
 def append_batch(df: DataFrame, path: str, spec: TableSpec, batch_id: str) -> int:
     """Write one batch under its own id and return its rows; an empty one writes nothing.
 
-    A batch lies in a folder of its own: writing it again replaces it, and a failed task leaves no part.
+    Rows are written beside the table, read back and counted, and the batch is moved to its place as
+    a whole; if the counts differ, what was written goes and ``BatchMismatch`` is raised. Writing a
+    batch again replaces it.
     """
+    spark = df.sparkSession
     out = prepared(df, spec)
-    if out.isEmpty():
+    staged = f"{path}-staging/batch_id={batch_id}"
+    counted = Observation(f"batch-{uuid.uuid4().hex}")
+    out.observe(counted, F.count("*").alias("n")).write.mode("overwrite").parquet(staged)
+    seen = counted.get["n"]
+    read = spark.read.schema(spec.schema).parquet(staged).count()
+    if read != seen or not seen:
+        rollback(spark, staged)
+        if read != seen:
+            raise BatchMismatch(f"{spec.name}, batch {batch_id}: {seen} rows written, {read} read")
         return 0
-    target = f"{path}/batch_id={batch_id}"
-    out.write.mode("overwrite").parquet(target)
-    return df.sparkSession.read.schema(spec.schema).parquet(target).count()
+    _move(spark, staged, f"{path}/batch_id={batch_id}")
+    return read
+
+
+def rollback(spark: SparkSession, *paths: str) -> None:
+    """Take written batches away again."""
+    for path in paths:
+        system, where = _files(spark, path)
+        system.delete(where, True)
+
+
+#: How rows alike by key are settled in one batch: these tables keep every different row, others one for each key.
+BY_WHOLE_ROW = ("tickers", "former_names")
+
+
+def settled(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """A batch without rows that lack a key part, and without repeats by its table's rule: whole rows, or the last of each key."""
+    whole = with_keys(df, spec.required or spec.keys)
+    return whole.distinct() if spec.name in BY_WHOLE_ROW else keep_one(whole, list(spec.keys), newest_first(spec.order), spec.nocase)
 
 
 def fan_out(rows: dict[str, DataFrame], folder: str, batch_id: str) -> dict[str, int]:
-    """Write the frames of one parse to their tables, one row for each key, rows without a key left out."""
-    written = {}
-    for name, df in rows.items():
-        spec = TABLES[name]
-        whole = with_keys(df, spec.required or spec.keys)
-        written[name] = append_batch(keep_one(whole, list(spec.keys), nocase=spec.nocase), f"{folder}/{name}", spec, batch_id)
+    """Write the frames of one parse to their tables, settled; if one fails, the batch goes from all of them."""
+    written: dict[str, int] = {}
+    try:
+        for name, df in rows.items():
+            written[name] = append_batch(settled(prepared(df, TABLES[name]), TABLES[name]), f"{folder}/{name}", TABLES[name], batch_id)
+    except Exception:
+        for name in written:
+            rollback(df.sparkSession, f"{folder}/{name}/batch_id={batch_id}")
+        raise
     return written
 
 
@@ -86,10 +138,15 @@ def batch_ids(files: DataFrame) -> DataFrame:
     return files.where("batch_id <> ''").select("batch_id").distinct()
 
 
-def directory_report(files: DataFrame, rows: DataFrame) -> DataFrame:
-    """Of a folder's files: total, those with rows, those without, and all rows. ``rows``: any table read from it."""
+def directory_report(spark: SparkSession, path: str) -> DataFrame:
+    """Of the Parquet files below a folder: all, those with rows that can be read, the others, and all rows.
+
+    Files that can't be read are counted, not raised, and files are told apart by their whole path.
+    """
+    rows = spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").schema("_any string").parquet(path)
     by_file = rows.groupBy(F.col("_metadata.file_path").alias("p")).agg(F.count("*").alias("n"))
-    joined = files.join(by_file, F.element_at(F.split("path", "/"), -1) == F.element_at(F.split("p", "/"), -1), "left")
+    plain = lambda c: F.regexp_replace(F.col(c), "^[a-z0-9]+:/*", "/")
+    joined = inventory(spark, path).select(plain("path").alias("path")).join(by_file.select(plain("p").alias("path"), "n"), "path", "left")
     return joined.agg(F.count("*").alias("files"), F.count("n").alias("valid"), (F.count("*") - F.count("n")).alias("invalid"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
 
 
@@ -108,11 +165,23 @@ def publish(df: DataFrame, folder: str, version: str, existing: DataFrame | None
 
 
 def rebuild(tables: dict[str, DataFrame], folder: str, version: str, main: list[str]) -> dict[str, str]:
-    """All tables of a build under one version; nothing is written if all main inputs are empty."""
+    """All tables of a build under one version, and one pointer to it; nothing is written if all main inputs are empty.
+
+    Readers ask ``current`` for the version, so they see all tables of the old build or all of the new one.
+    """
     if all(tables[name].isEmpty() for name in main):
         return {}
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{folder}/version={version}/{name}"
         df.write.mode("overwrite").parquet(paths[name])
+        spark = df.sparkSession
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/pointer-{version}")
+    _move(spark, f"{folder}/pointer-{version}", f"{folder}/current")
     return paths
+
+
+def current(spark: SparkSession, folder: str) -> str | None:
+    """The version that a folder's pointer names, or None before the first build."""
+    system, where = _files(spark, f"{folder}/current")
+    return spark.read.parquet(f"{folder}/current").first().version if system.exists(where) else None

@@ -25,23 +25,40 @@ def universe(texts: DataFrame, column: str = "value") -> DataFrame:
     return entries.where("e.cik_str IS NOT NULL").select(pad_cik("e.cik_str").alias("cik")).distinct().orderBy("cik")
 
 
-def zip_members(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
-    """Members of zip archives as rows: archive, member, text. Archives are spread over tasks, members streamed."""
-    import io
+def zip_members(spark: SparkSession, path: str, suffix: str = ".json", tasks: int | None = None) -> DataFrame:
+    """Members of zip archives as rows: archive, member, text.
+
+    Archives are listed first, each by its directory alone, and then their members are dealt out: a
+    task opens an archive where it lies, at any place that pyarrow's file systems reach, and reads
+    one member after the other. No archive is ever whole in memory, and a large one keeps many tasks busy.
+    """
     import zipfile
 
     import pandas as pd
+    from pyarrow import fs
+
+    def opened(archive: str):
+        system, where = fs.FileSystem.from_uri(archive)
+        return zipfile.ZipFile(system.open_input_file(where))
+
+    def listed(frames):
+        for pdf in frames:
+            for archive in pdf["path"]:
+                with opened(archive) as z:
+                    names = [x for x in sorted(z.namelist()) if x.endswith(suffix)]
+                yield pd.DataFrame({"archive": [archive] * len(names), "member": names})
 
-    def members(frames):
+    def read(frames):
         for pdf in frames:
-            for archive, content in zip(pdf["path"], pdf["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for name in sorted(z.namelist()):
-                        if name.endswith(suffix):
-                            yield pd.DataFrame({"archive": [archive], "member": [name], "text": [z.read(name).decode("utf-8", "replace")]})
+            for archive, members in pdf.groupby("archive")["member"]:
+                with opened(archive) as z:
+                    for member in members:
+                        yield pd.DataFrame({"archive": [archive], "member": [member], "text": [z.read(member).decode("utf-8", "replace")]})
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(members, "archive string, member string, text string")
+    archives = spark.read.format("binaryFile").load(path).select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"))
+    members = archives.repartition("path").mapInPandas(listed, "archive string, member string")
+    dealt = members.repartition(tasks, "archive", "member") if tasks else members.repartition("archive", "member")
+    return dealt.mapInPandas(read, "archive string, member string, text string")
 
 
 def bars(texts: DataFrame, column: str = "results", ticker: str = "ticker") -> DataFrame:
@@ -62,6 +79,16 @@ def daily_prices(frame: DataFrame, start: str, end: str) -> DataFrame:
     return renamed.select(*made).where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
+def price_errors(requested: DataFrame, frame: DataFrame, start: str, end: str) -> DataFrame:
+    """(ticker, error) of each requested ticker that ends without a price, by the step that emptied it."""
+    renamed = frame.withColumnsRenamed({"Date": "date", "Ticker": "ticker"})
+    day = F.col("date").try_cast("date")
+    within = day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    seen = renamed.groupBy("ticker").agg(F.count_if(day.isNotNull()).alias("dated"), F.count_if(within).alias("within"))
+    error = F.when(F.col("dated").isNull(), "no data").when(F.col("dated") == 0, "no valid dates").when(F.col("within") == 0, "no data in range")
+    return requested.select("ticker").distinct().join(seen, "ticker", "left").select("ticker", error.alias("error")).where("error IS NOT NULL")
+
+
 def ticker_details(texts: DataFrame, fetched_at: str, column: str = "value") -> DataFrame:
     """The reference row of each details document: scalars, address, branding and two timestamps."""
     spec = TABLES["updated_ticker_info"].schema

@@ -6,31 +6,58 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom.operators.tables import newest_first, upsert
+from ledgerloom.operators.tables import keep_one, newest_first
 from ledgerloom.schemas import TableSpec
 
 
 def arrivals(spark: SparkSession, path: str, spec: TableSpec, files_at_once: int | None = None) -> DataFrame:
-    """A stream of the rows of new files; the checkpoint is the ledger of those already read."""
+    """A stream of the rows of new files; the checkpoint is the ledger of those already read.
+
+    ``files_at_once`` flushes by size: a micro-batch takes so many files at most.
+    """
     reader = spark.readStream.schema(spec.schema).option("recursiveFileLookup", "true")
     if files_at_once:
         reader = reader.option("maxFilesPerTrigger", files_at_once)
     return reader.parquet(path)
 
 
-def merged_stream(stream: DataFrame, folder: str, spec: TableSpec, checkpoint: str) -> StreamingQuery:
-    """Upsert each micro-batch into a new version of the table, then stop when nothing is left.
+def merged_stream(stream: DataFrame, folder: str, spec: TableSpec, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Write each micro-batch, one row for each key, as a delta of its own; ``merged`` reads the table.
 
-    Version n is made of version n-1 and batch n, so a batch that runs again after a failure writes
-    the same version again. A late correction replaces its row whenever it comes.
+    A micro-batch costs what it holds, however large the table is, and one that runs again after a
+    failure writes the same delta again. ``every`` ("10 seconds") flushes by time and goes on; without
+    it the stream stops when nothing is left.
     """
 
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        base = spark.read.schema(spec.schema).parquet(f"{folder}/version={number - 1}") if number else spark.createDataFrame([], spec.schema)
-        upsert(base, batch, list(spec.keys), newest_first(spec.order)).write.mode("overwrite").parquet(f"{folder}/version={number}")
+    def write(batch: DataFrame, number: int) -> None:
+        keep_one(batch, list(spec.keys), newest_first(spec.order)).write.mode("overwrite").parquet(f"{folder}/delta={number}")
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def merged(spark: SparkSession, folder: str, spec: TableSpec) -> DataFrame:
+    """The table that the deltas make: of each key the row of the last delta, whenever it came.
+
+    A compacted base counts as the delta that it goes up to.
+    """
+    rows = spark.read.option("basePath", folder).schema(f"{spec.ddl}, delta bigint").parquet(f"{folder}/delta=*")
+    return keep_one(rows, list(spec.keys), [F.desc("delta"), *newest_first(spec.order)]).select(*spec.columns)
+
+
+def compact(spark: SparkSession, folder: str, spec: TableSpec) -> int:
+    """Put all deltas of a stream that isn't running into the last one; its number.
+
+    The table is written beside the deltas, moved over the last, and older deltas go after that: a
+    failure in between leaves older rows that the last delta overrules.
+    """
+    from ledgerloom.sources.batches import _move, rollback
 
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    numbers = sorted(r.delta for r in spark.read.option("basePath", folder).schema(f"{spec.ddl}, delta bigint").parquet(f"{folder}/delta=*").select("delta").distinct().collect())
+    merged(spark, folder, spec).write.mode("overwrite").parquet(f"{folder}/compacting")
+    _move(spark, f"{folder}/compacting", f"{folder}/delta={numbers[-1]}")
+    rollback(spark, *(f"{folder}/delta={n}" for n in numbers[:-1]))
+    return numbers[-1]
 
 
 def append_once(stream: DataFrame, path: str, checkpoint: str, keys: list[str], event_time: str, delay: str = "1 day") -> StreamingQuery:

@@ -8,11 +8,11 @@ from ledgerloom.operators import normalize
 from ledgerloom.sources import feeds
 
 SUBMISSION = {
-    "cik": "320193", "name": "Acme", "entityType": "", "fiscalYearEnd": None, "tickers": ["A", "", "C"], "exchanges": ["X", "Y"],
+    "cik": "4711", "name": "Acme", "entityType": "", "fiscalYearEnd": None, "tickers": ["A", "", "C"], "exchanges": ["X", "Y"],
     "addresses": {"mailing": {"city": "Here"}, "business": None}, "formerNames": [{"name": "Old", "from": "2001-02-03T00:00:00.000Z", "to": None}, {"name": ""}],
     "filings": {"recent": {"accessionNumber": ["a1", "a2", "a3"], "filingDate": ["2024-01-02", "bad", "2024-01-04"], "form": ["10-K", "10-Q", None], "size": [5, "x", 7], "isXBRL": [1, 0, 0]}},
 }
-FACTS = {"cik": 320193, "entityName": "ACME INC", "facts": {"us-gaap": {"Assets": {"label": "Assets", "units": {"USD": [
+FACTS = {"cik": 4711, "entityName": "ACME INC", "facts": {"us-gaap": {"Assets": {"label": "Assets", "units": {"USD": [
     {"val": 1000000, "accn": "a1", "end": "2023-12-31", "fy": 2023, "fp": "FY", "form": "10-K", "filed": "2024-01-02", "frame": "CY2023"},
     {"val": "NaN", "accn": "a1", "end": "2023-12-31", "fy": "x", "form": "10-K", "filed": "2024-01-02"}, {"val": 1, "form": "10-K"}, {"val": 1, "accn": "a9"}]}}}}}
 
@@ -25,7 +25,7 @@ def test_submission(spark):
     docs = normalize.submissions(texts(spark, SUBMISSION, "not json", "[1]", {"name": "no cik"}))
     assert docs.count() == 1
     company = normalize.companies(docs, F.lit("2024-01-01"), normalize.company_facts(texts(spark, FACTS))).first()
-    assert (company.cik, company.primary_name, company.entity_type, company.fiscal_year_end, company.mailing_city, company.entity_name_cf) == ("0000320193", "Acme", None, "", "Here", "ACME INC")
+    assert (company.cik, company.primary_name, company.entity_type, company.fiscal_year_end, company.mailing_city, company.entity_name_cf) == ("0000004711", "Acme", None, "", "Here", "ACME INC")
     assert [(r.ticker, r.exchange) for r in normalize.tickers(docs).collect()] == [("A", "X")]
     names = normalize.former_names(docs).collect()
     assert [(r.former_name, r.date_from, r.date_to) for r in names] == [("Old", dt.datetime(2001, 2, 3), None)]
@@ -52,8 +52,8 @@ def test_facts(spark):
 
 
 def test_feeds(spark, tmp_path):
-    universe = feeds.universe(texts(spark, {"0": {"cik_str": 5}, "1": {"cik_str": 320193}, "2": {"cik_str": 5}}))
-    assert [r.cik for r in universe.collect()] == ["0000000005", "0000320193"]
+    universe = feeds.universe(texts(spark, {"0": {"cik_str": 5}, "1": {"cik_str": 4711}, "2": {"cik_str": 5}}))
+    assert [r.cik for r in universe.collect()] == ["0000000005", "0000004711"]
     bars = spark.createDataFrame([("A", json.dumps([{"v": 10, "o": 1, "h": 3, "l": 0.5, "c": 2, "t": 1704153600000}]))], "ticker string, results string")
     assert [tuple(r) for r in feeds.bars(bars).collect()] == [("A", dt.date(2024, 1, 2), 1.0, 3.0, 0.5, 2.0, 2.0, 10)]
     details = {"ticker": "A", "cik": "1", "active": True, "market_cap": 1.5, "address": {"city": "Here"}, "last_updated_utc": "2024-01-02T00:00:00Z", "delisted_utc": "bad"}

@@ -13,8 +13,10 @@ def test_directory_report_and_normalised_batches(spark, tmp_path):
     spec = TABLES["macro_economic_data"]
     for k, rows in enumerate(([("gdp", "2024-01-01", "1.5"), ("gdp", "nan", "2.5")], [("cpi", "2024-02-01", "None")])):
         spark.createDataFrame(rows, "series_id string, date string, value string").coalesce(1).write.parquet(f"{tmp_path}/batch_id=20240101_00000{k}")
-    report = batches.directory_report(batches.inventory(spark, str(tmp_path)), spark.read.parquet(str(tmp_path))).first()
-    assert (report.files, report.valid, report.invalid, report.n_rows) == (2, 2, 0, 3)
+    (tmp_path / "batch_id=20240101_000002").mkdir()
+    (tmp_path / "batch_id=20240101_000002" / "part-broken.parquet").write_bytes(b"no parquet at all")
+    report = batches.directory_report(spark, str(tmp_path)).first()
+    assert (report.files, report.valid, report.invalid, report.n_rows) == (3, 2, 1, 3)
     got = feeds.batches_normalized(spark, [str(tmp_path)], "macro_economic_data")
     assert got.schema == spec.schema
     assert sorted(map(str, ((r.series_id, r.date, r.value) for r in got.collect()))) == sorted(map(str, [("gdp", D(2024, 1, 1), 1.5), ("gdp", None, 2.5), ("cpi", D(2024, 2, 1), None)]))
@@ -62,3 +64,38 @@ def test_summary_corpus_takes_a_vectorised_summariser(spark):
     row = analysis.summary_corpus(filings, pages, none, ["10-K"], "2024-01-31", 365, 5, F.upper, "upper").first()
     assert (row.accession_number, row.text, row.summary_text, row.summary_model) == ("a-1", "Hello", "HELLO", "upper")
     assert row.url.endswith("/7/a1/x.htm")
+
+
+def test_batches_are_validated_moved_and_rolled_back(spark, tmp_path, monkeypatch):
+    import os
+
+    import pytest
+
+    spec = TABLES["macro_economic_data"]
+    df = spark.createDataFrame([("gdp", "2024-01-01", "1.5"), ("gdp", "bad", "2.5")], "series_id string, date string, value string")
+    path = f"{tmp_path}/macro"
+    assert batches.append_batch(df, path, spec, "20240101_000000") == 2 and batches.append_batch(df, path, spec, "20240101_000000") == 2
+    assert batches.append_batch(df.limit(0), path, spec, "20240102_000000") == 0
+    assert sorted(x for x in os.listdir(path) if not x.startswith(".")) == ["batch_id=20240101_000000"]
+    real = batches.prepared
+    with pytest.raises(batches.BatchMismatch):  # a read that finds less than was written
+        with monkeypatch.context() as m:
+            m.setattr(type(spark.read), "parquet", lambda self, *a, **k: df.limit(1))
+            batches.append_batch(df, path, spec, "20240103_000000")
+    assert not os.path.exists(f"{path}-staging/batch_id=20240103_000000") and batches.prepared is real
+    rows = {"macro_economic_data": df, "tickers": spark.createDataFrame([("1", "A", "X"), ("1", "A", "X"), ("2", "A", "X"), ("3", None, "X")], "cik string, ticker string, exchange string")}
+    assert batches.fan_out(rows, f"{tmp_path}/all", "20240101_000000") == {"macro_economic_data": 1, "tickers": 2}
+    with pytest.raises(Exception):
+        batches.fan_out(rows | {"no_such_table": df}, f"{tmp_path}/all", "20240105_000000")
+    assert "batch_id=20240105_000000" not in os.listdir(f"{tmp_path}/all/tickers")
+
+
+def test_rebuild_has_one_pointer(spark, tmp_path):
+    a, b = spark.range(3), spark.range(2)
+    folder = f"file://{tmp_path}/build"
+    assert batches.current(spark, folder) is None
+    assert batches.rebuild({"a": a.limit(0), "b": b}, folder, "0", ["a"]) == {} and batches.current(spark, folder) is None
+    batches.rebuild({"a": a, "b": b}, folder, "1", ["a"])
+    assert batches.current(spark, folder) == "1"
+    paths = batches.rebuild({"a": b, "b": a}, folder, "2", ["a"])
+    assert batches.current(spark, folder) == "2" and spark.read.parquet(paths["b"]).count() == 3

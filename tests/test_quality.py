@@ -45,7 +45,7 @@ def test_suites_run_on_empty_tables(spark):
         quality.supplementary_suite(empty["yf_profile_metrics"], empty["yf_major_holders"], empty["yf_stock_actions"], empty["yf_recommendations"]),
         quality.spec_checks(empty["filings"], TABLES["filings"]),
     ]
-    assert [s.count() for s in suites] == [18, 7, 2, 4, 4, 7, 6]
+    assert [s.count() for s in suites] == [24, 7, 2, 4, 7, 7, 6]
 
 
 def test_ratios(spark):

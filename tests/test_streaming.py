@@ -23,11 +23,53 @@ def test_files_count_once_and_late_rows_replace(spark, tmp_path):
     land(("A", 2, 12.0), ("B", 2, 5.0))
     run()
     run()  # nothing new: no new version
-    got = sorted((r.ticker, r.date.day, r.close) for r in spark.read.parquet(f"{folder}/version=1").collect())
-    assert got == [("A", 1, 10.0), ("A", 2, 12.0), ("B", 2, 5.0)]
+    want = [("A", 1, 10.0), ("A", 2, 12.0), ("B", 2, 5.0)]
+    rows = lambda: sorted((r.ticker, r.date.day, r.close) for r in ingest.merged(spark, folder, spec).collect())
+    assert rows() == want
     import os
 
-    assert sorted(x for x in os.listdir(folder) if x.startswith("version")) == ["version=0", "version=1"]
+    deltas = lambda: sorted(x for x in os.listdir(folder) if x.startswith("delta"))
+    assert deltas() == ["delta=0", "delta=1"]
+    assert ingest.compact(spark, folder, spec) == 1 and deltas() == ["delta=1"] and rows() == want
+    land(("B", 2, 6.0))
+    run()
+    assert deltas() == ["delta=1", "delta=2"] and rows() == [*want[:2], ("B", 2, 6.0)]
+
+
+def test_small_files_are_flushed_one_by_one(spark, tmp_path):
+    spec = TABLES["macro_economic_data"]
+    for day in (1, 2, 3):
+        spark.createDataFrame([("gdp", dt.date(2024, 1, day), float(day))], spec.schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = ingest.arrivals(spark, f"{tmp_path}/in", spec, files_at_once=1)
+    ingest.merged_stream(stream, f"{tmp_path}/out", spec, f"{tmp_path}/checkpoint").awaitTermination()
+    import os
+
+    assert sum(x.startswith("delta") for x in os.listdir(f"{tmp_path}/out")) == 3 and ingest.merged(spark, f"{tmp_path}/out", spec).count() == 3
+
+
+def test_ledgered_merge(spark, tmp_path):
+    from ledgerloom.sources import ledger
+
+    sources = {"macro_economic_data": f"{tmp_path}/macro", "market_risk_factors": f"{tmp_path}/risk"}
+
+    def land(day, value):
+        row = spark.createDataFrame([("gdp", dt.date(2024, 1, day), value)], "series_id string, date date, value double")
+        row.coalesce(1).write.mode("append").parquet(sources["macro_economic_data"])
+
+    land(1, 1.0)
+    (tmp_path / "risk").mkdir()
+    (tmp_path / "risk" / "broken.parquet").write_bytes(b"no parquet")
+    folder = f"file://{tmp_path}/stored"
+    assert sorted(r.table_name for r in ledger.new_files(spark, sources, folder).collect()) == sorted(sources)
+    got = {x["table_name"]: x for x in ledger.merge_new_files(spark, sources, folder, "2024-01-02 00:00:00")}
+    assert got["macro_economic_data"]["error"] is None and got["market_risk_factors"]["error"]
+    assert [r.table_name for r in ledger.new_files(spark, sources, folder).collect()] == ["market_risk_factors"]
+    land(1, 2.0)
+    land(2, 3.0)
+    assert ledger.merge_new_files(spark, sources, folder, "2024-01-03 00:00:00")[0]["files"] == 2
+    assert ledger.merge_new_files(spark, sources, folder, "2024-01-03 00:00:00")[0]["files"] == 0
+    assert sorted((r.date.day, r.value) for r in ledger.merged_table(spark, folder, "macro_economic_data").collect()) == [(1, 2.0), (2, 3.0)]
+    assert ledger.ledger(spark, folder).count() == 3
 
 
 def test_daily_counters(spark, tmp_path):
