@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import integrity, planning, scoring
+from ledgerloom.operators import integrity, normalize, planning, scoring
 
 from .registry import query
 from .views import EVENTS_DAY, Views
@@ -44,17 +44,17 @@ normal AS (SELECT *, coalesce(0.25 * unique_tag_count / nullif(max(unique_tag_co
 
 def backlog_rows(v: Views) -> DataFrame:
     bad = v.table("events").where("event_type = 'error' AND user_id % 5 = 0").select(F.col("user_id").cast("string").alias("ticker"))
-    return scoring.backlog(info(v), v.facts(), v.prices(), recent_filings_view(v), EVENTS_DAY, bad, None, METRICS)
+    return scoring.backlog(info(v), v.facts(), v.prices(), recent_filings_view(v), EVENTS_DAY, bad, None, METRICS, digits=9)
 
 
 @query(f"""+{BACKLOG}
 SELECT ticker, cik, unique_tag_count, CAST(key_metric_count AS INTEGER) AS key_metric_count, last_date, record_count, recent_filings, stock_need_score,
 CAST(date_diff('day', last_date, {DAY}) AS INTEGER) AS staleness_days, round(score, 9) AS score,
 CASE WHEN last_date IS NOT NULL AND date_diff('day', last_date, {DAY}) > 7 THEN last_date + 1 ELSE CAST({DAY} - INTERVAL 60 MONTH AS DATE) END AS start_date,
-CAST({DAY} - 1 AS DATE) AS end_date, row_number() OVER (ORDER BY round(score, 9) DESC, ticker) AS rank FROM normal WHERE stock_need_score > 0""")
+CAST({DAY} - 1 AS DATE) AS end_date, row_number() OVER (ORDER BY round(score, 9) DESC, ticker) AS rank,
+'{{"xbrl_richness":0.25,"key_metrics":0.15,"stock_data_need":0.45,"filing_activity":0.15}}' AS weights_json FROM normal WHERE stock_need_score > 0""")
 def backlog_score(v: Views) -> DataFrame:
-    rows = backlog_rows(v).withColumn("score", F.round("score", 9)).drop("rank")
-    return scoring.ranked(rows, ["score"])
+    return backlog_rows(v)
 
 
 @query(f"""+{BACKLOG}, r AS (SELECT *, row_number() OVER (ORDER BY round(score, 9) DESC, ticker) AS rank FROM normal WHERE stock_need_score > 0)
@@ -62,8 +62,7 @@ SELECT ticker, cik, rank, round(score, 9) AS score, last_date, record_count, CAS
 WHEN coalesce(record_count, 0) < 28 THEN 'incomplete' ELSE 'fresh' END AS status, coalesce(last_date + 1, DATE '1990-01-01') AS start_date, {DAY} AS end_date FROM r
 WHERE last_date IS NULL OR date_diff('day', last_date, {DAY}) > 1 OR coalesce(record_count, 0) < 28 ORDER BY rank LIMIT 50""")
 def fetch_plan(v: Views) -> DataFrame:
-    rows = scoring.ranked(backlog_rows(v).withColumn("score", F.round("score", 9)).drop("rank"), ["score"])
-    return scoring.fetch_plan(rows, v.prices(), EVENTS_DAY, EVENTS_DAY, 50, stale_days=1, least_rows=28)
+    return scoring.fetch_plan(backlog_rows(v), v.prices(), EVENTS_DAY, EVENTS_DAY, 50, stale_days=1, least_rows=28)
 
 
 @query(f"""+{INFO}, counts AS (SELECT cik, count(*) FILTER (WHERE filing_date >= {DAY} - 3000) AS recent, count(*) AS total, date_diff('day', max(filing_date) + 2635, {DAY}) AS age FROM filings GROUP BY 1),
@@ -160,3 +159,29 @@ def budget_trim(v: Views) -> DataFrame:
     e = v.table("events")
     used = e.where("event_type = 'error'").agg(F.count("*").alias("used"))
     return planning.within_budget(e.select("event_id", "user_id", "ts"), used, 5000, [F.asc_nulls_last("ts"), F.asc("event_id")])
+
+
+STATUS = f"CASE WHEN last_date IS NULL THEN 'no_history' WHEN date_diff('day', last_date, {DAY}) > 1 THEN 'stale' WHEN coalesce(record_count, 0) < 28 THEN 'incomplete' ELSE 'fresh' END"
+
+
+@query(f"""+{BACKLOG}, plan AS (SELECT {STATUS} AS status, round(score, 9) AS score, ticker FROM normal WHERE stock_need_score > 0 ORDER BY score DESC, ticker)
+SELECT status, count(*) AS n_rows FROM (SELECT * FROM plan WHERE status <> 'fresh' LIMIT 400) GROUP BY 1""")
+def plan_status(v: Views) -> DataFrame:
+    """Statuses of a plan of 400 tickers."""
+    return scoring.plan_status(scoring.fetch_plan(backlog_rows(v), v.prices(), EVENTS_DAY, EVENTS_DAY, 400, stale_days=1, least_rows=28))
+
+
+@query(f"""+{WANTED}, marks AS (SELECT w.ticker, p.date FROM prices p JOIN wanted w ON w.ticker = p.ticker AND p.date BETWEEN s AND e UNION ALL SELECT ticker, s - 1 FROM wanted UNION ALL SELECT ticker, e + 1 FROM wanted),
+pairs AS (SELECT ticker, date, lead(date) OVER (PARTITION BY ticker ORDER BY date) AS n FROM marks)
+SELECT ticker, CAST(date + 1 AS DATE) AS start_date, CAST(n - 1 AS DATE) AS end_date, false AS clamped FROM pairs WHERE date + 1 <= n - 1""")
+def gap_jobs(v: Views) -> DataFrame:
+    """Jobs for the missing ranges; a range asked for twice, or in two parts that touch, is one."""
+    whole = wanted(v)
+    half = F.lit("2024-01-10").cast("date")
+    parts = whole.where("ticker = 'none'").unionByName(whole.where("ticker <> 'none'").withColumn("end", half)).unionByName(whole.where("ticker <> 'none'").withColumn("start", F.date_add(half, 1)))
+    return planning.gap_jobs(v.prices(), parts.unionByName(parts), 5)
+
+
+@query("SELECT cik FROM companies WHERE cik NOT IN (SELECT cik FROM filings WHERE status = 'F') ORDER BY cik LIMIT 50")
+def parse_work_list(v: Views) -> DataFrame:
+    return normalize.work_list(v.companies(), v.filings().where("status = 'F'"), limit=50)

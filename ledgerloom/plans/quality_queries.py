@@ -87,8 +87,16 @@ def quality_summary(v: Views) -> DataFrame:
     return quality.overall(checks)
 
 
-@query(" UNION ALL ".join([
-    one("companies columns", "SELECT 2", "n = 0"), one("filings columns", "SELECT 0", "n = 0"),
+def missing(table: str, wanted: list[str]) -> str:
+    return f"SELECT {len(wanted)} - count(*) FROM (DESCRIBE SELECT * FROM {table}) WHERE column_name IN ({', '.join(map(repr, wanted))})"
+
+
+COMPANY_COLUMNS, FILING_COLUMNS = ["cik", "primary_name", "entity_type", "sic", "sic_description"], ["accession_number", "cik", "filing_date", "form"]
+
+
+@query("+ described AS (SELECT cik, primary_name, category AS entity_type FROM companies) " + " UNION ALL ".join([
+    *(one(f"{t} exists", f"SELECT {int(t != 'xbrl_tags')}", "n = 1") for t in ("companies", "tickers", "former_names", "filings", "xbrl_tags", "xbrl_facts")),
+    one("companies columns", missing("described", COMPANY_COLUMNS), "n = 0"), one("filings columns", missing("filings", FILING_COLUMNS), "n = 0"),
     one("companies key cik", "SELECT count(*) FROM (SELECT 1 FROM companies GROUP BY cik HAVING count(*) > 1 OR cik IS NULL)", "n = 0"),
     one("filings key accession_number", "SELECT count(*) FROM (SELECT 1 FROM filings GROUP BY accession_number HAVING count(*) > 1 OR accession_number IS NULL)", "n = 0"),
     one("companies duplicates on cik", "SELECT count(*) FROM (SELECT 1 FROM companies GROUP BY cik HAVING count(*) > 1)", "n = 0"),
@@ -96,14 +104,14 @@ def quality_summary(v: Views) -> DataFrame:
     one("tickers duplicates on ticker,exchange", "SELECT count(*) FROM (SELECT 1 FROM tickers GROUP BY ticker, exchange HAVING count(*) > 1)", "n = 0"),
     one("companies.cik null", "SELECT count(*) FROM companies WHERE cik IS NULL", "n <= 0"),
     *(one(f"filings.{c} null", f"SELECT count(*) FROM filings WHERE {c} IS NULL", "n <= 0") for c in ("accession_number", "cik", "form")),
-    *(one(f"{n}.cik without parent", f"SELECT count(*) FROM {t} WHERE cik IS NULL OR cik NOT IN (SELECT cik FROM companies)", "n = 0") for n, t in (("filings", "filings"), ("tickers", "tickers"), ("former_names", "tickers"), ("xbrl_facts", "facts"))),
+    *(one(f"{n}.cik without parent", f"SELECT count(*) FROM {t} WHERE cik IS NULL OR cik NOT IN (SELECT cik FROM companies)", "n = 0") for n, t in (("filings", "filings"), ("tickers", "tickers"), ("former_names", "former_names"), ("xbrl_facts", "facts"))),
     one("xbrl_facts.accession_number without parent", "SELECT count(*) FROM facts WHERE accession_number NOT IN (SELECT accession_number FROM filings)", "n = 0"),
     one("companies rows", "SELECT count(*) FROM companies", "n >= 1"), one("filings rows", "SELECT count(*) FROM filings", "n >= 1"),
 ]))
 def core_suite(v: Views) -> DataFrame:
-    """The suite of the core tables; two columns of companies aren't in the given tables."""
+    """The suite of the core tables; two columns of companies, and the tags, aren't in the given tables."""
     companies = v.companies().withColumnRenamed("category", "entity_type")
-    return quality.core_suite(companies, v.tickers(), v.tickers(), v.filings(), v.facts())
+    return quality.core_suite(companies, v.tickers(), v.former_names(), v.filings(), v.facts())
 
 
 @query(" UNION ALL ".join(

@@ -25,7 +25,7 @@ def query(sql: str | None = None) -> Callable:
 
 
 def _load() -> None:
-    from . import document_queries, planning_queries, quality_queries, table_queries  # noqa: F401
+    from . import document_queries, feed_queries, planning_queries, quality_queries, store_queries, suite_queries, table_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -25,6 +25,10 @@ class Views:
         c = self.table("customer").where("c_custkey % 7 <> 0")
         return c.select(F.col("c_custkey").cast("string").alias("cik"), F.concat(F.lit("T-"), F.col("c_custkey")).alias("ticker"), F.col("c_mktsegment").alias("exchange"))
 
+    def former_names(self) -> DataFrame:
+        """Suppliers as what the company of the same number was called before."""
+        return self.table("supplier").select(F.col("s_suppkey").cast("string").alias("cik"), F.col("s_name").alias("former_name"))
+
     def filings(self) -> DataFrame:
         return self.table("orders").select(
             F.col("o_orderkey").cast("string").alias("accession_number"), F.col("o_custkey").cast("string").alias("cik"),
@@ -50,6 +54,7 @@ class Views:
 SQL = """
 companies AS (SELECT CAST(c_custkey AS VARCHAR) AS cik, c_name AS primary_name, c_mktsegment AS category FROM customer),
 tickers AS (SELECT CAST(c_custkey AS VARCHAR) AS cik, 'T-' || c_custkey AS ticker, c_mktsegment AS exchange FROM customer WHERE c_custkey % 7 <> 0),
+former_names AS (SELECT CAST(s_suppkey AS VARCHAR) AS cik, s_name AS former_name FROM supplier),
 filings AS (SELECT CAST(o_orderkey AS VARCHAR) AS accession_number, CAST(o_custkey AS VARCHAR) AS cik, CAST(o_orderdate AS DATE) AS filing_date,
   o_orderpriority AS form, o_orderstatus AS status FROM orders),
 facts AS (SELECT CAST(o_custkey AS VARCHAR) AS cik, CAST(l_orderkey AS VARCHAR) AS accession_number, l_returnflag || l_linestatus AS tag_name,
