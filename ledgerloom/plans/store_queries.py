@@ -1,0 +1,145 @@
+"""Queries that write tables, move them to their place, and read them back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import tables
+from ledgerloom.schemas import TABLES
+from ledgerloom.session import shared_path
+from ledgerloom.sources import batches, ledger
+from ledgerloom.streaming import ingest
+
+from .registry import query
+from .views import Views
+
+
+@query("""SELECT 'tickers' AS "table", count(*) AS n_rows FROM (SELECT DISTINCT cik, ticker, exchange FROM tickers)
+UNION ALL SELECT 'filings', count(*) FROM filings WHERE form IS NOT NULL UNION ALL SELECT 'former_names', count(*) FROM former_names
+UNION ALL SELECT 'filings of the last', count(*) FROM filings""")
+def fan_out_rules(v: Views) -> DataFrame:
+    """One parse to three tables: different rows of tickers and names stay, of a filing's rows the one filed last."""
+    folder, batch = shared_path(v.spark, "fan-out"), "20240131_000000"
+    filings = v.filings()
+    frames = {
+        "tickers": v.tickers().unionAll(v.tickers()), "filings": filings.unionByName(filings.withColumn("filing_date", F.date_sub("filing_date", 9))),
+        "former_names": v.former_names().withColumn("date_from", F.lit("2001-01-01").cast("timestamp")),
+    }
+    batches.fan_out(frames, folder, batch)
+    stored = {name: batches.read_table(v.spark, f"{folder}/{name}", TABLES[name]) for name in frames}
+    found = [df.agg(F.lit(name).alias("table"), F.count("*").alias("n_rows")) for name, df in stored.items()]
+    last = stored["filings"].join(filings.select("accession_number", "filing_date"), ["accession_number", "filing_date"], "left_semi")
+    found.append(last.agg(F.lit("filings of the last").alias("table"), F.count("*").alias("n_rows")))
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
+@query("""SELECT '2024010' || (CAST(n % 3 AS INTEGER) + 1) || '_000000' AS batch_id, count(*) AS n_rows, sum(value) AS total
+FROM (SELECT user_id AS n, CAST(ts AS DATE) AS d, max(value) AS value FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY ALL) GROUP BY 1""")
+def validated_batches(v: Views) -> DataFrame:
+    """Batches written beside a table, counted, and moved to it; one is written twice and counts once."""
+    path, spec = shared_path(v.spark, "validated"), TABLES["macro_economic_data"]
+    rows = v.prices().select(F.col("ticker").alias("series_id"), "date", F.col("close").alias("value"))
+    for k in (1, 2, 3, 2):
+        batches.append_batch(rows.where(F.col("series_id").cast("long") % 3 == k - 1), path, spec, f"2024010{k}_000000")
+    stored = v.spark.read.schema(spec.ddl + ", batch_id string").parquet(path)
+    ids = batches.batch_ids(batches.inventory(v.spark, path))
+    return stored.join(ids, "batch_id").groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
+
+
+@query("""SELECT '20240101_00000' || k AS batch_id, CASE k WHEN 0 THEN 1 ELSE 2 END AS files FROM (SELECT unnest([0, 1]) AS k) WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'F')""")
+def partial_batches(v: Views) -> DataFrame:
+    """Batches of one, two and four files: those with fewer than three are partial once they are old."""
+    folder = shared_path(v.spark, "partial")
+    rows = v.table("orders").where("o_orderstatus = 'F'").select("o_orderkey")
+    for k, n in enumerate((1, 2, 4)):
+        rows.repartition(n).write.parquet(f"{folder}/20240101_00000{k}")
+    found = batches.partial_batches(batches.inventory(v.spark, folder), F.current_timestamp() + F.expr("INTERVAL 2 DAYS"))
+    return found.select("batch_id", F.col("files").cast("int").alias("files"))
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS ticker, 'failed: ' || event_type AS error FROM events WHERE event_type = 'error'")
+def failures_round_trip(v: Views) -> DataFrame:
+    path = shared_path(v.spark, "failures")
+    failed = v.table("events").where("event_type = 'error'").select(F.col("event_id").cast("string").alias("ticker"), F.concat(F.lit("failed: "), "event_type").alias("error"), "value")
+    batches.write_failures(failed, path)
+    return v.spark.read.schema("ticker string, error string").option("sep", "\t").csv(path)
+
+
+@query("SELECT DISTINCT cik FROM filings")
+def processed_ciks(v: Views) -> DataFrame:
+    """The companies that earlier batches hold, whichever and however often."""
+    path, spec = shared_path(v.spark, "parsed"), TABLES["companies"]
+    done = v.companies().join(v.filings().select("cik"), "cik", "left_semi")
+    for k in range(2):
+        batches.append_batch(done.where(f"cik % 3 >= {k}"), path, spec, f"20240101_00000{k}")
+    return batches.processed_ciks(v.spark, path)
+
+
+@query("""SELECT '2' AS version, 'companies' AS "table", count(*) AS n_rows FROM companies UNION ALL SELECT '2', 'filings', count(*) FROM filings WHERE status = 'F'""")
+def rebuild_swap(v: Views) -> DataFrame:
+    """Two builds and one that is held back: the pointer names the second."""
+    folder = shared_path(v.spark, "build")
+    none, filings = v.companies().where("1 = 0"), v.filings()
+    batches.rebuild({"companies": v.companies(), "filings": filings}, folder, "1", ["companies"])
+    batches.rebuild({"companies": v.companies(), "filings": filings.where("status = 'F'")}, folder, "2", ["companies"])
+    batches.rebuild({"companies": none, "filings": filings}, folder, "3", ["companies"])
+    now = batches.current(v.spark, folder)
+    found = [v.spark.read.parquet(f"{folder}/version={now}/{name}").agg(F.lit(now).alias("version"), F.lit(name).alias("table"), F.count("*").alias("n_rows")) for name in ("companies", "filings")]
+    return found[0].unionByName(found[1])
+
+
+LEDGERED = """+ e AS (SELECT CAST(user_id AS VARCHAR) AS series_id, CAST(ts AS DATE) AS date, event_type AS kind, max(value) AS value FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY ALL),
+first_ AS (SELECT series_id, date, max(value) AS value FROM e WHERE kind <> 'click' GROUP BY ALL), second_ AS (SELECT series_id, date, max(value) AS value FROM e WHERE kind = 'click' GROUP BY ALL)"""
+
+
+@query(f"{LEDGERED} SELECT series_id, date, value FROM second_ UNION ALL SELECT f.* FROM first_ f WHERE NOT EXISTS (SELECT 1 FROM second_ s WHERE s.series_id = f.series_id AND s.date = f.date)")
+def ledger_merge(v: Views) -> DataFrame:
+    """Two landings and three merges: later files replace rows by key, files in the ledger aren't merged again, a dry run changes nothing."""
+    folder = shared_path(v.spark, "ledgered")
+    source, spec = f"{folder}/landed", TABLES["macro_economic_data"]
+    e = v.table("events").where("user_id IS NOT NULL AND ts IS NOT NULL").select(F.col("user_id").cast("string").alias("series_id"), F.to_date("ts").alias("date"), "value", "event_type")
+    for late in (False, True):
+        part = e.where((F.col("event_type") == "click") == late).groupBy("series_id", "date").agg(F.max("value").alias("value"))
+        part.select(*spec.columns).write.mode("append").parquet(source)
+        ledger.new_files(v.spark, {spec.name: source}, f"{folder}/stored").count()
+        ledger.merge_new_files(v.spark, {spec.name: source}, f"{folder}/stored", "2024-01-31 00:00:00")
+    ledger.merge_new_files(v.spark, {spec.name: source}, f"{folder}/stored", "2024-01-31 00:00:00")
+    return ledger.merged_table(v.spark, f"{folder}/stored", spec.name)
+
+
+@query("SELECT CAST(ts AS DATE) AS fetch_date, count(*) AS attempted, count(*) FILTER (WHERE event_type <> 'error') AS fetched, count(*) FILTER (WHERE value IS NULL OR value < 10) AS empty FROM events WHERE ts IS NOT NULL GROUP BY 1")
+def counters_with_empty(v: Views) -> DataFrame:
+    e = v.table("events").where("ts IS NOT NULL")
+    return tables.counters(e, F.to_date("ts"), F.col("event_type") != "error", F.coalesce(F.col("value") < 10, F.lit(True)))
+
+
+@query("SELECT CAST(ts AS DATE) AS fetch_date, count(*) AS attempted, count(*) FILTER (WHERE event_type <> 'error') AS fetched FROM events WHERE ts IS NOT NULL GROUP BY 1")
+def stream_counters(v: Views) -> DataFrame:
+    """Daily counters of a stream, each day's as of the last micro-batch that had any."""
+    schema = v.table("events").schema
+    stream = v.spark.readStream.schema(schema).parquet(f"{v.folder}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
+    folder = shared_path(v.spark, "counted")
+    counts = ingest.daily_counters(stream.where("ts IS NOT NULL"), "ts", "event_type <> 'error'", "400 days")
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    done = v.spark.read.option("basePath", folder).schema("fetch_date date, attempted bigint, fetched bigint, batch int").parquet(f"{folder}/batch=*")
+    return tables.keep_one(done, ["fetch_date"], [F.desc("batch")]).drop("batch")
+
+
+@query("SELECT ticker, date, close FROM prices")
+def stream_compacted(v: Views) -> DataFrame:
+    """A stream flushed file by file, stopped, compacted to one delta, and read."""
+    from ledgerloom.schemas import TableSpec
+
+    spec = TableSpec("prices", "ticker string, date date, close double", ("ticker", "date"), ("close",), upsert=True)
+    folder = shared_path(v.spark, "compacted")
+    rows = v.table("events").where("user_id IS NOT NULL AND ts IS NOT NULL").select(F.col("user_id").cast("string").alias("ticker"), F.to_date("ts").alias("date"), F.col("value").alias("close"))
+    rows.groupBy("ticker", "date").agg(F.max("close").alias("close")).repartition(3, "ticker").write.parquet(f"{folder}/landed")
+    stream = ingest.arrivals(v.spark, f"{folder}/landed", spec, files_at_once=1)
+    ingest.merged_stream(stream, folder, spec, f"{folder}/checkpoint").awaitTermination()
+    ingest.compact(v.spark, folder, spec)
+    return ingest.merged(v.spark, folder, spec)
