@@ -1,4 +1,10 @@
-"""The stages of the corpus pipeline. Each takes documents and returns documents, the last sequences."""
+"""The stages of the corpus pipeline. Each takes documents and returns documents, the last sequences.
+
+All of them: columns beyond doc_id, text, lang and n_chars come through unread, whatever their
+names; an empty table gives an empty one; null texts have no words; texts are read whole; rows that
+share a doc_id but differ in text are documents of their own (but for line dedup, which takes them
+for parts of one), and rows alike in all are treated alike until near copies go.
+"""
 
 from __future__ import annotations
 

@@ -15,7 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import batch, landed, longs, new_path, over_batches, table, texts_of
+from ledgerloom.session import shared_path
+
+from .shared import batch, landed, longs, over_batches, table, texts_of
 
 RULE_VERSION = "3"
 
@@ -151,4 +153,4 @@ def read_ledger(spark: SparkSession, ledger: str, rule_version: str) -> DataFram
 
 
 def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"), new_path(spark, "secret-ledger")).drop("blob")
+    return scan(table(spark, sf_dir, "documents")(spark, "secret-ledger")).drop("blob")

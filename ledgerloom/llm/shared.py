@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,30 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.session import shared_path
+
 #: Rows of whole texts that a Python worker has in hand at once.
 TEXT_BATCH_ROWS = 1000
 
-_own_folder: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors reach: ``spark.checkpoint.dir``.
-
-    Only where the session has none (tests, a single machine) a temporary folder stands in.
-    """
-    conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_folder:
-        _own_folder[app] = "file://" + tempfile.mkdtemp(prefix="spark-ledgerloom-")
-    return _own_folder[app]
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
 
 def landed(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again.
@@ -43,7 +22,7 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage: later steps read the files, whichever executors are lost meanwhile.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

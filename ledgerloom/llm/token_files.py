@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ledgerloom.session import shared_path
+
 from . import simple8b
-from .shared import batch, binary_rows, landed, longs, new_path, over_batches, texts_of
+from .shared import batch, binary_rows, landed, longs, over_batches, texts_of
 from .tokens import encoder
 
 BLOCK_IDS = 1 << 17
@@ -131,6 +133,6 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .shared import table
     from .tokens import vocabulary
 
-    path = new_path(spark, "token-files")
+    path = shared_path(spark, "token-files")
     write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
     return token_digest(spark, path)

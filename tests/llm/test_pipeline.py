@@ -46,3 +46,31 @@ def test_run_and_registry(spark):
     names = set(__spark_entry__.queries())
     assert {"pipeline"} | {f"op{n}_" for n in range(1, 11)} <= {x if x == "pipeline" else x.split("_")[0] + "_" for x in names}
     assert corpus_pipeline.run(spark, SMALL).count() > 0
+
+
+@pytest.mark.parametrize("at", range(len(corpus_pipeline.STAGES)))
+def test_each_stage_on_hard_tables(spark, at):
+    """Empty tables, extra columns with the operators' own names, null ids and texts, and rows that share a doc_id."""
+    name, stage = corpus_pipeline.STAGES[at]
+    words = " ".join(f"the house of {i} and that water" for i in range(40))
+    rows = [(1, words, "en"), (1, words.replace("house", "garden"), "en"), (1, words, "en"), (2, words + " more", "en"), (None, words, "en"), (None, None, None), (3, "", "en"), (4, "der und das haus mit wasser " * 9, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("doc_id", "text", "lang", "'s' AS source", "CAST(length(text) AS BIGINT) AS n_chars", "1 AS matches", "2 AS rep", "3 AS lang_pred", "4 AS n_removed_lines", "5 AS class", "6 AS tie")
+    last = at == len(corpus_pipeline.STAGES) - 1
+    got = stage(spark, docs, SMALL)
+    kept = got.collect()
+    assert kept and (last or got.columns == docs.columns)
+    assert stage(spark, docs.limit(0), SMALL).count() == 0
+    if name == "n-gram Jaccard join":
+        assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("1", words), ("1", words.replace("house", "garden")), ("None", None), ("3", ""), ("4", rows[-1][1])])
+    if last:
+        assert len({(r.doc_id, r.piece, r.sequence_id, r.offset) for r in kept}) == len(kept) == len(rows)
+
+
+def test_run_leaves_little_behind(spark):
+    from ledgerloom import session
+
+    since = session.landed_so_far(spark)
+    assert corpus_pipeline.run(spark, SMALL).count() > 0
+    assert session.landed_so_far(spark) - since <= 3  # the last stage's documents and pieces
+    session.remove_landed(spark, since)
+    assert session.landed_so_far(spark) == since
