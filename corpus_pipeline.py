@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom import session
 from ledgerloom.llm import pipeline_stages
-from ledgerloom.llm.shared import landed, table
+from ledgerloom.llm.shared import table
 
 #: (name, function of (spark, docs, sf_dir)); each stage reads what the one before has written.
 STAGES = [
@@ -21,8 +22,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over the table ``documents``."""
+    """The rows of the last stage over the table ``documents``.
+
+    What a stage has landed on its way goes once the stage's documents are written.
+    """
     docs = table(spark, sf_dir, "documents")
+    since = session.landed_so_far(spark)
     for _, stage in STAGES[:-1]:
-        docs = landed(stage(spark, docs, sf_dir), "stage")
+        rows = stage(spark, docs, sf_dir)
+        path = session.shared_path(spark, "stage")
+        rows.write.parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
+        session.remove_landed(spark, since, (path,))
     return STAGES[-1][1](spark, docs, sf_dir)
