@@ -441,7 +441,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     sizes = landed(members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / TILE_SETS), F.ceil(F.sum("n_grams") / TILE_GRAMS)).cast("int").alias("blocks")), "sizes")
     members = landed(members.join(sizes, "root").select("rep", "root", "blocks"), "members")
     # One row with its text for each set that is in a group.
-    wanted = members.join(all_rows.select(F.col("row").alias("rep"), "doc_id", "tie"), "rep")
+    wanted = landed(members.join(all_rows.select(F.col("row").alias("rep"), "doc_id", "tie"), "rep"), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc_id"), F.xxhash64("text").alias("_tie"), "text")
     texts = texts.join(wanted, (F.col("_tie") == F.col("tie")) & F.col("_doc_id").eqNullSafe(F.col("doc_id")))
     grams = over_batches(texts.select("rep", "root", "blocks", "text"), _grams, "rep long, root long, blocks int, grams binary")
