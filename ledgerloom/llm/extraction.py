@@ -15,6 +15,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -46,6 +47,11 @@ SAME_LEVEL = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 SCOPES = set("ul ol dl table select".split())
 
 
+@lru_cache(100_000)
+def _bit(word: str, bits: int) -> int:
+    return 1 << (zlib.crc32(word.encode()) >> (32 - bits))
+
+
 class Path(NamedTuple):
     """The innermost tag, and bits of hashed tags and names, and of hashed steps from tag to tag, from the root on."""
 
@@ -54,10 +60,10 @@ class Path(NamedTuple):
     steps: int
 
     def down(self, tag: str, names: list[str]) -> Path:
-        words = self.words
-        for word in (tag, *names):
-            words |= 1 << (zlib.crc32(word.encode()) >> (32 - PATH_BITS))
-        return Path(tag, words, self.steps | 1 << (zlib.crc32(f"{self.tag}>{tag}".encode()) >> (32 - STEP_BITS)))
+        words = self.words | _bit(tag, PATH_BITS)
+        for word in names:
+            words |= _bit(word, PATH_BITS)
+        return Path(tag, words, self.steps | _bit(f"{self.tag}>{tag}", STEP_BITS))
 
 
 class Block:
@@ -178,12 +184,10 @@ def features(page: list[tuple[Path, str, float]], first: int = 0, last: int | No
     """The inputs of a page's blocks, or of those from ``first`` to before ``last``."""
     part = page[first:last]
     x = np.zeros((len(part), INPUTS), np.float32)
+    for at, width, bits in ((0, AT_STEPS, [p.words for p, _, _ in part]), (AT_STEPS, AT_WORDS - AT_STEPS, [p.steps for p, _, _ in part])):
+        packed = np.frombuffer(b"".join([b.to_bytes(width // 8, "little") for b in bits]), np.uint8).reshape(len(part), width // 8)
+        x[:, at : at + width] = np.unpackbits(packed, axis=1, bitorder="little")
     for i, (path, text, linked) in enumerate(part):
-        for at, bits in ((0, path.words), (AT_STEPS, path.steps)):
-            while bits:
-                low = bits & -bits
-                x[i, at + low.bit_length() - 1] = 1
-                bits ^= low
         parts = text.split(" ")
         counts = np.bincount([zlib.crc32(w.encode()) >> (32 - WORD_BITS) for w in parts], minlength=1 << WORD_BITS)
         x[i, AT_WORDS:AT_MEASURES] = np.sqrt(counts / len(parts))
@@ -239,12 +243,17 @@ class Labeller:
         steps = max(map(len, pages))
         both = np.zeros((steps, len(pages), 2 * HIDDEN), np.float32)
         starts = list(range(0, steps, READ_PLACES))
+
+        def inputs(at: int) -> tuple[np.ndarray, np.ndarray]:
+            to = min(steps, at + READ_PLACES)
+            return padded([features(page, at, to) for page in pages], to - at)
+
+        once = inputs(0) if len(starts) == 1 else None
         for k, (way, order) in enumerate((("f", starts), ("b", starts[::-1]))):
             state = None
             for at in order:
-                to = min(steps, at + READ_PLACES)
-                x, mask = padded([features(page, at, to) for page in pages], to - at)
-                both[at:to, :, k * HIDDEN : (k + 1) * HIDDEN], state = self._pass(way, x, mask, state)
+                x, mask = once or inputs(at)
+                both[at : at + len(x), :, k * HIDDEN : (k + 1) * HIDDEN], state = self._pass(way, x, mask, state)
         return self._output(both)
 
     def gradient(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
