@@ -58,7 +58,7 @@ def ratios(facts: DataFrame, debt: str, equity: str, by: list[str]) -> DataFrame
 
 def latest_filed(facts: DataFrame, keys: list[str]) -> DataFrame:
     """Of each period and tag, the value filed last."""
-    return keep_one(facts, keys, [F.desc_nulls_last("filed_date")])
+    return keep_one(facts, keys, [F.col("filed_date")])
 
 
 def by_form(facts: DataFrame, keys: list[str], annual: str = "10-K", quarterly: str = "10-Q") -> DataFrame:

@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ledgerloom.functions.scalars import iso_date
 from ledgerloom.schemas import TableSpec
 
 
 def newest_first(order: list[str] | tuple[str, ...]) -> list[Column]:
-    return [F.desc_nulls_last(c) for c in order]
-
+    """What ``keep_one`` compares: of several rows that with the greatest of these, null least."""
+    return [F.col(c) for c in order]
 
-def total_order(df: DataFrame, first: list[Column]) -> list[Column]:
-    """``first``, then every column, so that a winner doesn't depend on how rows are dealt out."""
-    return [*first, *(F.desc_nulls_last(f.name) for f in df.schema if f.dataType.typeName() not in ("map", "variant"))]
 
+def keep_one(df: DataFrame, keys: list[str], greatest: list[Column] | None = None, nocase: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each key: that with the ``greatest`` values, ties broken by all columns, so that a
+    winner doesn't depend on how rows are dealt out. Null is less than any value, and null keys are a key.
 
-def keep_one(df: DataFrame, keys: list[str], order: list[Column] | None = None, nocase: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each key: the first by ``order``, ties broken by all columns. Null keys are a key."""
-    by = [F.lower(F.col(k)) if k in nocase else F.col(k) for k in keys]
-    ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*by).orderBy(*total_order(df, order or []))))
-    return ranked.where("_rank = 1").drop("_rank")
+    Rows are compared where they are before any are dealt out by key: a key that very many rows have
+    is one row of each task by then.
+    """
+    by = [(F.lower(F.col(k)) if k in nocase else F.col(k)).alias(f"_key{i}") for i, k in enumerate(keys)]
+    if re.search(r"\b(map<|variant)", df.schema.simpleString()):  # such columns have no order: they go along
+        comparable = [f.name for f in df.schema if not re.search(r"\b(map<|variant)", f.dataType.simpleString())]
+        best = F.max_by(F.struct(*df.columns), F.struct(*(x.alias(f"_{i}") for i, x in enumerate([*(greatest or []), *map(F.col, comparable)]))))
+        return df.groupBy(*by).agg(best.alias("_row")).select("_row.*")
+    row = F.struct(*(x.alias(f"_{i}") for i, x in enumerate(greatest or [])), F.struct(*df.columns).alias("row"))
+    return df.groupBy(*by).agg(F.max(row).alias("_best")).select("_best.row.*")
 
 
 def keep_latest(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -38,7 +44,7 @@ def with_keys(df: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:
 def merge(base: DataFrame, batch: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Union of both, one row for each key: the greatest ``order``; without one, or at a tie, the batch's."""
     both = base.withColumn("_batch", F.lit(0)).unionByName(batch.withColumn("_batch", F.lit(1)), allowMissingColumns=True)
-    return keep_one(both, keys, [*newest_first(order or []), F.desc("_batch")]).drop("_batch")
+    return keep_one(both, keys, [*newest_first(order or []), F.col("_batch")]).drop("_batch")
 
 
 def upsert(base: DataFrame, batch: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:

@@ -127,7 +127,7 @@ def stream_counters(v: Views) -> DataFrame:
 
     counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     done = v.spark.read.option("basePath", folder).schema("fetch_date date, attempted bigint, fetched bigint, batch int").parquet(f"{folder}/batch=*")
-    return tables.keep_one(done, ["fetch_date"], [F.desc("batch")]).drop("batch")
+    return tables.keep_one(done, ["fetch_date"], [F.col("batch")]).drop("batch")
 
 
 @query("SELECT ticker, date, close FROM prices")

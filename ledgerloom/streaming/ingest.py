@@ -42,7 +42,7 @@ def merged(spark: SparkSession, folder: str, spec: TableSpec) -> DataFrame:
     A compacted base counts as the delta that it goes up to.
     """
     rows = spark.read.option("basePath", folder).schema(f"{spec.ddl}, delta bigint").parquet(f"{folder}/delta=*")
-    return keep_one(rows, list(spec.keys), [F.desc("delta"), *newest_first(spec.order)]).select(*spec.columns)
+    return keep_one(rows, list(spec.keys), [F.col("delta"), *newest_first(spec.order)]).select(*spec.columns)
 
 
 def compact(spark: SparkSession, folder: str, spec: TableSpec) -> int:
