@@ -143,3 +143,37 @@ def stream_compacted(v: Views) -> DataFrame:
     ingest.merged_stream(stream, folder, spec, f"{folder}/checkpoint").awaitTermination()
     ingest.compact(v.spark, folder, spec)
     return ingest.merged(v.spark, folder, spec)
+
+
+@query("SELECT o_orderpriority AS form, CAST(count(*) * 2 AS BIGINT) AS n_rows FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1")
+def replace_from_query(v: Views) -> DataFrame:
+    """A table made by one query and replaced by another that reads it."""
+    path = shared_path(v.spark, "replaced")
+    filings = v.filings().where("status <> 'P'")
+    batches.replace_table(filings.groupBy("form").agg(F.count("*").alias("n_rows")), path)
+    batches.replace_table(v.spark.read.parquet(path).withColumn("n_rows", F.col("n_rows") * 2), path)
+    return v.spark.read.schema("form string, n_rows bigint").parquet(path)
+
+
+@query("""SELECT cik, primary_name, '20240101_00000' || CAST(CAST(cik AS BIGINT) % 3 AS INTEGER) AS batch_id FROM companies WHERE category = 'BUILDING' AND CAST(cik AS BIGINT) % 3 <> 2""")
+def restricted_batches(v: Views) -> DataFrame:
+    """Stored batches less the companies that aren't in the universe; one batch has no others and goes."""
+    path, spec = shared_path(v.spark, "restricted"), TABLES["companies"]
+    for k in range(3):
+        batches.append_batch(v.companies().where(F.col("cik").cast("long") % 3 == k), path, spec, f"20240101_00000{k}")
+    batches.restrict_batches(v.spark, path, spec, v.companies().where("category = 'BUILDING' AND CAST(cik AS BIGINT) % 3 <> 2"))
+    return v.spark.read.schema(spec.ddl + ", batch_id string").parquet(path).select("cik", "primary_name", "batch_id")
+
+
+@query("SELECT ticker, date, close FROM prices")
+def stream_replayed(v: Views) -> DataFrame:
+    """The source files are the copies to recover from: a stream that lost its checkpoint reads them again and makes the same table."""
+    from ledgerloom.schemas import TableSpec
+
+    spec = TableSpec("prices", "ticker string, date date, close double", ("ticker", "date"), ("close",), upsert=True)
+    folder = shared_path(v.spark, "replayed")
+    rows = v.table("events").where("user_id IS NOT NULL AND ts IS NOT NULL").select(F.col("user_id").cast("string").alias("ticker"), F.to_date("ts").alias("date"), F.col("value").alias("close"))
+    rows.groupBy("ticker", "date").agg(F.max("close").alias("close")).repartition(2, "ticker").write.parquet(f"{folder}/landed")
+    for checkpoint in ("first", "second"):
+        ingest.merged_stream(ingest.arrivals(v.spark, f"{folder}/landed", spec), folder, spec, f"{folder}/{checkpoint}").awaitTermination()
+    return ingest.merged(v.spark, folder, spec)

@@ -164,6 +164,19 @@ def publish(df: DataFrame, folder: str, version: str, existing: DataFrame | None
     return path
 
 
+def replace_table(df: DataFrame, path: str) -> None:
+    """Replace a table by what a query gives; the query may read the table itself, which stays as it is until the new one is whole."""
+    df.write.mode("overwrite").parquet(f"{path}-next")
+    _move(df.sparkSession, f"{path}-next", path)
+
+
+def restrict_batches(spark: SparkSession, path: str, spec: TableSpec, universe: DataFrame, key: str = "cik") -> None:
+    """Take the rows whose key isn't in ``universe`` out of the stored batches; a batch without others goes."""
+    stored = spark.read.schema(spec.ddl + ", batch_id string").parquet(path)
+    stored.join(universe.select(key).distinct(), key, "left_semi").write.partitionBy("batch_id").mode("overwrite").parquet(f"{path}-next")
+    _move(spark, f"{path}-next", path)
+
+
 def rebuild(tables: dict[str, DataFrame], folder: str, version: str, main: list[str]) -> dict[str, str]:
     """All tables of a build under one version, and one pointer to it; nothing is written if all main inputs are empty.
 
