@@ -17,6 +17,8 @@ RARE_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0 ᠎ -​    
 
 #: Words that a worker keeps between batches. Frequent words come early; once full it takes no more.
 CACHE_WORDS = 500_000
+#: Runs of punctuation that it keeps, and the longest word that it does.
+CACHE_TAILS, CACHE_CHARS = 10_000, 64
 #: Texts whose new words are encoded together.
 GROUP = 64
 #: Characters of new words that go through the tokenizer at once.
@@ -80,7 +82,9 @@ class TextEncoder:
                 if tail:
                     out[head] = ids  # the bare word comes as well, or with other punctuation
                     if (more := self.tails.get(tail)) is None:
-                        more = self.tails[tail] = model(tail)
+                        more = model(tail)
+                        if len(self.tails) < CACHE_TAILS:
+                            self.tails[tail] = more
                     ids += more
                 out[word] = ids
                 continue
@@ -138,7 +142,7 @@ class TextEncoder:
             for ids, at, word in new:
                 ids[at] = learnt[word]
             if len(self.known) < CACHE_WORDS:
-                self.known.update(learnt)
+                self.known.update((word, ids) for word, ids in learnt.items() if len(word) <= CACHE_CHARS)
         return [b"".join(x) for x in found]
 
 

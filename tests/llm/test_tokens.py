@@ -42,6 +42,22 @@ def test_cached_ids_are_the_tokenizers(name, kind):
     assert encoder.ids(texts) == [encoder.whole(x) for x in texts]
 
 
+@pytest.mark.parametrize(("name", "kind"), [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_words_of_any_shape_get_the_tokenizers_ids(name, kind):
+    encoder = tokens.TextEncoder(tokens.vocabulary(name), kind)
+    letters = "abcdeghinorstuABCÀÉßØöÿŸœƒªºµ²Ⅷ0 189" + "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "' ' ,.,.  \n"
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.lists(st.text(letters, max_size=40), max_size=4))
+    def check(texts):
+        assert encoder.ids(texts) == [encoder.whole(x) for x in texts]
+
+    check()
+    long = "".join(chr(97 + i * i % 26) for i in range(20_000))
+    assert encoder.ids([long + ", x", long]) == [encoder.whole(long + ", x"), encoder.whole(long)]
+    assert max(map(len, encoder.known)) <= tokens.CACHE_CHARS
+
+
 def table_of(spark, texts=TEXTS):
     rows = [(i * 3, x) for i, x in enumerate(texts)]
     rows += [rows[4], (None, "nameless"), (6, "another text")]  # a repeated row, a null id, an id that comes twice
