@@ -153,4 +153,4 @@ def read_ledger(spark: SparkSession, ledger: str, rule_version: str) -> DataFram
 
 
 def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents")(spark, "secret-ledger")).drop("blob")
+    return scan(table(spark, sf_dir, "documents"), shared_path(spark, "secret-ledger")).drop("blob")

@@ -41,6 +41,13 @@ def test_secrets(spark, tmp_path):
     assert any("github" in r.spans for r in got) and any("jwt" in r.spans for r in got)
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_registered_query_of_secrets(spark):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = secret_ledger.op10_secret_ledger(spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id: r.base_sha256 for r in got} == {k: hashlib.sha256(",".join(x for _, _, x in base_spans(t)).encode()).hexdigest() for k, t in docs.items()}
+
+
 def test_marks_and_tokens_same_as_by_pattern():
     pem = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----(?:[\s\S]*?-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----)?")
     jwt = re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
