@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import extraction, language, leaks, license_scan, line_chunks, near_join, outliers, packing, runs, secret_ledger, token_files
+from . import extraction, language, leaks, license_scan, line_chunks, mixing, near_join, outliers, packing, runs, secret_ledger, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": packing.op8_best_fit_packing,
         "op9_edit_leaks": leaks.op9_edit_leaks,
         "op10_secret_ledger": secret_ledger.op10_secret_ledger,
+        "op11_source_mix": mixing.op11_source_mix,
         "op12_periodic_runs": runs.op12_periodic_runs,
     }
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,21 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a number given by ``in_order`` that count rows within a range.
+RANGE_BITS = 33
+
+
+def in_order(df: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """``name``: longs that rise in the order ``by``, landed; its bits above RANGE_BITS number the range of the row.
+
+    Rows are dealt out by ranges of the order, so no task holds more than a range, whatever they
+    have in common; where rows may be alike in all of ``by``, a column that tells them apart belongs
+    to it. ``df`` should be landed, as its rows are sampled first.
+    """
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    return landed(ranged.withColumn(name, F.monotonically_increasing_id()), "ordered")
+
+
 def over_batches(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str
 ) -> DataFrame:
