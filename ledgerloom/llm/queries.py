@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import extraction, language, leaks, license_scan, line_chunks, mixing, near_join, outliers, packing, runs, secret_ledger, token_files
+from . import conversations, extraction, language, leaks, license_scan, line_chunks, mixing, near_join, outliers, packing, runs, secret_ledger, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_secret_ledger": secret_ledger.op10_secret_ledger,
         "op11_source_mix": mixing.op11_source_mix,
         "op12_periodic_runs": runs.op12_periodic_runs,
+        "op13_conversation_repair": conversations.op13_conversation_repair,
     }
 
 
