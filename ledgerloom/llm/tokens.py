@@ -8,7 +8,7 @@ elsewhere (runs of white space, tabs and other rare separators) goes through the
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 
@@ -16,13 +16,9 @@ import numpy as np
 RARE_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 
 #: Words that a worker keeps between batches. Frequent words come early; once full it takes no more.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 750_000
 #: Runs of punctuation that it keeps, and the longest word that it does.
 CACHE_TAILS, CACHE_CHARS = 10_000, 64
-#: Texts whose new words are encoded together.
-GROUP = 64
-#: Characters of new words that go through the tokenizer at once.
-CALL_CHARS = 200_000
 
 #: A word with the blank before it and punctuation behind it: two units of either pattern.
 LATIN_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
@@ -37,20 +33,18 @@ class TextEncoder:
     """``ids(texts)``: for each whole text, its ids as bytes of little-endian 32-bit integers.
 
     ``kind`` is "byte" for a byte-level vocabulary, where a blank belongs to the word after it, or
-    "word" for a vocabulary whose patterns drop white space. New words of a batch are encoded
-    together, with a special token between them to tell their ids apart.
+    "word" for a vocabulary whose patterns drop white space.
     """
 
     def __init__(self, path: str, kind: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.packed = [k.to_bytes(4, "little") for k in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.kind = kind
-        self.between = "<|endoftext|>"
-        self.between_id = self.tokenizer.token_to_id(self.between)
-        self.known: dict[str, bytes] = {}
+        self.known = Known(self.word)
         self.tails: dict[str, bytes] = {}
-        self.line_feed = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -69,37 +63,19 @@ class TextEncoder:
             return text.split()
         return text.replace("\n", " \n ").replace(" ", "\0 ").replace("\0 \n\0 ", "\0\n\0").split("\0")
 
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of new words: plain ones straight from the model, the others through the whole tokenizer."""
-        out: dict[str, bytes] = {}
-        held: list[str] = []
-        size = 0
-        known, pieces, model = self.known, self.pieces, self.model
-        for word in words:
-            if parts := pieces(word):
-                head, tail = parts
-                ids = known.get(head) or out.get(head) or model(head)
-                if tail:
-                    out[head] = ids  # the bare word comes as well, or with other punctuation
-                    if (more := self.tails.get(tail)) is None:
-                        more = model(tail)
-                        if len(self.tails) < CACHE_TAILS:
-                            self.tails[tail] = more
-                    ids += more
-                out[word] = ids
-                continue
-            held.append(word)
-            size += len(word)
-            if size >= CALL_CHARS:
-                out.update(self._learn(held))
-                held, size = [], 0
-        if held:
-            out.update(self._learn(held))
-        return out
-
-    def pieces(self, word: str) -> tuple[str, str] | None:
-        """The two units that the tokenizer's patterns make of a Latin word with punctuation behind it, or None."""
-        return found.groups() if (found := LATIN_WORD(word)) else None
+    def word(self, word: str) -> bytes:
+        """The ids of a word: a Latin one straight from the model in the two units that the tokenizer's
+        patterns make of it and the punctuation behind it, any other through the whole tokenizer."""
+        if not (found := LATIN_WORD(word)):
+            return self.whole(word)
+        head, tail = found.groups()
+        if not tail:
+            return self.model(head)
+        if (more := self.tails.get(tail)) is None:
+            more = self.model(tail)
+            if len(self.tails) < CACHE_TAILS:
+                self.tails[tail] = more
+        return self.known[head] + more  # the bare word comes as well, or with other punctuation
 
     def model(self, unit: str) -> bytes:
         """The ids of one unit of the patterns, by the tokenizer's model, which reads characters that stand for bytes."""
@@ -109,41 +85,25 @@ class TextEncoder:
             unit = unit.encode().decode("latin-1").translate(BYTE_CHARACTERS)
         elif unit[0] == " ":
             unit = BYTE_CHARACTERS[32] + unit[1:]
-        return b"".join([x.id.to_bytes(4, "little") for x in self.tokenizer.model.tokenize(unit)])
-
-    def _learn(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        ids = np.array(self.tokenizer.encode_batch_fast([self.between.join(words)], add_special_tokens=False)[0].ids, "<u4")
-        cuts = np.nonzero(ids == self.between_id)[0]
-        data = ids.tobytes()
-        for word, a, b in zip(words, [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(data)], strict=True):
-            yield word, data[a:b]
+        return b"".join([self.packed[x.id] for x in self.tokenize(unit)])
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for at in range(0, len(texts), GROUP):
-            out += self._group(texts[at : at + GROUP])
-        return out
-
-    def _group(self, texts: list[str]) -> list[bytes]:
-        get, found, new = self.known.get, [], []
-        for text in texts:
-            if not self.plain(text):
-                found.append([self.whole(text)])
-                continue
-            words = self.words(text)
-            ids = list(map(get, words))
-            at = -1
-            for _ in range(ids.count(None)):
-                at = ids.index(None, at + 1)
-                new.append((ids, at, words[at]))
-            found.append(ids)
-        if new:
-            learnt = self.learn({word for _, _, word in new})
-            for ids, at, word in new:
-                ids[at] = learnt[word]
-            if len(self.known) < CACHE_WORDS:
-                self.known.update((word, ids) for word, ids in learnt.items() if len(word) <= CACHE_CHARS)
-        return [b"".join(x) for x in found]
+        known = self.known.__getitem__
+        return [b"".join(map(known, self.words(x))) if self.plain(x) else self.whole(x) for x in texts]
+
+
+class Known(dict):
+    """The ids of words; those of a new word are made when it is asked for, and kept while there is room."""
+
+    def __init__(self, ids_of: Callable[[str], bytes]):
+        super().__init__()
+        self.ids_of = ids_of
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.ids_of(word)
+        if len(self) < CACHE_WORDS and len(word) <= CACHE_CHARS:
+            self[word] = ids
+        return ids
 
 
 def encoder(path: str, kind: str) -> TextEncoder:
