@@ -24,8 +24,9 @@ from .shared import batch, binary_rows, landed, longs, over_batches, texts_of
 from .tokens import encoder
 
 BLOCK_IDS = 1 << 17
-#: Bytes of text that a shard takes, about: what a task sorts and encodes; and the least number of shards.
-SHARD_BYTES, LEAST_SHARDS = 32 << 20, 8
+#: Bytes of text that a shard takes, about: what a task sorts and encodes; the least number of shards, and the
+#: most, beyond which shards grow: a range is sampled for each, and the sums of all shards go to every task.
+SHARD_BYTES, LEAST_SHARDS, MOST_SHARDS = 32 << 20, 8, 1 << 15
 BLOCKS = "shard int, block int, first_id long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
@@ -73,7 +74,7 @@ def write_tokens(
 
 def _shards(rows: DataFrame) -> int:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(LEAST_SHARDS, -(-size // SHARD_BYTES))
+    return min(max(LEAST_SHARDS, -(-size // SHARD_BYTES)), MOST_SHARDS)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -106,8 +107,8 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
 def _placed(spark: SparkSession, path: str) -> DataFrame:
     """The blocks with ``base``, the ids of all shards before.
 
-    The sums are one row for each shard, two numbers each, so they go to the blocks: a shard is
-    ``SHARD_BYTES`` of text, and 100 TB of it have some 1.6 million of them. The payloads stay where they are.
+    The sums are one row for each shard, two numbers each, ``MOST_SHARDS`` of them at most, so they go
+    to the blocks. The payloads stay where they are.
     """
     blocks = spark.read.schema(BLOCKS).parquet(path)
     sums = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
