@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import batch, binary_rows, landed, longs, over_batches, splitmix, table, texts_of
+from .shared import batch, binary_rows, landed, longs, over_batches, set_aside, splitmix, table, texts_of
 
 #: A wrapped line ends at the first sentence end from so many words on, or at so many words.
 LEAST_WORDS, MOST_WORDS = 12, 24
@@ -219,7 +219,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     long texts are read whole, line by line. n_chars, if there is such a column, is set anew where
     text has changed. Other columns stay, whatever their names; an empty table gives an empty one.
     """
-    docs = docs.drop("n_removed_lines")
+    docs, back = set_aside(docs.drop("n_removed_lines"), ["doc_id", "text", "n_chars"])
     columns = docs.columns
     tie = F.xxhash64("text")
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.shiftrightunsigned(tie, 2))
@@ -278,7 +278,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     text_at, chars_at = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
     changed = decisions.where(F.size("_gone") > 0).drop("told")
-    return over_batches(joined(changed, "left").select(*columns, "_gone"), cleaned, schema)
+    return back(over_batches(joined(changed, "left").select(*columns, "_gone"), cleaned, schema), "n_removed_lines")
 
 
 def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

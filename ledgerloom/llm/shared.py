@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +84,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def set_aside(docs: DataFrame, used: Sequence[str]) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``docs`` with every column but those of ``used`` under a name by its place, which no operator
+    gives, and a function that brings the old names and their order back, further columns of a result last."""
+    names = [c if c in used else f"further_column_{k}" for k, c in enumerate(docs.columns)]
+
+    def back(df: DataFrame, *more: str) -> DataFrame:
+        return df.select(*names, *more).toDF(*docs.columns, *more)
+
+    return docs.toDF(*names), back
+
+
 class Forest:
     """Union-find over dense integers; the smallest member is the root."""
 

@@ -1,14 +1,20 @@
 import os
+import re
 
 import pytest
 
 from ledgerloom import session
-from ledgerloom.llm import leaks, line_chunks, near_join
+from ledgerloom.llm import language, leaks, line_chunks, near_join, packing, shared
 from ledgerloom.llm.shared import landed
 
 import corpus_pipeline
 
 SMALL = "/root/testdata/sf0.001"
+#: Names that some operator or stage gives to a column of its own, as its source has them between quotes.
+_SOURCES = [open(m.__file__, encoding="utf-8").read() for m in (corpus_pipeline.pipeline_stages, language, leaks, line_chunks, near_join, packing, shared)]
+_NAMES = {x for s in _SOURCES for x in re.findall(r'"(_?[a-z][a-z0-9_]*)"', s)} - {"doc_id", "text", "lang", "n_chars", "source"}
+CLASHING = sorted(_NAMES | {"score", "matches", "lang_pred", "n_removed_lines", "further_column_5", "_own", "_kept", "_tie"})
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
 
 
@@ -59,7 +65,7 @@ def test_each_stage_on_hard_tables(spark, at):
     name, stage = corpus_pipeline.STAGES[at]
     words = " ".join(f"the house of {i} and that water" for i in range(40))
     rows = [(1, words, "en"), (1, words.replace("house", "garden"), "en"), (1, words, "en"), (2, words + " more", "en"), (None, words, "en"), (None, None, None), (3, "", "en"), (4, "der und das haus mit wasser " * 9, "de")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("doc_id", "text", "lang", "'s' AS source", "CAST(length(text) AS BIGINT) AS n_chars", "1 AS matches", "2 AS rep", "3 AS lang_pred", "4 AS n_removed_lines", "5 AS class", "6 AS tie")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("doc_id", "text", "lang", "'s' AS source", "CAST(length(text) AS BIGINT) AS n_chars", *(f"{k} AS {x}" for k, x in enumerate(CLASHING)))
     last = at == len(corpus_pipeline.STAGES) - 1
     got = stage(spark, docs, SMALL)
     kept = got.collect()
@@ -69,3 +75,14 @@ def test_each_stage_on_hard_tables(spark, at):
         assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("1", words), ("1", words.replace("house", "garden")), ("None", None), ("3", ""), ("4", rows[-1][1])])
     if last:
         assert len({(r.doc_id, r.piece, r.sequence_id, r.offset) for r in kept}) == len(kept) == len(rows)
+    else:  # the caller's columns stay the caller's
+        assert all(r[x] == k for r in kept for k, x in enumerate(CLASHING))
+
+
+def test_line_dedup_leaves_columns_of_any_name(spark):
+    line = "these are the words of one line which comes again and again until it goes"
+    docs = spark.createDataFrame([(i, f"own {i}\n{line}\nand {line} more") for i in range(4)], "doc_id long, text string")
+    given = docs.selectExpr("*", *(f"{k} AS {x}" for k, x in enumerate(CLASHING) if x != "n_removed_lines"))
+    got = line_chunks.without_repeats(given)
+    assert got.columns == [*given.columns, "n_removed_lines"]
+    assert all(r[x] == k for r in got.collect() for k, x in enumerate(CLASHING) if x != "n_removed_lines")
