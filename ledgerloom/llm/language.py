@@ -7,12 +7,12 @@ n-grams of the whole text. The machines are fitted on a bounded sample of labell
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,31 +36,40 @@ FAMILIES = {
 }
 FAMILY_OF = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def family_of(lang: str) -> str:
     return FAMILY_OF.get(lang, lang)
 
 
-#: Characters of a text that are hashed at once; counts add up, so cuts change next to nothing.
+#: Characters of a text that are hashed at once: n-grams over a cut are counted with what follows it.
 CHUNK = 1 << 18
+BLANK = np.array([32], np.uint32)
+
+
+def _count(counts: np.ndarray, codes: np.ndarray, begin: int) -> None:
+    """Add the n-grams of ``codes`` that end at ``begin`` or after it."""
+    one = codes * np.uint32(0x9E3779B1)
+    two = (one[:-1] ^ (codes[1:] * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35)
+    three = (two[:-1] ^ (codes[2:] * np.uint32(0x27D4EB2F))) * np.uint32(0x165667B1)
+    for k, grams in enumerate((one, two, three)):
+        counts += np.bincount(grams[max(0, begin - k) :] >> np.uint32(20), minlength=FEATURES)
 
 
 def vector(text: str) -> np.ndarray:
     """Root counts of hashed n-grams of one to three letters, of length one."""
-    counts = np.zeros(FEATURES, np.int64)
+    counts, text = np.zeros(FEATURES, np.int64), text.lower()
+    before, word = BLANK, True  # the last two codes so far, and whether a blank may follow them
+    _count(counts, BLANK, 0)
     for at in range(0, len(text), CHUNK):
-        codes = np.frombuffer(text[at : at + CHUNK].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.frombuffer(text[at : at + CHUNK].encode("utf-32-le", "surrogatepass"), np.uint32)
         # Below 65 there are no letters; what stands between words becomes one blank.
         codes = np.where((codes < 97) | ((codes > 122) & (codes < 192)), np.uint32(32), codes)
-        codes = codes[np.concatenate([[True], (codes[1:] != 32) | (codes[:-1] != 32)])]
-        codes = np.concatenate([[32], codes, [32]]).astype(np.uint32)
-        one = codes * np.uint32(0x9E3779B1)
-        two = (one[:-1] ^ (codes[1:] * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35)
-        three = (two[:-1] ^ (codes[2:] * np.uint32(0x27D4EB2F))) * np.uint32(0x165667B1)
-        for grams in (one, two, three):
-            counts += np.bincount(grams >> np.uint32(20), minlength=FEATURES)
+        codes = codes[np.concatenate([[word], codes[:-1] != 32]) | (codes != 32)]
+        _count(counts, np.concatenate([before, codes]), len(before))
+        before, word = np.concatenate([before, codes])[-2:], bool(codes[-1] != 32) if len(codes) else word
+    _count(counts, np.concatenate([before, BLANK]), len(before))
     out = np.sqrt(counts, dtype=np.float32)
     return out / max(float(np.sqrt((out * out).sum())), 1e-9)
 
