@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 
 from .shared import longs, over_batches, table, texts_of
 
-#: Pages whose text the layouts are filled with, at most, and the longest page among them.
-SAMPLE_PAGES, SAMPLE_CHARS = 150, 30_000
+#: Pages whose text the layouts are filled with, at most about; blocks of each, and characters of a block, at most.
+SAMPLE_PAGES, SAMPLE_BLOCKS, SAMPLE_CHARS = 150, 100, 2_000
 PATH_BITS, STEP_BITS, WORD_BITS, MEASURES, HIDDEN = 7, 5, 5, 6, 16
 AT_STEPS = 1 << PATH_BITS
 AT_WORDS = AT_STEPS + (1 << STEP_BITS)
@@ -404,13 +404,38 @@ def trained(texts: list[str], pages: int = 480, seed: int = 3) -> Labeller:
     return labeller
 
 
-def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_chars: int = SAMPLE_CHARS) -> Labeller:
-    """Train on text of at most about ``sample_pages`` pages of at most ``sample_chars``, chosen by a hash."""
-    usable = pages.where(F.length("html").between(1, sample_chars))
-    n = usable.count()
+def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_blocks: int = SAMPLE_BLOCKS, sample_chars: int = SAMPLE_CHARS) -> Labeller:
+    """Train on text of about ``sample_pages`` pages of any length, chosen by a hash: of each at most
+    ``sample_blocks`` blocks, spread over the page, cut to ``sample_chars``. That bounds what reaches the driver.
+
+    Where the chosen pages have no block, pages that have one are looked for; where no page has one,
+    there is nothing to label either.
+    """
     place = F.pmod(F.xxhash64("html"), F.lit(1 << 30))
-    sample = usable.where(place * F.lit(n) < F.lit(sample_pages * (1 << 30))).select("html").orderBy(place, "html").limit(2 * sample_pages).collect()
-    return trained([text for row in sample for _, text, _ in blocks(row.html)])
+
+    def drawn(usable: DataFrame) -> list[str]:
+        n = usable.count()
+        sample = usable.where(place * F.lit(n) < F.lit(sample_pages * (1 << 30))).select("html", place.alias("place"), F.xxhash64("html", F.lit(1)).alias("tie"))
+        kept = sample.select("place", "tie").orderBy("place", "tie").limit(2 * sample_pages)
+        rows = over_batches(sample.join(F.broadcast(kept.distinct()), ["place", "tie"]), some_blocks, "place long, tie long, texts array<string>").collect()
+        return [text for row in sorted(rows, key=lambda r: (r.place, r.tie)) for text in row.texts]
+
+    def some_blocks(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for record in records:
+            texts = []
+            for page in texts_of(record, "html"):
+                found = [text[:sample_chars] for _, text, _ in blocks(page)]
+                step = -(-len(found) // sample_blocks)
+                texts.append(found[::step] if found else [])
+            yield pa.RecordBatch.from_arrays([record.column("place"), record.column("tie"), pa.array(texts, pa.list_(pa.string()))], names=["place", "tie", "texts"])
+
+    def with_blocks(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for record in records:
+            yield pa.RecordBatch.from_arrays([pa.array([x for x in texts_of(record, "html") if any(text.strip() for _, text, _ in blocks(x))], pa.string())], names=["html"])
+
+    usable = pages.where(F.length("html") > 0).select("html")
+    texts = drawn(usable)
+    return trained(texts if any(x.strip() for x in texts) else drawn(over_batches(usable, with_blocks, "html string")))
 
 
 def extracted(pages: DataFrame, labeller: Labeller) -> DataFrame:

@@ -282,3 +282,27 @@ def test_extracted(spark, labeller):
     assert got[1].text == "Title of it\nSome text here, more." and got[1].n_chars == len(got[1].text)
     assert got[2].text == got[3].text == got[4].text == "" and got[5].text.count("\n") == 2999
     assert extraction.extracted(pages.limit(0), labeller).count() == 0
+
+
+def test_letters_and_pieces_of_languages(monkeypatch):
+    assert not language.LETTER.search("²½ 12 _①") and language.LETTER.search("1é") and language.LETTER.search("漢")
+    r = random.Random(11)
+    for _ in range(200):
+        text = "".join(r.choice("abcé  .,\nÜß1漢") for _ in range(r.randint(0, 60)))
+        whole = language.vector(text)
+        with monkeypatch.context() as m:
+            m.setattr(language, "CHUNK", r.choice([1, 2, 3, 7]))
+            assert (language.vector(text) == whole).all(), text
+
+
+def test_training_on_pages_of_any_length(spark):
+    """Pages behind long comments, and pages most of which have no block, train a network as others do."""
+    prose = [f"Paragraph {i} tells of the house and the water, and of {i} more things." for i in range(40)]
+    page = "<html><body>" + "".join(f"<p>{x}</p>" for x in prose) + "</body></html>"
+    pages = spark.createDataFrame([(i, page.replace("things", f"things {i}")) for i in range(6)], "page_id long, html string")
+    padded = pages.selectExpr("page_id", "concat('<!--', repeat('x ', 40000), '-->', html) AS html")
+    plain, long = ({r.page_id: r.text for r in extraction.extracted(p, extraction.fit(p)).collect()} for p in (pages, padded))
+    assert plain == long and all(len(x) > 1000 for x in plain.values())
+    bare = spark.range(400).selectExpr("id AS page_id", "concat('<br id=', id, '>') AS html").union(pages)
+    assert "house" in max((r.text for r in extraction.extracted(bare, extraction.fit(bare, sample_pages=2)).collect()), key=len)
+    assert extraction.extracted(bare.limit(3), extraction.fit(bare.where("html LIKE '<br%'"))).count() == 3
