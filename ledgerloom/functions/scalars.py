@@ -56,7 +56,7 @@ def digits(x: Column | str, kind: str = "bigint") -> Column:
 def truthy(x: Column | str) -> Column:
     """Null stays null; the literals 0 and false and the empty string are false, all else is true.
 
-    A JSON document's literal false and its string "false" are the same text by the time it is parsed here.
+    For texts of which no more is known; ``variants.truthy`` tells a document's false from its "false".
     """
     s = F.lower(col(x).cast("string"))
     return F.when(s.isNull(), F.lit(None).cast("boolean")).otherwise(~s.isin("", "0", "0.0", "false"))

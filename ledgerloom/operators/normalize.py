@@ -1,29 +1,33 @@
-"""Nested company documents to flat rows, with one distributed parse and no Python."""
+"""Nested company documents to flat rows, with one distributed parse and no Python.
+
+Values whose type tells what they mean (truth, numbers or text) are parsed as VARIANT.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import digits, filled, iso_date, numeric_value, pad_cik, text_value, truthy, utc_timestamp
+from ledgerloom.functions import variants
+from ledgerloom.functions.scalars import digits, filled, iso_date, pad_cik, utc_timestamp
 from ledgerloom.schemas import TABLES
 
 from .tables import keep_one
 
 # The documents' shapes, and (JSON name, column) pairs.
-_PLACE = "struct<street1:string,street2:string,city:string,stateOrCountry:string,zipCode:string>"
+_PLACE = "struct<street1:variant,street2:variant,city:variant,stateOrCountry:variant,zipCode:variant>"
 FILING_FIELDS = [("accessionNumber", "accession_number"), ("filingDate", "filing_date"), ("reportDate", "report_date"), ("acceptanceDateTime", "acceptance_datetime"), ("act", "act"), ("form", "form"), ("fileNumber", "file_number"), ("filmNumber", "film_number"), ("items", "items"), ("size", "size"), ("isXBRL", "is_xbrl"), ("isInlineXBRL", "is_inline_xbrl"), ("primaryDocument", "primary_document"), ("primaryDocDescription", "primary_doc_description")]
 COMPANY_FIELDS = [("name", "primary_name"), ("entityType", "entity_type"), ("sic", "sic"), ("sicDescription", "sic_description"), ("ein", "ein"), ("description", "description"), ("category", "category"), ("stateOfIncorporation", "state_of_incorporation"), ("phone", "phone"), ("flags", "flags")]
 PLACE_FIELDS = [("street1", "street1"), ("street2", "street2"), ("city", "city"), ("stateOrCountry", "state_or_country"), ("zipCode", "zip_code")]
 
 SUBMISSION = (
-    "cik string, fiscalYearEnd string, " + ", ".join(f"{name} string" for name, _ in COMPANY_FIELDS)
+    "cik string, fiscalYearEnd string, " + ", ".join(f"{name} variant" for name, _ in COMPANY_FIELDS)
     + f", addresses struct<mailing:{_PLACE},business:{_PLACE}>, tickers array<string>, exchanges array<string>, "
     "formerNames array<struct<name:string,`from`:string,`to`:string>>, filings struct<recent:map<string,string>>"
 )
 COMPANY_FACTS = (
     "cik string, entityName string, facts map<string,map<string,struct<label:string,description:string,units:map<string,array<struct<"
-    "val:string,accn:string,`end`:string,fy:string,fp:string,form:string,filed:string,frame:string>>>>>>"
+    "val:variant,accn:string,`end`:string,fy:variant,fp:string,form:string,filed:string,frame:string>>>>>>"
 )
 
 
@@ -41,9 +45,9 @@ def company_facts(texts: DataFrame, column: str = "value") -> DataFrame:
 
 def companies(docs: DataFrame, parsed_at: Column, facts_docs: DataFrame | None = None) -> DataFrame:
     """A row for each document; the entity name comes from the company's facts document, if there is one."""
-    place = [F.col(f"addresses.{kind}.{name}").alias(f"{kind}_{to}") for kind in ("mailing", "business") for name, to in PLACE_FIELDS]
+    place = [variants.text(f"addresses.{kind}.{name}").alias(f"{kind}_{to}") for kind in ("mailing", "business") for name, to in PLACE_FIELDS]
     rows = docs.select(
-        "cik", *(filled(name).alias(to) for name, to in COMPANY_FIELDS), F.coalesce("fiscalYearEnd", F.lit("")).alias("fiscal_year_end"), *place,
+        "cik", *(variants.filled(name).alias(to) for name, to in COMPANY_FIELDS), F.coalesce("fiscalYearEnd", F.lit("")).alias("fiscal_year_end"), *place,
         F.lit(None).cast("timestamp").alias("first_added_timestamp"), parsed_at.cast("timestamp").alias("last_parsed_timestamp"),
     )
     if facts_docs is not None:
@@ -75,13 +79,15 @@ def filings(docs: DataFrame, processed: DataFrame | None = None) -> DataFrame:
     """
     recent = docs.select("cik", F.col("filings.recent").alias("r")).where("r IS NOT NULL AND size(r) > 0")
     arrays = F.transform_values("r", lambda _, v: F.from_json(v, "array<string>"))
-    sound = recent.where(F.forall(F.map_values("r"), lambda v: v.like("[%"))).select("cik", arrays.alias("a"))
+    kept = [F.from_json(F.try_element_at("r", F.lit(name)), "array<variant>").alias(name) for name in ("isXBRL", "isInlineXBRL")]
+    sound = recent.where(F.forall(F.map_values("r"), lambda v: v.like("[%"))).select("cik", arrays.alias("a"), F.struct(*kept).alias("t"))
     lengths = F.transform(F.map_values("a"), lambda x: F.size(x))
-    even = sound.where(F.size(F.array_distinct(lengths)) == 1).select("cik", "a", F.posexplode(F.element_at(F.map_values("a"), 1)).alias("i", "_"))
+    even = sound.where(F.size(F.array_distinct(lengths)) == 1).select("cik", "a", "t", F.posexplode(F.element_at(F.map_values("a"), 1)).alias("i", "_"))
     raw = {to: F.get(F.try_element_at("a", F.lit(name)), F.col("i")) for name, to in FILING_FIELDS}
+    typed = {name: F.get(F.col(f"t.{name}"), F.col("i")) for name in ("isXBRL", "isInlineXBRL")}
     made = raw | {
         "filing_date": iso_date(raw["filing_date"]), "report_date": iso_date(raw["report_date"]), "acceptance_datetime": utc_timestamp(raw["acceptance_datetime"]),
-        "size": digits(raw["size"]), "is_xbrl": truthy(raw["is_xbrl"]), "is_inline_xbrl": truthy(raw["is_inline_xbrl"]),
+        "size": digits(raw["size"]), "is_xbrl": variants.truthy(typed["isXBRL"]), "is_inline_xbrl": variants.truthy(typed["isInlineXBRL"]),
     }
     out = even.select("cik", *(c.alias(name) for name, c in made.items())).dropna(subset=["accession_number", "form", "filing_date", "cik"])
     if processed is not None:
@@ -103,7 +109,7 @@ def facts(docs: DataFrame) -> DataFrame:
     one = by_unit.select("cik", "taxonomy", "tag_name", "unit", F.explode("list").alias("f")).where("f.accn <> '' AND f.form <> ''")
     return one.select(
         "cik", F.col("f.accn").alias("accession_number"), "taxonomy", "tag_name", "unit", iso_date("f.end").alias("period_end_date"),
-        numeric_value("f.val").alias("value_numeric"), text_value("f.val").alias("value_text"), digits("f.fy", "int").alias("fy"), F.col("f.fp").alias("fp"),
+        variants.number("f.val").alias("value_numeric"), variants.other_text("f.val").alias("value_text"), variants.whole("f.fy").alias("fy"), F.col("f.fp").alias("fp"),
         F.col("f.form").alias("form"), iso_date("f.filed").alias("filed_date"), F.coalesce("f.frame", F.lit("")).alias("frame"),
     ).select(*TABLES["xbrl_facts"].columns)
 

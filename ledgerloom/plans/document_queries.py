@@ -66,6 +66,53 @@ def json_explode_tags(v: Views) -> DataFrame:
     return normalize.tags(normalize.company_facts(facts_texts(v)))
 
 
+#: Values of the JSON member isXBRL by turns, and what they mean: false and "false", 0 and "0" differ.
+TRUTHS = [("false", "false"), ('"false"', "true"), ("0", "false"), ('"0"', "true"), ("1", "true"), ("true", "true"), ('""', "false"), ("null", "NULL"), ("0.0", "false"), ("[]", "false"), ('{"a": 0}', "true")]
+
+
+@query(f"""SELECT accession_number, CASE CAST(accession_number AS BIGINT) % {len(TRUTHS)} {' '.join(f"WHEN {k} THEN {truth}" for k, (_, truth) in enumerate(TRUTHS))} END AS is_xbrl,
+CASE WHEN CAST(accession_number AS BIGINT) % 2 = 0 THEN CAST(accession_number AS BIGINT) END AS size FROM filings""")
+def json_typed_truth(v: Views) -> DataFrame:
+    """Documents whose flags are of any JSON type, and sizes of which half are no whole number."""
+    n = F.col("accession_number").cast("long")
+    flag = F.element_at(F.array(*(F.lit(x) for x, _ in TRUTHS)), (n % len(TRUTHS)).cast("int") + 1)
+    size = F.concat("accession_number", F.when(n % 2 == 1, ".5").otherwise(""))
+    one = F.struct(F.to_json(F.struct("accession_number", F.col("filing_date").cast("string").alias("d"), "form")).alias("j"), flag.alias("flag"), size.alias("size"), "accession_number", "form", F.col("filing_date").cast("string").alias("d"))
+    f = v.filings().groupBy("cik").agg(F.collect_list(one).alias("f"))
+
+    def listed(name: str, quote: str = "") -> F.Column:
+        return F.concat(F.lit("["), F.array_join(F.transform("f", lambda x: F.concat(F.lit(quote), x[name], F.lit(quote))), ","), F.lit("]"))
+
+    parts = [("accessionNumber", listed("accession_number", '"')), ("filingDate", listed("d", '"')), ("form", listed("form", '"')), ("isXBRL", listed("flag")), ("size", listed("size"))]
+    members = F.concat_ws(",", *(F.concat(F.lit(f'"{name}":'), x) for name, x in parts))
+    texts = f.select(F.concat(F.lit('{"cik":"'), "cik", F.lit('","filings":{"recent":{'), members, F.lit("}}}")).alias("value"))
+    return normalize.filings(normalize.submissions(texts)).select("accession_number", "is_xbrl", "size")
+
+
+#: Values of the JSON member val by turns, as (JSON, number, text); # stands for the row's price.
+VALUES = [("#", "#", None), ('"#"', "#", None), ("true", "1", None), ('"true"', None, "true"), ("false", "0", None), ('"NaN"', None, "NaN"), ('"-Infinity"', None, "-Infinity"), ("null", None, None), ('"12 apples"', None, "12 apples"), ('{"a":1}', None, '{"a":1}'), ("1.5e3", "1500", None)]
+YEARS = [("2023", "2023"), ('"2023"', "2023"), ('"FY23"', "NULL"), ("2023.9", "2023"), ("null", "NULL")]
+
+
+@query(f"""+ l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_orderkey % {len(VALUES)} AS k, l_partkey % {len(YEARS)} AS y FROM lineitem)
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || l_linenumber || '-' || l_partkey AS accession_number,
+CASE k {' '.join(f"WHEN {k} THEN {'CAST(NULL AS DOUBLE)' if number is None else 'CAST(l_extendedprice AS DOUBLE)' if number == '#' else f'CAST({number} AS DOUBLE)'}" for k, (_, number, _) in enumerate(VALUES))} END AS value_numeric,
+CASE k {' '.join(f"WHEN {k} THEN {'CAST(NULL AS VARCHAR)' if text is None else repr(text)}" for k, (_, _, text) in enumerate(VALUES))} END AS value_text,
+CASE y {' '.join(f"WHEN {k} THEN CAST({year} AS INTEGER)" for k, (_, year) in enumerate(YEARS))} END AS fy FROM l""")
+def json_typed_values(v: Views) -> DataFrame:
+    """Facts whose values and years are of any JSON type: numbers stay numbers, text stays text."""
+    pick = lambda rows, n: F.element_at(F.array(*(F.lit(x[0]) for x in rows)), (n % len(rows)).cast("int") + 1)
+    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    accession = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+    fact = F.concat(
+        F.lit('{"val":'), F.replace(pick(VALUES, F.col("l_orderkey")), F.lit("#"), price), F.lit(',"fy":'), pick(YEARS, F.col("l_partkey")),
+        F.lit(',"accn":"'), accession, F.lit('","form":"10-K"}'),
+    )
+    lists = v.table("lineitem").groupBy("l_suppkey").agg(F.array_join(F.collect_list(fact), ",").alias("facts"))
+    texts = lists.select(F.concat(F.lit('{"cik":'), "l_suppkey", F.lit(',"facts":{"us-gaap":{"Assets":{"units":{"USD":['), "facts", F.lit("]}}}}}")).alias("value"))
+    return normalize.facts(normalize.company_facts(texts)).select("accession_number", "value_numeric", "value_text", "fy")
+
+
 @query("SELECT event_id, CAST(props ->> '$.k' AS BIGINT) AS k FROM events")
 def json_props(v: Views) -> DataFrame:
     return v.table("events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))

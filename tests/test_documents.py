@@ -51,6 +51,26 @@ def test_facts(spark):
     assert (summary.n_filings, summary.n_facts, summary.n_tags) == (1, 2, 1)
 
 
+def test_values_keep_their_types(spark):
+    """false and "false", 0 and "0" differ; company fields that are false are null; values split by what they are."""
+    flags = [False, "false", 0, "0", 1, True, "", None, [], {"a": 0}]
+    recent = {"accessionNumber": [f"a{i}" for i in range(10)], "filingDate": ["2024-01-02"] * 10, "form": ["10-K"] * 10, "isXBRL": flags, "isInlineXBRL": flags[::-1]}
+    doc = SUBMISSION | {"sic": 0, "category": False, "phone": "false", "flags": 17, "ein": "0", "filings": {"recent": recent}}
+    docs = normalize.submissions(texts(spark, doc))
+    got = {r.accession_number: (r.is_xbrl, r.is_inline_xbrl) for r in normalize.filings(docs).collect()}
+    want = [None if x is None else bool(x) for x in flags]
+    assert [got[f"a{i}"] for i in range(10)] == list(zip(want, want[::-1], strict=True))
+    company = normalize.companies(docs, F.lit("2024-01-01")).first()
+    assert (company.sic, company.category, company.phone, company.flags, company.ein) == (None, None, "false", "17", "0")
+    values = [1, "2", True, False, "true", "NaN", "Infinity", "", None, 1.5, {"a": 1}, 10**20]
+    years = [2023, "2023", "x", 2023.9, None, "", True, "20 23", 0, "007", [], -1]
+    facts = [{"val": v, "fy": y, "accn": f"a{i:02}", "form": "10-K"} for i, (v, y) in enumerate(zip(values, years, strict=True))]
+    rows = normalize.facts(normalize.company_facts(texts(spark, {"cik": 1, "facts": {"t": {"Tag": {"units": {"USD": facts}}}}}))).orderBy("accession_number").collect()
+    assert [r.value_numeric for r in rows] == [1.0, 2.0, 1.0, 0.0, None, None, None, None, None, 1.5, None, 1e20]
+    assert [r.value_text for r in rows] == [None, None, None, None, "true", "NaN", "Infinity", "", None, None, '{"a":1}', None]
+    assert [r.fy for r in rows] == [2023, 2023, None, 2023, None, None, 1, None, 0, 7, None, -1]
+
+
 def test_feeds(spark, tmp_path):
     universe = feeds.universe(texts(spark, {"0": {"cik_str": 5}, "1": {"cik_str": 4711}, "2": {"cik_str": 5}}))
     assert [r.cik for r in universe.collect()] == ["0000000005", "0000004711"]
