@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import tables
 from ledgerloom.schemas import TABLES
 from ledgerloom.session import shared_path
-from ledgerloom.sources import batches, ledger
+from ledgerloom.sources import batches, ledger, versions
 from ledgerloom.streaming import ingest
 
 from .registry import query
@@ -42,9 +42,8 @@ def validated_batches(v: Views) -> DataFrame:
     rows = v.prices().select(F.col("ticker").alias("series_id"), "date", F.col("close").alias("value"))
     for k in (1, 2, 3, 2):
         batches.append_batch(rows.where(F.col("series_id").cast("long") % 3 == k - 1), path, spec, f"2024010{k}_000000")
-    stored = v.spark.read.schema(spec.ddl + ", batch_id string").parquet(path)
     ids = batches.batch_ids(batches.inventory(v.spark, path))
-    return stored.join(ids, "batch_id").groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
+    return batches.read_batches(v.spark, path, spec).join(ids, "batch_id").groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
 
 
 @query("""SELECT '20240101_00000' || k AS batch_id, CASE k WHEN 0 THEN 1 ELSE 2 END AS files FROM (SELECT unnest([0, 1]) AS k) WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'F')""")
@@ -81,11 +80,12 @@ def rebuild_swap(v: Views) -> DataFrame:
     """Two builds and one that is held back: the pointer names the second."""
     folder = shared_path(v.spark, "build")
     none, filings = v.companies().where("1 = 0"), v.filings()
-    batches.rebuild({"companies": v.companies(), "filings": filings}, folder, "1", ["companies"])
-    batches.rebuild({"companies": v.companies(), "filings": filings.where("status = 'F'")}, folder, "2", ["companies"])
-    batches.rebuild({"companies": none, "filings": filings}, folder, "3", ["companies"])
-    now = batches.current(v.spark, folder)
-    found = [v.spark.read.parquet(f"{folder}/version={now}/{name}").agg(F.lit(now).alias("version"), F.lit(name).alias("table"), F.count("*").alias("n_rows")) for name in ("companies", "filings")]
+    batches.rebuild({"companies": v.companies(), "filings": filings}, folder, ["companies"])
+    batches.rebuild({"companies": v.companies(), "filings": filings.where("status = 'F'")}, folder, ["companies"])
+    batches.rebuild({"companies": none, "filings": filings}, folder, ["companies"])
+    now = str(batches.current(v.spark, folder))
+    stored = {name: versions.read(v.spark, folder, name, df.schema) for name, df in (("companies", v.companies()), ("filings", filings))}
+    found = [df.agg(F.lit(now).alias("version"), F.lit(name).alias("table"), F.count("*").alias("n_rows")) for name, df in stored.items()]
     return found[0].unionByName(found[1])
 
 
@@ -145,14 +145,13 @@ def stream_compacted(v: Views) -> DataFrame:
     return ingest.merged(v.spark, folder, spec)
 
 
-@query("SELECT o_orderpriority AS form, CAST(count(*) * 2 AS BIGINT) AS n_rows FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1")
+@query("SELECT o_orderpriority AS form, CAST(count(*) * 2 AS BIGINT) AS n_rows FROM orders GROUP BY 1")
 def replace_from_query(v: Views) -> DataFrame:
     """A table made by one query and replaced by another that reads it."""
-    path = shared_path(v.spark, "replaced")
-    filings = v.filings().where("status <> 'P'")
-    batches.replace_table(filings.groupBy("form").agg(F.count("*").alias("n_rows")), path)
-    batches.replace_table(v.spark.read.parquet(path).withColumn("n_rows", F.col("n_rows") * 2), path)
-    return v.spark.read.schema("form string, n_rows bigint").parquet(path)
+    path, schema = shared_path(v.spark, "replaced"), "form string, n_rows bigint"
+    batches.replace_table(v.filings().groupBy("form").agg(F.count("*").alias("n_rows")), path)
+    batches.replace_table(batches.replaced(v.spark, path, schema).withColumn("n_rows", F.col("n_rows") * 2), path)
+    return batches.replaced(v.spark, path, schema)
 
 
 @query("""SELECT cik, primary_name, '20240101_00000' || CAST(CAST(cik AS BIGINT) % 3 AS INTEGER) AS batch_id FROM companies WHERE category = 'BUILDING' AND CAST(cik AS BIGINT) % 3 <> 2""")
@@ -162,7 +161,7 @@ def restricted_batches(v: Views) -> DataFrame:
     for k in range(3):
         batches.append_batch(v.companies().where(F.col("cik").cast("long") % 3 == k), path, spec, f"20240101_00000{k}")
     batches.restrict_batches(v.spark, path, spec, v.companies().where("category = 'BUILDING' AND CAST(cik AS BIGINT) % 3 <> 2"))
-    return v.spark.read.schema(spec.ddl + ", batch_id string").parquet(path).select("cik", "primary_name", "batch_id")
+    return batches.read_batches(v.spark, path, spec).select("cik", "primary_name", "batch_id")
 
 
 @query("SELECT ticker, date, close FROM prices")

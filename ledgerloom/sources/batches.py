@@ -2,19 +2,48 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.scalars import batch_id_of_file
 from ledgerloom.operators.tables import keep_one, newest_first, swap_guard, with_keys
 from ledgerloom.schemas import TABLES, TableSpec
 
+from . import versions
+from .versions import Version, commit, file_system, names, rename_new
+
+#: The name under which versions of a folder keep its batches, and that of a table replaced as a whole.
+BATCHES, WHOLE = "batches", "table"
+
+
+def batch_paths(spark: SparkSession, path: str) -> dict[str, str] | None:
+    """Where each batch of a folder lies, below it: where it was landed, or where the newest version has it
+    since it was written again or restricted. None if the folder holds no batches but plain files."""
+    landed = {x.removeprefix("batch_id="): x for x in names(spark, path) if x.startswith("batch_id=")}
+    changed = versions.latest(spark, path).tables.get(BATCHES, {})
+    return {k: x for k, x in (landed | changed).items() if x} if landed or changed else None
+
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """All batches of a table under one folder, with the declared columns."""
-    return spark.read.schema(spec.schema).option("recursiveFileLookup", "true").parquet(path)
+    paths = batch_paths(spark, path)
+    if paths is None:
+        return spark.read.schema(spec.schema).option("recursiveFileLookup", "true").parquet(path)
+    return spark.read.schema(spec.schema).parquet(*(f"{path}/{x}" for x in paths.values())) if paths else spark.createDataFrame([], spec.schema)
+
+
+def read_batches(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """As ``read_table``, with the batch_id of each row."""
+    rows = read_table(spark, path, spec)
+    if not rows.inputFiles():
+        return rows.withColumn("batch_id", F.lit(None).cast("string"))
+    return rows.select("*", batch_id_of_file("_metadata.file_path").alias("batch_id"))
 
 
 def prepared(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -26,49 +55,67 @@ class BatchMismatch(ValueError):
     """What was read back of a batch isn't what was to be written."""
 
 
-def _files(spark: SparkSession, path: str):
-    """Hadoop's file system of a path, and the path for it."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+class RuleBroken(ValueError):
+    """Rows of a batch break a rule; ``broken`` has how many for each."""
+
+    def __init__(self, message: str, broken: dict[str, int]):
+        super().__init__(message)
+        self.broken = broken
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a folder, in place of what may be there."""
-    system, here = _files(spark, source)
-    _, there = _files(spark, target)
-    system.mkdirs(there.getParent())
-    system.delete(there, True)
-    if not system.rename(here, there):
-        raise OSError(f"can't rename {source} to {target}")
+def spec_rules(spec: TableSpec) -> dict[str, Column]:
+    """What every row of a table must meet: its key parts and required columns are there."""
+    return {f"{x} null": F.col(x).isNull() for x in dict.fromkeys((*spec.keys, *spec.required))}
 
 
-def append_batch(df: DataFrame, path: str, spec: TableSpec, batch_id: str) -> int:
+def append_batch(df: DataFrame, path: str, spec: TableSpec, batch_id: str, rules: dict[str, Column] | None = None) -> int:
     """Write one batch under its own id and return its rows; an empty one writes nothing.
 
-    Rows are written beside the table, read back and counted, and the batch is moved to its place as
-    a whole; if the counts differ, what was written goes and ``BatchMismatch`` is raised. Writing a
-    batch again replaces it.
+    Rows are counted, and those that break a rule (name to a test that finds them), while they are
+    written, beside the table: no second scan. Written files are counted once more by what they say
+    of themselves. If a rule is broken or the counts differ, what was written goes, and
+    ``RuleBroken`` or ``BatchMismatch`` is raised; otherwise the batch takes its place as a whole, by
+    one rename, or by a new version of the folder if the batch is there already, which it replaces.
     """
     spark = df.sparkSession
     out = prepared(df, spec)
-    staged = f"{path}-staging/batch_id={batch_id}"
+    staged = f"{path}-staging/batch_id={batch_id}-{uuid.uuid4().hex}"
     counted = Observation(f"batch-{uuid.uuid4().hex}")
-    out.observe(counted, F.count("*").alias("n")).write.mode("overwrite").parquet(staged)
-    seen = counted.get["n"]
+    tests = {f"rule_{i}": F.count_if(F.coalesce(bad, F.lit(False))) for i, bad in enumerate((rules or {}).values())}
+    versions.step("stage a batch")
+    out.observe(counted, F.count("*").alias("n"), *(x.alias(name) for name, x in tests.items())).write.parquet(staged)
+    found = counted.get
+    broken = {name: n for i, name in enumerate(rules or {}) if (n := found[f"rule_{i}"])}
+    seen = found["n"]
     read = spark.read.schema(spec.schema).parquet(staged).count()
-    if read != seen or not seen:
+    if broken or read != seen or not seen:
         rollback(spark, staged)
+        if broken:
+            raise RuleBroken(f"{spec.name}, batch {batch_id}: {broken}", broken)
         if read != seen:
             raise BatchMismatch(f"{spec.name}, batch {batch_id}: {seen} rows written, {read} read")
         return 0
-    _move(spark, staged, f"{path}/batch_id={batch_id}")
+    there = batch_paths(spark, path)
+    now = versions.latest(spark, path)
+    if (there and batch_id in there) or batch_id in now.tables.get(BATCHES, {}):
+        system, folder = file_system(spark, f"{path}/data")
+        system.mkdirs(folder)
+        place = f"data/{uuid.uuid4().hex}-batch_id={batch_id}"
+        versions.step("move a batch")
+        rename_new(spark, staged, f"{path}/{place}")
+        commit(spark, path, Version(now.number + 1, now.tables | {BATCHES: now.tables.get(BATCHES, {}) | {batch_id: place}}, now.buckets))
+    else:
+        system, folder = file_system(spark, path)
+        system.mkdirs(folder)
+        versions.step("move a batch")
+        rename_new(spark, staged, f"{path}/batch_id={batch_id}")
     return read
 
 
 def rollback(spark: SparkSession, *paths: str) -> None:
     """Take written batches away again."""
     for path in paths:
-        system, where = _files(spark, path)
+        system, where = file_system(spark, path)
         system.delete(where, True)
 
 
@@ -95,10 +142,21 @@ def fan_out(rows: dict[str, DataFrame], folder: str, batch_id: str) -> dict[str,
     return written
 
 
-def write_by_date(df: DataFrame, path: str, column: str = "filed_date", partitions: int | None = None) -> None:
-    """Sorted by ranges of a date, so that readers of a range skip most row groups."""
+def write_by_date(
+    df: DataFrame, path: str, column: str = "filed_date", partitions: int | None = None, lookups: Sequence[str] = (), group_bytes: int | None = None
+) -> None:
+    """Sorted by ranges of a date, so that readers of a range skip most row groups by their least and greatest.
+
+    Columns of ``lookups`` get Bloom filters: readers of one value, of a column that isn't sorted, skip
+    the row groups that can't have it. ``group_bytes`` sets the size of a row group.
+    """
     dealt = df.repartitionByRange(partitions, column) if partitions else df.repartitionByRange(column)
-    dealt.sortWithinPartitions(column).write.mode("overwrite").parquet(path)
+    out = dealt.sortWithinPartitions(column).write.mode("overwrite")
+    for name in lookups:
+        out = out.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    if group_bytes:
+        out = out.option("parquet.block.size", str(group_bytes)).option("parquet.page.size.row.check.min", "100")
+    out.parquet(path)
 
 
 def write_failures(df: DataFrame, path: str) -> None:
@@ -139,15 +197,48 @@ def batch_ids(files: DataFrame) -> DataFrame:
 
 
 def directory_report(spark: SparkSession, path: str) -> DataFrame:
-    """Of the Parquet files below a folder: all, those with rows that can be read, the others, and all rows.
+    """Of the Parquet files below a folder: all, those that can be read (without rows, too), the others, and all rows;
+    ``errors`` has a line for each file that can't be read, by its path."""
+    return file_report(spark, path).agg(
+        F.count("*").alias("files"), F.count_if(F.col("error").isNull()).alias("valid"), F.count("error").alias("invalid"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+        F.array_sort(F.collect_list(F.when(F.col("error").isNotNull(), F.concat(F.lit("Invalid file "), "file", F.lit(": "), "error")))).alias("errors"),
+    )
+
 
-    Files that can't be read are counted, not raised, and files are told apart by their whole path.
+def file_report(spark: SparkSession, path: str) -> DataFrame:
+    """Each Parquet file below a folder: path, file, n_rows, error (null if the file can be read).
+
+    A row is counted if a reader finds it. Files that give none are told apart by their footers, each
+    read where it lies by the task that has its name. Names of files reach the driver, as they do for
+    any read; rows and footers don't.
     """
     rows = spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").schema("_any string").parquet(path)
-    by_file = rows.groupBy(F.col("_metadata.file_path").alias("p")).agg(F.count("*").alias("n"))
+    by_file = rows.groupBy(F.col("_metadata.file_path").alias("p")).agg(F.count("*").alias("n_rows"))
     plain = lambda c: F.regexp_replace(F.col(c), "^[a-z0-9]+:/*", "/")
-    joined = inventory(spark, path).select(plain("path").alias("path")).join(by_file.select(plain("p").alias("path"), "n"), "path", "left")
-    return joined.agg(F.count("*").alias("files"), F.count("n").alias("valid"), (F.count("*") - F.count("n")).alias("invalid"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+    index = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    # The reader's own list of files: files of no length have no row in it.
+    places = spark.createDataFrame([(x,) for x in index.inputFiles()], "place string")
+    listed = places.select("place", plain("place").alias("path"), F.element_at(F.split("place", "/"), -1).alias("file"))
+    joined = listed.join(by_file.select(plain("p").alias("path"), "n_rows"), "path", "left")
+
+    def footers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for frame in frames:
+            errors = []
+            for place, n in zip(frame["place"], frame["n_rows"], strict=True):
+                error = None
+                if n != n or n is None:  # no row came of it
+                    try:
+                        system, where = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", place))
+                        pq.ParquetFile(system.open_input_file(where))
+                    except Exception as e:
+                        error = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
+                errors.append(error)
+            yield frame.drop(columns="place").assign(n_rows=frame["n_rows"].fillna(0).astype("int64"), error=errors)
+
+    return joined.mapInPandas(footers, "path string, file string, n_rows bigint, error string")
 
 
 def publish(df: DataFrame, folder: str, version: str, existing: DataFrame | None = None, keys: list[str] | None = None) -> str | None:
@@ -164,37 +255,45 @@ def publish(df: DataFrame, folder: str, version: str, existing: DataFrame | None
     return path
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Replace a table by what a query gives; the query may read the table itself, which stays as it is until the new one is whole."""
-    df.write.mode("overwrite").parquet(f"{path}-next")
-    _move(df.sparkSession, f"{path}-next", path)
+def replace_table(df: DataFrame, path: str) -> int:
+    """Replace a table by what a query gives; ``replaced`` reads it. The query may read the table itself.
+
+    Readers see the old rows or the new, whatever step this stops after.
+    """
+    return versions.publish({WHOLE: df}, path)
 
 
-def restrict_batches(spark: SparkSession, path: str, spec: TableSpec, universe: DataFrame, key: str = "cik") -> None:
-    """Take the rows whose key isn't in ``universe`` out of the stored batches; a batch without others goes."""
-    stored = spark.read.schema(spec.ddl + ", batch_id string").parquet(path)
-    stored.join(universe.select(key).distinct(), key, "left_semi").write.partitionBy("batch_id").mode("overwrite").parquet(f"{path}-next")
-    _move(spark, f"{path}-next", path)
+def replaced(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    return versions.read(spark, path, WHOLE, schema)
 
 
-def rebuild(tables: dict[str, DataFrame], folder: str, version: str, main: list[str]) -> dict[str, str]:
-    """All tables of a build under one version, and one pointer to it; nothing is written if all main inputs are empty.
+def restrict_batches(spark: SparkSession, path: str, spec: TableSpec, universe: DataFrame, key: str = "cik") -> list[str]:
+    """Take the rows whose key isn't in ``universe`` out of the stored batches; a batch without others goes.
 
-    Readers ask ``current`` for the version, so they see all tables of the old build or all of the new one.
+    Only batches that have such rows are written anew, all at once by a new version of the folder.
+    Returns their ids.
+    """
+    known = universe.select(key).distinct()
+    stored = read_batches(spark, path, spec)
+    lost = sorted(r.batch_id for r in stored.join(known, key, "left_anti").select("batch_id").distinct().collect())  # names of batches
+    if not lost:
+        return []
+    now = versions.latest(spark, path)
+    rest = stored.where(F.col("batch_id").isin(lost)).join(known, key, "left_semi")
+    parts = versions.write_parts(rest.select(*spec.columns, "batch_id"), path, BATCHES, F.col("batch_id"))
+    batches = now.tables.get(BATCHES, {}) | dict.fromkeys(lost, "") | parts
+    commit(spark, path, Version(now.number + 1, now.tables | {BATCHES: batches}, now.buckets))
+    return lost
+
+
+def rebuild(tables: dict[str, DataFrame], folder: str, main: list[str]) -> int | None:
+    """All tables of a build in one version, whose number is returned; nothing is written if all main inputs are empty.
+
+    Readers ask for the newest version, so they see all tables of the old build or all of the new one.
     """
-    if all(tables[name].isEmpty() for name in main):
-        return {}
-    paths = {}
-    for name, df in tables.items():
-        paths[name] = f"{folder}/version={version}/{name}"
-        df.write.mode("overwrite").parquet(paths[name])
-        spark = df.sparkSession
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/pointer-{version}")
-    _move(spark, f"{folder}/pointer-{version}", f"{folder}/current")
-    return paths
-
-
-def current(spark: SparkSession, folder: str) -> str | None:
-    """The version that a folder's pointer names, or None before the first build."""
-    system, where = _files(spark, f"{folder}/current")
-    return spark.read.parquet(f"{folder}/current").first().version if system.exists(where) else None
+    return None if all(tables[name].isEmpty() for name in main) else versions.publish(tables, folder)
+
+
+def current(spark: SparkSession, folder: str) -> int | None:
+    """The number of a folder's newest version, or None before the first build."""
+    return versions.latest(spark, folder).number or None

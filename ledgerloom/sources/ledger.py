@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.tables import unprocessed, upsert_by_spec
+from ledgerloom.operators.tables import unprocessed
 from ledgerloom.schemas import TABLES
 
-from .batches import _files, _move, inventory
+from . import versions
+from .batches import inventory
 
 LEDGER = TABLES["parquet_file_log"]
+#: Landings whose ledger rows are kept as parts of their own, before they are put into one.
+LEDGER_PARTS = 50
 
 
 def ledger(spark: SparkSession, folder: str) -> DataFrame:
     """The files merged so far: table_name, file_name, processed_at."""
-    system, where = _files(spark, f"{folder}/ledger")
-    return spark.read.schema(LEDGER.schema).parquet(f"{folder}/ledger") if system.exists(where) else spark.createDataFrame([], LEDGER.schema)
+    return versions.read(spark, folder, LEDGER.name, LEDGER.schema)
 
 
 def new_files(spark: SparkSession, sources: dict[str, str], folder: str) -> DataFrame:
@@ -29,16 +31,16 @@ def new_files(spark: SparkSession, sources: dict[str, str], folder: str) -> Data
 
 def merged_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table as of its last merge."""
-    system, where = _files(spark, f"{folder}/{name}")
-    return spark.read.schema(TABLES[name].schema).parquet(f"{folder}/{name}") if system.exists(where) else spark.createDataFrame([], TABLES[name].schema)
+    return versions.read(spark, folder, name, TABLES[name].schema)
 
 
-def merge_new_files(spark: SparkSession, sources: dict[str, str], folder: str, now: str) -> list[dict]:
-    """Merge the new files of each table by key, and then note them in the ledger; one outcome for each table.
+def merge_new_files(spark: SparkSession, sources: dict[str, str], folder: str, now: str, buckets: int = 64) -> list[dict]:
+    """Merge the new files of each table by key, and note them in the ledger; one outcome for each table.
 
-    A table is written beside the old one and moved to its place; files are noted after that, so a
-    failure between the two merges them again, which changes nothing. A table that fails keeps its
-    rows and its files stay new; the other tables go on.
+    Tables are cut into ``buckets`` by their keys, and a landing reads and writes only those that its
+    keys fall into. A table's new buckets and the ledger's new rows appear in one version: each file
+    counts once, whatever step a merge stops after. A table that fails keeps its rows and its files
+    stay new; the other tables go on.
     """
     todo = new_files(spark, sources, folder).collect()  # names of files, not their rows
     outcomes = []
@@ -49,11 +51,16 @@ def merge_new_files(spark: SparkSession, sources: dict[str, str], folder: str, n
         if not files:
             continue
         try:
-            batch = spark.read.parquet(*files)
-            upsert_by_spec(merged_table(spark, folder, name), batch, TABLES[name]).write.mode("overwrite").parquet(f"{folder}/{name}-next")
-            _move(spark, f"{folder}/{name}-next", f"{folder}/{name}")
+            state = versions.latest(spark, folder)
+            parts, n = versions.merged(spark.read.parquet(*files), folder, TABLES[name], state, buckets)
             noted = spark.createDataFrame([(name, x) for x in files], "table_name string, file_name string").withColumn("processed_at", F.lit(now).cast("timestamp"))
-            noted.coalesce(1).write.mode("append").parquet(f"{folder}/ledger")
+            before = state.tables.get(LEDGER.name, {})
+            if len(before) >= LEDGER_PARTS:
+                noted, before = versions.read(spark, folder, LEDGER.name, LEDGER.schema, state).unionByName(noted), {}
+            written = versions.write_parts(noted.coalesce(1), folder, LEDGER.name)
+            tables = state.tables | {LEDGER.name: before | {str(state.number + 1): written["all"]}}
+            tables[name] = state.tables.get(name, {}) | parts
+            versions.commit(spark, folder, versions.Version(state.number + 1, tables, state.buckets | {name: n}))
         except Exception as e:  # one table's failure is its own
             outcome["error"] = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
     return outcomes

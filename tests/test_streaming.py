@@ -30,10 +30,10 @@ def test_files_count_once_and_late_rows_replace(spark, tmp_path):
 
     deltas = lambda: sorted(x for x in os.listdir(folder) if x.startswith("delta"))
     assert deltas() == ["delta=0", "delta=1"]
-    assert ingest.compact(spark, folder, spec) == 1 and deltas() == ["delta=1"] and rows() == want
+    assert ingest.compact(spark, folder, spec) == 1 and deltas() == [] and rows() == want
     land(("B", 2, 6.0))
     run()
-    assert deltas() == ["delta=1", "delta=2"] and rows() == [*want[:2], ("B", 2, 6.0)]
+    assert deltas() == ["delta=2"] and rows() == [*want[:2], ("B", 2, 6.0)]
 
 
 def test_small_files_are_flushed_one_by_one(spark, tmp_path):
