@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ledgerloom.schemas import TableSpec
 
@@ -207,40 +208,53 @@ def facts_suite(facts: DataFrame) -> DataFrame:
 
 
 def orphan_suite(orphaned: DataFrame, filings: DataFrame) -> DataFrame:
-    """Orphans, and orphans that do have a filing by now; ``orphan_samples`` shows some."""
-    found = orphaned.select("accession_number").join(filings.select("accession_number").distinct().withColumn("_hit", F.lit(1)), "accession_number", "left")
+    """Orphans, and orphans of whose accession and company there is a filing by now; ``orphan_samples`` shows some."""
+    keys = ["accession_number", "cik"]
+    found = orphaned.select(*keys).join(filings.select(*keys).distinct().withColumn("_hit", F.lit(1)), keys, "left")
     return scalars(
         found, ("xbrl_facts_orphaned rows", F.count("*"), F.col("value") <= 1000, "warning"), fault("xbrl_facts_orphaned with a filing", F.col("_hit").isNotNull())
     )
 
 
-def price_suite(prices: DataFrame, as_of: str) -> DataFrame:
-    last = prices.groupBy("ticker").agg(F.max("date").alias("last"))
+def price_suite(prices: DataFrame, tickers: DataFrame, as_of: str, days: int = 7) -> DataFrame:
+    """Prices, and listed tickers of which there is no price of the last days, whether they ever had one or not."""
+    day = F.lit(as_of).cast("date")
+    recent = prices.where(F.col("date").between(F.date_sub(day, days), day)).select("ticker").distinct()
+    no_price = F.col("open").isNull() & F.col("close").isNull() & F.col("adj_close").isNull()
     return suite(
         scalars(
             prices,
             fault("stock_history null key", F.col("ticker").isNull() | F.col("date").isNull()),
             fault("stock_history negative volume", F.col("volume") < 0),
-            fault("stock_history volume without price", (F.col("volume") > 0) & F.col("close").isNull(), 1),
+            fault("stock_history volume without price", no_price & F.col("volume").isNotNull(), 1),
         ),
-        scalars(last, fault("stock_history tickers without recent rows", F.col("last") < F.date_sub(F.lit(as_of).cast("date"), 7), 100)),
+        scalars(tickers.join(recent, "ticker", "left_anti"), ("tickers without recent prices", F.count("*"), F.col("value") <= 100, "warning")),
     )
 
 
 def supplementary_suite(profile: DataFrame, holders: DataFrame, actions: DataFrame, recommendations: DataFrame) -> DataFrame:
-    """Keys of the feed's tables, CIK lengths, and shares between nothing and all; ``kinds`` lists the actions."""
+    """Keys and times of the feed's tables, CIK lengths, and shares between nothing and all; ``kinds`` lists the actions."""
     null = lambda *columns: reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns))
+    outside = lambda *columns: reduce(lambda a, b: a | b, (F.coalesce((F.col(c) < 0) | (F.col(c) > 1), F.lit(False)) for c in columns))
     return suite(
-        scalars(profile, fault("yf_profile_metrics.ticker null", null("ticker")), fault("yf_profile_metrics cik length", F.length("cik") != 10)),
+        scalars(profile, fault("yf_profile_metrics null key or time", null("ticker", "fetch_timestamp")), fault("yf_profile_metrics cik length", F.length("cik") != 10)),
         scalars(
-            holders, fault("yf_major_holders.ticker null", null("ticker")),
-            *(fault(f"yf_major_holders {c} share", ~F.col(c).between(0, 1)) for c in ("pct_insiders", "pct_institutions")),
+            holders, fault("yf_major_holders null key or time", null("ticker", "fetch_timestamp")),
+            fault("yf_major_holders share out of range", outside("pct_insiders", "pct_institutions")),
         ),
         scalars(actions, fault("yf_stock_actions null key", null("ticker", "action_date", "action_type"))),
         scalars(recommendations, fault("yf_recommendations null key", null("ticker", "recommendation_timestamp", "firm"))),
     )
 
 
+def ticker_suite(found: dict[str, DataFrame], *sources: DataFrame) -> DataFrame:
+    """For each table of a feed: its rows with a ticker that none of the sources lists. Rows without a ticker don't count."""
+    known = reduce(DataFrame.union, (s.select("ticker") for s in sources)).distinct()
+    unknown = (df.select("ticker").join(known, "ticker", "left_anti").select(F.lit(name).alias("name"), "ticker") for name, df in found.items())
+    rows = reduce(DataFrame.union, unknown)
+    return scalars(rows, *(fault(f"{name} tickers not listed", (F.col("name") == name) & F.col("ticker").isNotNull()) for name in found))
+
+
 def kinds(df: DataFrame, column: str) -> DataFrame:
     """The different values of a column that is to have few: action types, factor models, series; and their rows."""
     return df.groupBy(F.col(column).alias("kind")).agg(F.count("*").alias("n_rows"))
@@ -250,13 +264,13 @@ def macro_suite(macro: DataFrame, risk: DataFrame) -> DataFrame:
     return suite(
         scalars(
             macro, fault("macro_economic_data null key", F.col("series_id").isNull() | F.col("date").isNull()),
-            fault("macro_economic_data.value null", F.col("value").isNull(), severity="warning"),
+            fault("macro_economic_data.value null", F.col("value").isNull()),
             ("macro_economic_data series", F.count_distinct("series_id"), F.col("value") >= 1, "error"),
             ("macro_economic_data days", F.datediff(F.max("date"), F.min("date")), F.col("value") >= 0, "error"),
         ),
         scalars(
             risk, fault("market_risk_factors null key", F.col("date").isNull() | F.col("factor_model").isNull()),
-            fault("market_risk_factors.mkt_minus_rf null", F.col("mkt_minus_rf").isNull(), severity="warning"),
+            fault("market_risk_factors.mkt_minus_rf null", F.col("mkt_minus_rf").isNull()),
             ("market_risk_factors models", F.count_distinct("factor_model"), F.col("value") >= 1, "error"),
         ),
     )
@@ -272,10 +286,26 @@ def counts_of(spark: SparkSession, found: dict[str, DataFrame | None], optional:
     return suite(presence(spark, found, optional), *(scalars(df, (f"{name} rows", F.count("*"), F.col("value") >= 1, "warning" if name in optional else "error")) for name, df in found.items() if df is not None))
 
 
-def orphan_profile(orphaned: DataFrame, n: int = 10) -> DataFrame:
-    """The most frequent companies, accessions, tags and years of filing among orphans: by, value, n_rows."""
-    sides = {"cik": F.col("cik"), "accession_number": F.col("accession_number"), "tag_name": F.col("tag_name"), "filed_year": F.year("filed_date").cast("string")}
-    return suite(*(top_groups(orphaned.select(F.lit(name).alias("by"), x.alias("value")), ["by", "value"], n) for name, x in sides.items()))
+#: Groupings of the profile of orphans.
+PROFILED = (("taxonomy",), ("cik",), ("form",), ("taxonomy", "tag_name"))
+
+
+def orphan_profile(orphaned: DataFrame, n: int = 10, groupings: tuple[tuple[str, ...], ...] = PROFILED) -> DataFrame:
+    """The most frequent taxonomies, companies, forms, and tags of a taxonomy among orphans, ties by their values.
+
+    One pass counts all groupings. Of each grouping, a column ``by``, Spark keeps the first ``n`` rows
+    of every task before it brings them together.
+    """
+    columns = list(dict.fromkeys(c for g in groupings for c in g))
+    sets = [[F.col(c) for c in g] for g in groupings]
+    counted = orphaned.groupingSets(sets, *(F.col(c) for c in columns)).agg(F.grouping_id().alias("_id"), F.count("*").alias("n_rows"))
+    by = F.lit(None).cast("string")
+    for g in groupings:
+        mark = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in g)
+        by = F.when(F.col("_id") == mark, ",".join(g)).otherwise(by)
+    order = W.partitionBy("by").orderBy(F.desc("n_rows"), *(F.asc_nulls_last(c) for c in columns))
+    named = counted.select(by.alias("by"), *columns, "n_rows").withColumn("_place", F.row_number().over(order))
+    return named.where(F.col("_place") <= n).drop("_place")
 
 
 def first_orphan(orphaned: DataFrame) -> DataFrame:
@@ -314,5 +344,41 @@ def duplicate_groups(df: DataFrame, keys: list[str], n: int = 10) -> DataFrame:
 
 
 def late_periods(facts: DataFrame, n: int = 10) -> DataFrame:
-    """Facts whose period ends more than a day after they were filed."""
-    return facts.where(F.col("period_end_date") > F.date_add("filed_date", 1)).orderBy("period_end_date", "filed_date", "accession_number").limit(n)
+    """Facts whose period ends more than a day after they were filed, the first filed first."""
+    return facts.where(F.col("period_end_date") > F.date_add("filed_date", 1)).orderBy("filed_date", "accession_number", "period_end_date").limit(n)
+
+
+def ticker_companies(tickers: DataFrame, companies: DataFrame) -> DataFrame:
+    """One row: distinct tickers, their distinct companies, those of them that are known, and the share of these."""
+    known = companies.select("cik").distinct().withColumn("_hit", F.lit(1))
+    counts = tickers.select("ticker", "cik").join(known, "cik", "left").agg(
+        F.count_distinct("ticker").alias("tickers"), F.count_distinct(F.when(F.col("_hit") == 1, F.col("cik"))).alias("companies_matched"), F.count_distinct("cik").alias("ciks"),
+    )
+    return counts.withColumn("share", F.round(F.try_divide(F.col("companies_matched").cast("double"), F.col("ciks")), 6))
+
+
+def ticker_filings(tickers: DataFrame, filings: DataFrame) -> DataFrame:
+    """Filings of each ticker's company; none count 0. Filings are counted by company before tickers join them."""
+    n = filings.groupBy("cik").agg(F.count("accession_number").alias("n_filings"))
+    each = tickers.groupBy("ticker", "cik").agg(F.count("*").alias("_n")).join(n, "cik", "left")
+    return each.select("ticker", "cik", (F.coalesce("n_filings", F.lit(0)) * F.col("_n")).alias("n_filings"))
+
+
+def ticker_facts(tickers: DataFrame, facts: DataFrame) -> DataFrame:
+    """Distinct tags and facts of each ticker's company, and whether there are any."""
+    n = facts.groupBy("cik").agg(F.count_distinct("tag_name").alias("n_tags"), F.count("*").alias("n_facts"))
+    each = tickers.groupBy("ticker", "cik").agg(F.count("*").alias("_n")).join(n, "cik", "left")
+    tags, found = F.coalesce("n_tags", F.lit(0)), F.coalesce("n_facts", F.lit(0))
+    return each.select("ticker", "cik", tags.alias("n_tags"), (found * F.col("_n")).alias("n_facts"), (tags > 0).alias("has_facts"))
+
+
+def filing_facts(filings: DataFrame, facts: DataFrame, tickers: DataFrame) -> DataFrame:
+    """For each company with filings: how many, how many of them have facts (by accession and company), the share, distinct tags, and its first ticker."""
+    keys = ["cik", "accession_number"]
+    tags = facts.groupBy(*keys, "tag_name").agg(F.lit(1).alias("_hit"))
+    counts = filings.select(*keys).join(tags, keys, "left").groupBy("cik").agg(
+        F.count_distinct("accession_number").alias("filings"), F.count_distinct(F.when(F.col("_hit") == 1, F.col("accession_number"))).alias("with_facts"), F.count_distinct("tag_name").alias("n_tags"),
+    )
+    first = tickers.groupBy("cik").agg(F.min("ticker").alias("ticker"))
+    share = F.round(F.try_divide(F.col("with_facts").cast("double"), F.col("filings")), 6)
+    return counts.withColumn("share", share).join(first, "cik", "left")

@@ -171,7 +171,7 @@ def duplicate_profile(v: Views) -> DataFrame:
     return quality.duplicate_groups(v.table("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query("""SELECT accession_number, period_end_date, filed_date FROM facts WHERE period_end_date > filed_date + 1 ORDER BY period_end_date, filed_date, accession_number LIMIT 10""")
+@query("""SELECT accession_number, period_end_date, filed_date FROM facts WHERE period_end_date > filed_date + 1 ORDER BY filed_date, accession_number, period_end_date LIMIT 10""")
 def date_anomalies(v: Views) -> DataFrame:
     return quality.late_periods(v.facts()).select("accession_number", "period_end_date", "filed_date")
 
