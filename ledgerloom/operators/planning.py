@@ -6,26 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerloom.functions.scalars import clamp_start
+from ledgerloom.functions.scalars import clamp_start, dotted_ticker
 
 
 def day(x: str | Column) -> Column:
     return F.lit(x).cast("date") if isinstance(x, str) else x.cast("date")
 
 
-def missing_intervals(rows: DataFrame, wanted: DataFrame, key: str = "ticker") -> DataFrame:
+def missing_intervals(rows: DataFrame, wanted: DataFrame, key: str = "ticker", spellings: bool = True) -> DataFrame:
     """Calendar ranges of ``wanted`` (key, start, end) in which ``rows`` (key, date) has no row.
 
-    The day before the start and the day after the end stand as bounds, so that gaps at the head
-    and the tail, and a key without rows, need no case of their own. Ranges of one key that overlap
-    or touch are one; others are apart.
+    A key without rows misses its whole range. Ranges of one key that overlap or touch are one; others
+    are apart. With ``spellings``, a key with hyphens has the rows with points in their place, too.
+    Ranges and rows meet by key, and what follows needs no other order of rows than that.
     """
     wanted = ranges_merged(wanted.select(key, F.col("start").cast("date").alias("start"), F.col("end").cast("date").alias("end")), key)
-    held = rows.select(key, F.col("date").cast("date").alias("date")).join(wanted, key).where("date BETWEEN start AND end").select(key, "start", "date").distinct()
-    bounds = wanted.select(key, "start", F.explode(F.array(F.date_sub("start", 1), F.date_add("end", 1))).alias("date"))
-    following = F.lead("date").over(W.partitionBy(key, "start").orderBy("date"))
-    gaps = held.unionByName(bounds).withColumn("_next", following)
-    return gaps.select(key, F.date_add("date", 1).alias("gap_start"), F.date_sub("_next", 1).alias("gap_end")).where("gap_start <= gap_end")
+    held = rows.select(F.col(key).alias("_spelt"), F.col("date").cast("date").alias("date"))
+    if spellings:
+        # A row stands for its own spelling, and for those keys whose hyphens it has as points.
+        names = wanted.where(F.contains(F.col(key), F.lit("-"))).select(key, dotted_ticker(key).alias("_spelt")).distinct()
+        held = held.unionByName(held.join(names, "_spelt").select(F.col(key).alias("_spelt"), "date"))
+    own = (F.col(key) == F.col("_spelt")) & F.col("date").between(F.col("start"), F.col("end"))
+    found = wanted.join(held, own, "left").select(key, "start", "end", "date")
+    place = W.partitionBy(key, "start").orderBy("date")
+    found = found.withColumns({"_before": F.coalesce(F.lag("date").over(place), F.date_sub("start", 1)), "_after": F.lead("date").over(place)})
+    gap = lambda a, b: F.struct(a.alias("gap_start"), b.alias("gap_end"))
+    ahead = gap(F.date_add("_before", 1), F.coalesce(F.date_sub("date", 1), F.col("end")))
+    behind = F.when(F.col("_after").isNull() & F.col("date").isNotNull(), gap(F.date_add("date", 1), F.col("end")))
+    gaps = found.select(key, F.explode(F.array(ahead, behind)).alias("g")).where("g IS NOT NULL")
+    return gaps.select(key, "g.gap_start", "g.gap_end").where("gap_start <= gap_end")
 
 
 def jobs_from_plan(plan: DataFrame, years: int) -> DataFrame:
@@ -42,6 +51,24 @@ def jobs_to_append(tickers: DataFrame, latest: DataFrame, end: str, lookback_day
     return found.where("start_date <= end_date")
 
 
+def jobs_for_gaps(tickers: DataFrame, rows: DataFrame, start: str, end: str, append: bool = False) -> DataFrame:
+    """A job for each range from ``start`` to ``end`` in which a ticker, under either spelling, has no row of ``rows`` (ticker, date).
+
+    With ``append`` a ticker that has rows begins on the day after its last one; it is left out if
+    that is past the end. Tickers without a gap have no job.
+    """
+    from .integrity import dual_lookup
+
+    wanted = tickers.select("ticker").distinct()
+    if append:
+        latest = rows.groupBy("ticker").agg(F.max("date").alias("last_date"))
+        wanted = wanted.join(dual_lookup(wanted, latest).select("ticker", "last_date"), "ticker", "left")
+    else:
+        wanted = wanted.withColumn("last_date", F.lit(None).cast("date"))
+    wanted = wanted.select("ticker", F.coalesce(F.date_add("last_date", 1), day(start)).alias("start"), day(end).alias("end")).where("start <= end")
+    return missing_intervals(rows, wanted).select("ticker", F.col("gap_start").alias("start_date"), F.col("gap_end").alias("end_date"))
+
+
 def jobs_of_feed(tickers: DataFrame, latest: DataFrame, end: str, override: str | None = None, earliest: str = "1990-01-01") -> DataFrame:
     start = F.coalesce(day(override) if override else F.lit(None).cast("date"), F.date_add("last_date", 1), day(earliest))
     found = tickers.select("ticker").join(latest, "ticker", "left").select("ticker", start.alias("start_date"), day(end).alias("end_date"))

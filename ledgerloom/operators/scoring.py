@@ -91,13 +91,14 @@ def scored(base: DataFrame, as_of: str, w: dict[str, float]) -> DataFrame:
 
 def backlog(
     info: DataFrame, facts: DataFrame, history: DataFrame, filings: DataFrame, as_of: str,
-    untrackable: DataFrame | None = None, given: dict[str, float] | str | None = None, metrics: list[str] | None = None, digits: int | None = None,
+    untrackable: DataFrame | None = None, given: dict[str, float] | str | None = None, metrics: list[str] | None = None, digits: int | None = None, ranks: bool = True,
 ) -> DataFrame:
     """Tickers of companies with facts, by need of prices, richness of facts and filing activity.
 
     ``rank`` orders by score, then ticker. Values are measured against the greatest before tickers
     without need are dropped. Suggested dates: five years back, or from the day after the last.
     ``digits``: scores are rounded before they are ranked. ``weights_json`` says what was weighed.
+    Without ``ranks`` there is no rank and no global order: a plan of few rows counts theirs.
     """
     from .integrity import without
 
@@ -116,7 +117,7 @@ def backlog(
     if digits is not None:
         out = out.withColumn("score", F.round("score", digits))
     start = F.when(F.col("last_date").isNotNull() & (F.col("staleness_days") > 7), F.date_add("last_date", 1)).otherwise(F.add_months(day, -60))
-    return ranked(out, ["score"]).withColumn("start_date", start).withColumn("end_date", F.date_sub(day, 1))
+    return (ranked(out, ["score"]) if ranks else out).withColumn("start_date", start).withColumn("end_date", F.date_sub(day, 1))
 
 
 def placed(df: DataFrame, by: list[Column], name: str) -> DataFrame:
@@ -172,8 +173,16 @@ def hybrid_priority(tickers: DataFrame, links: DataFrame, filings: DataFrame, as
 
 
 def fetch_plan(backlog_rows: DataFrame, history: DataFrame, as_of: str, end: str, limit: int, stale_days: int = 7, least_rows: int = 365) -> DataFrame:
-    """The best-ranked tickers that have no history, a stale or an incomplete one, with dates to fetch."""
-    rows = backlog_rows.select("ticker", "cik", "rank", "score").join(coverage(history), "ticker", "left")
+    """The best-ranked tickers that have no history, a stale or an incomplete one, with dates to fetch.
+
+    The first ``limit`` rows are taken by score, and their ranks counted against all scores: the
+    backlog (without a rank) is landed once, and nothing is sorted as a whole.
+    """
+    spark = backlog_rows.sparkSession
+    path, columns = shared_path(spark, "scores"), ["ticker", "cik", "score"]
+    backlog_rows.select(*columns).write.parquet(path)
+    scores = spark.read.schema(backlog_rows.select(*columns).schema).parquet(path)
+    rows = scores.join(coverage(history), "ticker", "left")
     age = F.datediff(F.lit(as_of).cast("date"), "last_date")
     status = (
         F.when(F.col("last_date").isNull(), "no_history").when(age > stale_days, "stale")
@@ -181,7 +190,24 @@ def fetch_plan(backlog_rows: DataFrame, history: DataFrame, as_of: str, end: str
     )
     start = F.coalesce(F.date_add("last_date", 1), F.lit(EARLIEST).cast("date"))
     plan = rows.withColumn("status", status).withColumn("start_date", start).withColumn("end_date", F.lit(end).cast("date"))
-    return plan.where("status <> 'fresh'").orderBy("rank").limit(limit)
+    first = plan.where("status <> 'fresh'").orderBy(F.desc_nulls_last("score"), F.asc_nulls_last("ticker")).limit(limit)
+    return ranks_among(first, scores)
+
+
+def ranks_among(first: DataFrame, scores: DataFrame) -> DataFrame:
+    """``first`` (few rows, of which a list goes to every task) with ``rank``: one more than the rows of ``scores`` before it, by score and then ticker."""
+    before = lambda a, b: (a["score"] > b["score"]) | ((a["score"] == b["score"]) & (a["ticker"] < b["ticker"]))
+    listed = first.agg(F.collect_list(F.struct("score", "ticker")).alias("_list"))
+    each = F.struct("score", "ticker")
+    # How many of the list a row comes before or is: it counts for the last so many of them.
+    own = scores.crossJoin(F.broadcast(listed)).select(F.size(F.filter("_list", lambda x: before(each, x))).alias("_below"))
+    counts = own.groupBy("_below").agg(F.count("*").alias("_n"))
+    place = F.row_number().over(W.orderBy(F.asc_nulls_last("score"), F.desc_nulls_last("ticker")))  # of few rows, the last first
+    sums = counts.select("_below", F.sum("_n").over(W.orderBy(F.desc("_below"))).alias("_above"))
+    placed_rows = first.withColumn("_place", place)
+    joined = placed_rows.join(F.broadcast(sums), F.col("_below") >= F.col("_place"), "left")
+    keys = first.columns
+    return joined.groupBy(*keys).agg(F.coalesce(F.max("_above"), F.lit(0)).alias("_above")).withColumn("rank", F.col("_above") + 1).drop("_above").select("ticker", "cik", "rank", "score", *(c for c in keys if c not in ("ticker", "cik", "score")))
 
 
 def plan_status(plan: DataFrame) -> DataFrame:

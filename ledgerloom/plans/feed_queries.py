@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ledgerloom.functions import scalars
 from ledgerloom.operators import integrity, normalize, tables
 from ledgerloom.schemas import TABLES
 from ledgerloom.session import shared_path
-from ledgerloom.sources import batches, feeds
+from ledgerloom.sources import archives, batches, feeds
 
 from .document_queries import PAD, facts_texts
 from .registry import query
@@ -116,6 +118,42 @@ def zip_round_trip(v: Views) -> DataFrame:
     return rows.select(F.element_at(F.split("archive", "/"), -1).alias("archive"), "member", "text")
 
 
+@query("SELECT CAST(doc_id AS VARCHAR) || '.json' AS member, md5(coalesce(text, '')) AS text_md5, source || '.zip' AS archive FROM documents")
+def zip_documents(v: Views) -> DataFrame:
+    """All documents as members of archives, one for each source, read back by the source of Spark that knows such archives."""
+    import pandas as pd
+
+    folder = shared_path(v.spark, "zipped")
+    plain = folder if "://" in folder else f"file://{folder}"
+
+    def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows of one source after another; an archive is written member by member."""
+        import zipfile
+
+        from pyarrow import fs
+
+        open_for = z = out = None
+        for frame in frames:
+            for source, doc_id, text in zip(frame["source"], frame["doc_id"], frame["text"], strict=True):
+                if source != open_for:
+                    if z:
+                        z.close(), out.close()
+                    system, where = fs.FileSystem.from_uri(f"{plain}/{source}.zip")
+                    system.create_dir(where.rsplit("/", 1)[0], recursive=True)
+                    out = system.open_output_stream(where)
+                    z, open_for = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED), source
+                    z.writestr("readme.txt", "no member")
+                z.writestr(f"{doc_id}.json", text or "")
+            yield pd.DataFrame({"n": [len(frame)]})
+        if z:
+            z.close(), out.close()
+
+    v.table("documents").repartition("source").sortWithinPartitions("source", "doc_id").mapInPandas(packed, "n long").agg(F.sum("n")).collect()
+    archives.register(v.spark)
+    rows = v.spark.read.format("zip_members").option("path", plain).load()
+    return rows.select(F.element_at(F.split("archive", "/"), -1).alias("archive"), "member", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 def named_documents(v: Views) -> DataFrame:
     """A submission document for each company, with what it was called before: its supplier's name, and an entry without one."""
     names = v.former_names().select("cik", F.array(F.struct(F.col("former_name").alias("name"), F.lit("2001-02-03T00:00:00.000Z").alias("from"), F.lit("bad").alias("to")), F.struct(F.lit("").alias("name"), F.lit("2001-02-03").alias("from"), F.lit("").alias("to"))).alias("formerNames"))

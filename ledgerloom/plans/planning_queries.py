@@ -42,9 +42,9 @@ normal AS (SELECT *, coalesce(0.25 * unique_tag_count / nullif(max(unique_tag_co
 + coalesce(0.45 * stock_need_score / nullif(max(stock_need_score) OVER (), 0), 0) + coalesce(0.15 * recent_filings / nullif(max(recent_filings) OVER (), 0), 0) AS score FROM base)"""
 
 
-def backlog_rows(v: Views) -> DataFrame:
+def backlog_rows(v: Views, ranks: bool = True) -> DataFrame:
     bad = v.table("events").where("event_type = 'error' AND user_id % 5 = 0").select(F.col("user_id").cast("string").alias("ticker"))
-    return scoring.backlog(info(v), v.facts(), v.prices(), recent_filings_view(v), EVENTS_DAY, bad, None, METRICS, digits=9)
+    return scoring.backlog(info(v), v.facts(), v.prices(), recent_filings_view(v), EVENTS_DAY, bad, None, METRICS, digits=9, ranks=ranks)
 
 
 @query(f"""+{BACKLOG}
@@ -62,7 +62,7 @@ SELECT ticker, cik, rank, round(score, 9) AS score, last_date, record_count, CAS
 WHEN coalesce(record_count, 0) < 28 THEN 'incomplete' ELSE 'fresh' END AS status, coalesce(last_date + 1, DATE '1990-01-01') AS start_date, {DAY} AS end_date FROM r
 WHERE last_date IS NULL OR date_diff('day', last_date, {DAY}) > 1 OR coalesce(record_count, 0) < 28 ORDER BY rank LIMIT 50""")
 def fetch_plan(v: Views) -> DataFrame:
-    return scoring.fetch_plan(backlog_rows(v), v.prices(), EVENTS_DAY, EVENTS_DAY, 50, stale_days=1, least_rows=28)
+    return scoring.fetch_plan(backlog_rows(v, ranks=False), v.prices(), EVENTS_DAY, EVENTS_DAY, 50, stale_days=1, least_rows=28)
 
 
 @query(f"""+{INFO}, counts AS (SELECT cik, count(*) FILTER (WHERE filing_date >= {DAY} - 3000) AS recent, count(*) AS total, date_diff('day', max(filing_date) + 2635, {DAY}) AS age FROM filings GROUP BY 1),
@@ -168,7 +168,7 @@ STATUS = f"CASE WHEN last_date IS NULL THEN 'no_history' WHEN date_diff('day', l
 SELECT status, count(*) AS n_rows FROM (SELECT * FROM plan WHERE status <> 'fresh' LIMIT 400) GROUP BY 1""")
 def plan_status(v: Views) -> DataFrame:
     """Statuses of a plan of 400 tickers."""
-    return scoring.plan_status(scoring.fetch_plan(backlog_rows(v), v.prices(), EVENTS_DAY, EVENTS_DAY, 400, stale_days=1, least_rows=28))
+    return scoring.plan_status(scoring.fetch_plan(backlog_rows(v, ranks=False), v.prices(), EVENTS_DAY, EVENTS_DAY, 400, stale_days=1, least_rows=28))
 
 
 @query(f"""+{WANTED}, marks AS (SELECT w.ticker, p.date FROM prices p JOIN wanted w ON w.ticker = p.ticker AND p.date BETWEEN s AND e UNION ALL SELECT ticker, s - 1 FROM wanted UNION ALL SELECT ticker, e + 1 FROM wanted),
@@ -185,3 +185,31 @@ def gap_jobs(v: Views) -> DataFrame:
 @query("SELECT cik FROM companies WHERE cik NOT IN (SELECT cik FROM filings WHERE status = 'F') ORDER BY cik LIMIT 50")
 def parse_work_list(v: Views) -> DataFrame:
     return normalize.work_list(v.companies(), v.filings().where("status = 'F'"), limit=50)
+
+
+#: Prices under a spelling with a point for every other ticker, wanted under one with a hyphen.
+SPELT = """spelt AS (SELECT CASE WHEN CAST(ticker AS BIGINT) % 2 = 0 THEN 'U.' ELSE 'U-' END || ticker AS ticker, date FROM prices),
+asked AS (SELECT 'U-' || c_custkey AS ticker FROM customer), held AS (SELECT replace(ticker, '.', '-') AS ticker, date FROM spelt)"""
+
+
+def spelt(v: Views) -> tuple[DataFrame, DataFrame]:
+    mark = F.when(F.col("ticker").cast("long") % 2 == 0, "U.").otherwise("U-")
+    return v.prices().select(F.concat(mark, "ticker").alias("ticker"), "date"), v.table("customer").select(F.concat(F.lit("U-"), "c_custkey").alias("ticker"))
+
+
+@query(f"""+{SPELT}, w AS (SELECT ticker, DATE '2024-01-03' AS s, DATE '2024-01-20' AS e FROM asked),
+marks AS (SELECT w.ticker, h.date FROM w JOIN held h ON h.ticker = w.ticker AND h.date BETWEEN s AND e UNION ALL SELECT ticker, s - 1 FROM w UNION ALL SELECT ticker, e + 1 FROM w),
+pairs AS (SELECT ticker, date, lead(date) OVER (PARTITION BY ticker ORDER BY date) AS n FROM marks)
+SELECT ticker, CAST(date + 1 AS DATE) AS start_date, CAST(n - 1 AS DATE) AS end_date FROM pairs WHERE date + 1 <= n - 1""")
+def gaps_of_both_spellings(v: Views) -> DataFrame:
+    """Jobs for the gaps of tickers whose prices go under either spelling."""
+    rows, tickers = spelt(v)
+    return planning.jobs_for_gaps(tickers, rows, "2024-01-03", "2024-01-20")
+
+
+@query(f"""+{SPELT}, last AS (SELECT a.ticker, max(date) AS d FROM asked a LEFT JOIN (SELECT * FROM held WHERE date < DATE '2024-01-25') h ON h.ticker = a.ticker GROUP BY 1)
+SELECT ticker, CAST(coalesce(d + 1, DATE '2024-01-03') AS DATE) AS start_date, DATE '2024-01-23' AS end_date FROM last WHERE coalesce(d + 1, DATE '2024-01-03') <= DATE '2024-01-23'""")
+def gaps_to_append(v: Views) -> DataFrame:
+    """As above, from the day after each ticker's last price; those that have later ones have no job."""
+    rows, tickers = spelt(v)
+    return planning.jobs_for_gaps(tickers, rows.where("date < '2024-01-25'"), "2024-01-03", "2024-01-23", append=True)

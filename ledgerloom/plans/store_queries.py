@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import tables
-from ledgerloom.schemas import TABLES
+from ledgerloom.operators import integrity, sketches, tables
+from ledgerloom.schemas import TABLES, TableSpec
 from ledgerloom.session import shared_path
 from ledgerloom.sources import batches, ledger, versions
 from ledgerloom.streaming import ingest
@@ -176,3 +178,124 @@ def stream_replayed(v: Views) -> DataFrame:
     for checkpoint in ("first", "second"):
         ingest.merged_stream(ingest.arrivals(v.spark, f"{folder}/landed", spec), folder, spec, f"{folder}/{checkpoint}").awaitTermination()
     return ingest.merged(v.spark, folder, spec)
+
+
+@query("""SELECT 32 AS buckets, 1 AS changed_by_one_key, count(*) AS n_rows, sum(CASE WHEN ticker = '1' THEN 1.5 ELSE close END) AS total FROM prices WHERE close IS NOT NULL""")
+def bucketed_merge(v: Views) -> DataFrame:
+    """A table of 32 buckets of tickers: a landing of one ticker's days writes one of them, whatever the others hold."""
+    spec = TableSpec("days", "ticker string, days array<struct<date:date,close:double>>", ("ticker",), upsert=True)
+    folder = shared_path(v.spark, "bucketed")
+    rows = v.prices().where("close IS NOT NULL").groupBy("ticker").agg(F.collect_list(F.struct("date", "close")).alias("days"))
+    versions.merge(rows, folder, spec, buckets=32)
+    first = versions.latest(v.spark, folder)
+    stored = versions.read(v.spark, folder, "days", spec.schema, first)
+    changed = stored.where("ticker = '1'").withColumn("days", F.transform("days", lambda x: F.struct(x["date"].alias("date"), F.lit(1.5).alias("close"))))
+    versions.merge(changed, folder, spec)
+    now = versions.latest(v.spark, folder)
+    n = sum(path != first.tables["days"].get(part) for part, path in now.tables["days"].items())
+    each = versions.read(v.spark, folder, "days", spec.schema).select(F.explode("days").alias("d"))
+    return each.agg(F.lit(now.buckets["days"]).alias("buckets"), F.lit(n).alias("changed_by_one_key"), F.count("*").alias("n_rows"), F.sum("d.close").alias("total"))
+
+
+@query("""+ r AS (SELECT CAST(user_id AS VARCHAR) AS series_id, CAST(ts AS DATE) AS date, value, event_type AS kind FROM events),
+b AS (SELECT kind, count(*) AS n, count(*) FILTER (WHERE series_id IS NULL) AS no_key, count(*) FILTER (WHERE value IS NULL) AS no_value, count(*) FILTER (WHERE value < 5) AS low FROM r GROUP BY 1)
+SELECT kind, no_key, no_value, low, CASE WHEN no_key + no_value + low = 0 THEN n ELSE 0 END AS written FROM b
+UNION ALL SELECT 'fine', 0, 0, 0, count(*) FROM r WHERE series_id IS NOT NULL AND value >= 5""")
+def checked_batches(v: Views) -> DataFrame:
+    """A batch of each kind of event, its rules checked while it is written: those with a broken rule leave no file."""
+    path, spec = shared_path(v.spark, "checked"), TABLES["macro_economic_data"]
+    rows = v.table("events").select(F.col("user_id").cast("string").alias("series_id"), F.to_date("ts").alias("date"), "value", F.col("event_type").alias("kind"))
+    rules = {"key": F.col("series_id").isNull(), "value": F.col("value").isNull(), "low": F.col("value") < 5}
+    kinds = sorted(r.kind for r in rows.select("kind").distinct().collect())
+    outcomes = []
+    for k, kind in enumerate([*kinds, "fine"]):
+        batch = rows.where(F.col("kind") == kind) if kind != "fine" else rows.where("series_id IS NOT NULL AND value >= 5")
+        try:
+            written, broken = batches.append_batch(batch, path, spec, f"20240101_{k:06}", rules), {}
+        except batches.RuleBroken as e:
+            written, broken = 0, e.broken
+        outcomes.append((kind, *(broken.get(x, 0) for x in rules), f"20240101_{k:06}", written))
+    said = v.spark.createDataFrame(outcomes, "kind string, no_key long, no_value long, low long, batch_id string, said long")
+    stored = batches.read_batches(v.spark, path, spec).groupBy("batch_id").agg(F.count("*").alias("written"))
+    return said.join(stored, "batch_id", "left").select("kind", "no_key", "no_value", "low", F.coalesce("written", F.lit(0)).alias("written"))
+
+
+@query("""SELECT md5(CAST(o_orderkey AS VARCHAR)) AS accession_number, o_custkey AS cik, CAST(o_orderdate AS DATE) AS filed_date FROM orders
+WHERE md5(CAST(o_orderkey AS VARCHAR)) IN (SELECT md5(CAST(min(o_orderkey) AS VARCHAR)) FROM orders UNION SELECT md5(CAST(max(o_orderkey) AS VARCHAR)) FROM orders)""")
+def bloom_lookup(v: Views) -> DataFrame:
+    """Filings stored by ranges of their date, with a Bloom filter of their accession numbers, and two of them looked up."""
+    path = shared_path(v.spark, "looked-up")
+    orders = v.table("orders")
+    rows = orders.select(F.md5(F.col("o_orderkey").cast("string").cast("binary")).alias("accession_number"), F.col("o_custkey").alias("cik"), F.to_date("o_orderdate").alias("filed_date"))
+    batches.write_by_date(rows, path, lookups=["accession_number"])
+    ends = orders.agg(F.min("o_orderkey").alias("a"), F.max("o_orderkey").alias("b")).first()
+    names = [hashlib.md5(str(x).encode(), usedforsecurity=False).hexdigest() for x in ends]
+    return v.spark.read.schema(rows.schema).parquet(path).where(F.col("accession_number").isin(names))
+
+
+@query("""SELECT f.cik, f.accession_number, tag_name, value_numeric, g.filing_date AS filed_date FROM facts f JOIN filings g ON f.accession_number = g.accession_number
+WHERE g.status = 'F' AND g.cik IN (SELECT cik FROM companies)""")
+def bucketed_facts(v: Views) -> DataFrame:
+    """Facts and filings stored in buckets of their accession number, joined without a shuffle of either."""
+    facts = batches.stored_in_buckets(v.facts(), "facts", ["accession_number"], 8)
+    filings = batches.stored_in_buckets(v.filings().where("status = 'F'"), "filings", ["accession_number"], 8)
+    return integrity.valid_facts(facts, filings, v.companies()).select("cik", "accession_number", "tag_name", "value_numeric", "filed_date")
+
+
+GUARDED = """+ g AS (SELECT 'all for all' AS swap, count(*) AS a, count(*) AS b, count(DISTINCT o_custkey) AS x, count(DISTINCT o_custkey) AS y FROM orders
+UNION ALL SELECT 'more keys', (SELECT count(*) FROM orders WHERE o_custkey % 2 = 0), count(*), (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_custkey % 2 = 0), count(DISTINCT o_custkey) FROM orders
+UNION ALL SELECT 'fewer keys', count(*), count(*), count(DISTINCT o_custkey), count(DISTINCT o_custkey % 7) FROM orders
+UNION ALL SELECT 'fewer rows', count(*), (SELECT count(*) FROM orders WHERE o_orderstatus = 'F'), count(DISTINCT o_custkey), (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderstatus = 'F') FROM orders)"""
+
+
+@query(f"""{GUARDED} SELECT swap, a AS existing_rows, b AS staging_rows, b >= a AND b > 0 AND y >= x AS may_swap, CASE WHEN swap = 'all for all' THEN 'keys' ELSE 'sketches' END AS told_by FROM g""")
+def sketched_universe(v: Views) -> DataFrame:
+    """The guard of a universe of keys over what batches have stored of them; keys are counted only where sketches can't tell."""
+    orders, folder = v.table("orders"), shared_path(v.spark, "sketched")
+    even, seven = orders.where("o_custkey % 2 = 0"), orders.withColumn("o_custkey", F.col("o_custkey") % 7)
+    swaps = {"all for all": (orders, orders), "more keys": (even, orders), "fewer keys": (orders, seven), "fewer rows": (orders, orders.where("o_orderstatus = 'F'"))}
+    out = None
+    for k, (name, (existing, staging)) in enumerate(swaps.items()):
+        for side, df in (("existing", existing), ("staging", staging)):
+            for part in range(2):  # two batches of each side
+                sketches.sketch(df.where(F.col("o_orderkey") % 2 == part), ["o_custkey"]).write.mode("append").parquet(f"{folder}/{k}/{side}")
+        stored = [v.spark.read.schema(sketches.SKETCH).parquet(f"{folder}/{k}/{side}") for side in ("existing", "staging")]
+        row = sketches.sketched_guard(*stored).select("existing_rows", "staging_rows", "may_swap", F.lit("sketches").alias("told_by"))
+        if row.first().may_swap is None:
+            row = tables.swap_guard(existing, staging, ["o_custkey"]).select("existing_rows", "staging_rows", "may_swap", F.lit("keys").alias("told_by"))
+        row = row.select(F.lit(name).alias("swap"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("""+ e AS (SELECT event_id, ts FROM events WHERE ts IS NOT NULL), a AS (SELECT DISTINCT event_id, ts FROM e WHERE ts < TIMESTAMP '2024-01-11'), m AS (SELECT max(ts) AS m FROM a)
+SELECT event_id, ts FROM a UNION ALL SELECT DISTINCT event_id + 2000000000, ts FROM a, m WHERE ts > m - INTERVAL 2 DAY
+UNION ALL SELECT DISTINCT event_id, ts FROM e WHERE ts >= TIMESTAMP '2024-01-11'""")
+def stream_once(v: Views) -> DataFrame:
+    """Three landings: new rows; repeats, rows that come late but within two days, and rows that come too late; new rows and repeats."""
+    folder, border = shared_path(v.spark, "once"), "2024-01-11"
+    e = v.table("events").where("ts IS NOT NULL").select("event_id", F.col("ts").cast("timestamp").alias("ts")).distinct()
+    early, late = e.where(F.col("ts") < border), e.where(F.col("ts") >= border)
+    last = early.agg(F.max("ts").alias("m"))
+    near, far = (early.crossJoin(F.broadcast(last)).where(x).drop("m") for x in ("ts > m - INTERVAL 2 DAYS", "ts <= m - INTERVAL 2 DAYS"))
+    middle, end = late.where(F.col("ts") < "2024-01-21"), late.where(F.col("ts") >= "2024-01-21")
+    shifted = lambda df, n: df.withColumn("event_id", F.col("event_id") + n)
+    landings = [early, middle.unionByName(near).unionByName(shifted(near, 2_000_000_000)).unionByName(shifted(far, 1_000_000_000)), end.unionByName(middle.where(F.col("ts") >= "2024-01-20"))]
+    for landing in landings:  # each run goes on from the checkpoint of the one before
+        landing.coalesce(1).write.mode("append").parquet(f"{folder}/landed")
+        ingest.append_once(v.spark.readStream.schema(e.schema).parquet(f"{folder}/landed"), f"{folder}/kept", f"{folder}/checkpoint", ["event_id"], "ts", "2 days").awaitTermination()
+    return v.spark.read.schema(e.schema).parquet(f"{folder}/kept")
+
+
+@query("SELECT ticker, date, close FROM prices")
+def stream_timed(v: Views) -> DataFrame:
+    """A stream that flushes by time and goes on: what lands while it runs is in the table once it has been taken up."""
+    spec = TableSpec("prices", "ticker string, date date, close double", ("ticker", "date"), ("close",), upsert=True)
+    folder = shared_path(v.spark, "timed")
+    rows = v.prices().select("ticker", "date", "close")
+    rows.where("date < '2024-01-15'").write.parquet(f"{folder}/landed")
+    running = ingest.merged_stream(ingest.arrivals(v.spark, f"{folder}/landed", spec), folder, spec, f"{folder}/checkpoint", every="100 milliseconds")
+    rows.where("date >= '2024-01-15'").write.mode("append").parquet(f"{folder}/landed")
+    running.processAllAvailable()
+    running.stop()
+    return ingest.merged(v.spark, folder, spec)

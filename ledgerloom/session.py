@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,11 +15,14 @@ _given: dict[str, list[str]] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors reach: ``spark.checkpoint.dir``.
 
-    Only where the session has none (tests, a single machine) a temporary folder stands in.
+    Only where the session has none and is local (tests, a single machine) a temporary folder stands in:
+    on a cluster, files of one machine's folder would be missing on the others, so that is an error.
     """
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="spark-ledgerloom-")

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ledgerloom.functions.scalars import batch_id_of_file
 from ledgerloom.operators.tables import keep_one, newest_first, swap_guard, with_keys
 from ledgerloom.schemas import TABLES, TableSpec
+from ledgerloom.session import shared_path
 
 from . import versions
 from .versions import Version, commit, file_system, names, rename_new
@@ -159,6 +160,19 @@ def write_by_date(
     out.parquet(path)
 
 
+def stored_in_buckets(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Land ``df`` in buckets of its keys, sorted within them: tables of the same keys and as many buckets join without a shuffle.
+
+    Rows are dealt out by bucket first, so that a bucket is one file. The table's name is its own in
+    the session's catalogue; its files lie in the shared folder.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    out = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    out.option("path", shared_path(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
 def write_failures(df: DataFrame, path: str) -> None:
     df.select("ticker", "error").write.mode("overwrite").option("sep", "\t").csv(path)
 

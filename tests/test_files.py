@@ -91,6 +91,101 @@ def test_batches_are_validated_moved_and_rolled_back(spark, tmp_path, monkeypatc
     assert "batch_id=20240105_000000" not in os.listdir(f"{tmp_path}/all/tickers")
 
 
+def read_rows(df):
+    """Rows that the scans of an executed frame gave out: what row groups weren't skipped hold."""
+    df.collect()
+    todo, n = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        elif name.startswith("Scan parquet"):
+            n += node.metrics().apply("numOutputRows").value()
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return n
+
+
+def test_ranges_and_lookups_skip_row_groups(spark, tmp_path):
+    rows = spark.range(200_000).select(F.md5(F.col("id").cast("string").cast("binary")).alias("accession_number"), F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 4000).cast("int")).alias("filed_date"))
+    with_filter, without = f"{tmp_path}/filtered", f"{tmp_path}/plain"
+    batches.write_by_date(rows, with_filter, partitions=4, lookups=["accession_number"], group_bytes=1 << 18)
+    batches.write_by_date(rows, without, partitions=4, group_bytes=1 << 18)
+    name = rows.first().accession_number
+    wanted = lambda path: spark.read.parquet(path).where(F.col("accession_number") == name)
+    assert wanted(with_filter).count() == wanted(without).count() == 1
+    assert read_rows(wanted(without)) > 150_000 and read_rows(wanted(with_filter)) < 60_000
+    some_days = spark.read.parquet(with_filter).where("filed_date BETWEEN '2003-01-01' AND '2003-01-31'")
+    assert some_days.count() == 31 * 50 and read_rows(some_days) < 60_000
+
+
+def test_joins_of_buckets_shuffle_nothing(spark):
+    from ledgerloom.operators import integrity
+
+    facts = spark.range(2000).selectExpr("CAST(id % 300 AS STRING) AS accession_number", "CAST(id % 7 AS STRING) AS cik", "current_date() AS filed_date")
+    filings = spark.range(250).selectExpr("CAST(id AS STRING) AS accession_number", "CAST(id % 7 AS STRING) AS cik", "DATE '2024-01-01' AS filing_date")
+    companies = spark.range(5).selectExpr("CAST(id AS STRING) AS cik")
+    a, b = (batches.stored_in_buckets(df, name, ["accession_number"], 4) for df, name in ((facts, "facts"), (filings, "filings")))
+    once = integrity.valid_facts(a, b, companies)
+    assert sorted(once.collect()) == sorted(integrity.valid_facts(facts, filings, companies).collect())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:  # however large both sides are
+        plan = a.join(b.select("accession_number", "filing_date"), "accession_number")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_archives_as_a_source(spark, tmp_path):
+    import zipfile
+
+    from ledgerloom.sources import archives
+
+    def pack(name, *members):
+        with zipfile.ZipFile(tmp_path / name, "w") as z:
+            z.writestr("readme.txt", "no member")
+            for m in members:
+                z.writestr(f"{m}.json", f"text of {m}")
+
+    pack("a.zip", *(f"a{i}" for i in range(7)))
+    pack("b.zip", "b0")
+    pack("empty.zip")
+    archives.register(spark)
+    frame = spark.read.format("zip_members").option("path", str(tmp_path)).option("members", 3).load()
+    got = sorted((r.archive.rsplit("/", 1)[1], r.member, r.text) for r in frame.collect())
+    assert got == [("a.zip", f"a{i}.json", f"text of a{i}") for i in range(7)] + [("b.zip", "b0.json", "text of b0")]
+    assert frame.rdd.getNumPartitions() == 4
+    assert spark.read.format("zip_members").option("path", f"{tmp_path}/none").load().count() == 0
+
+    def run():
+        stream = spark.readStream.format("zip_members").option("path", f"file://{tmp_path}").load()
+        stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        return sorted(r.member for r in spark.read.parquet(f"{tmp_path}/out").collect())
+
+    first = run()
+    assert len(first) == 8
+    pack("c.zip", "c0", "c1")
+    assert run() == [*first, "c0.json", "c1.json"]  # archives that were read aren't read again
+
+
+def test_sketches_count_keys(spark):
+    from ledgerloom.operators import sketches
+
+    for n in (0, 1, 1000, 60_000):
+        df = spark.range(3 * n).select((F.col("id") % max(n, 1)).alias("k"))
+        parts = [sketches.sketch(df.where(F.col("k") % 3 == i), ["k"]) for i in range(3)] + [sketches.sketch(df, ["k"])]
+        got = sketches.united(parts[0].union(parts[1]).union(parts[2]).union(parts[3])).first()
+        assert got.rows == 6 * n and abs(got.estimate - n) <= 4 * sketches.ERROR * n
+    many, few = (sketches.sketch(spark.range(n).withColumnRenamed("id", "k"), ["k"]) for n in (20_000, 10_000))
+    assert [sketches.sketched_guard(a, b).first().may_swap for a, b in ((few, many), (many, few), (many, many))] == [True, False, None]
+    repeated = sketches.sketch(spark.range(20_000).select((F.col("id") % 5000).alias("k")), ["k"])
+    assert sketches.sketched_guard(many, repeated).first().may_swap is False
+
+
 def test_rebuild_has_one_pointer(spark, tmp_path):
     from ledgerloom.sources import versions
 

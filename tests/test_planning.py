@@ -15,6 +15,29 @@ def test_missing_intervals(spark):
     assert got == [("A", D(2024, 1, 1), D(2024, 1, 1)), ("A", D(2024, 1, 4), D(2024, 1, 5)), ("A", D(2024, 1, 7), D(2024, 1, 8)), ("B", D(2024, 1, 1), D(2024, 1, 2))]
 
 
+def test_gaps_under_both_spellings(spark):
+    rows = [("BH-A", D(2024, 1, 1)), ("BH.A", D(2024, 1, 3)), ("BH.A", D(2024, 1, 3)), ("BH.B", D(2024, 1, 2)), ("BH.A", None), ("C", D(2024, 1, 9))]
+    held = spark.createDataFrame(rows, "ticker string, date date")
+    tickers = spark.createDataFrame([("BH-A",), ("BH.A",), ("BH-B",), ("C",), ("NEW",), ("C",)], "ticker string")
+    got = lambda **more: sorted((r.ticker, r.start_date.day, r.end_date.day) for r in planning.jobs_for_gaps(tickers, held, "2024-01-01", "2024-01-04", **more).collect())
+    assert got() == [("BH-A", 2, 2), ("BH-A", 4, 4), ("BH-B", 1, 1), ("BH-B", 3, 4), ("BH.A", 1, 2), ("BH.A", 4, 4), ("C", 1, 4), ("NEW", 1, 4)]
+    assert got(append=True) == [("BH-A", 4, 4), ("BH-B", 3, 4), ("BH.A", 4, 4), ("NEW", 1, 4)]
+    one = spark.createDataFrame([("BH-A", D(2024, 1, 1), D(2024, 1, 4))], "ticker string, start date, end date")
+    assert planning.missing_intervals(held, one, spellings=False).count() == 1
+    plan = planning.missing_intervals(held, one)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") <= 6
+
+
+def test_ranks_of_a_few_rows(spark):
+    rows = [(f"t{i:03}", "c", float(i * 7 % 10)) for i in range(200)]
+    scores = spark.createDataFrame(rows, "ticker string, cik string, score double")
+    order = sorted(rows, key=lambda r: (-r[2], r[0]))
+    picked = [order[k] for k in (0, 1, 50, 51, 199)]
+    got = {r.ticker: r["rank"] for r in scoring.ranks_among(spark.createDataFrame(picked, scores.schema), scores).collect()}
+    assert got == {r[0]: order.index(r) + 1 for r in picked}
+    assert scoring.ranks_among(scores.limit(0), scores).count() == 0
+
+
 def test_jobs_from_plan(spark):
     plan = spark.createDataFrame([("A", D(2000, 1, 1), D(2024, 1, 1)), ("B", None, D(2024, 1, 1)), ("C", D(2024, 1, 2), D(2024, 1, 1)), ("E", D(2024, 1, 1), D(2024, 1, 1))], "ticker string, start_date date, end_date date")
     got = {r.ticker: (r.start_date, r.clamped) for r in planning.jobs_from_plan(plan, 1).collect()}
