@@ -1,7 +1,8 @@
 """Operator 10: secret scans through a ledger of content-addressed blobs.
 
 Every version of every document is addressed by the SHA-256 of its text. A blob is scanned once for
-each version of the rules; the ledger (a Parquet table) keeps what was found, nothing included, and
+each version of the rules; the ledger (a Parquet table, in a folder for each version of the rules)
+keeps what was found, nothing included, and
 findings are joined back to all documents, or paths, that hold the blob.
 """
 
@@ -130,17 +131,22 @@ def scan(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION) -> Data
     paths = landed(rows.select("doc_id", "blob"), "paths")
     # One holder for each blob: the dearest step, the scan, then sees each text once, and a blob
     # that a third of all rows hold is no skewed key.
-    holders = paths.groupBy("blob").agg(F.min("doc_id").alias("holder"))
+    blobs = paths.groupBy("blob").agg(F.min("doc_id").alias("holder"))
+    holders = blobs
     if (seen := read_ledger(spark, ledger, rule_version)) is not None:
-        holders = holders.join(seen.select("blob"), "blob", "left_anti")
+        blobs = landed(blobs, "blobs")
+        holders = blobs.join(seen.select("blob"), "blob", "left_anti")
     texts = rows.join(
         holders.withColumnRenamed("blob", "wanted"), F.col("doc_id").eqNullSafe(F.col("holder")) & (F.col("blob") == F.col("wanted"))
     ).select("blob", "text")
     found = over_batches(texts, _scan, FINDINGS)
-    found.withColumn("rule_version", F.lit(rule_version)).write.mode("append").parquet(ledger)
+    found.withColumn("rule_version", F.lit(rule_version)).write.mode("append").partitionBy("rule_version").parquet(ledger)
+    known = read_ledger(spark, ledger, rule_version).drop("rule_version")
+    if seen is not None:  # of a ledger with a history, what these rows ask for is all that is copied
+        known = known.join(blobs.select("blob"), "blob", "left_semi")
     # Each blob once, landed: rows alike and scans at the same time give it twice, and the join has
     # exchanges of its own, so that Spark can split a blob that very many rows hold.
-    known = landed(read_ledger(spark, ledger, rule_version).drop("rule_version").dropDuplicates(["blob"]), "known-blobs")
+    known = landed(known.dropDuplicates(["blob"]), "known-blobs")
     return paths.join(known, "blob")
 
 

@@ -76,8 +76,8 @@ def test_two_scans_at_once(spark, tmp_path):
     ledger = f"file://{tmp_path}/ledger"
     docs = spark.createDataFrame([(i, f"text {i % 4}") for i in range(12)], "doc_id long, text string")
     secret_ledger.scan(docs, ledger)
-    twice = spark.read.parquet(ledger).limit(2).collect()
-    spark.createDataFrame(twice, spark.read.parquet(ledger).schema).write.mode("append").parquet(ledger)  # as another scan would have
+    twice = spark.read.parquet(ledger).limit(2)
+    spark.createDataFrame(twice.collect(), twice.schema).write.mode("append").partitionBy("rule_version").parquet(ledger)  # as another scan would have
     assert spark.read.parquet(ledger).count() == 6 and secret_ledger.scan(docs, ledger).count() == 12
 
 
@@ -90,6 +90,13 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert secret_ledger.scan(more, ledger).count() == 14 and spark.read.parquet(ledger).count() == 5
     assert secret_ledger.scan(more, ledger, rule_version="next").count() == 14 and spark.read.parquet(ledger).count() == 10
     assert secret_ledger.scan(docs.limit(0), ledger).count() == 0
+    # What is copied of the ledger follows the rows that ask, not its history.
+    from ledgerloom import session
+
+    since = session.landed_so_far(spark)
+    assert secret_ledger.scan(docs.where("doc_id = 1"), ledger).count() == 1
+    copied = [p for p in session._given[spark.sparkContext.applicationId][since:] if "known-blobs" in p]
+    assert len(copied) == 1 and spark.read.parquet(copied[0]).count() == 1
 
 
 def test_licenses(spark):
