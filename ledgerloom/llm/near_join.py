@@ -7,6 +7,8 @@ pair at the threshold is expected to stay together in one child of every node. S
 compared by brute force; sets of a large one that are alike anyway are tied to a pivot and compared
 with the others, which are split on. Runs repeat until the target recall. What holds together by
 sketches forms candidate groups, and within a group all pairs are compared exactly, tile by tile.
+A tie by coordinates counts only if finer sketches of the two sets verify it: sets that share a
+template but aren't alike don't run together into groups that grow with the table.
 """
 
 from __future__ import annotations
@@ -24,6 +26,11 @@ from .shared import Forest, batch, binary_rows, connected, landed, longs, over_b
 
 N_WORDS, SIMILARITY, RECALL = 5, 0.8, 0.99
 COORDINATES = 64
+#: Ranges of hash values, of each of which a sketch has one byte more, by its least value: what ties are verified by.
+BINS = 512
+WORDS = COORDINATES + BINS // 4
+#: Standard errors below the similarity at which the bytes of two sets still verify a tie.
+DEVIATIONS = 4
 #: Buckets of up to so many sets are compared by brute force; those of up to so many are split on
 #: within a task, in about a megabyte of memory, larger ones by Spark.
 LEAF, GATHER = 40, 2000
@@ -78,12 +85,39 @@ def shingles(text: str, words: int = N_WORDS) -> np.ndarray:
 
 
 def sketch(grams: np.ndarray) -> np.ndarray:
-    """The coordinates of a set: for each hash function, the least value, cut to 32 bits."""
+    """The coordinates of a set (for each hash function, the least value, cut to 32 bits), and its bytes."""
     least = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
         for at in range(0, len(grams), 1024):
             least = np.minimum(least, (grams[at : at + 1024, None] * _FACTORS).min(0))
-    return (least >> np.uint64(32)).astype("<u4")
+    return np.concatenate([(least >> np.uint64(32)).astype("<u4"), _bytes(grams).view("<u4")])
+
+
+_EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BINS.bit_length() + 1)
+
+
+def _bytes(grams: np.ndarray) -> np.ndarray:
+    """A byte for each range of the sorted hashes: 1 to 255 by the least of them, 0 if there is none."""
+    at = np.searchsorted(grams, _EDGES)
+    full = np.append(at[1:], len(grams)) > at
+    out = np.zeros(BINS, np.uint8)
+    out[full] = grams[at[full]] % np.uint64(255) + np.uint64(1)
+    return out
+
+
+def verified(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the bytes of rows ``i`` of the sketches ``a`` and ``j`` of ``b`` let them be of that similarity.
+
+    Of the ranges in which either set has a value, alike sets have the same least value in about the
+    share of their similarity; other sets tie once in some millions of pairs at two thirds of it.
+    """
+    out = np.zeros(len(i), bool)
+    for at in range(0, len(i), 4096):
+        x, y = (np.ascontiguousarray(v[k[at : at + 4096], COORDINATES:]).view(np.uint8) for v, k in ((a, i), (b, j)))
+        either = np.count_nonzero(x | y, axis=1)
+        equal = np.count_nonzero((x == y) & (x != 0), axis=1)
+        out[at : at + 4096] = equal >= similarity * either - DEVIATIONS * np.sqrt(similarity * (1 - similarity) * either)
+    return out
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -110,7 +144,7 @@ def runs_for(recall: float, depth: int = 3) -> int:
 
 
 def _coordinates(column: pa.Array, n: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(n, COORDINATES)
+    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(n, WORDS)
 
 
 def _children(paths: np.ndarray, values: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -147,17 +181,23 @@ def in_reach(equal: np.ndarray, tied: np.ndarray, least: int) -> tuple[np.ndarra
     return np.nonzero(tied & (equal <= equal[~tied].max() + apart))[0], np.nonzero(~tied & (equal >= equal[tied].min() - apart))[0]
 
 
-def partners(a: np.ndarray, b: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
+def partners(a: np.ndarray, b: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
     """(i, j): for each row j of the sketches ``b`` that is alike to any row of ``a``, the first such row i."""
-    step = max(1, 2_000_000 // max(1, len(a)))
+    step, least = max(1, 2_000_000 // max(1, len(a))), least_equal(similarity)
     for at in range(0, len(b) if len(a) else 0, step):
         part = b[at : at + step]
         equal = np.zeros((len(part), len(a)), np.uint8)
         for c in range(COORDINATES):
             equal += part[:, c, None] == a[None, :, c]
         alike = equal >= least
-        for j in np.nonzero(alike.any(1))[0].tolist():
-            yield int(alike[j].argmax()), at + j
+        todo = np.nonzero(alike.any(1))[0]
+        while len(todo):  # the first of each row; those that it isn't go on to their next
+            first = alike[todo].argmax(1)
+            fine = verified(a, first, part, todo, similarity)
+            yield from zip(first[fine].tolist(), (at + todo[fine]).tolist(), strict=True)
+            alike[todo, first] = False
+            todo = todo[~fine]
+            todo = todo[alike[todo].any(1)]
 
 
 def _ties(path: int, ids: np.ndarray, values: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
@@ -166,23 +206,26 @@ def _ties(path: int, ids: np.ndarray, values: np.ndarray, similarity: float) ->
     while todo:
         path, rows = todo.pop()
         if len(rows) <= LEAF:
-            alike = (values[rows][:, None] == values[rows][None]).sum(2) >= least
-            forest = Forest(len(rows))
-            for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(alike, 1))), strict=True):
+            own = values[rows]
+            alike = (own[:, None, :COORDINATES] == own[None, :, :COORDINATES]).sum(2) >= least
+            forest, (left, right) = Forest(len(rows)), np.nonzero(np.triu(alike, 1))
+            fine = verified(own, left, own, right, similarity)
+            for i, j in zip(left[fine].tolist(), right[fine].tolist(), strict=True):
                 forest.join(i, j)
             for i in range(len(rows)):
                 if (first := forest.root(i)) != i:
                     yield ids[rows[first]], ids[rows[i]]
             continue
         pivot = rows[splitmix(ids[rows].view(np.uint64) ^ path).argmin()]
-        equal = (values[rows] == values[pivot]).sum(1)
+        equal = (values[rows][:, :COORDINATES] == values[pivot][:COORDINATES]).sum(1)
         tied = equal >= least
+        tied[tied] = verified(values, rows[tied], values, np.full(tied.sum(), pivot), similarity)
         for i in rows[tied].tolist():
             yield ids[pivot], ids[i]
         on = rows[~tied]
         # What leaves is compared with what stays, or pairs of which one set only is tied would be parted.
         near, far = in_reach(equal, tied, least)
-        yield from ((ids[rows[near[i]]], ids[rows[far[j]]]) for i, j in partners(values[rows[near]], values[rows[far]], least))
+        yield from ((ids[rows[near[i]]], ids[rows[far[j]]]) for i, j in partners(values[rows[near]], values[rows[far]], similarity))
         if len(on) > 1:
             row, child = _children(np.full(len(on), path), values[on], similarity)
             order = np.argsort(child, kind="stable")
@@ -212,7 +255,8 @@ def _bucket_edges(similarity: float):
                 break
             for at in range(0, len(near), 4096):
                 part = near[at : at + 4096]
-                for i in part[(values[part] == values[part + step]).sum(1) >= least].tolist():
+                part = part[(values[part, :COORDINATES] == values[part + step, :COORDINATES]).sum(1) >= least]
+                for i in part[verified(values, part, values, part + step, similarity)].tolist():
                     forest.join(i, i + step)
         # Every set hangs on the first of its bucket that it is tied to: stars need no further rounds.
         for i in range(len(ids)):
@@ -253,11 +297,13 @@ def _split(similarity: float):
         for record in records:
             n = record.num_rows
             ids, paths, values = record.column("rep").to_numpy(), record.column("path").to_numpy(), _coordinates(record.column("sketch"), n)
-            equal = (values == _coordinates(record.column("pivot_sketch"), n)).sum(1).astype(np.int64)
-            tied = np.nonzero(equal >= least)[0]
-            on = np.nonzero(equal < least)[0]
-            # Sets equal to the pivot in all coordinates have no partner that isn't tied.
-            near, far = tied[equal[tied] < COORDINATES], on[equal[on] >= least - apart]
+            pivots = _coordinates(record.column("pivot_sketch"), n)
+            equal = (values[:, :COORDINATES] == pivots[:, :COORDINATES]).sum(1).astype(np.int64)
+            alike, every = equal >= least, np.arange(n)
+            alike[alike] = verified(values, every[alike], pivots, every[alike], similarity)
+            tied, on = every[alike], every[~alike]
+            # Sets equal to the pivot in all of the sketch have no partner that isn't tied.
+            near, far = tied[(values[tied] != pivots[tied]).any(1)], on[equal[on] >= least - apart]
             parts = [(0, ids[tied], record.column("pivot").to_numpy()[tied], equal[tied]), (2, paths[near], ids[near], equal[near]), (3, paths[far], ids[far], equal[far])]
             if len(on):
                 row, path = _children(paths[on].view(np.uint64), values[on], similarity)
@@ -269,12 +315,12 @@ def _split(similarity: float):
     return rows
 
 
-def _side_edges(least: int):
+def _side_edges(similarity: float):
     """Edges from tied sets (``kind`` 2) to others (3) of each tile; rows come sorted by tile."""
 
     def edges(ids: np.ndarray, kinds: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
         near, far = np.nonzero(kinds == 2)[0], np.nonzero(kinds == 3)[0]
-        found = np.array([(ids[near[i]], ids[far[j]]) for i, j in partners(values[near], values[far], least)], np.int64).reshape(-1, 2)
+        found = np.array([(ids[near[i]], ids[far[j]]) for i, j in partners(values[near], values[far], similarity)], np.int64).reshape(-1, 2)
         return batch(a=longs(found[:, 0]), b=longs(found[:, 1]))
 
     def rows(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +358,7 @@ def side_edges(sides: DataFrame, reps: DataFrame, similarity: float) -> DataFram
     )
     keys = ["path", "x", "y"]
     whole = tiled.join(reps, "rep").select(*keys, "rep", "kind", "sketch").repartition(*keys).sortWithinPartitions(*keys, "kind", "rep")
-    return whole.mapInArrow(_side_edges(least_equal(similarity)), "a long, b long")
+    return whole.mapInArrow(_side_edges(similarity), "a long, b long")
 
 
 def candidate_edges(reps: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:

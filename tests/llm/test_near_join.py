@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from ledgerloom.llm import near_join
 from ledgerloom.llm.shared import connected
@@ -166,7 +167,7 @@ def between_two_groups(seed: int, copies: int):
     for base in (sets[0], second):
         for _ in range(copies):
             groups.append(base[:-2] + r.sample(range(10**9), 2))
-    return [near_join.splitmix(np.array(x, np.uint64)) for x in [a, b, *groups]]
+    return [np.sort(near_join.splitmix(np.array(x, np.uint64))) for x in [a, b, *groups]]
 
 
 def held_together(spark, seeds, copies):
@@ -188,3 +189,49 @@ def test_pairs_between_two_groups_in_buckets_that_spark_splits(spark, monkeypatc
     monkeypatch.setattr(near_join, "GATHER", 50)
     found, pairs = held_together(spark, range(12), 60)
     assert found == pairs
+
+
+def templated(share: float, n: int, pairs: int, seed: int):
+    """Sets of 200 numbers that share so many of a template, of which the first ones come in pairs at 0.85."""
+    r = random.Random(seed)
+    base = r.sample(range(10**9), int(200 * share))
+    sets = []
+    for k in range(n):
+        if k < 2 * pairs and k % 2:
+            sets.append(sets[-1][:-16] + r.sample(range(10**9), 16))
+        else:
+            sets.append(base + r.sample(range(10**9), 200 - len(base)))
+    return sets
+
+
+@pytest.mark.parametrize("share", [0.0, 0.7, 0.75])
+def test_a_shared_template_makes_no_groups(spark, share, monkeypatch):
+    """Ties are those of links, however many sets share most of a template, at whatever depth of the splits."""
+    monkeypatch.setattr(near_join, "GATHER", 200)
+    monkeypatch.setattr(near_join, "LEAF", 10)
+    pairs, most = 100, []
+    for n in (1000, 3000):
+        sets = [np.sort(near_join.splitmix(np.array(x, np.uint64))) for x in templated(share, n, pairs, n)]
+        rows = [(i, bytearray(near_join.sketch(x).tobytes())) for i, x in enumerate(sets)]
+        edges = near_join.candidate_edges(spark.createDataFrame(rows, "rep long, sketch binary").repartition(4))
+        groups = {}
+        for r in connected(edges).collect():
+            groups.setdefault(r.root, set()).add(r.node)
+        most.append(max(map(len, groups.values())))
+        together = {x: root for root, group in groups.items() for x in group}
+        assert sum(together.get(2 * k, -1) == together.get(2 * k + 1, -2) for k in range(pairs)) >= 0.99 * pairs
+    assert max(most) <= 4, most
+
+
+def test_bytes_verify_what_is_alike():
+    r = random.Random(5)
+    for size in (3, 40, 300, 5000):
+        held = {0.4: 0, 0.6: 0, 0.8: 0, 0.9: 0}
+        for similarity in held:
+            for _ in range(60):
+                same = round(2 * size * similarity / (1 + similarity))
+                x = r.sample(range(10**12), size)
+                y = x[:same] + r.sample(range(10**12), size - same)
+                a, b = (near_join.sketch(np.sort(near_join.splitmix(np.array(z, np.uint64))))[None] for z in (x, y))
+                held[similarity] += near_join.verified(a, np.zeros(1, int), b, np.zeros(1, int), 0.8).item()
+        assert held[0.9] == 60 and (size < 40 or held[0.8] == 60) and (size < 300 or held[0.4] == 0) and (size < 5000 or held[0.6] == 0), (size, held)
