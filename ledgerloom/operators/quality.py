@@ -86,12 +86,16 @@ def primary_key(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
 
 
 def key_checks(df: DataFrame, name: str, keys: list[str], primary: bool = True) -> DataFrame:
-    """``unique_key`` and, if ``primary``, ``primary_key`` of one grouping."""
+    """``unique_key`` and, if ``primary``, ``primary_key``, nulls of each key part and whether there is a row, of one grouping."""
     null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    groups = df.groupBy(*keys).agg(F.count("*").alias("_n")).where((F.col("_n") > 1) | null)
-    twice, label = F.count_if(F.col("_n") > 1), ",".join(keys)
-    checks = [(f"{name} duplicates on {label}", twice, F.col("value") == 0, "error")]
-    return scalars(groups, *checks, *([(f"{name} key {label}", F.count("*"), F.col("value") == 0, "error")] if primary else []))
+    groups = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    twice, label, none = F.col("_n") > 1, ",".join(keys), F.col("value") == 0
+    checks: list[Check] = [(f"{name} duplicates on {label}", F.count_if(twice), none, "error")]
+    if primary:
+        checks.append((f"{name} key {label}", F.count_if(twice | null), none, "error"))
+        checks += [(f"{name}.{k} null", F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("_n"))), F.lit(0)), none, "error") for k in keys]
+        checks.append((f"{name} rows", F.coalesce(F.sum("_n"), F.lit(0)), F.col("value") >= 1, "error"))
+    return scalars(groups, *checks)
 
 
 def no_nulls(df: DataFrame, name: str, column: str, most: int = 0, severity: str = "error") -> DataFrame:
@@ -106,13 +110,23 @@ def foreign_key(df: DataFrame, name: str, columns: list[str], parents: DataFrame
     return lone.agg(*verdict(f"{name}.{','.join(columns)} without parent", n, n == 0))
 
 
-def foreign_keys(df: DataFrame, name: str, references: list[tuple[list[str], DataFrame, list[str]]]) -> DataFrame:
-    """``foreign_key`` for several references (columns, parents, their columns) of one table, which is read once."""
-    rows = df.select(*dict.fromkeys(c for columns, _, _ in references for c in columns))
+def foreign_keys(df: DataFrame, name: str, references: list[tuple[list[str], DataFrame, list[str]]], *more: Check, using: tuple[str, ...] = ()) -> DataFrame:
+    """``foreign_key`` for several references (columns, parents, their columns) of one table, and ``more``
+    checks, which read the columns ``using``: the table is read once."""
+    rows = df.select(*dict.fromkeys([*(c for columns, _, _ in references for c in columns), *using]))
     for i, (columns, parents, parent_columns) in enumerate(references):
         keys = parents.select(*(F.col(p).alias(c) for p, c in zip(parent_columns, columns, strict=True))).distinct().withColumn(f"_hit{i}", F.lit(1))
         rows = rows.join(keys, columns, "left")
-    return scalars(rows, *(fault(f"{name}.{','.join(columns)} without parent", F.col(f"_hit{i}").isNull()) for i, (columns, _, _) in enumerate(references)))
+    return scalars(rows, *(fault(f"{name}.{','.join(columns)} without parent", F.col(f"_hit{i}").isNull()) for i, (columns, _, _) in enumerate(references)), *more)
+
+
+def one_reference(tables: dict[str, DataFrame], column: str, parents: DataFrame) -> DataFrame:
+    """``foreign_key`` of several tables on one column of the same parents, which are read once; tables are counted by key before they meet them."""
+    parts = (df.groupBy(column).agg(F.count("*").alias("_n")).select(F.lit(name).alias("_table"), column, "_n") for name, df in tables.items())
+    keys = parents.select(column).distinct().withColumn("_hit", F.lit(1))
+    rows = reduce(DataFrame.unionByName, parts).join(keys, column, "left")
+    lone = lambda name: F.coalesce(F.sum(F.when(F.col("_hit").isNull() & (F.col("_table") == name), F.col("_n"))), F.lit(0))
+    return scalars(rows, *((f"{name}.{column} without parent", lone(name), F.col("value") == 0, "error") for name in tables))
 
 
 def orphan_samples(df: DataFrame, columns: list[str], parents: DataFrame, parent_columns: list[str], n: int = 5, allow_null: bool = False) -> DataFrame:
@@ -155,6 +169,12 @@ def suite(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
+def described(checks: DataFrame) -> DataFrame:
+    """Checks with a ``message`` each: what was looked for, what was found, and what that means."""
+    state = F.when(F.col("passed"), "passed").when(F.col("severity") == "warning", "above its threshold").otherwise("failed")
+    return checks.withColumn("message", F.concat(F.initcap(state), F.lit(": "), "check", F.lit(", "), F.col("value").cast("string"), F.lit(" found")))
+
+
 def overall(checks: DataFrame) -> DataFrame:
     errors, warnings = F.count_if(F.col("severity") == "error"), F.count_if(F.col("severity") == "warning")
     state = F.when(errors > 0, "failed").when(warnings > 0, "passed with warnings").otherwise("passed")
@@ -178,20 +198,21 @@ OUTLIER_TAGS, OUTLIER = ["Assets", "Revenues", "NetIncomeLoss"], 1e14
 def core_suite(
     companies: DataFrame, tickers: DataFrame, former_names: DataFrame, filings: DataFrame, facts: DataFrame, tags: DataFrame | None = None
 ) -> DataFrame:
-    """The 24 checks that a build of the core tables must pass: each table is read once for its columns, once for its keys and once for its references."""
+    """The 24 checks that a build of the core tables must pass.
+
+    A table is read once for its keys, which give its rows and nulls of the key, too, and once for its
+    references; two small tables meet the companies together.
+    """
     cik, acc = ["cik"], ["accession_number"]
     tables = {"companies": companies, "tickers": tickers, "former_names": former_names, "filings": filings, "xbrl_tags": tags, "xbrl_facts": facts}
-    rows = lambda name: (f"{name} rows", F.count("*"), F.col("value") >= 1, "error")
-    null = lambda name, c: fault(f"{name}.{c} null", F.col(c).isNull())
     return suite(
         presence(companies.sparkSession, tables),
         has_columns(companies, "companies", ["cik", "primary_name", "entity_type", "sic", "sic_description"]),
         has_columns(filings, "filings", ["accession_number", "cik", "filing_date", "form"]),
         key_checks(companies, "companies", cik), key_checks(filings, "filings", acc), key_checks(tickers, "tickers", ["ticker", "exchange"], primary=False),
-        scalars(companies, null("companies", "cik"), rows("companies")),
-        scalars(filings, *(null("filings", c) for c in ("accession_number", "cik", "form")), rows("filings")),
-        foreign_keys(filings, "filings", [(cik, companies, cik)]), foreign_keys(tickers, "tickers", [(cik, companies, cik)]),
-        foreign_keys(former_names, "former_names", [(cik, companies, cik)]), foreign_keys(facts, "xbrl_facts", [(cik, companies, cik), (acc, filings, acc)]),
+        foreign_keys(filings, "filings", [(cik, companies, cik)], *(fault(f"filings.{c} null", F.col(c).isNull()) for c in ("cik", "form")), using=("form",)),
+        one_reference({"tickers": tickers, "former_names": former_names}, "cik", companies),
+        foreign_keys(facts, "xbrl_facts", [(cik, companies, cik), (acc, filings, acc)]),
     )
 
 

@@ -87,6 +87,15 @@ def quality_summary(v: Views) -> DataFrame:
     return quality.overall(checks)
 
 
+@query(f"""SELECT *, CASE WHEN passed THEN 'Passed' WHEN severity = 'warning' THEN 'Above Its Threshold' ELSE 'Failed' END || ': ' || "check" || ', ' || value || ' found' AS message
+FROM ({' UNION ALL '.join(SUMMARY)})""".replace("'dup'", "'lineitem duplicates on l_orderkey,l_linenumber'").replace("'null'", "'customer.c_name null'").replace("'warn'", "'errors'"))
+def described_checks(v: Views) -> DataFrame:
+    return quality.described(quality.suite(
+        quality.unique_key(v.table("lineitem"), "lineitem", ["l_orderkey", "l_linenumber"]), quality.no_nulls(v.table("customer"), "customer", "c_name"),
+        quality.at_most(v.table("events"), "errors", F.col("event_type") == "error", 10),
+    ))
+
+
 def missing(table: str, wanted: list[str]) -> str:
     return f"SELECT {len(wanted)} - count(*) FROM (DESCRIBE SELECT * FROM {table}) WHERE column_name IN ({', '.join(map(repr, wanted))})"
 
