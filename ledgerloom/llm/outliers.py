@@ -263,7 +263,8 @@ def judged(docs: DataFrame, tail: float = TAIL) -> DataFrame:
     stats = statistics(docs).withColumn(
         "base_failed", (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     )
-    rows = with_features(landed(stats.withColumn("sound", ~F.col("base_failed")), "statistics"))
+    # Landed once: each of the steps below reads the features of all rows.
+    rows = landed(with_features(landed(stats.withColumn("sound", ~F.col("base_failed")), "statistics")), "features")
     fit = fits(rows.where("sound").select("doc_id", "tie", "cell", *FEATURES))
     # A cell without sound rows has no fit, and no rows that need one.
     far = rows.join(fit, "cell", "left").withColumn("distance", F.when(F.col("sound"), distance()))
