@@ -16,8 +16,11 @@ from .tables import keep_one
 
 # The documents' shapes, and (JSON name, column) pairs.
 _PLACE = "struct<street1:variant,street2:variant,city:variant,stateOrCountry:variant,zipCode:variant>"
-FILING_FIELDS = [("accessionNumber", "accession_number"), ("filingDate", "filing_date"), ("reportDate", "report_date"), ("acceptanceDateTime", "acceptance_datetime"), ("act", "act"), ("form", "form"), ("fileNumber", "file_number"), ("filmNumber", "film_number"), ("items", "items"), ("size", "size"), ("isXBRL", "is_xbrl"), ("isInlineXBRL", "is_inline_xbrl"), ("primaryDocument", "primary_document"), ("primaryDocDescription", "primary_doc_description")]
-COMPANY_FIELDS = [("name", "primary_name"), ("entityType", "entity_type"), ("sic", "sic"), ("sicDescription", "sic_description"), ("ein", "ein"), ("description", "description"), ("category", "category"), ("stateOfIncorporation", "state_of_incorporation"), ("phone", "phone"), ("flags", "flags")]
+FILING_FIELDS = [("accessionNumber", "accession_number"), ("filingDate", "filing_date"), ("reportDate", "report_date"), ("acceptanceDateTime", "acceptance_datetime"), ("act",
+    "act"), ("form", "form"), ("fileNumber", "file_number"), ("filmNumber", "film_number"), ("items", "items"), ("size", "size"), ("isXBRL", "is_xbrl"), ("isInlineXBRL",
+    "is_inline_xbrl"), ("primaryDocument", "primary_document"), ("primaryDocDescription", "primary_doc_description")]
+COMPANY_FIELDS = [("name", "primary_name"), ("entityType", "entity_type"), ("sic", "sic"), ("sicDescription", "sic_description"), ("ein", "ein"), ("description", "description"),
+    ("category", "category"), ("stateOfIncorporation", "state_of_incorporation"), ("phone", "phone"), ("flags", "flags")]
 PLACE_FIELDS = [("street1", "street1"), ("street2", "street2"), ("city", "city"), ("stateOrCountry", "state_or_country"), ("zipCode", "zip_code")]
 
 SUBMISSION = (

@@ -304,7 +304,8 @@ def error_tables(found: dict[str, DataFrame]) -> DataFrame:
 
 def counts_of(spark: SparkSession, found: dict[str, DataFrame | None], optional: tuple[str, ...] = ()) -> DataFrame:
     """Whether each table is there, and the rows of those that are."""
-    return suite(presence(spark, found, optional), *(scalars(df, (f"{name} rows", F.count("*"), F.col("value") >= 1, "warning" if name in optional else "error")) for name, df in found.items() if df is not None))
+    return suite(presence(spark, found, optional), *(scalars(df, (f"{name} rows", F.count("*"), F.col("value") >= 1, "warning" if name in optional else "error")) for name,
+        df in found.items() if df is not None))
 
 
 #: Groupings of the profile of orphans.
@@ -398,7 +399,8 @@ def filing_facts(filings: DataFrame, facts: DataFrame, tickers: DataFrame) -> Da
     keys = ["cik", "accession_number"]
     tags = facts.groupBy(*keys, "tag_name").agg(F.lit(1).alias("_hit"))
     counts = filings.select(*keys).join(tags, keys, "left").groupBy("cik").agg(
-        F.count_distinct("accession_number").alias("filings"), F.count_distinct(F.when(F.col("_hit") == 1, F.col("accession_number"))).alias("with_facts"), F.count_distinct("tag_name").alias("n_tags"),
+        F.count_distinct("accession_number").alias("filings"), F.count_distinct(F.when(F.col("_hit") == 1, F.col("accession_number"))).alias("with_facts"),
+        F.count_distinct("tag_name").alias("n_tags"),
     )
     first = tickers.groupBy("cik").agg(F.min("ticker").alias("ticker"))
     share = F.round(F.try_divide(F.col("with_facts").cast("double"), F.col("filings")), 6)

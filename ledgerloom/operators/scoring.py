@@ -143,7 +143,8 @@ def ranked(df: DataFrame, order: list[str], tie: str = "ticker") -> DataFrame:
     return placed(df, [F.desc_nulls_last(c) for c in order] + [F.asc_nulls_last(tie)], "rank")
 
 
-def stock_priority(tickers: DataFrame, links: DataFrame, facts: DataFrame, history: DataFrame, filings: DataFrame, as_of: str, given: dict[str, float] | None = None, metrics: list[str] | None = None) -> DataFrame:
+def stock_priority(tickers: DataFrame, links: DataFrame, facts: DataFrame, history: DataFrame, filings: DataFrame, as_of: str, given: dict[str, float] | None = None,
+    metrics: list[str] | None = None) -> DataFrame:
     """Scores of a given list of tickers; those without a company score by their need alone."""
     base = (
         tickers.select("ticker").distinct()
@@ -207,7 +208,8 @@ def ranks_among(first: DataFrame, scores: DataFrame) -> DataFrame:
     placed_rows = first.withColumn("_place", place)
     joined = placed_rows.join(F.broadcast(sums), F.col("_below") >= F.col("_place"), "left")
     keys = first.columns
-    return joined.groupBy(*keys).agg(F.coalesce(F.max("_above"), F.lit(0)).alias("_above")).withColumn("rank", F.col("_above") + 1).drop("_above").select("ticker", "cik", "rank", "score", *(c for c in keys if c not in ("ticker", "cik", "score")))
+    return joined.groupBy(*keys).agg(F.coalesce(F.max("_above"), F.lit(0)).alias("_above")).withColumn("rank", F.col("_above") + 1).drop("_above").select("ticker", "cik", "rank",
+        "score", *(c for c in keys if c not in ("ticker", "cik", "score")))
 
 
 def plan_status(plan: DataFrame) -> DataFrame:

@@ -56,7 +56,8 @@ def facts_texts(v: Views) -> DataFrame:
     return by_cik.select(F.to_json(doc).alias("value"))
 
 
-@query(f"""SELECT {PAD} AS cik, accession_number, 'us-gaap' AS taxonomy, tag_name, unit, period_end_date, value_numeric, CAST(NULL AS VARCHAR) AS value_text, 2000 AS fy, fp, form, filed_date, '' AS frame FROM facts""")
+@query(f"""SELECT {PAD} AS cik, accession_number, 'us-gaap' AS taxonomy, tag_name, unit, period_end_date, value_numeric, CAST(NULL AS VARCHAR) AS value_text, 2000 AS fy,
+fp, form, filed_date, '' AS frame FROM facts""")
 def json_explode_facts(v: Views) -> DataFrame:
     return normalize.facts(normalize.company_facts(facts_texts(v)))
 
@@ -67,7 +68,8 @@ def json_explode_tags(v: Views) -> DataFrame:
 
 
 #: Values of the JSON member isXBRL by turns, and what they mean: false and "false", 0 and "0" differ.
-TRUTHS = [("false", "false"), ('"false"', "true"), ("0", "false"), ('"0"', "true"), ("1", "true"), ("true", "true"), ('""', "false"), ("null", "NULL"), ("0.0", "false"), ("[]", "false"), ('{"a": 0}', "true")]
+TRUTHS = [("false", "false"), ('"false"', "true"), ("0", "false"), ('"0"', "true"), ("1", "true"), ("true", "true"), ('""', "false"), ("null", "NULL"), ("0.0", "false"), ("[]",
+    "false"), ('{"a": 0}', "true")]
 
 
 @query(f"""SELECT accession_number, CASE CAST(accession_number AS BIGINT) % {len(TRUTHS)} {' '.join(f"WHEN {k} THEN {truth}" for k, (_, truth) in enumerate(TRUTHS))} END AS is_xbrl,
@@ -77,7 +79,8 @@ def json_typed_truth(v: Views) -> DataFrame:
     n = F.col("accession_number").cast("long")
     flag = F.element_at(F.array(*(F.lit(x) for x, _ in TRUTHS)), (n % len(TRUTHS)).cast("int") + 1)
     size = F.concat("accession_number", F.when(n % 2 == 1, ".5").otherwise(""))
-    one = F.struct(F.to_json(F.struct("accession_number", F.col("filing_date").cast("string").alias("d"), "form")).alias("j"), flag.alias("flag"), size.alias("size"), "accession_number", "form", F.col("filing_date").cast("string").alias("d"))
+    one = F.struct(F.to_json(F.struct("accession_number", F.col("filing_date").cast("string").alias("d"), "form")).alias("j"), flag.alias("flag"), size.alias("size"),
+        "accession_number", "form", F.col("filing_date").cast("string").alias("d"))
     f = v.filings().groupBy("cik").agg(F.collect_list(one).alias("f"))
 
     def listed(name: str, quote: str = "") -> F.Column:
@@ -90,7 +93,8 @@ def json_typed_truth(v: Views) -> DataFrame:
 
 
 #: Values of the JSON member val by turns, as (JSON, number, text); # stands for the row's price.
-VALUES = [("#", "#", None), ('"#"', "#", None), ("true", "1", None), ('"true"', None, "true"), ("false", "0", None), ('"NaN"', None, "NaN"), ('"-Infinity"', None, "-Infinity"), ("null", None, None), ('"12 apples"', None, "12 apples"), ('{"a":1}', None, '{"a":1}'), ("1.5e3", "1500", None)]
+VALUES = [("#", "#", None), ('"#"', "#", None), ("true", "1", None), ('"true"', None, "true"), ("false", "0", None), ('"NaN"', None, "NaN"), ('"-Infinity"', None, "-Infinity"),
+    ("null", None, None), ('"12 apples"', None, "12 apples"), ('{"a":1}', None, '{"a":1}'), ("1.5e3", "1500", None)]
 YEARS = [("2023", "2023"), ('"2023"', "2023"), ('"FY23"', "NULL"), ("2023.9", "2023"), ("null", "NULL")]
 
 
@@ -139,7 +143,8 @@ def fact_value_split(v: Views) -> DataFrame:
 
 @query(f"""SELECT o_orderkey, {PAD.replace('cik', 'CAST(o_custkey AS VARCHAR)')} AS cik, 'https://data/CIK' || {PAD.replace('cik', 'CAST(o_custkey AS VARCHAR)')} || '.json' AS url,
 'https://archive.example/' || o_custkey || '/' || replace(o_orderpriority, '-', '') || '/a.htm' AS filing_url, replace(o_orderpriority, '-', '.') AS dotted,
-CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '{ORDERS_DAY}') AS INTEGER) AS age, CAST(o_orderdate + INTERVAL 60 MONTH AS DATE) AS later, greatest(CAST(o_orderdate AS DATE), DATE '{ORDERS_DAY}' - 1000) AS clamped,
+CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '{ORDERS_DAY}') AS INTEGER) AS age, CAST(o_orderdate + INTERVAL 60 MONTH AS DATE) AS later,
+greatest(CAST(o_orderdate AS DATE), DATE '{ORDERS_DAY}' - 1000) AS clamped,
 substr(o_orderpriority, 1, 3) AS head FROM orders""")
 def scalar_functions(v: Views) -> DataFrame:
     o = v.table("orders")
@@ -147,7 +152,8 @@ def scalar_functions(v: Views) -> DataFrame:
     end = F.lit(ORDERS_DAY).cast("date")
     return o.select(
         "o_orderkey", cik.alias("cik"), scalars.url("https://data/CIK{cik}.json", cik=cik).alias("url"),
-        scalars.filing_url("https://archive.example", F.col("o_custkey").cast("string"), "o_orderpriority", F.lit("a.htm")).alias("filing_url"), scalars.dotted_ticker("o_orderpriority").alias("dotted"),
+        scalars.filing_url("https://archive.example", F.col("o_custkey").cast("string"), "o_orderpriority", F.lit("a.htm")).alias("filing_url"),
+        scalars.dotted_ticker("o_orderpriority").alias("dotted"),
         F.datediff(end, day).alias("age"), F.add_months(day, 60).alias("later"), scalars.clamp_start(day, end, 1000).alias("clamped"), scalars.window_text("o_orderpriority", 3).alias("head"),
     )
 
@@ -174,23 +180,28 @@ def macro_assemble(v: Views) -> DataFrame:
 
 
 @query("""+ d AS (SELECT CAST(ts AS DATE) AS date, max(value) AS m, min(value) AS r FROM events GROUP BY 1)
-SELECT date, k AS factor_model, m / 100 AS mkt_minus_rf, CAST(NULL AS DOUBLE) AS smb, CAST(NULL AS DOUBLE) AS hml, CAST(NULL AS DOUBLE) AS rmw, CAST(NULL AS DOUBLE) AS cma, r / 100 AS rf FROM d, (SELECT unnest(['3', '5']) AS k)""")
+SELECT date, k AS factor_model, m / 100 AS mkt_minus_rf, CAST(NULL AS DOUBLE) AS smb, CAST(NULL AS DOUBLE) AS hml, CAST(NULL AS DOUBLE) AS rmw,
+CAST(NULL AS DOUBLE) AS cma, r / 100 AS rf FROM d, (SELECT unnest(['3', '5']) AS k)""")
 def risk_assemble(v: Views) -> DataFrame:
     d = v.table("events").groupBy(F.to_date("ts").alias("Date")).agg(F.max("value").alias("Mkt-RF"), F.min("value").alias("RF"))
     return feeds.risk_factors({"3": d, "5": d.union(d)})
 
 
-@query("""SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS date, value AS open, value + 1 AS high, value - 1 AS low, value AS close, value AS adj_close, CAST(event_id AS BIGINT) AS volume FROM events WHERE user_id IS NOT NULL AND value IS NOT NULL""")
+@query("""SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS date, value AS open, value + 1 AS high, value - 1 AS low, value AS close, value AS adj_close,
+CAST(event_id AS BIGINT) AS volume FROM events WHERE user_id IS NOT NULL AND value IS NOT NULL""")
 def bars_conform(v: Views) -> DataFrame:
     e = v.table("events").where("user_id IS NOT NULL AND value IS NOT NULL")
-    bar = F.struct(F.col("event_id").alias("v"), F.col("value").alias("o"), (F.col("value") + 1).alias("h"), (F.col("value") - 1).alias("l"), F.col("value").alias("c"), F.unix_millis(F.col("ts").cast("timestamp")).alias("t"))
+    bar = F.struct(F.col("event_id").alias("v"), F.col("value").alias("o"), (F.col("value") + 1).alias("h"), (F.col("value") - 1).alias("l"), F.col("value").alias("c"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("t"))
     texts = e.groupBy(F.col("user_id").cast("string").alias("ticker"), F.to_date("ts").alias("day")).agg(F.to_json(F.collect_list(bar)).alias("results"))
     return feeds.bars(texts)
 
 
-@query("""SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS date, value AS close, CAST(event_id AS BIGINT) AS volume FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-09'""")
+@query("""SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS date, value AS close, CAST(event_id AS BIGINT) AS volume FROM events WHERE
+CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-09'""")
 def daily_prices(v: Views) -> DataFrame:
-    frame = v.table("events").select(F.col("user_id").cast("string").alias("ticker"), F.col("ts").cast("date").cast("string").alias("Date"), F.col("value").alias("Close"), F.col("event_id").alias("Volume"))
+    frame = v.table("events").select(F.col("user_id").cast("string").alias("ticker"), F.col("ts").cast("date").cast("string").alias("Date"), F.col("value").alias("Close"),
+        F.col("event_id").alias("Volume"))
     return feeds.daily_prices(frame, "2024-01-05", "2024-01-09").select("ticker", "date", "close", "volume")
 
 
@@ -206,7 +217,9 @@ def html_text(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", F.md5(text.cast("binary")).alias("text_md5"), F.length(text).cast("long").alias("n_chars"))
 
 
-@query(f"""SELECT accession_number, left({CLEAN}, 4000) AS text, 'https://archive.example/' || cik || '/' || accession_number || '/a.htm' AS url, CAST(NULL AS VARCHAR) AS summary_text, 'none' AS summary_model FROM filings f JOIN pages p ON CAST(p.page_id AS VARCHAR) = f.accession_number WHERE form = '1-URGENT' AND filing_date >= DATE '{ORDERS_DAY}' - 2000""")
+@query(f"""SELECT accession_number, left({CLEAN}, 4000) AS text, 'https://archive.example/' || cik || '/' || accession_number || '/a.htm' AS url,
+CAST(NULL AS VARCHAR) AS summary_text, 'none' AS summary_model FROM filings f JOIN pages p ON CAST(p.page_id AS VARCHAR) = f.accession_number WHERE form = '1-URGENT'
+AND filing_date >= DATE '{ORDERS_DAY}' - 2000""")
 def summary_corpus(v: Views) -> DataFrame:
     pages = v.table("pages").select(F.col("page_id").cast("string").alias("accession_number"), "html")
     filings = v.filings().withColumn("primary_document", F.lit("a.htm"))
@@ -224,4 +237,5 @@ def batch_inventory(v: Views) -> DataFrame:
     v.companies().coalesce(1).write.parquet(f"{folder}/companies")
     v.filings().repartition(3).write.parquet(f"{folder}/filings")
     reports = [batches.directory_report(v.spark, f"{folder}/{name}").withColumn("table", F.lit(name)) for name in ("companies", "filings")]
-    return reports[0].unionByName(reports[1]).select("table", F.col("files").cast("int").alias("files"), F.col("valid").cast("int").alias("valid"), F.col("invalid").cast("int").alias("invalid"), "n_rows")
+    return reports[0].unionByName(reports[1]).select("table", F.col("files").cast("int").alias("files"), F.col("valid").cast("int").alias("valid"),
+        F.col("invalid").cast("int").alias("invalid"), "n_rows")

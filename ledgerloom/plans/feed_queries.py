@@ -40,7 +40,8 @@ def typed_file_scan(v: Views) -> DataFrame:
     return docs.select("cik", "name", F.posexplode("tickers").alias("place", "ticker"))
 
 
-@query("""SELECT CAST(user_id AS VARCHAR) AS series_id, CASE WHEN event_id % 4 > 0 THEN CAST(ts AS DATE) END AS date, CASE WHEN event_id % 5 > 0 THEN value END AS value FROM events WHERE user_id % 3 < 2""")
+@query("""SELECT CAST(user_id AS VARCHAR) AS series_id, CASE WHEN event_id % 4 > 0 THEN CAST(ts AS DATE) END AS date, CASE WHEN event_id % 5 > 0 THEN value END AS value
+FROM events WHERE user_id % 3 < 2""")
 def file_list_scan(v: Views) -> DataFrame:
     """Two of three batches by their paths, written with 'nan' and 'None' for nulls and columns in another order."""
     e = v.table("events")
@@ -58,7 +59,8 @@ def details_texts(v: Views) -> DataFrame:
     address = F.struct(F.col("c_name").alias("address1"), F.col("c_mktsegment").alias("city"), F.col("c_nationkey").cast("string").alias("postal_code"))
     stamp = F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit("2024-01-"), F.lpad((F.col("c_custkey") % 28 + 1).cast("string"), 2, "0"), F.lit("T10:00:00.123Z"))).otherwise("no time")
     doc = F.struct(
-        F.when(F.col("c_custkey") % 11 > 0, F.concat(F.lit("T-"), "c_custkey")).alias("ticker"), F.col("c_name").alias("name"), (F.col("c_custkey") % 2 == 0).alias("active"), F.col("c_acctbal").alias("market_cap"),
+        F.when(F.col("c_custkey") % 11 > 0, F.concat(F.lit("T-"), "c_custkey")).alias("ticker"), F.col("c_name").alias("name"), (F.col("c_custkey") % 2 == 0).alias("active"),
+        F.col("c_acctbal").alias("market_cap"),
         F.col("c_custkey").alias("total_employees"), stamp.alias("last_updated_utc"), address.alias("address"), F.struct(F.col("c_name").alias("logo_url")).alias("branding"),
     )
     return c.select(F.to_json(doc).alias("value"))
@@ -67,14 +69,17 @@ def details_texts(v: Views) -> DataFrame:
 DETAIL_STAMP = "CASE WHEN c_custkey % 3 > 0 THEN CAST('2024-01-' || lpad(CAST(c_custkey % 28 + 1 AS VARCHAR), 2, '0') || ' 10:00:00' AS TIMESTAMP) END"
 
 
-@query(f"""SELECT 'T-' || c_custkey AS ticker, c_name AS name, c_custkey % 2 = 0 AS active, c_acctbal AS market_cap, c_custkey AS total_employees, {STAMP} AS fetch_timestamp, {DETAIL_STAMP} AS last_updated_utc,
-c_name AS address_1, c_mktsegment AS city, CAST(NULL AS VARCHAR) AS state, CAST(c_nationkey AS VARCHAR) AS postal_code, c_name AS logo_url, CAST(NULL AS VARCHAR) AS icon_url FROM customer WHERE c_custkey % 11 > 0""")
+@query(f"""SELECT 'T-' || c_custkey AS ticker, c_name AS name, c_custkey % 2 = 0 AS active, c_acctbal AS market_cap, c_custkey AS total_employees,
+{STAMP} AS fetch_timestamp, {DETAIL_STAMP} AS last_updated_utc,
+c_name AS address_1, c_mktsegment AS city, CAST(NULL AS VARCHAR) AS state, CAST(c_nationkey AS VARCHAR) AS postal_code, c_name AS logo_url,
+CAST(NULL AS VARCHAR) AS icon_url FROM customer WHERE c_custkey % 11 > 0""")
 def details_flatten(v: Views) -> DataFrame:
     rows = feeds.ticker_details(details_texts(v), "2024-01-31 00:00:00")
     return rows.select("ticker", "name", "active", "market_cap", "total_employees", "fetch_timestamp", "last_updated_utc", "address_1", "city", "state", "postal_code", "logo_url", "icon_url")
 
 
-@query(f"SELECT 'T-' || c_custkey AS ticker, c_name AS name, c_custkey % 2 = 0 AS active, CAST(NULL AS VARCHAR) AS cik, 'landed' AS source, {STAMP} AS fetched_at, {DETAIL_STAMP} AS last_updated_utc FROM customer WHERE c_custkey % 11 > 0")
+@query(f"""SELECT 'T-' || c_custkey AS ticker, c_name AS name, c_custkey % 2 = 0 AS active, CAST(NULL AS VARCHAR) AS cik, 'landed' AS source, {STAMP} AS fetched_at,
+{DETAIL_STAMP} AS last_updated_utc FROM customer WHERE c_custkey % 11 > 0""")
 def reference_flatten(v: Views) -> DataFrame:
     return feeds.ticker_reference(details_texts(v), "2024-01-31 00:00:00").select("ticker", "name", "active", "cik", "source", "fetched_at", "last_updated_utc")
 
@@ -156,7 +161,8 @@ def zip_documents(v: Views) -> DataFrame:
 
 def named_documents(v: Views) -> DataFrame:
     """A submission document for each company, with what it was called before: its supplier's name, and an entry without one."""
-    names = v.former_names().select("cik", F.array(F.struct(F.col("former_name").alias("name"), F.lit("2001-02-03T00:00:00.000Z").alias("from"), F.lit("bad").alias("to")), F.struct(F.lit("").alias("name"), F.lit("2001-02-03").alias("from"), F.lit("").alias("to"))).alias("formerNames"))
+    names = v.former_names().select("cik", F.array(F.struct(F.col("former_name").alias("name"), F.lit("2001-02-03T00:00:00.000Z").alias("from"), F.lit("bad").alias("to")),
+        F.struct(F.lit("").alias("name"), F.lit("2001-02-03").alias("from"), F.lit("").alias("to"))).alias("formerNames"))
     doc = F.struct("cik", F.col("primary_name").alias("name"), "formerNames", F.array(F.concat(F.lit("T-"), "cik")).alias("tickers"), F.array("category").alias("exchanges"))
     return v.companies().join(names, "cik", "left").select(F.to_json(doc).alias("value"))
 
@@ -175,7 +181,8 @@ def new_filings(v: Views) -> DataFrame:
     return normalize.filings(docs, v.filings().where("status = 'F'")).select("accession_number", "cik", "filing_date", "form")
 
 
-@query(f"""SELECT {PAD.replace('cik', 'c.cik')} AS cik, primary_name, CASE WHEN c.cik IN (SELECT cik FROM facts) THEN 'Name' END AS entity_name_cf, '' AS fiscal_year_end, CAST(NULL AS VARCHAR) AS phone, {STAMP} AS last_parsed_timestamp FROM companies c""")
+@query(f"""SELECT {PAD.replace('cik', 'c.cik')} AS cik, primary_name, CASE WHEN c.cik IN (SELECT cik FROM facts) THEN 'Name' END AS entity_name_cf, '' AS fiscal_year_end,
+CAST(NULL AS VARCHAR) AS phone, {STAMP} AS last_parsed_timestamp FROM companies c""")
 def companies_named(v: Views) -> DataFrame:
     """Companies with the entity names of their facts documents."""
     rows = normalize.companies(normalize.submissions(named_documents(v)), F.lit("2024-01-31 00:00:00"), normalize.company_facts(facts_texts(v)))
@@ -184,7 +191,8 @@ def companies_named(v: Views) -> DataFrame:
 
 @query(f"""+ left_ AS (SELECT cik, 1 AS n_tickers, CASE WHEN cik IN (SELECT cik FROM former_names) THEN 2 ELSE 0 END AS n_former_names FROM companies WHERE CAST(cik AS BIGINT) % 2 = 0),
 right_ AS (SELECT cik, count(*) AS n_facts, count(DISTINCT tag_name) AS n_tags FROM facts GROUP BY 1)
-SELECT CASE WHEN length(coalesce(l.cik, r.cik)) < 10 THEN lpad(coalesce(l.cik, r.cik), 10, '0') ELSE coalesce(l.cik, r.cik) END AS cik, coalesce(n_tickers, 0) AS n_tickers, coalesce(n_former_names, 0) AS n_former_names, 0 AS n_filings,
+SELECT CASE WHEN length(coalesce(l.cik, r.cik)) < 10 THEN lpad(coalesce(l.cik, r.cik), 10, '0') ELSE coalesce(l.cik, r.cik) END AS cik, coalesce(n_tickers,
+0) AS n_tickers, coalesce(n_former_names, 0) AS n_former_names, 0 AS n_filings,
 coalesce(n_facts, 0) AS n_facts, coalesce(n_tags, 0) AS n_tags FROM left_ l FULL JOIN right_ r ON l.cik = r.cik""")
 def parse_summary(v: Views) -> DataFrame:
     """What the documents of each company hold, whichever of the two kinds there is."""
@@ -193,7 +201,8 @@ def parse_summary(v: Views) -> DataFrame:
 
 
 WHEN = "strftime(o_orderdate, '%Y-%m-%d')"
-TIMES = f"""CASE o_orderkey % 6 WHEN 0 THEN {WHEN} || 'T05:06:07.123Z' WHEN 1 THEN {WHEN} || 'T05:06:07Z' WHEN 2 THEN {WHEN} || 'T05:06:07+02:00' WHEN 3 THEN {WHEN} WHEN 4 THEN 'not a time' ELSE {WHEN} || 'T25:00:00' END"""
+TIMES = f"""CASE o_orderkey % 6 WHEN 0 THEN {WHEN} || 'T05:06:07.123Z' WHEN 1 THEN {WHEN} || 'T05:06:07Z' WHEN 2 THEN {WHEN} || 'T05:06:07+02:00' WHEN 3 THEN {WHEN}
+WHEN 4 THEN 'not a time' ELSE {WHEN} || 'T25:00:00' END"""
 SIZES = "list_extract(['12', '', '12.5', '-3', '007', 'x1', '0', 'false'], CAST(o_orderkey % 8 AS INTEGER) + 1)"
 
 
@@ -212,7 +221,8 @@ def lenient_scalars(v: Views) -> DataFrame:
             text = F.when(k == i, F.concat(day, F.lit(form))).otherwise(text)
     size = F.element_at(F.array(*(F.lit(x) for x in ["12", "", "12.5", "-3", "007", "x1", "0", "false"])), (F.col("o_orderkey") % 8).cast("int") + 1)
     file = F.concat(F.lit("/a/b/facts_20240105_0607"), F.lpad((F.col("o_orderkey") % 60).cast("string"), 2, "0"), F.lit(".parquet"))
-    return o.select("o_orderkey", scalars.utc_timestamp(text).alias("stamp"), scalars.digits(size).alias("size"), scalars.truthy(size).alias("truth"), scalars.batch_id_of_file(file).alias("batch_id"), scalars.batch_time_of_file(file).alias("batch_time"))
+    return o.select("o_orderkey", scalars.utc_timestamp(text).alias("stamp"), scalars.digits(size).alias("size"), scalars.truthy(size).alias("truth"),
+        scalars.batch_id_of_file(file).alias("batch_id"), scalars.batch_time_of_file(file).alias("batch_time"))
 
 
 @query("""+ cells AS (SELECT o_custkey AS ticker, o_orderpriority AS item_name, year(o_orderdate) AS y, sum(o_totalprice) AS s FROM orders GROUP BY ALL)
@@ -220,7 +230,8 @@ SELECT ticker, make_date(y, 12, 31) AS report_date, item_name, CAST(trunc(s) AS
 def statement_rows(v: Views) -> DataFrame:
     """Statements with a column for each report date, one of which is no date."""
     o = v.table("orders").select(F.col("o_custkey").alias("ticker"), F.col("o_orderpriority").alias("item_name"), F.year("o_orderdate").alias("y"), "o_totalprice")
-    wide = o.groupBy("ticker", "item_name").agg(*(F.sum(F.when(F.col("y") == y, F.col("o_totalprice"))).alias(name) for y, name in ((1996, "1996-12-31"), (1997, "1997-12-31"), (1998, "1998-13-31"), (1999, "TTM"))))
+    wide = o.groupBy("ticker", "item_name").agg(*(F.sum(F.when(F.col("y") == y, F.col("o_totalprice"))).alias(name) for y,
+        name in ((1996, "1996-12-31"), (1997, "1997-12-31"), (1998, "1998-13-31"), (1999, "TTM"))))
     return tables.statement_rows(wide, ["ticker"])
 
 
@@ -258,12 +269,14 @@ b AS (SELECT DISTINCT 'u' || user_id AS ticker, 'before' AS reason, TIMESTAMP '2
 SELECT * FROM b WHERE upper(ticker) NOT IN (SELECT ticker FROM e) UNION ALL SELECT ticker, reason, TIMESTAMP '2024-01-31 00:00:00' FROM e""")
 def mark_untrackable(v: Views) -> DataFrame:
     e = v.table("events")
-    base = e.where("user_id % 3 = 0").select(F.concat(F.lit("u"), "user_id").alias("ticker"), F.lit("before").alias("reason"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("last_failed_timestamp")).distinct()
+    base = e.where("user_id % 3 = 0").select(F.concat(F.lit("u"), "user_id").alias("ticker"), F.lit("before").alias("reason"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("last_failed_timestamp")).distinct()
     failures = e.where("event_type IN ('error', 'click') AND user_id % 2 = 0").select(F.concat(F.lit("u"), "user_id").alias("ticker"), F.col("event_type").alias("reason"))
     return tables.mark_untrackable(base, failures, "2024-01-31 00:00:00")
 
 
-@query("""SELECT 'T-' || c_custkey AS ticker, CASE WHEN c_custkey % 11 > 0 THEN 'landed' ELSE 'old' END AS source, CASE WHEN c_custkey % 11 > 0 THEN c_name END AS name FROM customer WHERE c_custkey % 11 > 0 OR c_custkey % 22 = 0""")
+@query("""SELECT 'T-' || c_custkey AS ticker, CASE WHEN c_custkey % 11 > 0 THEN 'landed' ELSE 'old' END AS source, CASE WHEN c_custkey % 11 > 0 THEN c_name END AS name
+FROM customer WHERE c_custkey % 11 > 0 OR c_custkey % 22 = 0""")
 def ticker_enrichment(v: Views) -> DataFrame:
     """Reference rows of landed documents over those that a table has."""
     spec = TABLES["massive_tickers"]

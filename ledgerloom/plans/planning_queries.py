@@ -65,7 +65,8 @@ def fetch_plan(v: Views) -> DataFrame:
     return scoring.fetch_plan(backlog_rows(v, ranks=False), v.prices(), EVENTS_DAY, EVENTS_DAY, 50, stale_days=1, least_rows=28)
 
 
-@query(f"""+{INFO}, counts AS (SELECT cik, count(*) FILTER (WHERE filing_date >= {DAY} - 3000) AS recent, count(*) AS total, date_diff('day', max(filing_date) + 2635, {DAY}) AS age FROM filings GROUP BY 1),
+@query(f"""+{INFO}, counts AS (SELECT cik, count(*) FILTER (WHERE filing_date >= {DAY} - 3000) AS recent, count(*) AS total, date_diff('day', max(filing_date) + 2635,
+{DAY}) AS age FROM filings GROUP BY 1),
 base AS (SELECT i.ticker, coalesce(recent, 0) AS recent, coalesce(total, 0) AS total, coalesce(CAST(age AS DOUBLE), 1000000.0) AS age FROM info i LEFT JOIN counts c ON c.cik = i.cik)
 SELECT ticker, round(0.6 * coalesce(recent / nullif(max(recent) OVER (), 0), 0) + 0.25 * coalesce(total / nullif(max(total) OVER (), 0), 0)
 + 0.15 * CASE WHEN age >= 1000000 THEN 0 ELSE greatest(0, coalesce(1 - age / nullif(max(age) OVER (), 0), 0)) END, 9) AS score FROM base""")
@@ -76,7 +77,8 @@ def hybrid_priority(v: Views) -> DataFrame:
 
 @query(f"""+{PARTS}, base AS (SELECT i.ticker, coalesce(unique_tag_count, 0) AS t, coalesce(key_metric_count, 0) AS k, coalesce(recent_filings, 0) AS f, {NEED} AS n
 FROM info i LEFT JOIN metrics m ON m.cik = i.cik LEFT JOIN history h ON h.ticker = i.ticker LEFT JOIN recent r ON r.cik = i.cik)
-SELECT ticker, round(0.35 * t / nullif(max(t) OVER (), 0) + 0.25 * k / nullif(max(k) OVER (), 0) + 0.25 * n / nullif(max(n) OVER (), 0) + coalesce(0.15 * f / nullif(max(f) OVER (), 0), 0), 9) AS score FROM base""")
+SELECT ticker, round(0.35 * t / nullif(max(t) OVER (), 0) + 0.25 * k / nullif(max(k) OVER (), 0) + 0.25 * n / nullif(max(n) OVER (),
+0) + coalesce(0.15 * f / nullif(max(f) OVER (), 0), 0), 9) AS score FROM base""")
 def stock_priority(v: Views) -> DataFrame:
     found = scoring.stock_priority(info(v), info(v), v.facts(), v.prices(), recent_filings_view(v), EVENTS_DAY, metrics=METRICS)
     return found.withColumn("score", F.round("score", 9))
@@ -92,14 +94,16 @@ def wanted(v: Views) -> DataFrame:
     return own.unionByName(lone)
 
 
-@query(f"""+{WANTED}, marks AS (SELECT w.ticker, p.date FROM prices p JOIN wanted w ON w.ticker = p.ticker AND p.date BETWEEN s AND e UNION ALL SELECT ticker, s - 1 FROM wanted UNION ALL SELECT ticker, e + 1 FROM wanted),
+@query(f"""+{WANTED}, marks AS (SELECT w.ticker, p.date FROM prices p JOIN wanted w ON w.ticker = p.ticker AND p.date BETWEEN s AND e UNION ALL SELECT ticker, s - 1
+FROM wanted UNION ALL SELECT ticker, e + 1 FROM wanted),
 pairs AS (SELECT ticker, date, lead(date) OVER (PARTITION BY ticker ORDER BY date) AS n FROM marks)
 SELECT ticker, CAST(date + 1 AS DATE) AS gap_start, CAST(n - 1 AS DATE) AS gap_end FROM pairs WHERE date + 1 <= n - 1""")
 def missing_intervals(v: Views) -> DataFrame:
     return planning.missing_intervals(v.prices(), wanted(v))
 
 
-@query("""SELECT cik AS ticker, greatest(min(filing_date), max(filing_date) - 365) AS start_date, max(filing_date) AS end_date, max(filing_date) - 365 > min(filing_date) AS clamped FROM filings GROUP BY cik""")
+@query("""SELECT cik AS ticker, greatest(min(filing_date), max(filing_date) - 365) AS start_date, max(filing_date) AS end_date,
+max(filing_date) - 365 > min(filing_date) AS clamped FROM filings GROUP BY cik""")
 def interval_clamp(v: Views) -> DataFrame:
     plan = v.filings().groupBy(F.col("cik").alias("ticker")).agg(F.min("filing_date").alias("start_date"), F.max("filing_date").alias("end_date"))
     return planning.jobs_from_plan(plan, 1).select("ticker", "start_date", "end_date", "clamped")
@@ -146,14 +150,17 @@ def untrackable_exclusion(v: Views) -> DataFrame:
 
 
 @query(f"""+{ERRORS}, last AS (SELECT CAST(user_id AS VARCHAR) AS ticker, max(ts) AS t FROM events GROUP BY 1),
-due AS (SELECT c.cik AS ticker, length(c.primary_name) + CAST(c.cik AS BIGINT) % 97 AS score FROM companies c LEFT JOIN last l ON l.ticker = c.cik WHERE t IS NULL OR t < TIMESTAMP '2024-01-31' - INTERVAL 2 DAY),
-first AS (SELECT * FROM due ORDER BY score DESC, ticker LIMIT 100) SELECT ticker, score FROM first WHERE ticker NOT IN (SELECT ticker FROM errors WHERE last_failed_timestamp >= TIMESTAMP '2024-01-31' - INTERVAL 30 DAY)""")
+due AS (SELECT c.cik AS ticker, length(c.primary_name) + CAST(c.cik AS BIGINT) % 97 AS score FROM companies c LEFT JOIN last l ON l.ticker = c.cik
+WHERE t IS NULL OR t < TIMESTAMP '2024-01-31' - INTERVAL 2 DAY),
+first AS (SELECT * FROM due ORDER BY score DESC, ticker LIMIT 100) SELECT ticker, score FROM first WHERE ticker NOT IN (SELECT ticker FROM errors
+WHERE last_failed_timestamp >= TIMESTAMP '2024-01-31' - INTERVAL 30 DAY)""")
 def ordered_worklist(v: Views) -> DataFrame:
     scores = v.companies().select(F.col("cik").alias("ticker"), (F.length("primary_name") + F.col("cik").cast("long") % 97).alias("score"))
     return planning.worklist(scores, fetched(v), errors(v), "2024-01-31 00:00:00", 2, 100).withColumn("ticker", F.col("ticker"))
 
 
-@query("""+ n AS (SELECT greatest(0, 5000 - (SELECT count(*) FROM events WHERE event_type = 'error')) AS budget), r AS (SELECT event_id, user_id, ts, row_number() OVER (ORDER BY ts, event_id) AS k FROM events)
+@query("""+ n AS (SELECT greatest(0, 5000 - (SELECT count(*) FROM events WHERE event_type = 'error')) AS budget), r AS (SELECT event_id, user_id, ts,
+row_number() OVER (ORDER BY ts, event_id) AS k FROM events)
 SELECT event_id, user_id, ts FROM r, n WHERE k <= budget""")
 def budget_trim(v: Views) -> DataFrame:
     e = v.table("events")
@@ -171,7 +178,8 @@ def plan_status(v: Views) -> DataFrame:
     return scoring.plan_status(scoring.fetch_plan(backlog_rows(v, ranks=False), v.prices(), EVENTS_DAY, EVENTS_DAY, 400, stale_days=1, least_rows=28))
 
 
-@query(f"""+{WANTED}, marks AS (SELECT w.ticker, p.date FROM prices p JOIN wanted w ON w.ticker = p.ticker AND p.date BETWEEN s AND e UNION ALL SELECT ticker, s - 1 FROM wanted UNION ALL SELECT ticker, e + 1 FROM wanted),
+@query(f"""+{WANTED}, marks AS (SELECT w.ticker, p.date FROM prices p JOIN wanted w ON w.ticker = p.ticker AND p.date BETWEEN s AND e UNION ALL SELECT ticker, s - 1
+FROM wanted UNION ALL SELECT ticker, e + 1 FROM wanted),
 pairs AS (SELECT ticker, date, lead(date) OVER (PARTITION BY ticker ORDER BY date) AS n FROM marks)
 SELECT ticker, CAST(date + 1 AS DATE) AS start_date, CAST(n - 1 AS DATE) AS end_date, false AS clamped FROM pairs WHERE date + 1 <= n - 1""")
 def gap_jobs(v: Views) -> DataFrame:

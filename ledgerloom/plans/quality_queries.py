@@ -35,7 +35,8 @@ def dup_keys(v: Views) -> DataFrame:
     return quality.suite(*(quality.unique_key(v.table(t), t, k) for t, k in KEYS))
 
 
-@query(" UNION ALL ".join(one(f"{t} key {','.join(k)}", f"SELECT count(*) FROM (SELECT 1 FROM {t} GROUP BY {', '.join(k)} HAVING count(*) > 1 OR {' OR '.join(f'{x} IS NULL' for x in k)})", "n = 0") for t, k in KEYS))
+@query(" UNION ALL ".join(one(f"{t} key {','.join(k)}",
+    f"SELECT count(*) FROM (SELECT 1 FROM {t} GROUP BY {', '.join(k)} HAVING count(*) > 1 OR {' OR '.join(f'{x} IS NULL' for x in k)})", "n = 0") for t, k in KEYS))
 def primary_keys(v: Views) -> DataFrame:
     return quality.suite(*(quality.primary_key(v.table(t), t, k) for t, k in KEYS))
 
@@ -113,7 +114,8 @@ COMPANY_COLUMNS, FILING_COLUMNS = ["cik", "primary_name", "entity_type", "sic",
     one("tickers duplicates on ticker,exchange", "SELECT count(*) FROM (SELECT 1 FROM tickers GROUP BY ticker, exchange HAVING count(*) > 1)", "n = 0"),
     one("companies.cik null", "SELECT count(*) FROM companies WHERE cik IS NULL", "n <= 0"),
     *(one(f"filings.{c} null", f"SELECT count(*) FROM filings WHERE {c} IS NULL", "n <= 0") for c in ("accession_number", "cik", "form")),
-    *(one(f"{n}.cik without parent", f"SELECT count(*) FROM {t} WHERE cik IS NULL OR cik NOT IN (SELECT cik FROM companies)", "n = 0") for n, t in (("filings", "filings"), ("tickers", "tickers"), ("former_names", "former_names"), ("xbrl_facts", "facts"))),
+    *(one(f"{n}.cik without parent", f"SELECT count(*) FROM {t} WHERE cik IS NULL OR cik NOT IN (SELECT cik FROM companies)", "n = 0") for n,
+    t in (("filings", "filings"), ("tickers", "tickers"), ("former_names", "former_names"), ("xbrl_facts", "facts"))),
     one("xbrl_facts.accession_number without parent", "SELECT count(*) FROM facts WHERE accession_number NOT IN (SELECT accession_number FROM filings)", "n = 0"),
     one("companies rows", "SELECT count(*) FROM companies", "n >= 1"), one("filings rows", "SELECT count(*) FROM filings", "n >= 1"),
 ]))
@@ -125,7 +127,8 @@ def core_suite(v: Views) -> DataFrame:
 
 @query(" UNION ALL ".join(
     f"SELECT '{n}' AS \"join\", count(*) AS keys, count(b.k) AS matched, round(count(b.k) / count(*), 6) AS share FROM (SELECT DISTINCT {k} AS k FROM {a}) a LEFT JOIN (SELECT DISTINCT {k} AS k FROM {t}) b ON a.k = b.k"
-    for n, a, t, k in (("ticker to company", "tickers", "companies", "cik"), ("ticker to filing", "tickers", "filings", "cik"), ("company to ticker", "companies", "tickers", "cik"), ("filing to fact", "filings", "facts", "accession_number"))
+    for n, a, t, k in (("ticker to company", "tickers", "companies", "cik"), ("ticker to filing", "tickers", "filings", "cik"),
+        ("company to ticker", "companies", "tickers", "cik"), ("filing to fact", "filings", "facts", "accession_number"))
 ))
 def join_coverage(v: Views) -> DataFrame:
     pairs = (
@@ -135,7 +138,8 @@ def join_coverage(v: Views) -> DataFrame:
     return quality.suite(*(quality.coverage_of_join(a, b, [k], n) for n, a, b, k in pairs))
 
 
-@query("""SELECT g.cik, count(DISTINCT g.accession_number) AS filings, count(DISTINCT f.accession_number) AS with_facts, round(count(DISTINCT f.accession_number) / count(DISTINCT g.accession_number), 6) AS share
+@query("""SELECT g.cik, count(DISTINCT g.accession_number) AS filings, count(DISTINCT f.accession_number) AS with_facts, round(count(DISTINCT f.accession_number) /
+count(DISTINCT g.accession_number), 6) AS share
 FROM filings g LEFT JOIN facts f ON f.accession_number = g.accession_number AND f.cik = g.cik AND f.unit = 'EUR' GROUP BY 1""")
 def facts_coverage(v: Views) -> DataFrame:
     have = v.facts().where("unit = 'EUR'").select("accession_number", "cik", F.col("accession_number").alias("hit")).distinct()
@@ -162,7 +166,8 @@ def outliers_topk(v: Views) -> DataFrame:
     return high.orderBy(F.abs("l_extendedprice").desc(), "l_orderkey", "l_linenumber", "l_partkey").limit(5)
 
 
-@query("SELECT DISTINCT o_custkey AS ticker FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' UNION SELECT user_id FROM events WHERE user_id IS NOT NULL)")
+@query("""SELECT DISTINCT o_custkey AS ticker FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' UNION SELECT user_id
+FROM events WHERE user_id IS NOT NULL)""")
 def ticker_consistency(v: Views) -> DataFrame:
     building = v.table("customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("ticker"))
     users = v.table("events").where("user_id IS NOT NULL").select(F.col("user_id").alias("ticker"))

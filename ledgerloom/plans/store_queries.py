@@ -91,7 +91,8 @@ def rebuild_swap(v: Views) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
-LEDGERED = """+ e AS (SELECT CAST(user_id AS VARCHAR) AS series_id, CAST(ts AS DATE) AS date, event_type AS kind, max(value) AS value FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY ALL),
+LEDGERED = """+ e AS (SELECT CAST(user_id AS VARCHAR) AS series_id, CAST(ts AS DATE) AS date, event_type AS kind, max(value) AS value FROM events
+WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY ALL),
 first_ AS (SELECT series_id, date, max(value) AS value FROM e WHERE kind <> 'click' GROUP BY ALL), second_ AS (SELECT series_id, date, max(value) AS value FROM e WHERE kind = 'click' GROUP BY ALL)"""
 
 
@@ -110,7 +111,8 @@ def ledger_merge(v: Views) -> DataFrame:
     return ledger.merged_table(v.spark, f"{folder}/stored", spec.name)
 
 
-@query("SELECT CAST(ts AS DATE) AS fetch_date, count(*) AS attempted, count(*) FILTER (WHERE event_type <> 'error') AS fetched, count(*) FILTER (WHERE value IS NULL OR value < 10) AS empty FROM events WHERE ts IS NOT NULL GROUP BY 1")
+@query("""SELECT CAST(ts AS DATE) AS fetch_date, count(*) AS attempted, count(*) FILTER (WHERE event_type <> 'error') AS fetched,
+count(*) FILTER (WHERE value IS NULL OR value < 10) AS empty FROM events WHERE ts IS NOT NULL GROUP BY 1""")
 def counters_with_empty(v: Views) -> DataFrame:
     e = v.table("events").where("ts IS NOT NULL")
     return tables.counters(e, F.to_date("ts"), F.col("event_type") != "error", F.coalesce(F.col("value") < 10, F.lit(True)))
@@ -243,9 +245,11 @@ def bucketed_facts(v: Views) -> DataFrame:
 
 
 GUARDED = """+ g AS (SELECT 'all for all' AS swap, count(*) AS a, count(*) AS b, count(DISTINCT o_custkey) AS x, count(DISTINCT o_custkey) AS y FROM orders
-UNION ALL SELECT 'more keys', (SELECT count(*) FROM orders WHERE o_custkey % 2 = 0), count(*), (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_custkey % 2 = 0), count(DISTINCT o_custkey) FROM orders
+UNION ALL SELECT 'more keys', (SELECT count(*) FROM orders WHERE o_custkey % 2 = 0), count(*), (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_custkey % 2 = 0),
+count(DISTINCT o_custkey) FROM orders
 UNION ALL SELECT 'fewer keys', count(*), count(*), count(DISTINCT o_custkey), count(DISTINCT o_custkey % 7) FROM orders
-UNION ALL SELECT 'fewer rows', count(*), (SELECT count(*) FROM orders WHERE o_orderstatus = 'F'), count(DISTINCT o_custkey), (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderstatus = 'F') FROM orders)"""
+UNION ALL SELECT 'fewer rows', count(*), (SELECT count(*) FROM orders WHERE o_orderstatus = 'F'), count(DISTINCT o_custkey), (SELECT count(DISTINCT o_custkey) FROM orders
+WHERE o_orderstatus = 'F') FROM orders)"""
 
 
 @query(f"""{GUARDED} SELECT swap, a AS existing_rows, b AS staging_rows, b >= a AND b > 0 AND y >= x AS may_swap, CASE WHEN swap = 'all for all' THEN 'keys' ELSE 'sketches' END AS told_by FROM g""")

@@ -23,8 +23,10 @@ def suite_facts(v: Views) -> DataFrame:
     )
 
 
-SUITE_FACTS = """suite_facts AS (SELECT cik, CASE WHEN fp <> '7' THEN accession_number END AS accession_number, CASE tag_name WHEN 'AF' THEN 'Assets' WHEN 'NO' THEN 'Revenues' ELSE tag_name END AS tag_name,
-CASE WHEN fp = '6' THEN '' ELSE unit END AS unit, CASE WHEN period_end_date > DATE '1998-09-01' THEN filed_date END AS filed_date, CASE WHEN value_numeric > 2000 THEN value_numeric * 1e9 END AS value_numeric FROM facts)"""
+SUITE_FACTS = """suite_facts AS (SELECT cik, CASE WHEN fp <> '7' THEN accession_number END AS accession_number, CASE tag_name WHEN 'AF' THEN 'Assets'
+WHEN 'NO' THEN 'Revenues' ELSE tag_name END AS tag_name,
+CASE WHEN fp = '6' THEN '' ELSE unit END AS unit, CASE WHEN period_end_date > DATE '1998-09-01' THEN filed_date END AS filed_date, CASE
+WHEN value_numeric > 2000 THEN value_numeric * 1e9 END AS value_numeric FROM facts)"""
 
 
 @query(f"+{SUITE_FACTS} " + " UNION ALL ".join([
@@ -32,7 +34,8 @@ CASE WHEN fp = '6' THEN '' ELSE unit END AS unit, CASE WHEN period_end_date > DA
     one("xbrl_facts monetary without number", "SELECT count(*) FROM suite_facts WHERE unit IN ('USD', 'EUR') AND value_numeric IS NULL", "n <= 0"),
     one("xbrl_facts.filed_date null", "SELECT count(*) FROM suite_facts WHERE filed_date IS NULL", "n <= 0"),
     one("xbrl_facts without unit", "SELECT count(*) FROM suite_facts WHERE unit IS NULL OR unit = ''", "n <= 1000", "warning"),
-    *(one(f"xbrl_facts outliers of {t}", f"SELECT count(*) FROM suite_facts WHERE tag_name = '{t}' AND abs(value_numeric) > 1e14", "n <= 0", "warning") for t in ("Assets", "Revenues", "NetIncomeLoss")),
+    *(one(f"xbrl_facts outliers of {t}", f"SELECT count(*) FROM suite_facts WHERE tag_name = '{t}' AND abs(value_numeric) > 1e14", "n <= 0", "warning") for t in ("Assets",
+    "Revenues", "NetIncomeLoss")),
 ]))
 def facts_suite(v: Views) -> DataFrame:
     return quality.facts_suite(suite_facts(v))
@@ -84,7 +87,8 @@ def first_orphan(v: Views) -> DataFrame:
     return quality.first_orphan(orphaned(v).select("accession_number", "filed_date", "cik", "fp"))
 
 
-@query("+ tags AS (SELECT DISTINCT tag_name, unit FROM facts WHERE fp = '7' OR tag_name = 'NO') " + one("xbrl_facts.tag_name,unit without parent", "SELECT count(*) FROM facts f WHERE NOT EXISTS (SELECT 1 FROM tags t WHERE t.tag_name = f.tag_name AND t.unit = f.unit)", "n = 0"))
+@query("+ tags AS (SELECT DISTINCT tag_name, unit FROM facts WHERE fp = '7' OR tag_name = 'NO') " + one("xbrl_facts.tag_name,unit without parent",
+    "SELECT count(*) FROM facts f WHERE NOT EXISTS (SELECT 1 FROM tags t WHERE t.tag_name = f.tag_name AND t.unit = f.unit)", "n = 0"))
 def fk_two_columns(v: Views) -> DataFrame:
     """A reference of two columns: the tag and unit of every fact among those of some."""
     tags = v.facts().where("fp = '7' OR tag_name = 'NO'")
@@ -129,7 +133,8 @@ def ticker_suite(v: Views) -> DataFrame:
 
 
 def macro_rows(v: Views) -> DataFrame:
-    return v.table("events").select(F.when(F.col("event_id") % 50 != 0, F.col("event_type")).alias("series_id"), F.to_date("ts").alias("date"), F.when(F.col("user_id") % 9 != 0, F.col("value")).alias("value"))
+    return v.table("events").select(F.when(F.col("event_id") % 50 != 0, F.col("event_type")).alias("series_id"), F.to_date("ts").alias("date"), F.when(F.col("user_id") % 9 != 0,
+        F.col("value")).alias("value"))
 
 
 @query("""+ m AS (SELECT CASE WHEN event_id % 50 <> 0 THEN event_type END AS series_id, CAST(ts AS DATE) AS date, CASE WHEN user_id % 9 <> 0 THEN value END AS value FROM events),
@@ -180,7 +185,8 @@ def error_tables(v: Views) -> DataFrame:
 
 
 @query(" UNION ALL ".join([
-    *(f"SELECT '{t} exists' AS \"check\", {str(there).lower()} AS passed, '{state}' AS severity, {int(there)} AS value" for t, there, state in (("orders", True, "ok"), ("customer", True, "ok"), ("stock_history", False, "error"), ("yf_stock_actions", False, "warning"))),
+    *(f"SELECT '{t} exists' AS \"check\", {str(there).lower()} AS passed, '{state}' AS severity, {int(there)} AS value" for t, there,
+    state in (("orders", True, "ok"), ("customer", True, "ok"), ("stock_history", False, "error"), ("yf_stock_actions", False, "warning"))),
     one("orders rows", "SELECT count(*) FROM orders", "n >= 1"), one("customer rows", "SELECT count(*) FROM customer", "n >= 1"),
 ]))
 def table_presence(v: Views) -> DataFrame:
