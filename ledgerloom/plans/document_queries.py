@@ -227,15 +227,15 @@ def summary_corpus(v: Views) -> DataFrame:
     return analysis.summary_corpus(filings, pages, none, ["1-URGENT"], ORDERS_DAY, 2000).select("accession_number", "text", "url", "summary_text", "summary_model")
 
 
-@query("""SELECT 'companies' AS "table", 1 AS files, 1 AS valid, 0 AS invalid, count(*) AS n_rows FROM companies
-UNION ALL SELECT 'filings', 3, 3, 0, count(*) FROM filings""")
+@query("""SELECT 'companies' AS "table", CAST(count(DISTINCT category) AS INTEGER) AS files, CAST(count(DISTINCT category) AS INTEGER) AS valid, 0 AS invalid, count(*) AS n_rows
+FROM companies UNION ALL SELECT 'filings', count(DISTINCT status || form), count(DISTINCT status || form), 0, count(*) FROM filings""")
 def batch_inventory(v: Views) -> DataFrame:
-    """Files and rows of two tables written as one and as three files, by what lies in their folder."""
+    """Files and rows of two tables, written as a file for each kind of row, by what lies in their folder."""
     from ledgerloom.session import shared_path
 
     folder = shared_path(v.spark, "inventory")
-    v.companies().coalesce(1).write.parquet(f"{folder}/companies")
-    v.filings().repartition(3).write.parquet(f"{folder}/filings")
+    for name, df, kinds in (("companies", v.companies(), ["category"]), ("filings", v.filings(), ["status", "form"])):
+        df.repartition(*kinds).write.partitionBy(*kinds).parquet(f"{folder}/{name}")
     reports = [batches.directory_report(v.spark, f"{folder}/{name}").withColumn("table", F.lit(name)) for name in ("companies", "filings")]
-    return reports[0].unionByName(reports[1]).select("table", F.col("files").cast("int").alias("files"), F.col("valid").cast("int").alias("valid"),
-        F.col("invalid").cast("int").alias("invalid"), "n_rows")
+    counts = (F.col(x).cast("int").alias(x) for x in ("files", "valid", "invalid"))
+    return reports[0].unionByName(reports[1]).select("table", *counts, "n_rows")

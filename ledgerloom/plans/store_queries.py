@@ -48,13 +48,14 @@ def validated_batches(v: Views) -> DataFrame:
     return batches.read_batches(v.spark, path, spec).join(ids, "batch_id").groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
 
 
-@query("""SELECT '20240101_00000' || k AS batch_id, CASE k WHEN 0 THEN 1 ELSE 2 END AS files FROM (SELECT unnest([0, 1]) AS k) WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'F')""")
+@query("""SELECT '20240101_0000' || lpad(CAST(o_custkey % 40 AS VARCHAR), 2, '0') AS batch_id, CAST(count(DISTINCT o_orderstatus) AS INTEGER) AS files
+FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderstatus) < 3""")
 def partial_batches(v: Views) -> DataFrame:
-    """Batches of one, two and four files: those with fewer than three are partial once they are old."""
+    """Forty batches with a file for each status that their orders have: those with fewer than three are partial once they are old."""
     folder = shared_path(v.spark, "partial")
-    rows = v.table("orders").where("o_orderstatus = 'F'").select("o_orderkey")
-    for k, n in enumerate((1, 2, 4)):
-        rows.repartition(n).write.parquet(f"{folder}/20240101_00000{k}")
+    batch = F.concat(F.lit("20240101_0000"), F.lpad((F.col("o_custkey") % 40).cast("string"), 2, "0"))
+    rows = v.table("orders").withColumn("batch_id", batch).repartition("batch_id", "o_orderstatus")
+    rows.write.partitionBy("batch_id", "o_orderstatus").parquet(folder)
     found = batches.partial_batches(batches.inventory(v.spark, folder), F.current_timestamp() + F.expr("INTERVAL 2 DAYS"))
     return found.select("batch_id", F.col("files").cast("int").alias("files"))
 
