@@ -304,3 +304,16 @@ def stream_timed(v: Views) -> DataFrame:
     running.processAllAvailable()
     running.stop()
     return ingest.merged(v.spark, folder, spec)
+
+
+@query("""SELECT 3 AS versions, count(*) AS n_rows, count(DISTINCT o_custkey) AS keys FROM orders""")
+def universe_published(v: Views) -> DataFrame:
+    """A universe of keys published again and again: one without some of its keys, and one of fewer rows, are held back by stored sketches."""
+    orders, folder = v.table("orders").select("o_orderkey", "o_custkey"), shared_path(v.spark, "universe")
+    versions.publish_guarded(orders.where("o_custkey % 3 = 0"), folder, "orders", ["o_custkey"])
+    versions.publish_guarded(orders.where("o_custkey % 3 < 2"), folder, "orders", ["o_custkey"])
+    versions.publish_guarded(orders.withColumn("o_custkey", F.col("o_custkey") % 5), folder, "orders", ["o_custkey"])
+    versions.publish_guarded(orders, folder, "orders", ["o_custkey"])
+    versions.publish_guarded(orders.where("o_orderkey % 2 = 0"), folder, "orders", ["o_custkey"])
+    stored = versions.read(v.spark, folder, "orders", orders.schema)
+    return stored.agg(F.lit(versions.latest(v.spark, folder).number).alias("versions"), F.count("*").alias("n_rows"), F.count_distinct("o_custkey").alias("keys"))

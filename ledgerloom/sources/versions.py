@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.tables import upsert_by_spec, with_keys
+from ledgerloom.operators import sketches
+from ledgerloom.operators.tables import swap_guard, upsert_by_spec, with_keys
 from ledgerloom.schemas import TableSpec
 
 #: The column by which a table is cut into parts, in its paths only.
@@ -119,6 +120,30 @@ def publish(frames: dict[str, DataFrame], folder: str) -> int:
     return commit(spark, folder, Version(now.number + 1, now.tables | parts, kept))
 
 
+def publish_guarded(df: DataFrame, folder: str, name: str, keys: list[str]) -> int | None:
+    """Put a whole new table in place of the one of its name, unless it has fewer rows, none, or fewer distinct keys: then None.
+
+    Each version keeps a sketch of its keys with the table, so the guard reads one row of the old
+    state; old rows are read, and keys counted, only where the sketches of both can't tell.
+    """
+    spark, now, sketch_name = df.sparkSession, latest(df.sparkSession, folder), f"{name}.keys"
+    parts = write_parts(df, folder, name)
+    new = Version(now.number + 1, {**now.tables, name: parts}, {k: n for k, n in now.buckets.items() if k != name})
+    staged = read(spark, folder, name, df.schema, new)
+    sketched = write_parts(sketches.sketch(staged, keys), folder, sketch_name)
+    new.tables[sketch_name] = sketched
+    if staged.isEmpty():
+        return None
+    if sketch_name in now.tables:
+        stored = [read(spark, folder, sketch_name, sketches.SKETCH, at) for at in (now, new)]
+        may = sketches.sketched_guard(*stored).first().may_swap
+        if may is None:
+            may = swap_guard(read(spark, folder, name, df.schema, now), staged, keys).first().may_swap
+        if not may:
+            return None
+    return commit(spark, folder, new)
+
+
 def read(spark: SparkSession, folder: str, name: str, schema: T.StructType | str, at: Version | None = None, only: list[str] | None = None) -> DataFrame:
     """A table as of a version, the newest if none is given; ``only`` some of its parts. No rows if it isn't there."""
     found = (at or latest(spark, folder)).tables.get(name, {})

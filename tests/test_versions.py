@@ -97,6 +97,25 @@ def test_merges_write_only_their_buckets(spark, tmp_path, monkeypatch):
     assert gone and versions.read(spark, folder, "prices", SPEC.schema).count() == 501 + (("NEW", 2, 3.0) in read())
 
 
+def test_a_universe_is_guarded_by_its_sketch(spark, tmp_path, monkeypatch):
+    folder = f"file://{tmp_path}/universe"
+    many = lambda n, keys=10**9: spark.range(n).select((F.col("id") % keys).alias("k"))
+    read = lambda: versions.read(spark, folder, "t", "k long").count()
+    assert versions.publish_guarded(many(0), folder, "t", ["k"]) is None and versions.latest(spark, folder).number == 0
+    assert versions.publish_guarded(many(5000), folder, "t", ["k"]) == 1
+    assert versions.publish_guarded(many(4999), folder, "t", ["k"]) is None and versions.publish_guarded(many(9000, 3000), folder, "t", ["k"]) is None
+    assert versions.publish_guarded(many(5000), folder, "t", ["k"]) == 2  # as many keys: they are counted
+    assert versions.publish_guarded(many(5001, 4999), folder, "t", ["k"]) is None
+    with monkeypatch.context() as m:  # where sketches tell, the old rows aren't asked
+        m.setattr(versions, "swap_guard", lambda *a: 1 / 0)
+        assert versions.publish_guarded(many(9000), folder, "t", ["k"]) == 3 and versions.publish_guarded(many(9000, 10), folder, "t", ["k"]) is None
+        with pytest.raises(ZeroDivisionError):
+            versions.publish_guarded(many(9000), folder, "t", ["k"])
+    assert at_every_step(monkeypatch, lambda: versions.publish_guarded(many(20_000), folder, "t", ["k"]), read, 9000, 20_000) >= 4
+    versions.vacuum(spark, folder, keep=1)
+    assert read() == 20_000
+
+
 def test_two_writers_at_once(spark, tmp_path):
     folder = f"file://{tmp_path}/both"
     now = versions.latest(spark, folder)
