@@ -16,7 +16,7 @@ import numpy as np
 RARE_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 
 #: Words that a worker keeps between batches. Frequent words come early; once full it takes no more.
-CACHE_WORDS = 750_000
+CACHE_WORDS = 1_000_000
 #: Runs of punctuation that it keeps, and the longest word that it does.
 CACHE_TAILS, CACHE_CHARS = 10_000, 64
 
