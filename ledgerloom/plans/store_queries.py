@@ -107,8 +107,8 @@ def ledger_merge(v: Views) -> DataFrame:
         part = e.where((F.col("event_type") == "click") == late).groupBy("series_id", "date").agg(F.max("value").alias("value"))
         part.select(*spec.columns).write.mode("append").parquet(source)
         ledger.new_files(v.spark, {spec.name: source}, f"{folder}/stored").count()
-        ledger.merge_new_files(v.spark, {spec.name: source}, f"{folder}/stored", "2024-01-31 00:00:00")
-    ledger.merge_new_files(v.spark, {spec.name: source}, f"{folder}/stored", "2024-01-31 00:00:00")
+        ledger.merge_new_files(v.spark, {spec.name: source}, f"{folder}/stored", "2024-01-31 00:00:00", buckets=8)
+    ledger.merge_new_files(v.spark, {spec.name: source}, f"{folder}/stored", "2024-01-31 00:00:00", buckets=8)
     return ledger.merged_table(v.spark, f"{folder}/stored", spec.name)
 
 
