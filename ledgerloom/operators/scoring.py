@@ -15,6 +15,8 @@ BACKLOG = {"xbrl_richness": 0.25, "key_metrics": 0.15, "stock_data_need": 0.45,
 STOCK = {"xbrl_richness": 0.35, "key_metrics": 0.25, "stock_data_need": 0.25, "filing_activity": 0.15}
 HYBRID = {"filings_recent": 0.6, "filings_total": 0.25, "company_recency": 0.15}
 EARLIEST, UNKNOWN_DAYS = "1990-01-01", 1_000_000.0
+#: Lower bits of a number by ``monotonically_increasing_id``, which count within a range.
+IN_RANGE = 33
 
 
 def weights(given: dict[str, float] | str | None, preset: dict[str, float] = BACKLOG) -> dict[str, float]:
@@ -41,11 +43,12 @@ def weights_json(w: dict[str, float]) -> Column:
 
 def fact_metrics(facts: DataFrame, metrics: list[str] | None = None) -> DataFrame:
     """Distinct tags, and how many key metrics have a tag, of each company."""
+    tags = facts.select("cik", "tag_name").distinct()  # few of a company's facts have a tag of their own
     flags = [F.max(F.when(F.col("tag_name").contains(m), 1).otherwise(0)) for m in metrics or KEY_METRICS]
     total = flags[0]
     for flag in flags[1:]:
         total = total + flag
-    return facts.groupBy("cik").agg(F.count_distinct("tag_name").alias("unique_tag_count"), total.alias("key_metric_count"))
+    return tags.groupBy("cik").agg(F.count("tag_name").alias("unique_tag_count"), total.alias("key_metric_count"))
 
 
 def coverage(history: DataFrame) -> DataFrame:
@@ -123,19 +126,21 @@ def backlog(
 def placed(df: DataFrame, by: list[Column], name: str) -> DataFrame:
     """``name``: place of each row in the order ``by`` over all rows, from 1.
 
-    Ranges of the sorted rows are counted, and a row's place is its place in its range plus the rows
-    of the ranges before. No task holds more than a range. The dealt rows are landed with the number
-    of their range, so that both uses see the same ranges, whichever executors are lost.
+    Rows are dealt out by ranges of the order, as many as their size asks for, and sorted and numbered
+    within their range as they are landed; the ranges are counted, and the rows of those before are
+    added. No task holds more than a range, and rows are shuffled once. What is landed holds the
+    numbers, so they stay the same, whichever executors are lost.
     """
-    spark = df.sparkSession
-    path = shared_path(spark, "ranges")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(parts, *by).withColumn("_range", F.spark_partition_id()).write.parquet(path)
-    dealt = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_range", T.IntegerType())])).parquet(path)
-    before = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    path = shared_path(df.sparkSession, "ranges")
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    ranged.write.parquet(path)
+    dealt = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("_at", T.LongType())])).parquet(path)
+    of_range = F.shiftright("_at", IN_RANGE)
+    before = dealt.groupBy(of_range.alias("_range")).agg(F.count("*").alias("_n"))
     before = before.select("_range", (F.sum("_n").over(W.orderBy("_range")) - F.col("_n")).alias("_before"))
-    found = dealt.join(F.broadcast(before), "_range").withColumn(name, F.row_number().over(W.partitionBy("_range").orderBy(*by)) + F.col("_before"))
-    return found.drop("_range", "_before")
+    found = dealt.withColumn("_range", of_range).join(F.broadcast(before), "_range")
+    own = F.col("_at") - F.shiftleft("_range", IN_RANGE)
+    return found.withColumn(name, own + F.col("_before") + 1).drop("_range", "_before", "_at")
 
 
 def ranked(df: DataFrame, order: list[str], tie: str = "ticker") -> DataFrame:
@@ -192,7 +197,9 @@ def fetch_plan(backlog_rows: DataFrame, history: DataFrame, as_of: str, end: str
     start = F.coalesce(F.date_add("last_date", 1), F.lit(EARLIEST).cast("date"))
     plan = rows.withColumn("status", status).withColumn("start_date", start).withColumn("end_date", F.lit(end).cast("date"))
     first = plan.where("status <> 'fresh'").orderBy(F.desc_nulls_last("score"), F.asc_nulls_last("ticker")).limit(limit)
-    return ranks_among(first, scores)
+    chosen = shared_path(spark, "plan")
+    first.write.parquet(chosen)  # ``limit`` rows, which are read twice below
+    return ranks_among(spark.read.schema(first.schema).parquet(chosen), scores)
 
 
 def ranks_among(first: DataFrame, scores: DataFrame) -> DataFrame:

@@ -84,3 +84,19 @@ def test_budget(spark):
     used = spark.createDataFrame([(3,), (1,)], "used int")
     assert sorted(r.j for r in planning.within_budget(jobs, used, 7, [F.asc("j")]).collect()) == [0, 1, 2]
     assert planning.within_budget(jobs, used, 2, [F.asc("j")]).count() == 0
+
+
+def test_places_over_all_rows(spark):
+    rows = [(f"t{i:04}", None if i % 50 == 0 else float(i * 7 % 10)) for i in range(2000)] + [("t0001", 7.0), (None, 3.0)]
+    df = spark.createDataFrame(rows, "ticker string, score double").repartition(5)
+    got = {(r.ticker, r.score, r["rank"]) for r in scoring.ranked(df, ["score"]).collect()}
+    order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0] is None, r[0] or ""))
+    assert got == {(*r, k + 1) for k, r in enumerate(order)}
+    assert scoring.ranked(df.limit(0), ["score"]).count() == 0
+
+
+def test_metrics_of_facts(spark):
+    rows = [("1", "AssetsNet"), ("1", "AssetsNet"), ("1", "Revenues"), ("1", None), ("2", None), (None, "Liabilities"), (None, "x")]
+    facts = spark.createDataFrame(rows, "cik string, tag_name string")
+    got = {r.cik: (r.unique_tag_count, r.key_metric_count) for r in scoring.fact_metrics(facts).collect()}
+    assert got == {"1": (2, 2), "2": (0, 0), None: (2, 1)}
