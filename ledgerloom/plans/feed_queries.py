@@ -225,12 +225,16 @@ def lenient_scalars(v: Views) -> DataFrame:
         scalars.batch_id_of_file(file).alias("batch_id"), scalars.batch_time_of_file(file).alias("batch_time"))
 
 
-@query("""+ cells AS (SELECT o_custkey AS ticker, o_orderpriority AS item_name, year(o_orderdate) AS y, sum(o_totalprice) AS s FROM orders GROUP BY ALL)
-SELECT ticker, make_date(y, 12, 31) AS report_date, item_name, CAST(trunc(s) AS BIGINT) AS item_value FROM cells WHERE y IN (1996, 1997)""")
+@query("""+ cells AS (SELECT o_custkey AS ticker, o_orderpriority AS item_name, year(o_orderdate) AS y, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS s FROM orders GROUP BY ALL)
+SELECT ticker, make_date(y, 12, 31) AS report_date, item_name, CAST(trunc(s) AS BIGINT) AS item_value FROM cells WHERE y IN (1996, 1997) AND s IS NOT NULL""")
 def statement_rows(v: Views) -> DataFrame:
-    """Statements with a column for each report date, one of which is no date."""
-    o = v.table("orders").select(F.col("o_custkey").alias("ticker"), F.col("o_orderpriority").alias("item_name"), F.year("o_orderdate").alias("y"), "o_totalprice")
-    wide = o.groupBy("ticker", "item_name").agg(*(F.sum(F.when(F.col("y") == y, F.col("o_totalprice"))).alias(name) for y,
+    """Statements with a column for each report date, one of which is no date.
+
+    Prices are added as decimals: a sum of doubles depends on their order, and one just below a whole number is cut to another.
+    """
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    o = v.table("orders").select(F.col("o_custkey").alias("ticker"), F.col("o_orderpriority").alias("item_name"), F.year("o_orderdate").alias("y"), price.alias("price"))
+    wide = o.groupBy("ticker", "item_name").agg(*(F.sum(F.when(F.col("y") == y, F.col("price"))).alias(name) for y,
         name in ((1996, "1996-12-31"), (1997, "1997-12-31"), (1998, "1998-13-31"), (1999, "TTM"))))
     return tables.statement_rows(wide, ["ticker"])
 
