@@ -273,21 +273,26 @@ def sketched_universe(v: Views) -> DataFrame:
     return out
 
 
-@query("""+ e AS (SELECT event_id, ts FROM events WHERE ts IS NOT NULL), a AS (SELECT DISTINCT event_id, ts FROM e WHERE ts < TIMESTAMP '2024-01-11'), m AS (SELECT max(ts) AS m FROM a)
-SELECT event_id, ts FROM a UNION ALL SELECT DISTINCT event_id + 2000000000, ts FROM a, m WHERE ts > m - INTERVAL 2 DAY
+@query("""+ e AS (SELECT event_id, ts FROM events WHERE ts IS NOT NULL), a AS (SELECT DISTINCT event_id, ts FROM e WHERE ts < TIMESTAMP '2024-01-11'),
+m AS (SELECT date_trunc('millisecond', max(ts)) AS m FROM a), n AS (SELECT max(event_id) - min(event_id) + 1 AS n FROM e)
+SELECT event_id, ts FROM a UNION ALL SELECT DISTINCT event_id + 2 * n, ts FROM a, m, n WHERE ts > m - INTERVAL 2 DAY
 UNION ALL SELECT DISTINCT event_id, ts FROM e WHERE ts >= TIMESTAMP '2024-01-11'""")
 def stream_once(v: Views) -> DataFrame:
-    """Three landings: new rows; repeats, rows that come late but within two days, and rows that come too late; new rows and repeats."""
+    """Three landings: new rows; repeats, rows that come late but within two days, and rows that come too late; new rows and repeats.
+
+    Late rows have ids of their own, beyond all of the table's. A watermark counts whole milliseconds.
+    """
     folder, border = shared_path(v.spark, "once"), "2024-01-11"
     e = v.table("events").where("ts IS NOT NULL").select("event_id", F.col("ts").cast("timestamp").alias("ts")).distinct()
     early, late = e.where(F.col("ts") < border), e.where(F.col("ts") >= border)
-    last = early.agg(F.max("ts").alias("m"))
-    near, far = (early.crossJoin(F.broadcast(last)).where(x).drop("m") for x in ("ts > m - INTERVAL 2 DAYS", "ts <= m - INTERVAL 2 DAYS"))
+    newest = F.max(F.when(F.col("ts") < border, F.col("ts")))
+    bounds = e.agg(F.date_trunc("millisecond", newest).alias("m"), (F.max("event_id") - F.min("event_id") + 1).alias("n"))
+    near, far = (early.crossJoin(F.broadcast(bounds)).where(x).drop("m") for x in ("ts > m - INTERVAL 2 DAYS", "ts <= m - INTERVAL 2 DAYS"))
     middle, end = late.where(F.col("ts") < "2024-01-21"), late.where(F.col("ts") >= "2024-01-21")
-    shifted = lambda df, n: df.withColumn("event_id", F.col("event_id") + n)
-    landings = [early, middle.unionByName(near).unionByName(shifted(near, 2_000_000_000)).unionByName(shifted(far, 1_000_000_000)), end.unionByName(middle.where(F.col("ts") >= "2024-01-20"))]
+    shifted = lambda df, times: df.select((F.col("event_id") + times * F.col("n")).alias("event_id"), "ts")
+    landings = [early, middle.unionByName(near.drop("n")).unionByName(shifted(near, 2)).unionByName(shifted(far, 1)), end.unionByName(middle.where(F.col("ts") >= "2024-01-20"))]
     for landing in landings:  # each run goes on from the checkpoint of the one before
-        landing.coalesce(1).write.mode("append").parquet(f"{folder}/landed")
+        landing.write.mode("append").parquet(f"{folder}/landed")
         ingest.append_once(v.spark.readStream.schema(e.schema).parquet(f"{folder}/landed"), f"{folder}/kept", f"{folder}/checkpoint", ["event_id"], "ts", "2 days").awaitTermination()
     return v.spark.read.schema(e.schema).parquet(f"{folder}/kept")
 

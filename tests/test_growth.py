@@ -28,3 +28,17 @@ def test_statement_sums_in_any_order(spark, tmp_path, prices):
     columns, want = by_sql(tmp_path, "statement_rows", "orders")
     got = [tuple(r) for r in registry.queries()["statement_rows"](spark, str(tmp_path)).select(*columns).collect()]
     assert got == want == [(5, dt.date(1996, 12, 31), "LOW", 1)]
+
+
+def test_late_rows_have_ids_of_their_own(spark, tmp_path):
+    """Ids two milliards apart, and a row that is late by less than a millisecond."""
+    day = lambda d, **x: dt.datetime(2024, 1, d, 12, 0, 0, **x)
+    events = [(7, day(10, microsecond=500)), (2_000_000_007, day(9)), (8, day(8, microsecond=400)), (9, day(3)), (1_000_000_009, day(15)), (11, day(22)), (12, day(25))]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT *, 1 AS user_id, 1.0 AS value FROM '{tmp_path}/events.parquet/*.parquet'")
+    for table in ("customer", "supplier", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '/root/testdata/sf0.001/{table}.parquet'")
+    want = sorted(con.execute(registry.oracle_sql()["stream_once"]).fetchall())
+    got = sorted((r.event_id, r.ts) for r in registry.queries()["stream_once"](spark, str(tmp_path)).selectExpr("event_id", "CAST(ts AS timestamp_ntz) AS ts").collect())
+    assert got == want and len(got) == len(events) + 3
