@@ -22,9 +22,10 @@ STAMP = "TIMESTAMP '2024-01-31 00:00:00'"
 
 @query(f"SELECT DISTINCT {PAD} AS cik FROM companies")
 def ticker_universe(v: Views) -> DataFrame:
-    """CIKs of ticker files, one file for each nation."""
-    c = v.table("customer").select("c_nationkey", F.col("c_custkey").cast("string").alias("k"), F.struct(F.col("c_custkey").alias("cik_str"), F.col("c_name").alias("title")).alias("e"))
-    texts = c.unionAll(c).groupBy("c_nationkey").agg(F.to_json(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("k", "e"))))).alias("value"))
+    """CIKs of ticker files, one for each nation and 250,000 keys, so that a file has a bounded number of keys however many there are."""
+    entry = F.struct(F.col("c_custkey").cast("string").alias("k"), F.struct(F.col("c_custkey").alias("cik_str"), F.col("c_name").alias("title")).alias("e"))
+    c = v.table("customer").select("c_nationkey", F.expr("c_custkey div 250000").alias("block"), entry.alias("entry"))
+    texts = c.unionAll(c).groupBy("c_nationkey", "block").agg(F.to_json(F.map_from_entries(F.collect_set("entry"))).alias("value"))
     return feeds.universe(texts)
 
 

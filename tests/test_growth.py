@@ -42,3 +42,20 @@ def test_late_rows_have_ids_of_their_own(spark, tmp_path):
     want = sorted(con.execute(registry.oracle_sql()["stream_once"]).fetchall())
     got = sorted((r.event_id, r.ts) for r in registry.queries()["stream_once"](spark, str(tmp_path)).selectExpr("event_id", "CAST(ts AS timestamp_ntz) AS ts").collect())
     assert got == want and len(got) == len(events) + 3
+
+
+def test_ticker_files_are_bounded(spark, tmp_path):
+    """60,000 companies of one nation in a second, not by comparing each entry with each; files don't grow with the table."""
+    from ledgerloom.sources import feeds
+
+    n = 60_000
+    customers = spark.range(n).selectExpr("id * 20 AS c_custkey", "concat('Customer#', id) AS c_name", "3 AS c_nationkey", "1.0D AS c_acctbal", "'M' AS c_mktsegment")
+    customers.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    seen = {}
+    universe = feeds.universe
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(feeds, "universe", lambda texts: seen.setdefault("found", universe(seen.setdefault("texts", texts))))
+        registry.queries()["ticker_universe"](spark, str(tmp_path))
+    assert "array_distinct" not in seen["texts"]._jdf.queryExecution().optimizedPlan().toString()
+    assert [r[0] for r in seen["texts"].selectExpr("size(json_object_keys(value))").collect()] != [n]
+    assert [r.cik for r in seen["found"].collect()] == [f"{20 * i:010}" for i in range(n)]
