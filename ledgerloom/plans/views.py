@@ -35,13 +35,21 @@ class Views:
             F.to_date("o_orderdate").alias("filing_date"), F.col("o_orderpriority").alias("form"), F.col("o_orderstatus").alias("status"),
         )
 
-    def facts(self) -> DataFrame:
-        orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority", "o_orderdate")
-        return self.table("lineitem").join(orders, "l_orderkey").select(
-            F.col("o_custkey").cast("string").alias("cik"), F.col("l_orderkey").cast("string").alias("accession_number"),
+    def headers(self) -> DataFrame:
+        """What all facts of an order share, their keys among it."""
+        return self.table("orders").select(
+            "o_orderkey", F.col("o_custkey").cast("string").alias("cik"), F.col("o_orderkey").cast("string").alias("accession_number"),
+            F.col("o_orderpriority").alias("form"), F.to_date("o_orderdate").alias("filed_date"),
+        )
+
+    def facts(self, headers: DataFrame | None = None) -> DataFrame:
+        """All facts, or those of some ``headers``: rows chosen by these keys are chosen before the lines are joined, which are dealt out once then."""
+        h = self.headers() if headers is None else headers
+        return self.table("lineitem").join(h, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            "cik", "accession_number",
             F.concat("l_returnflag", "l_linestatus").alias("tag_name"), F.when(F.col("l_tax") < 0.04, "USD").otherwise("EUR").alias("unit"),
             F.to_date("l_shipdate").alias("period_end_date"), F.col("l_extendedprice").alias("value_numeric"), F.col("l_linenumber").cast("string").alias("fp"),
-            F.col("o_orderpriority").alias("form"), F.to_date("o_orderdate").alias("filed_date"),
+            "form", "filed_date",
         )
 
     def prices(self) -> DataFrame:

@@ -59,3 +59,11 @@ def test_ticker_files_are_bounded(spark, tmp_path):
     assert "array_distinct" not in seen["texts"]._jdf.queryExecution().optimizedPlan().toString()
     assert [r[0] for r in seen["texts"].selectExpr("size(json_object_keys(value))").collect()] != [n]
     assert [r.cik for r in seen["found"].collect()] == [f"{20 * i:010}" for i in range(n)]
+
+
+@pytest.mark.parametrize("name", ["orphan_facts", "orphan_facts_strict"])
+def test_orphans_are_found_before_lines_are_joined(spark, name):
+    """Lines, by far the most rows, are dealt out for one join only."""
+    plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line.strip(" :+-") for line in plan.splitlines() if "Join " in line]
+    assert joins[0].startswith("Join Inner") and any("LeftAnti" in x for x in joins[1:])
