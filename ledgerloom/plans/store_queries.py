@@ -240,8 +240,9 @@ def bloom_lookup(v: Views) -> DataFrame:
 WHERE g.status = 'F' AND g.cik IN (SELECT cik FROM companies)""")
 def bucketed_facts(v: Views) -> DataFrame:
     """Facts and filings stored in buckets of their accession number, joined without a shuffle of either."""
-    facts = batches.stored_in_buckets(v.facts(), "facts", ["accession_number"], 8)
-    filings = batches.stored_in_buckets(v.filings().where("status = 'F'"), "filings", ["accession_number"], 8)
+    n = batches.bucket_count(v.table("lineitem").count())
+    facts = batches.stored_in_buckets(v.facts(), "facts", ["accession_number"], n)
+    filings = batches.stored_in_buckets(v.filings().where("status = 'F'"), "filings", ["accession_number"], n)
     return integrity.valid_facts(facts, filings, v.companies()).select("cik", "accession_number", "tag_name", "value_numeric", "filed_date")
 
 

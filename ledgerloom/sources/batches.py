@@ -160,6 +160,11 @@ def write_by_date(
     out.parquet(path)
 
 
+def bucket_count(rows: int, each: int = 500_000) -> int:
+    """Buckets for so many rows: eight at least, and of about ``each`` rows, so that a task's share stays the same however large a table is."""
+    return max(8, -(-rows // each))
+
+
 def stored_in_buckets(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
     """Land ``df`` in buckets of its keys, sorted within them: tables of the same keys and as many buckets join without a shuffle.
 

@@ -67,3 +67,17 @@ def test_orphans_are_found_before_lines_are_joined(spark, name):
     plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     joins = [line.strip(" :+-") for line in plan.splitlines() if "Join " in line]
     assert joins[0].startswith("Join Inner") and any("LeftAnti" in x for x in joins[1:])
+
+
+def test_buckets_grow_in_number(spark, monkeypatch):
+    """Twice as many rows make twice as many buckets, not larger ones."""
+    from ledgerloom.sources import batches
+
+    assert [batches.bucket_count(n) for n in (0, 600_000, 36_000_000, 72_000_000)] == [8, 8, 72, 144]
+    count = batches.bucket_count
+    monkeypatch.setattr(batches, "bucket_count", lambda rows: count(rows, each=500))
+    used = []
+    stored = batches.stored_in_buckets
+    monkeypatch.setattr(batches, "stored_in_buckets", lambda df, name, keys, buckets: used.append(buckets) or stored(df, name, keys, buckets))
+    assert registry.queries()["bucketed_facts"](spark, "/root/testdata/sf0.001").count() > 0
+    assert used == [12, 12]
