@@ -110,9 +110,13 @@ def facts(docs: DataFrame) -> DataFrame:
     by_tag = docs.select("cik", F.explode("facts").alias("taxonomy", "t")).select("cik", "taxonomy", F.explode("t").alias("tag_name", "d"))
     by_unit = by_tag.select("cik", "taxonomy", "tag_name", F.explode("d.units").alias("unit", "list"))
     one = by_unit.select("cik", "taxonomy", "tag_name", "unit", F.explode("list").alias("f")).where("f.accn <> '' AND f.form <> ''")
-    return one.select(
+    named = one.select("*", F.schema_of_variant("f.val").alias("_val"), F.schema_of_variant("f.fy").alias("_fy"))
+    kinds = named.withColumns({"_val": variants.kind("f.val", F.col("_val")), "_fy": variants.kind("f.fy", F.col("_fy"))})
+    numbers = kinds.withColumn("_number", variants.number("f.val", F.col("_val")))
+    return numbers.select(
         "cik", F.col("f.accn").alias("accession_number"), "taxonomy", "tag_name", "unit", iso_date("f.end").alias("period_end_date"),
-        variants.number("f.val").alias("value_numeric"), variants.other_text("f.val").alias("value_text"), variants.whole("f.fy").alias("fy"), F.col("f.fp").alias("fp"),
+        F.col("_number").alias("value_numeric"), F.when(F.col("_number").isNull(), variants.text("f.val", F.col("_val"))).alias("value_text"),
+        variants.whole("f.fy", what=F.col("_fy")).alias("fy"), F.col("f.fp").alias("fp"),
         F.col("f.form").alias("form"), iso_date("f.filed").alias("filed_date"), F.coalesce("f.frame", F.lit("")).alias("frame"),
     ).select(*TABLES["xbrl_facts"].columns)
 

@@ -43,12 +43,15 @@ def json_companies(v: Views) -> DataFrame:
 
 
 def facts_texts(v: Views) -> DataFrame:
-    """One JSON document for each company: taxonomy, tag, unit, facts."""
+    """One JSON document for each company: taxonomy, tag, unit, facts. Facts are dealt out by company once, which serves all three groupings.
+
+    A task takes about 100,000 of them: small when compressed, but each is composed and parsed as JSON.
+    """
     one = F.struct(
         F.col("value_numeric").cast("string").alias("val"), F.col("accession_number").alias("accn"), F.col("period_end_date").cast("string").alias("end"),
         F.lit("2000").alias("fy"), "fp", "form", F.col("filed_date").cast("string").alias("filed"),
     )
-    by_unit = v.facts().groupBy("cik", "tag_name", "unit").agg(F.collect_list(one).alias("list"))
+    by_unit = v.facts().repartition(batches.bucket_count(v.table("lineitem").count(), each=100_000), "cik").groupBy("cik", "tag_name", "unit").agg(F.collect_list(one).alias("list"))
     by_tag = by_unit.groupBy("cik", "tag_name").agg(F.map_from_entries(F.collect_list(F.struct("unit", "list"))).alias("units"))
     tag = F.struct(F.col("tag_name").alias("label"), F.col("units").alias("units"))
     by_cik = by_tag.groupBy("cik").agg(F.map_from_entries(F.collect_list(F.struct("tag_name", tag))).alias("tags"))

@@ -81,3 +81,11 @@ def test_buckets_grow_in_number(spark, monkeypatch):
     monkeypatch.setattr(batches, "stored_in_buckets", lambda df, name, keys, buckets: used.append(buckets) or stored(df, name, keys, buckets))
     assert registry.queries()["bucketed_facts"](spark, "/root/testdata/sf0.001").count() > 0
     assert used == [12, 12]
+
+
+@pytest.mark.parametrize("name", ["json_explode_facts", "parse_summary"])
+def test_facts_are_dealt_out_by_company_once(spark, name):
+    """One shuffle for the three groupings of documents, and each value's type looked up once."""
+    plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(cik" in x and "tag_name" in x and "taxonomy" not in x]
+    assert plan.count("schema_of_variant") <= 4
